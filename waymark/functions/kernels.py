@@ -185,16 +185,21 @@ def batch_stations(xy, at_):
     return station, total
 
 
-def batch_near_spans(a, a_at, b, b_at, radius, budget=2_000_000):
+def batch_near_spans(a, a_at, b, b_at, radius, flat_ends=False, budget=2_000_000):
     """Merged spans of positions along each line ``a`` within ``radius`` of its partner ``b``.
 
     On one segment of ``a`` the positions near one segment of ``b`` are a single span, because the set
     of points near a segment is convex: the hull of the parts in its two end discs and its slab. All
     pairs of segments of a batch go through numpy together, in slices of at most ``budget`` pairs.
+    With ``flat_ends`` the neighbourhood of ``b`` stops square at its two ends.
     Returns (row, start, end) arrays.
     """
     pa_first, pa_row, pa_off = _segments(a, a_at)
-    pb_first, _, pb_off = _segments(b, b_at)
+    pb_first, pb_row, pb_off = _segments(b, b_at)
+    round_start, round_end = np.ones(len(pb_first), dtype=bool), np.ones(len(pb_first), dtype=bool)
+    if flat_ends and len(pb_first):
+        round_start[pb_off[pb_row]] = False
+        round_end[pb_off[pb_row + 1] - 1] = False
     station, _ = batch_stations(a, a_at)
     nb = np.diff(pb_off)[pa_row]
     cum = np.concatenate([[0], np.cumsum(nb)])
@@ -212,7 +217,8 @@ def batch_near_spans(a, a_at, b, b_at, radius, budget=2_000_000):
         near = (
             (np.minimum(p0, p1) <= np.maximum(q0, q1) + r[:, None]) & (np.maximum(p0, p1) >= np.minimum(q0, q1) - r[:, None])
         ).all(axis=1)
-        lo, hi = _segment_spans(p0[near], p1[near], q0[near], q1[near], r[near])
+        discs = (round_start[ib[near]], round_end[ib[near]])
+        lo, hi = _segment_spans(p0[near], p1[near], q0[near], q1[near], r[near], discs)
         ok = lo <= hi
         seg = ia[near][ok]
         s0, s1 = station[pa_first[seg]], station[pa_first[seg] + 1]
@@ -224,7 +230,7 @@ def batch_near_spans(a, a_at, b, b_at, radius, budget=2_000_000):
     return _merge(np.concatenate(rows), np.concatenate(starts), np.concatenate(ends))
 
 
-def _segment_spans(p0, p1, q0, q1, r):
+def _segment_spans(p0, p1, q0, q1, r, discs):
     """Parameter span [lo, hi] of each segment p inside the r-neighbourhood of its segment q; lo > hi if none."""
     d = p1 - p0
     lo, hi = np.full(len(p0), np.inf), np.full(len(p0), -np.inf)
@@ -238,13 +244,13 @@ def _segment_spans(p0, p1, q0, q1, r):
         np.minimum(lo, np.where(ok, start, np.inf), out=lo)
         np.maximum(hi, np.where(ok, end, -np.inf), out=hi)
 
-    for centre in (q0, q1):
+    for centre, disc_counts in zip((q0, q1), discs):
         rel = p0 - centre
         b, c = (rel * d).sum(axis=1), (rel**2).sum(axis=1) - r**2
         disc = b * b - a * c
         root = np.sqrt(np.maximum(disc, 0))
         start, end = np.where(still, 0.0, (-b - root) / safe), np.where(still, 1.0, (-b + root) / safe)
-        add(start, end, np.where(still, c <= 0, (disc >= 0) & (end >= 0) & (start <= 1)))
+        add(start, end, disc_counts & np.where(still, c <= 0, (disc >= 0) & (end >= 0) & (start <= 1)))
     q = q1 - q0
     length = np.hypot(q[:, 0], q[:, 1])
     unit = q / np.where(length > 0, length, 1.0)[:, None]
@@ -342,10 +348,10 @@ def _spans_column(n_rows, row, start, end):
     return pa.ListArray.from_arrays(pa.array(offsets), fields)
 
 
-def _near(a, b, radius):
+def _near(a, b, radius, flat_ends=False):
     xy, a_at = _coords(a)
     other, b_at = _coords(b)
-    return xy, a_at, b_at, batch_near_spans(xy, a_at, other, b_at, _doubles(radius))
+    return xy, a_at, b_at, batch_near_spans(xy, a_at, other, b_at, _doubles(radius), flat_ends)
 
 
 @F.arrow_udf(T.BooleanType())
@@ -366,6 +372,13 @@ def spans_near(a: pa.Array, b: pa.Array, radius: pa.Array) -> pa.Array:
     return _spans_column(len(a_at) - 1, *spans)
 
 
+@F.arrow_udf(SPANS)
+def spans_near_flat(a: pa.Array, b: pa.Array, radius: pa.Array) -> pa.Array:
+    """The same with a neighbourhood that stops square at the ends of ``b``."""
+    _, a_at, _, spans = _near(a, b, radius, flat_ends=True)
+    return _spans_column(len(a_at) - 1, *spans)
+
+
 @F.arrow_udf(SPANS)
 def spans_away(a: pa.Array, b: pa.Array, radius: pa.Array) -> pa.Array:
     """Spans of positions along ``a`` farther than ``radius`` from ``b`` (all of it when ``b`` is empty)."""

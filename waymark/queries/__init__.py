@@ -37,4 +37,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from waymark.queries import geometry, relational  # noqa: F401
+    from waymark.queries import geometry, inspection, relational  # noqa: F401
