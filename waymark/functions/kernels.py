@@ -32,11 +32,6 @@ def _coords(column: pa.Array):
     return xy, np.concatenate([[0], np.cumsum(lengths)])
 
 
-def _rows(column: pa.Array):
-    xy, at = _coords(column)
-    return [xy[at[i] : at[i + 1]] for i in range(len(at) - 1)]
-
-
 def _doubles(column: pa.Array):
     return np.asarray(column.to_numpy(zero_copy_only=False), dtype=float)
 
@@ -48,10 +43,6 @@ def _list_of_structs(rows, kind, names):
     return pa.ListArray.from_arrays(pa.array(offsets), fields).cast(kind)
 
 
-def _number(value):
-    return None if value is None or not np.isfinite(value) else float(value)
-
-
 # ---- geodesic -------------------------------------------------------------------------------
 
 # WGS84 ellipsoid.
@@ -126,11 +117,6 @@ def geodesic_azimuth(x1: pa.Array, y1: pa.Array, x2: pa.Array, y2: pa.Array) ->
 # ---- planar helpers on one line -------------------------------------------------------------
 
 
-def stations(xy):
-    """Planar distance of every vertex from the start."""
-    return np.concatenate([[0.0], np.cumsum(np.hypot(*np.diff(xy, axis=0).T))])
-
-
 def point_to_segments(points, xy):
     """Distance (p, s) of points to the segments of a line, and the foot parameter on each segment."""
     a, d = xy[:-1], np.diff(xy, axis=0)
@@ -141,28 +127,6 @@ def point_to_segments(points, xy):
     return np.hypot(foot[:, :, 0], foot[:, :, 1]), t
 
 
-def locate(xy, points):
-    """Position along the line of the nearest place to each point (the first one on ties)."""
-    dist, t = point_to_segments(points, xy)
-    best = dist.argmin(axis=1)
-    s = stations(xy)
-    return s[best] + t[np.arange(len(points)), best] * (s[best + 1] - s[best])
-
-
-def at(xy, position):
-    s = stations(xy)
-    p = np.clip(position, 0, s[-1])
-    return np.column_stack([np.interp(p, s, xy[:, 0]), np.interp(p, s, xy[:, 1])])
-
-
-def cut(xy, start, end):
-    """Part of the line between two positions."""
-    s = stations(xy)
-    start, end = np.clip([start, end], 0, s[-1])
-    inside = xy[(s > start + EPS) & (s < end - EPS)]
-    return np.vstack([at(xy, np.array([start])), inside, at(xy, np.array([end]))])
-
-
 def _segments(xy, at_):
     """Index of the first vertex of every segment of a batch, and segments per row with their offsets."""
     row = np.repeat(np.arange(len(at_) - 1), np.diff(at_))
@@ -185,6 +149,80 @@ def batch_stations(xy, at_):
     return station, total
 
 
+def _point_segment_pairs(rows, seg_offsets, budget=2_000_000):
+    """Slices (begin, stop, point index, segment index, starts) pairing points with all segments of their row."""
+    count = np.diff(seg_offsets)[rows]
+    cum = np.concatenate([[0], np.cumsum(count)])
+    begin = 0
+    while begin < len(rows):
+        stop = max(begin + 1, int(np.searchsorted(cum, cum[begin] + budget, side="right")) - 1)
+        c = count[begin:stop]
+        starts = cum[begin:stop] - cum[begin]
+        ip = np.repeat(np.arange(begin, stop), c)
+        js = np.arange(len(ip)) - np.repeat(starts, c) + np.repeat(seg_offsets[rows[begin:stop]], c)
+        yield begin, stop, ip, js, starts
+        begin = stop
+
+
+def batch_locate(xy, at_, points, rows):
+    """Position and distance of the nearest place on the line of its row for each point (the first on ties).
+
+    Every row must have at least two vertices.
+    """
+    first, _, offsets = _segments(xy, at_)
+    station, _ = batch_stations(xy, at_)
+    position, nearest = np.zeros(len(points)), np.zeros(len(points))
+    for begin, stop, ip, js, starts in _point_segment_pairs(rows, offsets):
+        a = xy[first[js]]
+        d = xy[first[js] + 1] - a
+        sq = (d**2).sum(axis=1)
+        rel = points[ip] - a
+        t = np.where(sq > 0, (rel * d).sum(axis=1) / np.where(sq > 0, sq, 1), 0.0).clip(0, 1)
+        dist = np.hypot(*(rel - t[:, None] * d).T)
+        best = np.minimum.reduceat(dist, starts)
+        counts = np.diff(np.concatenate([starts, [len(ip)]]))
+        pick = np.minimum.reduceat(np.where(dist == np.repeat(best, counts), np.arange(len(ip)), len(ip)), starts)
+        s0, s1 = station[first[js[pick]]], station[first[js[pick]] + 1]
+        position[begin:stop] = s0 + t[pick] * (s1 - s0)
+        nearest[begin:stop] = best
+    return position, nearest
+
+
+def batch_at(xy, at_, position, rows):
+    """Point at a position (clamped) along the line of its row; every row must have vertices."""
+    station, total = batch_stations(xy, at_)
+    p = np.clip(position, 0, total[rows])
+    big = (total.max() if len(total) else 0.0) + 1.0
+    vertex_row = np.repeat(np.arange(len(at_) - 1), np.diff(at_))
+    i = np.searchsorted(station + vertex_row * big, p + rows * big, side="right") - 1
+    i = np.clip(i, at_[rows], np.maximum(at_[rows + 1] - 2, at_[rows]))
+    j = np.minimum(i + 1, at_[rows + 1] - 1)
+    step = station[j] - station[i]
+    w = np.where(step > 0, (p - station[i]) / np.where(step > 0, step, 1), 0.0).clip(0, 1)[:, None]
+    return np.where(w >= 1, xy[j], xy[i] + w * (xy[j] - xy[i]))
+
+
+def batch_cut(xy, at_, start, end):
+    """Part of each line between two positions: end points and the vertices strictly between."""
+    station, total = batch_stations(xy, at_)
+    n = len(at_) - 1
+    rows = np.flatnonzero(np.diff(at_) >= 2)
+    s, e = np.clip(start, 0, total), np.clip(end, 0, total)
+    vertex_row = np.repeat(np.arange(n), np.diff(at_))
+    inside = (station > s[vertex_row] + EPS) & (station < e[vertex_row] - EPS) & (np.diff(at_) >= 2)[vertex_row]
+    count = np.bincount(vertex_row[inside], minlength=n)
+    count[rows] += 2
+    offsets = np.concatenate([[0], np.cumsum(count)])
+    out = np.empty((offsets[-1], 2))
+    middle = np.ones(offsets[-1], dtype=bool)
+    middle[offsets[rows]] = middle[offsets[rows + 1] - 1] = False
+    out[middle] = xy[inside]
+    if len(rows):
+        out[offsets[rows]] = batch_at(xy, at_, s[rows], rows)
+        out[offsets[rows + 1] - 1] = batch_at(xy, at_, e[rows], rows)
+    return out, offsets
+
+
 def batch_near_spans(a, a_at, b, b_at, radius, flat_ends=False, budget=2_000_000):
     """Merged spans of positions along each line ``a`` within ``radius`` of its partner ``b``.
 
@@ -331,15 +369,16 @@ def batch_simplify(xy, at_, tolerance):
 @F.arrow_udf(DOUBLE)
 def hausdorff(a: pa.Array, b: pa.Array) -> pa.Array:
     """Discrete Hausdorff distance: vertices of each line against the segments of the other."""
-    out = []
-    for p, q in zip(_rows(a), _rows(b)):
-        if len(p) < 2 or len(q) < 2:
-            out.append(None)
-            continue
-        one = point_to_segments(p, q)[0].min(axis=1).max()
-        two = point_to_segments(q, p)[0].min(axis=1).max()
-        out.append(float(max(one, two)))
-    return pa.array(out, pa.float64())
+    one, one_at = _coords(a)
+    two, two_at = _coords(b)
+    ok = (np.diff(one_at) >= 2) & (np.diff(two_at) >= 2)
+    worst = np.zeros(len(ok))
+    for p, p_at, q, q_at in ((one, one_at, two, two_at), (two, two_at, one, one_at)):
+        row = np.repeat(np.arange(len(ok)), np.diff(p_at))
+        use = ok[row]
+        _, near = batch_locate(q, q_at, p[use], row[use])
+        np.maximum.at(worst, row[use], near)
+    return pa.array(worst, pa.float64(), mask=~ok)
 
 
 def _spans_column(n_rows, row, start, end):
@@ -390,43 +429,48 @@ def spans_away(a: pa.Array, b: pa.Array, radius: pa.Array) -> pa.Array:
 @F.arrow_udf(SPANS)
 def project_spans(line: pa.Array, other: pa.Array, spans: pa.Array) -> pa.Array:
     """Ends of spans along ``other``, projected on ``line``, in increasing order."""
-    out = []
-    for xy, o, sp in zip(_rows(line), _rows(other), _rows(spans)):
-        if len(xy) < 2 or len(o) < 2 or not len(sp):
-            out.append(np.empty((0, 2)))
-            continue
-        ends = np.column_stack([locate(xy, at(o, sp[:, 0])), locate(xy, at(o, sp[:, 1]))])
-        out.append(np.sort(ends, axis=1))
-    return _list_of_structs(out, _PA_SPANS, ["s", "e"])
+    xy, at_ = _coords(line)
+    o, o_at = _coords(other)
+    ends, s_at = _coords(spans)
+    row = np.repeat(np.arange(len(s_at) - 1), np.diff(s_at))
+    use = (np.diff(at_) >= 2)[row] & (np.diff(o_at) >= 2)[row]
+    ends, row = ends[use], row[use]
+    rows = np.repeat(row, 2)
+    places, _ = batch_locate(xy, at_, batch_at(o, o_at, ends.ravel(), rows), rows) if len(rows) else (np.empty(0), None)
+    places = np.sort(places.reshape(-1, 2), axis=1)
+    return _spans_column(len(s_at) - 1, row, places[:, 0], places[:, 1])
 
 
 @F.arrow_udf(DOUBLE)
 def project(line: pa.Array, x: pa.Array, y: pa.Array) -> pa.Array:
-    """Position along the line of the place nearest to the point; NULL for an empty line."""
-    out = []
-    for xy, px, py in zip(_rows(line), _doubles(x), _doubles(y)):
-        out.append(_number(locate(xy, np.array([[px, py]]))[0]) if len(xy) >= 2 else None)
-    return pa.array(out, pa.float64())
+    """Position along the line of the place nearest to the point; NULL for an empty line or point."""
+    xy, at_ = _coords(line)
+    points = np.column_stack([_doubles(x), _doubles(y)])
+    ok = (np.diff(at_) >= 2) & np.isfinite(points).all(axis=1)
+    out = np.zeros(len(ok))
+    out[ok], _ = batch_locate(xy, at_, points[ok], np.flatnonzero(ok))
+    return pa.array(out, pa.float64(), mask=~ok)
 
 
 @F.arrow_udf(POINT)
 def interpolate(line: pa.Array, position: pa.Array) -> pa.Array:
     """Point at a position along the line, clamped to its ends."""
-    xs, ys = [], []
-    for xy, p in zip(_rows(line), _doubles(position)):
-        point = at(xy, np.array([p]))[0] if len(xy) >= 2 else (None, None)
-        xs.append(_number(point[0]))
-        ys.append(_number(point[1]))
-    return pa.StructArray.from_arrays([pa.array(xs, pa.float64()), pa.array(ys, pa.float64())], names=["x", "y"])
+    xy, at_ = _coords(line)
+    p = _doubles(position)
+    ok = (np.diff(at_) >= 2) & np.isfinite(p)
+    out = np.zeros((len(ok), 2))
+    rows = np.flatnonzero(ok)
+    if len(rows):
+        out[ok] = batch_at(xy, at_, p[ok], rows)
+    fields = [pa.array(out[:, i], pa.float64(), mask=~ok) for i in range(2)]
+    return pa.StructArray.from_arrays(fields, names=["x", "y"])
 
 
 @F.arrow_udf(POINTS)
 def substring(line: pa.Array, start: pa.Array, end: pa.Array) -> pa.Array:
     """Part of the line between two positions."""
-    out = []
-    for xy, s, e in zip(_rows(line), _doubles(start), _doubles(end)):
-        out.append(cut(xy, s, e) if len(xy) >= 2 else np.empty((0, 2)))
-    return _list_of_structs(out, _PA_POINTS, ["x", "y"])
+    xy, at_ = _coords(line)
+    return _points_column(*batch_cut(xy, at_, np.nan_to_num(_doubles(start)), np.nan_to_num(_doubles(end))))
 
 
 def _points_column(xy, at_):
