@@ -292,3 +292,17 @@ def equal_within(a, b, radius: float) -> Column:
 def touches_within(a, b, radius: float) -> Column:
     """Some of ``a`` lies within ``radius`` of ``b``."""
     return F.size(k.spans_near(_c(a), _c(b), F.lit(radius))) > 0
+
+
+def lines_in_polygon(df, line: str, ring: str, out: str = "part"):
+    """One row per piece of the line inside the polygon; a row whose line does not enter keeps one empty line."""
+    empty = F.slice(F.col(line), 1, 0)
+    rows = df.withColumn("_spans", k.spans_in_polygon(line, ring)).withColumn("_s", F.explode_outer("_spans"))
+    cut = k.substring(line, F.coalesce("_s.s", F.lit(0.0)), F.coalesce("_s.e", F.lit(0.0)))
+    return rows.withColumn(out, F.when(F.col("_s").isNull(), empty).otherwise(cut)).drop("_spans", "_s")
+
+
+def merge_group_lines(df, keys: list[str], seq: str, line: str):
+    """The lines of each group chained in order of ``seq``; a group is the parts of one feature."""
+    parts = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(seq, line))).alias("_p"))
+    return parts.select(*keys, merge_lines(F.transform("_p", lambda p: p[line])).alias(line))

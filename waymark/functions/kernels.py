@@ -516,6 +516,41 @@ def circle_span(line: pa.Array, x: pa.Array, y: pa.Array, radius: pa.Array) -> p
     return _spans_column(n, row[first], start[first], end[last])
 
 
+@F.arrow_udf(SPANS)
+def spans_in_polygon(line: pa.Array, ring: pa.Array) -> pa.Array:
+    """Spans of positions along the line inside a polygon, even-odd rule; the ring need not be closed or valid."""
+    xy, at_ = _coords(line)
+    poly, r_at = _coords(ring)
+    station, total = batch_stations(xy, at_)
+    rows, starts, ends = [], [], []
+    for row in range(len(at_) - 1):
+        p, q = xy[at_[row] : at_[row + 1]], poly[r_at[row] : r_at[row + 1]]
+        if len(p) < 2 or len(q) < 3:
+            continue
+        e, f = q, np.roll(q, -1, axis=0)
+        d, s = np.diff(p, axis=0), station[at_[row] : at_[row + 1]]
+        edge = f - e
+        cross = d[:, None, 0] * edge[None, :, 1] - d[:, None, 1] * edge[None, :, 0]
+        rel = e[None, :, :] - p[:-1, None, :]
+        safe = np.where(cross == 0, 1.0, cross)
+        t = (rel[:, :, 0] * edge[None, :, 1] - rel[:, :, 1] * edge[None, :, 0]) / safe
+        u = (rel[:, :, 0] * d[:, None, 1] - rel[:, :, 1] * d[:, None, 0]) / safe
+        hit = (cross != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)
+        seg, _ = np.nonzero(hit)
+        cuts = np.unique(np.concatenate([s, s[seg] + t[hit] * (s[seg + 1] - s[seg])]))
+        middle = batch_at(p, np.array([0, len(p)]), (cuts[1:] + cuts[:-1]) / 2, np.zeros(len(cuts) - 1, dtype=np.int64))
+        above = (e[None, :, 1] > middle[:, None, 1]) != (f[None, :, 1] > middle[:, None, 1])
+        with np.errstate(all="ignore"):
+            x_at = e[None, :, 0] + (middle[:, None, 1] - e[None, :, 1]) * edge[None, :, 0] / edge[None, :, 1]
+        inside = (above & (middle[:, None, 0] < x_at)).sum(axis=1) % 2 == 1
+        rows.append(np.full(inside.sum(), row))
+        starts.append(cuts[:-1][inside])
+        ends.append(cuts[1:][inside])
+    if not rows:
+        return _spans_column(len(at_) - 1, np.empty(0, dtype=np.int64), np.empty(0), np.empty(0))
+    return _spans_column(len(at_) - 1, *_merge(np.concatenate(rows), np.concatenate(starts), np.concatenate(ends)))
+
+
 @F.arrow_udf(POINTS)
 def decode_polyline(text: pa.Array) -> pa.Array:
     """Points of precision-6 polyline text: 5-bit groups, zig-zag steps, latitude before longitude."""

@@ -13,17 +13,20 @@ def _mask(value: int) -> Column:
     return F.lit(value).cast("bigint")
 
 
+def _fold(v: Column, steps, shift_fn) -> Column:
+    """Apply the shift-or-mask steps in order; the steps are literals, so the column is named only once."""
+    plan = F.array(*[F.struct(F.lit(s).alias("shift"), _mask(m).alias("mask")) for s, m in steps])
+    return F.aggregate(plan, v, lambda acc, p: acc.bitwiseOR(shift_fn(acc, p["shift"])).bitwiseAND(p["mask"]))
+
+
 def _spread(v: Column) -> Column:
-    for shift, mask in _SPREAD:
-        v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(_mask(mask))
-    return v
+    return _fold(v, _SPREAD, lambda acc, n: F.call_function("shiftleft", acc, n))
 
 
 def _squeeze(v: Column) -> Column:
-    v = v.bitwiseAND(_mask(_SPREAD[-1][1]))
-    for (shift, _), mask in zip(reversed(_SPREAD), [m for _, m in reversed(_SPREAD[:-1])] + [0x00000000FFFFFFFF]):
-        v = v.bitwiseOR(F.shiftright(v, shift)).bitwiseAND(_mask(mask))
-    return v
+    masks = [m for _, m in reversed(_SPREAD[:-1])] + [0x00000000FFFFFFFF]
+    steps = [(shift, mask) for (shift, _), mask in zip(reversed(_SPREAD), masks)]
+    return _fold(v.bitwiseAND(_mask(_SPREAD[-1][1])), steps, lambda acc, n: F.call_function("shiftright", acc, n))
 
 
 def interleave(x: Column, y: Column) -> Column:

@@ -66,7 +66,9 @@ def value_chunk(df: DataFrame, col: str, chunks: int = 64, tie_hash: Column | No
     splits = sorted(set(found))
     hot = [s for s in splits if found.count(s) > 1]
     value = F.col(col).cast("double")
-    step = F.size(F.filter(F.array(*[F.lit(s) for s in splits]), lambda s: s < value)) if splits else F.lit(0)
+    edges = F.array(*[F.lit(s) for s in splits])
+    # The value is bound once as a lambda variable; named inside the filter it would be computed per edge.
+    step = F.get(F.transform(F.array(value), lambda v: F.size(F.filter(edges, lambda s: s < v))), F.lit(0)) if splits else F.lit(0)
     if tie_hash is None:
         return step
     is_hot = value.isin(hot) if hot else F.lit(False)

@@ -54,7 +54,7 @@ _MAX_DOUBLE = 1.7976931348623157e308
 
 def turn_features(df: DataFrame, stretch: str) -> DataFrame:
     """Turn, angle, tortuosity and curvature columns of a line column; expressions only, no Python."""
-    xs, ys = F.transform(stretch, lambda p: p["x"]), F.transform(stretch, lambda p: p["y"])
+    df = df.withColumn("_xs", F.transform(stretch, lambda p: p["x"])).withColumn("_ys", F.transform(stretch, lambda p: p["y"]))
     unit = F.transform(
         geo.segments(stretch),
         lambda s: F.struct(
@@ -68,7 +68,7 @@ def turn_features(df: DataFrame, stretch: str) -> DataFrame:
             F.struct((d["x"] / F.hypot(d["x"], d["y"])).alias("x"), (d["y"] / F.hypot(d["x"], d["y"])).alias("y")),
         ).otherwise(d),
     )
-    out = df.withColumn("_u", unit).withColumn("_gx", _gradient(xs)).withColumn("_gy", _gradient(ys))
+    out = df.withColumn("_u", unit).withColumn("_gx", _gradient(F.col("_xs"))).withColumn("_gy", _gradient(F.col("_ys")))
     m = F.greatest(F.size("_u") - 1, F.lit(0))
     pairs = F.arrays_zip(F.slice("_u", 1, m).alias("u"), F.slice("_u", 2, m).alias("w"))
     out = out.withColumn("_angles", F.transform(pairs, lambda z: _turn(z["u"], z["w"])))
@@ -101,7 +101,7 @@ def turn_features(df: DataFrame, stretch: str) -> DataFrame:
         "mean_curvature": _sum(F.col("_bend")) / F.size("_bend"),
         "tortuosity": _sum(F.transform("_angles", lambda a: F.abs(a))) / (F.size("_u") * 180),
     }
-    helpers = ["_u", "_gx", "_gy", "_hx", "_hy", "_angles", "_bend", "_right", "_left"]
+    helpers = ["_xs", "_ys", "_u", "_gx", "_gy", "_hx", "_hy", "_angles", "_bend", "_right", "_left"]
     return out.withColumns(columns).drop(*helpers)
 
 

@@ -85,7 +85,8 @@ def train_classifier(df: DataFrame, features: list[str], label: str = "label", t
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
 
-    forest = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed)
+    forest = RandomForestClassifier(labelCol=label, featuresCol="features", probabilityCol="class_probability",
+                                    rawPredictionCol="class_raw", predictionCol="class_prediction", numTrees=trees, maxDepth=depth, seed=seed)
     return Pipeline(stages=[*standardise(features), forest]).fit(df)
 
 
@@ -104,7 +105,7 @@ def score(model, df: DataFrame, threshold: float, out: str = "probability_error"
     """Probability of an error and the state: potential error only above the threshold."""
     from pyspark.ml.functions import vector_to_array
 
-    scored = model.transform(df).withColumn(out, vector_to_array("probability").getItem(1))
+    scored = model.transform(df).withColumn(out, vector_to_array("class_probability").getItem(1))
     kept = [*df.columns, out]
     return scored.select(*kept).withColumn(
         "error_label", F.when(F.col(out) > threshold, F.lit(v.POTENTIAL_ERROR)).otherwise(F.lit(v.NO_ERROR))

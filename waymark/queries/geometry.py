@@ -473,3 +473,32 @@ def date_rules(t):
 )
 def reproducible_ids(t):
     return t.part.select("p_partkey", tx.reproducible_uuid(F.col("p_brand"), F.col("p_partkey"), F.lit("True")).alias("id"))
+
+
+# ---- polygons and groups --------------------------------------------------------------------
+
+@query(
+    "lines_in_region",
+    f"""with {VERTICES}, s as (select *, bx - ax as dx, by_ - ay as dy from ps),
+    c as (select route_id, seq, ax, ay, dx, dy, greatest(0, case when dx = 0 then 0 else (0.004 - ax) / dx end, case when dy = 0 then 0 when dy > 0 then (40.0 - ay) / dy else (46.55 - ay) / dy end) as t0,
+            least(1, case when dx = 0 then 1 else (12.005 - ax) / dx end, case when dy = 0 then 1 when dy > 0 then (46.55 - ay) / dy else (40.0 - ay) / dy end) as t1 from s
+          where not (dy = 0 and (ay > 46.55 or ay < 40.0))),
+    r as (select route_id, sum(sqrt(dx * dx + dy * dy) * (t1 - t0)) as inside from c where t1 > t0 group by route_id)
+    select route_id, round(coalesce(inside, 0), 6) as inside from fx_route_lines left join r using (route_id)""",
+)
+def lines_in_region(t):
+    ring = F.array(*[geo.point(F.lit(x), F.lit(y)) for x, y in [(0.004, 40.0 - 1e-7), (12.005, 40.0 - 1e-7), (12.005, 46.55), (0.004, 46.55)]])
+    parts = geo.lines_in_polygon(lines(t).select("route_id", "a").withColumn("ring", ring), "a", "ring")
+    out = parts.groupBy("route_id").agg(F.sum(geo.planar_length("part")).alias("inside"))
+    return _round(out, 6, "inside")
+
+
+@query(
+    "merged_group_lines",
+    f"""with {VERTICES} select route_id, cast(count(*) as integer) as points from pv group by route_id""",
+)
+def merged_group_lines(t):
+    # Segments of each route as separate lines, chained again in order.
+    parts = lines(t).select("route_id", F.posexplode(geo.segments("a")).alias("seq", "s")).select("route_id", "seq", F.array("s.a", "s.b").alias("line"))
+    merged = geo.merge_group_lines(parts, ["route_id"], "seq", "line")
+    return merged.select("route_id", F.size("line").alias("points"))

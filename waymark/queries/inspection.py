@@ -171,7 +171,7 @@ def reuse_known_sections(t):
 @query(
     "competitor_assembly",
     """select route_id, case when rac_state = 'optimal' then 'history' else 'answer' end as source,
-    round(case when rac_state = 'optimal' then competitor_route_time else provider_route_time end, 4) as competitor_route_time
+    case when rac_state = 'optimal' then competitor_route_time else provider_route_time end as competitor_route_time
     from fx_routes""",
 )
 def competitor_assembly(t):
@@ -184,19 +184,18 @@ def competitor_assembly(t):
     answers = base.select("route_id", geo.points_of_wkt("provider_route").alias("line"), F.col("provider_route_time").alias("seconds"))
     df = ins.competitor_routes(routes, history, answers)
     old = history.select("route_id", F.lit("history").alias("source"))
-    df = df.join(old, "route_id", "left").select("route_id", F.coalesce("source", F.lit("answer")).alias("source"), "competitor_route_time")
-    return _round(df, 4, "competitor_route_time")
+    return df.join(old, "route_id", "left").select("route_id", F.coalesce("source", F.lit("answer")).alias("source"), "competitor_route_time")
 
 
 @query(
     "provider_route_answers",
-    """select route_id, sample_id, country, 'OV' as provider, round(provider_route_time, 4) as provider_route_time from fx_routes where sample_id = '7'""",
+    """select route_id, sample_id, country, 'OV' as provider, provider_route_time from fx_routes where sample_id = '7'""",
 )
 def provider_route_answers(t):
     base = t.fx_routes.join(t.fx_route_lines.drop("country"), "route_id")
     answers = base.select("route_id", geo.points_of_wkt("provider_route").alias("line"), F.col("provider_route_time").alias("seconds"))
     df = ins.provider_routes(t.fx_routes, answers, "7", "OV", "C1")
-    return _round(df.select("route_id", "sample_id", "country", "provider", "provider_route_time"), 4, "provider_route_time")
+    return df.select("route_id", "sample_id", "country", "provider", "provider_route_time")
 
 
 @query(
@@ -466,11 +465,11 @@ def inspected_before(t):
 @query(
     "km_cap",
     f"""with r as (select route_id, provider_route_length / 1000.0 as km, {H('route_id')} as h from fx_routes),
-    s as (select route_id, km, sum(km) over (order by h, route_id) as c from r) select route_id, round(km, 6) as km from s where c < 20000.0""",
+    s as (select route_id, km, sum(km) over (order by h, route_id) as c from r) select route_id, km from s where c < 20000.0""",
 )
 def km_cap(t):
     df = t.fx_routes.select("route_id", (F.col("provider_route_length") / 1000.0).alias("km"))
-    return _round(sp.km_cap(df, "km", 20000.0, ["route_id"]), 6, "km")
+    return sp.km_cap(df, "km", 20000.0, ["route_id"])
 
 
 @query("top_sections", "select case_id, stretch_length, probability from fx_sections order by probability desc, stretch_length desc, case_id limit 25")

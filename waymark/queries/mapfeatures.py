@@ -329,7 +329,8 @@ def _ways(t):
     "relations_by_way",
     """with m as (select max(c_custkey) as mx from customer)
     select o_orderkey as relation_id, o_custkey as from_way_id, o_custkey + 1 as to_way_id, cast(6 as integer) as points from orders, m
-    where o_orderkey % 3 <> 0 and o_custkey + 1 <= mx""",
+    -- the next way after the end of a row starts the next row, so it lies against the driving direction
+    where o_orderkey % 3 <> 0 and o_custkey + 1 <= mx and o_custkey % 100 <> 99""",
 )
 def relations_by_way(t):
     rel = t.orders.select(
@@ -500,7 +501,7 @@ _POINT_JSON = "struct<longitude: double, latitude: double>"
 
 @query(
     "answers_with_legs",
-    """select route_id, cast(0 as integer) as route_no, cast(16 as integer) as points, round(2 * provider_route_length, 3) as metres, round(2 * provider_route_time, 3) as seconds,
+    """select route_id, cast(0 as integer) as route_no, cast(16 as integer) as points, 2 * provider_route_length as metres, 2 * provider_route_time as seconds,
       cast(4 as integer) as sections, cast(route_id as bigint) % 2 = 0 as violation, case when cast(route_id as bigint) % 2 = 0 then 'TRUCK' else 'OTHER' end as last_kind from fx_routes""",
 )
 def answers_with_legs(t):
@@ -515,16 +516,15 @@ def answers_with_legs(t):
     secs = F.array(sec("TRAVEL_MODE", F.lit("truck")), sec("TOLL_ROAD", F.lit(None).cast("string")), sec("TRAVEL_MODE", F.lit("ferry")), sec("TRAVEL_MODE", last))
     body = F.to_json(F.struct(F.array(F.struct(F.array(leg, leg).alias("legs"), secs.alias("sections"))).alias("routes")))
     out = ig.answers_with_legs(base.select("route_id", body.alias("body")), "body", ["route_id"])
-    return _round(
-        out.select("route_id", "route_no", F.size("line").alias("points"), "metres", "seconds", F.size("sections").alias("sections"), "violation",
-                   F.element_at("sections", -1)["kind"].alias("last_kind")),
-        3, "metres", "seconds",
+    return out.select(
+        "route_id", "route_no", F.size("line").alias("points"), "metres", "seconds", F.size("sections").alias("sections"), "violation",
+        F.element_at("sections", -1)["kind"].alias("last_kind"),
     )
 
 
 @query(
     "answers_with_flat_vertices",
-    "select route_id, cast(16 as integer) as points, round(provider_route_length, 3) as metres, round(provider_route_time, 3) as seconds from fx_routes",
+    "select route_id, cast(16 as integer) as points, provider_route_length as metres, provider_route_time as seconds from fx_routes",
 )
 def answers_with_flat_vertices(t):
     base = t.fx_routes.join(t.fx_route_lines.drop("country"), "route_id")
@@ -532,18 +532,18 @@ def answers_with_flat_vertices(t):
     road = F.struct(flat.alias("vertexes"))
     route = F.struct(F.array(F.struct(F.array(road, road).alias("roads"))).alias("sections"), F.struct(F.col("provider_route_length").alias("distance"), F.col("provider_route_time").alias("duration")).alias("summary"))
     df = base.select("route_id", F.to_json(F.struct(F.array(route).alias("routes"))).alias("body"))
-    return _round(ig.answers_with_flat_vertices(df, "body", ["route_id"]).select("route_id", F.size("line").alias("points"), "metres", "seconds"), 3, "metres", "seconds")
+    return ig.answers_with_flat_vertices(df, "body", ["route_id"]).select("route_id", F.size("line").alias("points"), "metres", "seconds")
 
 
 @query(
     "answers_with_polylines",
-    """select route_id, cast(n as integer) as route_no, cast(2 as integer) as points, round(provider_route_length, 3) as metres, cast(-12.02 as double) as x from fx_routes cross join (values (0), (1)) k(n)""",
+    """select route_id, cast(n as integer) as route_no, cast(2 as integer) as points, round(provider_route_length, 6) as metres, cast(-12.02 as double) as x from fx_routes cross join (values (0), (1)) k(n)""",
 )
 def answers_with_polylines(t):
     trip = F.struct(F.array(F.struct(F.lit("_p~iF~ps|U_ulLnnqC").alias("shape"))).alias("legs"), F.struct((F.col("provider_route_length") / 1000).alias("length"), F.lit(9.0).alias("time")).alias("summary"))
     df = t.fx_routes.select("route_id", F.to_json(F.struct(trip.alias("trip"), F.array(F.struct(trip.alias("trip"))).alias("alternates"))).alias("body"))
     out = ig.answers_with_polylines(df, "body", ["route_id"]).select("route_id", "route_no", F.size("line").alias("points"), "metres", geo.first("line")["x"].alias("x"))
-    return _round(out, 3, "metres")
+    return _round(out, 6, "metres")
 
 
 @query(
