@@ -77,7 +77,7 @@ def test_intersecting_lines_flat_ends_and_salting(spark):
     found = {(r["aid"], r["bid"]): [(round(s["s"], 9), round(s["e"], 9)) for s in r["spans"]] for r in got}
     assert found == {(1, 1): [(1.0, 2.0)], (1, 2): [(2.0, 3.0)]}
     many = spark.range(50).select(F.col("id").alias("aid"), F.expr("array(named_struct('x', 0D, 'y', 0D), named_struct('x', 0D, 'y', 3D))").alias("pa"))
-    salted = pairs.cell_join(many, b, "aid", "pa", "pb", 0.5, 0.001, rows_per_task=7)
+    salted = pairs.cell_join(many, b, "aid", "pa", "pb", 0.5, 0.001, salt_above=7)
     assert salted.count() == 100
     assert salted.select("aid", "bid").distinct().count() == 100
 

@@ -174,6 +174,16 @@ def oracle(sql: str) -> str:
     return f"with {ctes}\n{body}"
 
 
+# Fixtures whose rows carry lines: the work per row is high, so it must not sit in one task.
+LINE_FIXTURES = ["fx_route_lines", "fx_stretches", "fx_corridors", "fx_traces"]
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores when the files come as fewer splits than cores; large tables stay as read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(str(Path(sf_dir) / f"{name}.parquet"))
 
@@ -184,6 +194,8 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return base(spark, sf_dir, name)
     sql = FIXTURES[name]
     frames = {n: base(spark, sf_dir, n) for n in _names_in(sql, BASE_TABLES)}
+    if name in LINE_FIXTURES:
+        frames = {n: spread(df) for n, df in frames.items()}
     frames |= {n: load(spark, sf_dir, n) for n in _names_in(sql, FIXTURES) if n != name}
     text = re.sub(r"\b(" + "|".join(frames) + r")\b(?!\.)", r"{\1}", sql)
     return spark.sql(text, **frames)

@@ -1,7 +1,7 @@
 """Pairs of lines that are close: spatial joins, near duplicates, contained lines, clusters.
 
-Candidates come from an equi-join on grid cells. Cells that hold many rows are salted: the rows of one
-side are spread over several tasks and the other side is repeated there, so no cell is one task's work.
+Candidates come from an equi-join on grid cells. A cell that holds many rows is split by AQE's skew join,
+or salted on request: one side is spread over several tasks and the other side is repeated there.
 """
 
 from __future__ import annotations
@@ -29,29 +29,29 @@ def line_cells(points: Column | str, size: float, pad: float = 0.0) -> Column:
 
 def cell_join(
     left: DataFrame, right: DataFrame, left_id: str, left_line: str, right_line: str, size: float, pad: float,
-    on: list[str] | None = None, rows_per_task: int = 200_000, extra: Column | None = None,
+    on: list[str] | None = None, salt_above: int | None = None, extra: Column | None = None,
 ) -> DataFrame:
     """Candidate pairs of lines that share a cell (right side padded), each pair once.
 
     A pair that shares several cells is kept in the smallest of them: no distinct, no second shuffle.
+    A hot cell is left to AQE, which splits the skewed side of the join; ``salt_above`` cuts cells with
+    more left rows than that beforehand, at the price of counting the cells first.
     """
     on = on or []
-    a = left.withColumn("_cells_a", line_cells(left_line, size))
-    b = right.withColumn("_cells_b", line_cells(right_line, size, pad))
-    a_long = a.withColumn("_cell", F.explode("_cells_a"))
-    b_long = b.withColumn("_cell", F.explode("_cells_b"))
-    # Few rows: only cells above the limit, so their number is at most cell rows / limit.
-    hot = (
-        a_long.groupBy(*on, "_cell").agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_task)
-        .select(*on, "_cell", F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts"))
-    )
-    a_long = a_long.join(hot, [*on, "_cell"], "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(left_id), F.coalesce(F.col("_salts"), F.lit(1)).cast("bigint")).cast("int")
-    ).drop("_salts")
-    b_long = b_long.join(hot, [*on, "_cell"], "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
-    ).drop("_salts")
-    pairs = a_long.join(b_long, [*on, "_cell", "_salt"])
+    a_long = left.withColumn("_cells_a", line_cells(left_line, size)).withColumn("_cell", F.explode("_cells_a"))
+    b_long = right.withColumn("_cells_b", line_cells(right_line, size, pad)).withColumn("_cell", F.explode("_cells_b"))
+    keys = [*on, "_cell"]
+    if salt_above:
+        # Only cells above the limit, so at most cell rows / limit of them.
+        hot = (
+            a_long.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > salt_above)
+            .select(*keys, F.ceil(F.col("_n") / salt_above).cast("int").alias("_salts"))
+        )
+        salts = F.coalesce(F.col("_salts"), F.lit(1))
+        a_long = a_long.join(hot, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(left_id), salts.cast("bigint")).cast("int"))
+        b_long = b_long.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+        a_long, b_long, keys = a_long.drop("_salts"), b_long.drop("_salts"), [*keys, "_salt"]
+    pairs = a_long.join(b_long, keys)
     if extra is not None:
         pairs = pairs.filter(extra)
     first_shared = F.array_min(F.array_intersect("_cells_a", "_cells_b"))
@@ -75,22 +75,28 @@ def intersecting_lines(
     return pairs.withColumn("spans", k.spans_near_flat(left_line, right_line, F.lit(radius))).filter(F.size("spans") > 0)
 
 
+def _box_inside(inner: str, outer: str, radius: float) -> Column:
+    p, q = geo.bbox(inner), geo.bbox(outer, radius)
+    return (
+        (p["min_x"] >= q["min_x"]) & (p["max_x"] <= q["max_x"]) & (p["min_y"] >= q["min_y"]) & (p["max_y"] <= q["max_y"])
+    )
+
+
 def contained_lines(
     lines: DataFrame, id_col: str, line: str, radius: float, size: float = 0.01, on: list[str] | None = None
 ) -> DataFrame:
-    """(contained id, container id) pairs of different rows: the first lies in the buffer of the second."""
-    inner = lines.select(*(on or []), F.col(id_col).alias("inner_id"), F.col(line).alias("_inner"))
-    outer = lines.select(*(on or []), F.col(id_col).alias("outer_id"), F.col(line).alias("_outer"))
-    pairs = cell_join(
-        inner, outer, "inner_id", "_inner", "_outer", size, radius, on, extra=F.col("inner_id") != F.col("outer_id")
-    )
-    box_in, box_out = geo.bbox("_inner"), geo.bbox("_outer", radius)
-    fits = (
-        (box_in["min_x"] >= box_out["min_x"]) & (box_in["max_x"] <= box_out["max_x"])
-        & (box_in["min_y"] >= box_out["min_y"]) & (box_in["max_y"] <= box_out["max_y"])
-    )
-    return pairs.filter(fits).filter(k.inside_buffer("_inner", "_outer", F.lit(radius))).select(
-        *(on or []), "inner_id", "outer_id"
+    """Unordered pairs (a < b) of rows where one lies in the buffer of the other: flags ``a_in_b``, ``b_in_a``."""
+    one = lines.select(*(on or []), F.col(id_col).alias("a"), F.col(line).alias("_a"))
+    two = lines.select(*(on or []), F.col(id_col).alias("b"), F.col(line).alias("_b"))
+    pairs = cell_join(one, two, "a", "_a", "_b", size, radius, on, extra=F.col("a") < F.col("b"))
+    fits_a, fits_b = _box_inside("_a", "_b", radius), _box_inside("_b", "_a", radius)
+    pairs = pairs.select(*(on or []), "a", "b", "_a", "_b", fits_a.alias("_fa"), fits_b.alias("_fb")).filter("_fa or _fb")
+    r = F.lit(radius)
+    # The kernel sees a line only where the boxes allow containment.
+    return pairs.select(
+        *(on or []), "a", "b",
+        k.inside_buffer(F.when(F.col("_fa"), F.col("_a")), "_b", r).alias("a_in_b"),
+        k.inside_buffer(F.when(F.col("_fb"), F.col("_b")), "_a", r).alias("b_in_a"),
     )
 
 
@@ -104,12 +110,10 @@ def remove_contained(
     drops both, which is what a plain "contained in at least two buffers" rule does.
     """
     pairs = contained_lines(lines, id_col, line, radius, size, on)
-    if not literal:
-        back = pairs.select(*(on or []), F.col("inner_id").alias("outer_id"), F.col("outer_id").alias("inner_id"))
-        mutual = pairs.join(back, [*(on or []), "inner_id", "outer_id"], "left_semi")
-        keep_smaller = mutual.filter(F.col("inner_id") < F.col("outer_id"))
-        pairs = pairs.join(keep_smaller, [*(on or []), "inner_id", "outer_id"], "left_anti")
-    gone = pairs.select(*(on or []), F.col("inner_id").alias(id_col)).distinct()
+    a_goes = F.col("a_in_b") & (F.lit(literal) | ~F.col("b_in_a"))
+    gone = pairs.select(
+        *(on or []), F.explode(F.filter(F.array(F.when(a_goes, F.col("a")), F.when(F.col("b_in_a"), F.col("b"))), lambda x: x.isNotNull())).alias(id_col)
+    )
     return lines.join(gone, [*(on or []), id_col], "left_anti")
 
 

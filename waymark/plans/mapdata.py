@@ -275,7 +275,7 @@ def match_features(
     pieces = pieces.withColumn("piece_metres", k.geodesic_length("piece")).filter(F.col("piece_metres") > min_metres)
     keys = [*(on or []), "feature_a", "feature_b"]
     rest = [c for c in pieces.columns if c not in keys]
-    longest = pieces.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("piece_metres", geo.wkt_of_points("piece"))).alias("_r"))
+    longest = pieces.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("piece_metres", geo.first("piece"), geo.last("piece"))).alias("_r"))
     longest = longest.select(*keys, "_r.*")
     if remove_contained_pieces:
         longest = longest.withColumn("_id", F.concat_ws("|", "feature_a", "feature_b"))

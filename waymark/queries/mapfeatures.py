@@ -435,8 +435,9 @@ def feature_visits(t):
 @query("matched_features")
 def matched_features(t):
     a = _shapes(t).select(F.col("trace_id").alias("feature_a"), F.col("trace_id"), F.col("line").alias("line_a"))
-    b = t.fx_route_lines.select(F.col("route_id").alias("feature_b"), geo.points_of_wkt("competitor_route").alias("line_b"))
-    out = md.match_features(a, b, size=0.02)
+    # Competitor features are matched along the same trace, so the trace is part of the join key.
+    b = t.fx_route_lines.select(F.col("route_id").alias("feature_b"), F.col("route_id").alias("trace_id"), geo.points_of_wkt("competitor_route").alias("line_b"))
+    out = md.match_features(a, b, size=0.02, on=["trace_id"])
     return out.select("feature_a", "feature_b", F.round("piece_metres", 2).alias("piece_metres"), F.size("piece").alias("points"))
 
 
