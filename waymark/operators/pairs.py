@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from waymark.functions import geo, kernels as k, tiles
+from waymark.operators.barrier import explode_once, keep_where
 from waymark.session import cut_lineage
 
 
@@ -38,8 +39,8 @@ def cell_join(
     more left rows than that beforehand, at the price of counting the cells first.
     """
     on = on or []
-    a_long = left.withColumn("_cells_a", line_cells(left_line, size)).withColumn("_cell", F.explode("_cells_a"))
-    b_long = right.withColumn("_cells_b", line_cells(right_line, size, pad)).withColumn("_cell", F.explode("_cells_b"))
+    a_long = explode_once(left.withColumn("_cells_a", line_cells(left_line, size)), "_cells_a", "_cell")
+    b_long = explode_once(right.withColumn("_cells_b", line_cells(right_line, size, pad)), "_cells_b", "_cell")
     keys = [*on, "_cell"]
     if salt_above:
         # Only cells above the limit, so at most cell rows / limit of them.
@@ -72,7 +73,7 @@ def intersecting_lines(
     """Left lines that meet the flat-ended buffer of right lines, with the spans of the left line inside it."""
     pairs = cell_join(left, right, left_id, left_line, right_line, size, radius, on)
     pairs = pairs.filter(_boxes_meet(left_line, right_line, radius))
-    return pairs.withColumn("spans", k.spans_near_flat(left_line, right_line, F.lit(radius))).filter(F.size("spans") > 0)
+    return keep_where(pairs, F.size("spans") > 0, {"spans": k.spans_near_flat(left_line, right_line, F.lit(radius))})
 
 
 def _box_inside(inner: str, outer: str, radius: float) -> Column:
@@ -90,7 +91,7 @@ def contained_lines(
     two = lines.select(*(on or []), F.col(id_col).alias("b"), F.col(line).alias("_b"))
     pairs = cell_join(one, two, "a", "_a", "_b", size, radius, on, extra=F.col("a") < F.col("b"))
     fits_a, fits_b = _box_inside("_a", "_b", radius), _box_inside("_b", "_a", radius)
-    pairs = pairs.select(*(on or []), "a", "b", "_a", "_b", fits_a.alias("_fa"), fits_b.alias("_fb")).filter("_fa or _fb")
+    pairs = keep_where(pairs, F.col("_fa") | F.col("_fb"), {"_fa": fits_a, "_fb": fits_b})
     r = F.lit(radius)
     # The kernel sees a line only where the boxes allow containment.
     return pairs.select(
@@ -111,9 +112,8 @@ def remove_contained(
     """
     pairs = contained_lines(lines, id_col, line, radius, size, on)
     a_goes = F.col("a_in_b") & (F.lit(literal) | ~F.col("b_in_a"))
-    gone = pairs.select(
-        *(on or []), F.explode(F.filter(F.array(F.when(a_goes, F.col("a")), F.when(F.col("b_in_a"), F.col("b"))), lambda x: x.isNotNull())).alias(id_col)
-    )
+    both = F.array(F.when(a_goes, F.col("a")), F.when(F.col("b_in_a"), F.col("b")))
+    gone = explode_once(pairs.select(*(on or []), both.alias("_ids")), "_ids", id_col)
     return lines.join(gone, [*(on or []), id_col], "left_anti")
 
 
@@ -157,7 +157,7 @@ def near_duplicates(
        the rows without an earlier free partner, round after round.
     """
     size = 4 * max_distance
-    base = lines.select(F.col(ordinal).alias("o"), F.col(line).alias("p")).filter(F.size("p") >= 2)
+    base = keep_where(lines.select(F.col(ordinal).alias("o"), F.col(line).alias("p")), F.size("p") >= 2)
     base = base.withColumn("_box", geo.bbox("p")).select(
         "o", "p", F.size("p").alias("n"), _extent_cell(F.col("_box"), size).alias("cell"),
         _extent_reach(F.col("_box"), size, max_distance).alias("reach"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from waymark import values as v
 from waymark.functions import geo, kernels as k
+from waymark.operators.barrier import explode_once, keep_where
 from waymark.operators.pairs import cell_join
 
 
@@ -160,13 +161,11 @@ def trace_pairs(sections: DataFrame, traces: DataFrame, radius: float = v.TRACE_
     The join key is a grid cell and a 15-day period: a trace has one period, a section one or two.
     """
     day = F.unix_date("date_end")
-    s = sections.withColumn(
-        "_period", F.explode(F.sequence(F.floor((day - WINDOW_DAYS) / _PERIOD), F.floor(day / _PERIOD)))
-    )
+    s = explode_once(sections, F.sequence(F.floor((day - WINDOW_DAYS) / _PERIOD), F.floor(day / _PERIOD)), "_period")
     t = traces.select("trace_id", "trace_date", F.col("line").alias("trace"), F.floor(F.unix_date("trace_date") / _PERIOD).alias("_period"))
     in_window = (F.col("trace_date") <= F.col("date_end")) & (F.col("trace_date") >= F.date_sub("date_end", WINDOW_DAYS))
     pairs = cell_join(t, s, "trace_id", "trace", "stretch", size, radius, on=["_period"], extra=in_window)
-    return pairs.withColumn("near", k.spans_near("trace", "stretch", F.lit(radius))).filter(F.size("near") > 0)
+    return keep_where(pairs, F.size("near") > 0, {"near": k.spans_near("trace", "stretch", F.lit(radius))})
 
 
 def trace_flags(pairs: DataFrame, radius: float = v.TRACE_BUFFER) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from waymark import values as v
 from waymark.functions import geo, kernels as k, text as tx
-from waymark.operators.order import first_per_key, hash_key, newest_first
+from waymark.operators.barrier import explode_once, keep_where
+from waymark.operators.order import exact_sample, first_per_key, hash_key, newest_first
 from waymark.operators.pairs import near_duplicates
 from waymark.session import cut_lineage
 
@@ -48,10 +49,11 @@ def provider_routes(samples: DataFrame, answers: DataFrame, sample_id: str, prov
     """One route per sampled pair from the stored answers (route_id, line, seconds); empty routes are dropped."""
     wanted = samples.filter(F.col("sample_id") == sample_id)
     joined = wanted.join(answers.select("route_id", "line", "seconds"), "route_id", "left")
-    return joined.select(
+    routes = joined.select(
         "route_id", "sample_id", "country", "origin", "destination", F.lit(provider).alias("provider"),
         F.lit(competitor).alias("competitor"), *answer_columns("provider"),
-    ).filter(F.col("provider_route_length") > 0)
+    )
+    return keep_where(routes, F.col("provider_route_length") > 0)
 
 
 def reuse_static_routes(
@@ -80,7 +82,7 @@ def reuse_static_routes(
         "*", same_text.alias("_same"), F.when(~same_text, geo.points_of_wkt("provider_route")).alias("_a"),
         F.when(~same_text, geo.points_of_wkt("_old")).alias("_b"),
     )
-    matched = pairs.filter(F.col("_same") | geo.equal_within("_a", "_b", v.REUSE_BUFFER)).drop("_old", "_same", "_a", "_b")
+    matched = keep_where(pairs, F.col("_same") | geo.equal_within("_a", "_b", v.REUSE_BUFFER)).drop("_old", "_same", "_a", "_b")
     # Whether a run reviewed a route: the only thing the pick needs from the feedback.
     reviewed = feedback.groupBy("run_id", "route_id").agg(F.max(F.col("mcp_state").isNotNull()).alias("_reviewed"))
     dates = metadata.select("run_id", "inspection_date").groupBy("run_id").agg(F.max("inspection_date").alias("inspection_date"))
@@ -171,7 +173,7 @@ def split_sections(pairs: DataFrame, id_col: str, subroutes: DataFrame | None =
             "id", "a", "b", "s", "e", "metres", k.simplify("section", F.lit(v.SIMPLIFY_TOLERANCE)).alias("section"),
             k.simplify("other", F.lit(v.SIMPLIFY_TOLERANCE)).alias("other"),
         )
-        work = work.filter(~geo.equal_within("section", "other", r))
+        work = keep_where(work, ~geo.equal_within("section", "other", r))
         short = (F.col("metres") < v.SECTION_MIN_METRES) | (geo.planar_length("section") < v.SECTION_MIN_DEGREES)
         off = (geo.planar_distance(geo.first("section"), geo.first("other")) > r) | (
             geo.planar_distance(geo.last("section"), geo.last("other")) > r
@@ -197,7 +199,7 @@ def split_sections(pairs: DataFrame, id_col: str, subroutes: DataFrame | None =
         parts = F.when(
             F.col("stop"), F.transform(whole, lambda w: F.struct(F.lit(True).alias("closed"), w["s"].alias("s"), w["e"].alias("e")))
         ).otherwise(F.flatten(F.transform("diff", children)))
-        step = work.select("id", "a", "b", F.explode(parts).alias("p")).select("id", "a", "b", "p.*")
+        step = explode_once(work.select("id", "a", "b", parts.alias("parts")), "parts", "p").select("id", "a", "b", "p.*")
         step = cut_lineage(step)
         closed = step.filter("closed").select("id", "s", "e")
         done = closed if done is None else done.unionByName(closed)
@@ -386,8 +388,6 @@ def dedup_tables(tables: dict[str, DataFrame], ordinal: str = "_ordinal") -> dic
 
 def artificial_inspection(log: DataFrame, metadata: DataFrame, products: list[str], n: int, seed: int = 0) -> DataFrame:
     """``n`` discarded sections of the given products, the latest case per stretch, drawn repeatably."""
-    from waymark.operators.order import exact_sample
-
     runs = metadata.filter(F.col("product").isin(*products)).select("run_id").distinct()
     rows = log.filter(tx.normal_state("fcd_state") == v.NO_ERROR).join(runs, "run_id", "left_semi")
     latest = first_per_key(rows, ["stretch"], [newest_first("inspection_date"), "case_id"])

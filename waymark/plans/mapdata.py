@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from waymark.functions import geo, kernels as k, text as tx
+from waymark.operators.barrier import explode_once, keep_where
 from waymark.operators.order import first_per_key, island_runs
 from waymark.operators.pairs import intersecting_lines, remove_contained
 
@@ -135,7 +136,7 @@ def relations_by_way(
     rows = rows.withColumns({"_21": gap(f2, t1), "_12": gap(f1, t2), "_22": gap(f2, t2), "_11": gap(f1, t1)})
     forward = (F.col("_21") < F.col("_12")) | (F.col("_22") < F.col("_11"))
     backward = (F.col("_21") > F.col("_12")) | (F.col("_22") > F.col("_11"))
-    rows = rows.filter(F.when(F.col("from_way_same_directed"), forward).otherwise(backward)).drop("_21", "_12", "_22", "_11")
+    rows = keep_where(rows, F.when(F.col("from_way_same_directed"), forward).otherwise(backward)).drop("_21", "_12", "_22", "_11")
     rows = rows.withColumn("combined_line", geo.join_nearest_ends("from_line", "to_line")).withColumnRenamed("id", "relation_id")
     return rows.select(*[F.col(c).alias(f"{relation_type}_{c}") for c in rows.columns])
 
@@ -183,7 +184,7 @@ def split_traces(traces: DataFrame, line: str = "line", metres: float = 20000.0)
     rows = traces.withColumn("_n", n).withColumn("_per", F.greatest(F.floor(F.size(line) / F.col("_n")), F.lit(1)).cast("int"))
     starts = F.sequence(F.lit(0), F.size(line) - 1, F.col("_per"))
     pieces = F.transform(starts, lambda i: F.slice(F.col(line), i + 1, F.col("_per")))
-    rows = rows.filter(F.size(line) > 0).select(*[c for c in traces.columns if c != line], F.posexplode(pieces).alias("piece", line))
+    rows = rows.filter(F.size(line) > 0).select(*[c for c in traces.columns if c != line], F.posexplode_outer(pieces).alias("piece", line))
     return rows.filter(F.size(line) > 1)
 
 
@@ -270,9 +271,9 @@ def match_features(
     """
     pairs = intersecting_lines(provider, competitor, "feature_a", "line_a", "line_b", radius, size, on)
     pairs = pairs.filter(geo.same_direction("line_a", "line_b"))
-    pieces = pairs.withColumn("_span", F.explode("spans")).drop("spans")
+    pieces = explode_once(pairs, "spans", "_span").drop("spans")
     pieces = pieces.withColumn("piece", k.substring("line_a", F.col("_span.s"), F.col("_span.e"))).drop("_span")
-    pieces = pieces.withColumn("piece_metres", k.geodesic_length("piece")).filter(F.col("piece_metres") > min_metres)
+    pieces = keep_where(pieces, F.col("piece_metres") > min_metres, {"piece_metres": k.geodesic_length("piece")})
     keys = [*(on or []), "feature_a", "feature_b"]
     rest = [c for c in pieces.columns if c not in keys]
     longest = pieces.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("piece_metres", geo.first("piece"), geo.last("piece"))).alias("_r"))
@@ -290,8 +291,8 @@ def match_features(
         def azimuth(a, b):
             return k.geodesic_azimuth(F.col(f"{a}.x"), F.col(f"{a}.y"), F.col(f"{b}.x"), F.col(f"{b}.y"))
 
-        rows = rows.withColumn("piece_angle", geo.angle_difference(azimuth("_p", "_p2"), azimuth("_q", "_q2")))
-        longest = rows.filter(F.abs("piece_angle") < 45).drop("_p", "_q", "_p2", "_q2")
+        angle = geo.angle_difference(azimuth("_p", "_p2"), azimuth("_q", "_q2"))
+        longest = keep_where(rows, F.abs("piece_angle") < 45, {"piece_angle": angle}).drop("_p", "_q", "_p2", "_q2")
     return longest
 
 
