@@ -118,13 +118,13 @@ def covering(min_x: Column, max_x: Column, min_y: Column, max_y: Column, level:
 
 
 def grid_cells(box: Column, size: float) -> Column:
-    """Square cells of ``size`` degrees that a bounding box meets, as ``struct<cx, cy>``: join keys."""
+    """Square cells of ``size`` degrees that a bounding box meets, each one BIGINT (column, row): cheap join keys."""
     def span(low, high):
         return F.sequence(F.floor(box[low] / F.lit(size)), F.floor(box[high] / F.lit(size)))
 
     return F.flatten(
         F.transform(
             span("min_x", "max_x"),
-            lambda cx: F.transform(span("min_y", "max_y"), lambda cy: F.struct(cx.alias("cx"), cy.alias("cy"))),
+            lambda cx: F.transform(span("min_y", "max_y"), lambda cy: cx * F.lit(1 << 32) + cy),
         )
     )

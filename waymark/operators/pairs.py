@@ -55,8 +55,8 @@ def cell_join(
     pairs = a_long.join(b_long, keys)
     if extra is not None:
         pairs = pairs.filter(extra)
-    first_shared = F.array_min(F.array_intersect("_cells_a", "_cells_b"))
-    return pairs.filter(F.col("_cell") == first_shared).drop("_cell", "_salt", "_cells_a", "_cells_b")
+    smaller_shared = F.exists("_cells_a", lambda c: (c < F.col("_cell")) & F.array_contains("_cells_b", c))
+    return pairs.filter(~smaller_shared).drop("_cell", "_salt", "_cells_a", "_cells_b")
 
 
 def _boxes_meet(a: str, b: str, pad: float) -> Column:
