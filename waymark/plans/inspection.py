@@ -287,7 +287,6 @@ def merge_inspection(
     times: dict[str, float], api_calls: dict[str, int], inspection_date: str,
 ) -> dict[str, DataFrame]:
     """The five output tables of a run as lazy frames; nothing comes to the driver."""
-    spark = new_routes.sparkSession
     routes = new_routes.select(*ROUTE_COLUMNS).unionByName(known_routes.select(*ROUTE_COLUMNS)).withColumn("run_id", F.lit(run_id))
     fresh = new_sections.select(
         *[F.col(c) if c in new_sections.columns else F.lit(None).cast("string").alias(c) for c in SECTION_COLUMNS]
@@ -311,7 +310,6 @@ def merge_inspection(
         F.to_json(F.create_map(*[F.lit(x) for pair in sorted(api_calls.items()) for x in pair])).alias("api_calls")
         if api_calls else F.lit("{}").alias("api_calls"),
     )
-    assert spark is sections.sparkSession
     return {
         "inspection_routes": routes,
         "inspection_critical_sections": sections.drop("mcp_state", "error_subtype"),
