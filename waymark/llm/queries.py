@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import language, ngram_join
+from waymark.llm import decontaminate, language, mixing, ngram_join, sharding
 from waymark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,24 @@ JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r ON
 """)
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each benchmark item found in a document."""
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op8_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The law is ``rows``: every shard is filled up to its even share, so counts are at most one apart."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id").isNull(), F.col("text")).alias("text"), sharding.text_size().alias("size"), sharding.text_crc32().alias("text_crc32"))
+    placed = sharding.assign(docs)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query()
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each draw of a document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.tokens().alias("tokens"))
+    return mixing.mix(docs, counted=True).select("doc_id", "source", "tokens", "epoch", "block", "place")
