@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import decontaminate, language, mixing, ngram_join, sharding
+from waymark.llm import decontaminate, language, mixing, ngram_join, quality, sharding
 from waymark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each draw of a document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.tokens().alias("tokens"))
     return mixing.mix(docs, counted=True).select("doc_id", "source", "tokens", "epoch", "block", "place")
+
+
+@query()
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.judged(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
