@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import decontaminate, language, mixing, ngram_join, quality, sharding
+from waymark.llm import decontaminate, language, mixing, ngram_join, quality, sharding, urls
 from waymark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,44 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.judged(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+# Fixed values of the contract: (verdict, host, path).
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+# The tables hold no list of URLs. The list is a stable eighth of the pages' own canonical URLs, so it grows with the pages.
+LISTED_ONE_IN = 8
+
+
+@query(rf"""
+WITH parts AS (
+  SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+split AS (
+  SELECT page_id, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}'), '') AS host,
+    coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
+    list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '{urls.TRACKING}'))) AS kept
+  FROM parts),
+named AS (
+  SELECT page_id, host, path, CASE WHEN host <> '' THEN
+    regexp_replace(host, '^www\.', '') || regexp_replace(path, '/$', '') || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END END AS canonical
+  FROM split),
+listed AS (SELECT DISTINCT canonical FROM named WHERE canonical IS NOT NULL AND ('0x' || substr(md5(canonical), 1, 8))::BIGINT % {LISTED_ONE_IN} = 0),
+rules(verdict, h, p) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
+fits AS (
+  SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(r.verdict, length(h || p)) AS verdict
+  FROM named JOIN rules r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
+SELECT n.page_id, n.host, n.path, f.rule, coalesce(f.verdict, CASE WHEN l.canonical IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict,
+  n.canonical, l.canonical IS NOT NULL AS listed
+FROM named n LEFT JOIN fits f USING (page_id) LEFT JOIN listed l ON l.canonical = n.canonical
+""")
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    names = pages.select(urls.canonical().alias("canonical"))
+    listed = names.filter(F.conv(F.substring(F.md5(F.col("canonical").cast("binary")), 1, 8), 16, 10).cast("long") % LISTED_ONE_IN == 0)
+    judged = urls.judged(pages, URL_RULES, listed)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "canonical", "listed")
