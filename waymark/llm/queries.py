@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import decontaminate, language, mixing, ngram_join, quality, sharding, urls
+from waymark.llm import decontaminate, html, language, mixing, ngram_join, quality, sharding, urls
 from waymark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +126,8 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = names.filter(F.conv(F.substring(F.md5(F.col("canonical").cast("binary")), 1, 8), 16, 10).cast("long") % LISTED_ONE_IN == 0)
     judged = urls.judged(pages, URL_RULES, listed)
     return judged.select("page_id", "host", "path", "rule", "verdict", "canonical", "listed")
+
+
+@query()
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extracted(table(spark, sf_dir, "pages"))
