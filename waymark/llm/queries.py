@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import decontaminate, html, language, mixing, ngram_join, quality, sharding, urls
+from waymark.llm import decontaminate, html, language, mixing, ngram_join, quality, sharding, templates, urls
 from waymark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,31 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extracted(table(spark, sf_dir, "pages"))
+
+
+@query(rf"""
+WITH rows AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS no FROM documents),
+cut AS (
+  SELECT doc_id, no, list_transform(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda t: t <> ''),
+    lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '{templates.WILDCARD}' ELSE t END) AS tokens FROM rows),
+long AS (SELECT *, [len(tokens)::VARCHAR] || tokens[1:{templates.LEADS}] AS leaf FROM cut WHERE len(tokens) >= {templates.MIN_TOKENS}),
+places AS (SELECT doc_id, no, leaf, tokens, unnest(tokens) AS token, unnest(range(len(tokens))) AS place FROM long),
+stay AS (SELECT leaf, place, token FROM places GROUP BY leaf, place, token HAVING count(DISTINCT doc_id) >= {templates.MIN_DOCS}),
+made AS (
+  SELECT doc_id, no, p.leaf, count(*) AS size, any_value(tokens) AS tokens, count(s.token) AS same,
+    list(coalesce(s.token, '{templates.WILDCARD}') ORDER BY p.place) AS general
+  FROM places p LEFT JOIN stay s ON s.leaf = p.leaf AND s.place = p.place AND s.token = p.token GROUP BY doc_id, no, p.leaf),
+template AS (SELECT doc_id, no, CASE WHEN same >= size * {templates.SIMILAR} THEN ['~', len(tokens)::VARCHAR] || leaf || general ELSE ['='] || leaf || tokens END AS t FROM made),
+recurring AS (SELECT t FROM template GROUP BY t HAVING count(DISTINCT doc_id) >= {templates.MIN_DOCS}),
+dropped AS (SELECT doc_id, no FROM template JOIN recurring USING (t)),
+left_lines AS (
+  SELECT r.doc_id, count(*) AS n_lines, count(d.no) AS n_dropped, string_agg(CASE WHEN d.no IS NULL THEN r.line END, chr(10) ORDER BY r.no) AS clean_text
+  FROM rows r LEFT JOIN dropped d ON d.doc_id = r.doc_id AND d.no = r.no GROUP BY r.doc_id)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped,
+  CASE WHEN text IS NOT NULL THEN coalesce(clean_text, '') END AS clean_text
+FROM documents LEFT JOIN left_lines USING (doc_id)
+""")
+def op4_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return templates.deduplicated(docs).select("doc_id", "n_lines", "n_dropped", "clean_text")
