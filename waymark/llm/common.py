@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from waymark.session import ensure_checkpoint_dir
 
 # Bytes of text that one numpy step handles; a longer text is a step of its own.
 STEP_BYTES = 2 << 20
+# The largest Bloom filter of ids that is sent to the tasks.
+FILTER_BITS = 1 << 28
 
 # The separators of words: space and the bytes 9 to 13. All are ASCII, so UTF-8 can be cut at them.
 SEPARATOR = np.zeros(256, bool)
@@ -32,6 +36,18 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "12m") -> Iterator[None]:
+    """Arrow batches of at most ``size`` for what is written inside the block: rows that carry whole sets are large."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective scrambling of 64-bit integers."""
     x = x.astype(np.uint64, copy=True)
@@ -156,3 +172,46 @@ class HashTable:
             out[left[hit]] = got[hit]
             left, step = left[full & ~hit], step + 1
         return out
+
+
+class Ids:
+    """A Bloom filter of ids: what it lets through may be more than the ids, never less."""
+
+    SHIFTS = (0, 18, 36)
+
+    def __init__(self, ids: DataFrame, count: int):
+        self.mask = min(FILTER_BITS, max(1 << 15, 1 << (16 * count).bit_length())) - 1
+        bit = F.explode(F.array(*(F.shiftrightunsigned(F.xxhash64("doc_id"), k).bitwiseAND(self.mask) for k in self.SHIFTS)))
+        rows = ids.select(bit.alias("bit")).groupBy(F.shiftright("bit", 15).alias("part")).agg(F.bitmap_construct_agg(F.col("bit").bitwiseAND(32767)).alias("bits")).collect()
+        self.bits = np.zeros((self.mask + 1) // 8, np.uint8)
+        for row in rows:
+            self.bits[row.part << 12 : (row.part + 1) << 12] = np.frombuffer(row.bits, np.uint8)
+
+    def hold(self, hashes: pa.Array) -> np.ndarray:
+        h = hashes.to_numpy(zero_copy_only=False).view(np.uint64)
+        ok = np.ones(len(h), bool)
+        for k in self.SHIFTS:
+            bit = (h >> np.uint64(k)) & np.uint64(self.mask)
+            ok &= (self.bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        return ok
+
+
+def only(docs: DataFrame, ids: DataFrame, keep: bool = False) -> tuple[DataFrame, object]:
+    """Rows of ``docs`` (doc_id, text, ...) with the hash of their id, and a filter for tasks that holds ``ids`` (distinct doc_id).
+
+    Up to 2^24 ids it is a Bloom filter of bounded size, so that texts need not be shuffled. Beyond, there is no filter, and the rows are
+    those of a semi-join, or all rows if ``keep``.
+    """
+    count = ids.count()
+    hashed = docs.withColumn("h", F.xxhash64("doc_id"))
+    if 16 * count <= FILTER_BITS:
+        return hashed, docs.sparkSession.sparkContext.broadcast(Ids(ids, count))
+    return hashed if keep else hashed.join(ids, "doc_id", "left_semi"), None
+
+
+def passed(batches, shared):
+    """The steps of what the filter lets through."""
+    for batch in batches:
+        if shared is not None:
+            batch = batch.filter(pa.array(shared.value.hold(batch.column("h"))))
+        yield from steps(iter([batch]))

@@ -3,13 +3,16 @@
 The set of a text: lower-case A-Z, words, all distinct runs of five words; a text of one to four words is one shingle, a text
 without words (or null) has an empty set. Two documents link when 100 * |common| >= 75 * |united|.
 
-1. A frequency sketch of all shingles (one fixed-size table, counts over all rows) orders shingles rare first.
+1. One pass counts all shingles in a sketch of fixed size, which orders them rare first, and gives each text its set's size, hash,
+   and the sizes of 64 ranges of the sorted set.
 2. Documents with equal sets become one node. A node's prefix is its first n - ceil(0.75 n) + 1 shingles in that order: two
    nodes that link share a prefix shingle. Prefix shingles held by one node only are dropped.
-3. Candidates pass the length filter and the positional filter on the shingle they share. Each pair is verified once per
-   round: suffix filter (sizes of eight ranges of the two sorted sets), then the exact intersection.
-4. Components. Pairs inside one component need no test. So each round first tests every node against one pivot per
-   shingle, which is linear; when no round links more, or when little is left, all pairs across components are tested.
+3. Candidates pass the length filter, the positional filter on the shingle they share, and the suffix filter: the
+   differences of the range sizes bound the number of shingles that only one of the two holds. Each distinct pair that is
+   left is verified once per round, by the exact intersection.
+4. Of shingles with few nodes all pairs are listed. For the others pairs inside one component need no test: each round
+   first tests every node against one pivot per shingle, which is linear; when no round links more, or when little is left, all
+   pairs across components are tested.
 
 Nulls: a row with a null id takes the component of rows with an equal set, else null. Rows that share an id are one document
 with the links of all its texts. An empty table gives an empty result; columns other than the id and the text are ignored.
@@ -24,12 +27,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymark.llm.common import LOWER_VALUES, SpanHash, materialise, mix, signed, steps, utf8, word_spans
+from waymark.llm.common import LOWER_VALUES, SpanHash, materialise, mix, only, passed, signed, small_batches, steps, utf8, word_spans
 
 SHINGLE_WORDS = 5
 THRESHOLD = 75  # percent
-SKETCH_BITS = 20
+SKETCH_BITS = 19
 SKETCH_CHUNK = 1 << 14
+RANGES = 64
+FEW = 8  # nodes of a shingle whose pairs are all listed
 
 
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
@@ -51,16 +56,35 @@ def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
-def sketch_of(docs: DataFrame) -> np.ndarray:
-    """How many documents hold a shingle of each of 2^SKETCH_BITS classes; the size does not depend on the input."""
+def measured(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """doc_id, n (set size), h1, h2 (hash of the set), sizes (of its ranges, at most 255) of every row; and the sketch.
+
+    The sketch says how many rows hold a shingle of each of 2^SKETCH_BITS classes. One pass makes both: the last row of a task
+    holds its counts.
+    """
     mask = np.uint64((1 << SKETCH_BITS) - 1)
+    names = ["doc_id", "n", "h1", "h2", "sizes", "counts"]
+    cuts = np.arange(1, RANGES, dtype=np.uint64) << np.uint64(64 - RANGES.bit_length() + 1)
 
-    def count(batches):
+    def build(batches):
         total = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in steps(batches):
-            sets = list(shingle_sets(batch.column("text")))
+            size, one, two, ranges, sets = [], [], [], [], list(shingle_sets(batch.column("text")))
+            for s in sets:
+                size.append(len(s))
+                one.append(int(s.sum(dtype=np.uint64)))
+                two.append(int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)))
+                ranges.append(np.minimum(np.diff(np.concatenate(([0], np.searchsorted(s, cuts), [len(s)]))), 255).astype(np.uint8).tobytes())
             total += np.bincount((np.concatenate(sets) & mask).astype(np.int64), minlength=len(total))
-        yield chunks({i: total[i * SKETCH_CHUNK : (i + 1) * SKETCH_CHUNK] for i in range(len(total) // SKETCH_CHUNK)})
+            hashes = [pa.array(signed(np.array(x, np.uint64))) for x in (one, two)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size, pa.int32()), *hashes, pa.array(ranges, pa.binary()), pa.nulls(len(size), pa.binary())], names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())] + [pa.array([total.astype(np.uint32).tobytes()], pa.binary())], names)
+
+    def cut(batches):
+        for batch in batches:
+            for blob in batch.column("counts"):
+                parts = np.frombuffer(blob.as_buffer(), np.uint32).reshape(-1, SKETCH_CHUNK)
+                yield chunks(dict(enumerate(parts.astype(np.int64))))
 
     def add(batches):
         sums: dict[int, np.ndarray] = {}
@@ -72,49 +96,45 @@ def sketch_of(docs: DataFrame) -> np.ndarray:
     def chunks(parts: dict[int, np.ndarray]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array([x.tobytes() for x in parts.values()], pa.binary())], ["chunk", "counts"])
 
+    both = materialise(docs.mapInArrow(build, "doc_id long, n int, h1 long, h2 long, sizes binary, counts binary"))
     schema = "chunk int, counts binary"
-    rows = docs.select("text").mapInArrow(count, schema).repartition("chunk").mapInArrow(add, schema).collect()
+    rows = both.filter("counts is not null").select("counts").mapInArrow(cut, schema).repartition("chunk").mapInArrow(add, schema).collect()
     out = np.zeros(1 << SKETCH_BITS, np.int32)
     for row in rows:
         out[row.chunk * SKETCH_CHUNK : (row.chunk + 1) * SKETCH_CHUNK] = np.minimum(np.frombuffer(row.counts, np.int64), 2**31 - 1)
-    return out
+    return both.filter("counts is null").drop("counts"), out
 
 
-def prefixes(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """doc_id, n (set size), h1, h2 (hash of the set), prefix (its rarest shingles)."""
-    shared = docs.sparkSession.sparkContext.broadcast(sketch)
+def prefixes(docs: DataFrame, nodes: DataFrame, sketch: np.ndarray) -> DataFrame:
+    """doc, n, prefix (its rarest shingles) of the nodes. A copy that the filter lets through is one more node."""
+    counts = docs.sparkSession.sparkContext.broadcast(sketch)
     mask = np.uint64((1 << SKETCH_BITS) - 1)
+    rows, own = only(docs, nodes)
 
     def build(batches):
-        for batch in steps(batches):
-            sizes, one, two, heads = [], [], [], []
+        for batch in passed(batches, own):
+            sizes, heads = [], []
             for s in shingle_sets(batch.column("text")):
                 n = len(s)
+                order = np.argsort(counts.value[(s & mask).astype(np.int64)], kind="stable")
                 sizes.append(n)
-                one.append(int(s.sum(dtype=np.uint64)))
-                two.append(int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)))
-                order = np.argsort(shared.value[(s & mask).astype(np.int64)], kind="stable")
                 heads.append(s[order[: n - -(-THRESHOLD * n // 100) + 1 if n else 0]])
             lengths = np.cumsum([0, *map(len, heads)])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(signed(np.array(one, np.uint64))), pa.array(signed(np.array(two, np.uint64))),
-                    pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(signed(np.concatenate(heads)))),
-                ],
-                ["doc_id", "n", "h1", "h2", "prefix"],
-            )
+            lists = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(signed(np.concatenate(heads))))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int32()), lists], ["doc", "n", "prefix"])
 
-    return docs.select("doc_id", "text").mapInArrow(build, "doc_id long, n int, h1 long, h2 long, prefix array<long>")
+    return rows.mapInArrow(build, "doc long, n int, prefix array<long>")
 
 
-def sets_of(docs: DataFrame) -> DataFrame:
-    """doc_id and its set as bytes."""
+def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id and set (as bytes) of the rows with these ids."""
+    rows, own = only(docs, ids)
 
     def build(batches):
-        for batch in steps(batches):
+        for batch in passed(batches, own):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.tobytes() for s in shingle_sets(batch.column("text"))], pa.binary())], ["doc_id", "items"])
 
-    return docs.select("doc_id", "text").mapInArrow(build, "doc_id long, items binary")
+    return rows.mapInArrow(build, "doc_id long, items binary")
 
 
 def may_link(n: str, at: str, other_n: str, other_at: str) -> Column:
@@ -124,18 +144,29 @@ def may_link(n: str, at: str, other_n: str, other_at: str) -> Column:
 
 
 def linked(x: np.ndarray, y: np.ndarray) -> bool:
-    """Suffix filter, then the exact test of two sorted sets."""
-    need = -(-THRESHOLD * (len(x) + len(y)) // (100 + THRESHOLD))
-    cuts = np.arange(1, 8, dtype=np.uint64) << np.uint64(61)
-    parts = [np.diff(np.concatenate(([0], np.searchsorted(s, cuts), [len(s)]))) for s in (x, y)]
-    if np.minimum(*parts).sum() < need:
-        return False
+    """The exact test of two sorted sets."""
     both = np.concatenate((x, y))
     both.sort()
     common = int((both[1:] == both[:-1]).sum())
     return 100 * common >= THRESHOLD * (len(x) + len(y) - common)
 
 
+def suffix_filtered(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that may link by the sizes of their ranges. ``sizes``: doc_id, n, sizes."""
+
+    def test(batches):
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, RANGES).astype(np.int16) for c in ("x", "y"))
+            n = sum(batch.column(c).to_numpy().astype(np.int64) for c in ("n", "m"))
+            # Each range's difference is held by one side only. A size of 255 may be more: it says nothing.
+            apart = np.where((x == 255) | (y == 255), 0, np.abs(x - y)).sum(1)
+            yield batch.select(["a", "b"]).filter(pa.array((100 + THRESHOLD) * apart <= 100 * n - THRESHOLD * n))
+
+    left = sizes.select(F.col("doc_id").alias("a"), F.col("sizes").alias("x"), "n")
+    right = sizes.select(F.col("doc_id").alias("b"), F.col("sizes").alias("y"), F.col("n").alias("m"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y", "n", "m").mapInArrow(test, "a long, b long").distinct()
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that link."""
 
@@ -166,59 +197,71 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def node_links(postings: DataFrame, sets: DataFrame) -> DataFrame | None:
-    """node, label for the nodes that link with another. ``postings``: token, doc, n, pos of shared prefix shingles."""
-    links, labels, turn, more = None, None, 0, True
-    total = postings.count()
-    if not total:
+def candidate(other: str = "p_") -> Column:
+    """Two nodes of a shingle, in one row, that pass the length and the positional filter."""
+    return may_link("n", "pos", f"{other}n", f"{other}pos")
+
+
+def all_pairs(postings: DataFrame, apart: Column | None = None) -> DataFrame:
+    other = postings.select("token", *(F.col(c).alias(f"p_{c}") for c in postings.columns if c not in ("token", "c")))
+    both = postings.join(other, "token").filter(F.col("doc") < F.col("p_doc")).filter(candidate())
+    return (both if apart is None else both.filter(apart)).select(F.col("doc").alias("a"), F.col("p_doc").alias("b")).distinct()
+
+
+def node_links(postings: DataFrame, docs: DataFrame, sizes: DataFrame) -> DataFrame | None:
+    """node, label for the nodes that link with another. ``postings``: token, doc, n, pos, c (nodes of the shingle)."""
+    listed = materialise(suffix_filtered(all_pairs(postings.filter(F.col("c") <= FEW)), sizes))
+    hot = materialise(postings.filter(F.col("c") > FEW).drop("c"))
+    ids = materialise(listed.select(F.col("a").alias("doc_id")).union(listed.select("b")).union(hot.select("doc")).distinct())
+    if ids.isEmpty():
         return None
+    sets = materialise(sets_of(docs, ids))
+    links = materialise(verified(listed, sets))
+    labels = components(links) if not links.isEmpty() else None
+    total, turn, more = hot.count(), 0, True
     token = Window.partitionBy("token")
-    while True:
-        if labels is None:
-            live = postings.withColumn("label", F.col("doc"))
-        else:
-            of = labels.withColumnRenamed("node", "doc")
-            live = postings.join(of, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-            # Shingles whose nodes are all in one component are done.
-            live = live.withColumn("lo", F.min("label").over(token)).withColumn("hi", F.max("label").over(token)).filter("lo <> hi").drop("lo", "hi")
-            live = materialise(live)
-            groups = live.groupBy("token", "label").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("s"), F.sum(F.expr("c * c")).alias("q"))
-            left = groups.agg(F.sum(F.expr("(s * s - q) / 2"))).first()[0] or 0
-            if not left:
-                return labels
-            more = more and left > 4 * total
+    while total:
+        live = hot.withColumn("label", F.col("doc"))
+        if labels is not None:
+            live = hot.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
+        # Shingles whose nodes are all in one component are done.
+        live = live.withColumn("lo", F.min("label").over(token)).withColumn("hi", F.max("label").over(token)).filter("lo <> hi").drop("lo", "hi")
+        live = materialise(live)
+        groups = live.groupBy("token", "label").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("s"), F.sum(F.expr("c * c")).alias("q"))
+        left = groups.agg(F.sum(F.expr("(s * s - q) / 2"))).first()[0] or 0
+        if not left:
+            break
+        more = more and left > 4 * total
         if more:
             rank = F.col("doc") if turn == 0 else F.xxhash64("doc", F.lit(turn))
             pivot = F.min(F.struct(rank.alias("r"), "doc", "n", "pos", "label")).over(token)
-            pairs = live.withColumn("p", pivot).select("doc", "n", "pos", "label", F.col("p.doc").alias("p_doc"), F.col("p.n").alias("p_n"), F.col("p.pos").alias("p_pos"), F.col("p.label").alias("p_label"))
-            pairs = pairs.filter(F.col("label") != F.col("p_label")).filter(may_link("n", "pos", "p_n", "p_pos"))
-            pairs = pairs.select(F.least("doc", "p_doc").alias("a"), F.greatest("doc", "p_doc").alias("b"))
+            pairs = live.withColumn("p", pivot).select("*", *(F.col(f"p.{c}").alias(f"p_{c}") for c in ("doc", "n", "pos", "label")))
+            pairs = pairs.filter(F.col("label") != F.col("p_label")).filter(candidate())
+            pairs = pairs.select(F.least("doc", "p_doc").alias("a"), F.greatest("doc", "p_doc").alias("b")).distinct()
         else:
-            one = live.select("token", *(F.col(c).alias(f"p_{c}") for c in ("doc", "n", "pos", "label")))
-            pairs = live.join(one, "token").filter((F.col("doc") < F.col("p_doc")) & (F.col("label") != F.col("p_label"))).filter(may_link("n", "pos", "p_n", "p_pos"))
-            pairs = pairs.select(F.col("doc").alias("a"), F.col("p_doc").alias("b"))
-        new = materialise(verified(pairs.distinct(), sets))
+            pairs = all_pairs(live, F.col("label") != F.col("p_label"))
+        new = materialise(verified(suffix_filtered(pairs, sizes), sets))
         found = not new.isEmpty()
         if found:
-            links = new if links is None else links.union(new)
+            links = links.union(new)
             labels = components(links)
         if not more:
-            return labels
+            break
         turn, more = turn + 1, found
+    return labels
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id: one row for each row of ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    heads = materialise(prefixes(docs, sketch_of(docs)))
-    nodes = heads.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("node"), F.first("prefix").alias("prefix"))
-    postings = nodes.filter("node is not null and n > 0").select(F.col("node").alias("doc"), "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = postings.withColumn("c", F.count("*").over(Window.partitionBy("token"))).filter("c > 1").select("token", "doc", "n", "pos")
-    shared = materialise(shared)
-    ids = shared.select(F.col("doc").alias("doc_id")).distinct()
-    labels = node_links(shared, materialise(sets_of(docs.join(ids, "doc_id", "left_semi"))))
-    named = heads.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("node"))
-    rows = heads.select("doc_id", "h1", "h2", "n").join(named, ["h1", "h2", "n"], "left")
+    with small_batches(docs.sparkSession):
+        sets, sketch = measured(docs)
+        named = sets.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("node"))
+        nodes = materialise(named.filter("node is not null and n > 0").select(F.col("node").alias("doc_id")).distinct())
+        postings = prefixes(docs.filter("doc_id is not null"), nodes, sketch).select("doc", "n", F.posexplode("prefix").alias("pos", "token"))
+        shared = postings.withColumn("c", F.count("*").over(Window.partitionBy("token"))).filter("c > 1")
+        labels = node_links(materialise(shared), docs, sets.select("doc_id", "n", "sizes"))
+    rows = sets.select("doc_id", "h1", "h2", "n").join(named, ["h1", "h2", "n"], "left")
     # A set without shingles links with nothing: its document is its own component.
     node = F.when(F.col("n") > 0, F.col("node")).otherwise(F.col("doc_id"))
     rows = rows.select("doc_id", F.col("n").cast("long").alias("n_shingles"), node.alias("node"))
