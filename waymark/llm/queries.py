@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import decontaminate, html, language, mixing, ngram_join, quality, sharding, templates, urls
+from waymark.llm import decontaminate, html, language, mixing, ngram_join, quality, sharding, suffix, templates, urls
 from waymark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,8 @@ FROM documents LEFT JOIN left_lines USING (doc_id)
 def op4_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return templates.deduplicated(docs).select("doc_id", "n_lines", "n_dropped", "clean_text")
+
+
+@query()
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
