@@ -179,9 +179,9 @@ LINE_FIXTURES = ["fx_route_lines", "fx_stretches", "fx_corridors", "fx_traces"]
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt out to all cores when the files come as fewer splits than cores; large tables stay as read."""
+    """Rows dealt out to all cores when there are fewer files than cores; large tables stay as read."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

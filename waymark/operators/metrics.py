@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from waymark import values
-from waymark.operators.order import numbered, value_counts_cumulative
+from waymark.operators.order import hash_key, numbered, value_counts_cumulative
 
 
 def is_error(col: str | Column, non_errors=("discard",)) -> Column:
@@ -258,16 +258,9 @@ def levels_as_json(long: DataFrame) -> DataFrame:
     return per_level.select("level", F.concat(F.lit("{"), F.array_join(body, ","), F.lit("}")).alias("metrics"))
 
 
-# The draw is a quadratic congruence, so that another engine can repeat it digit by digit.
-_DRAW_MODULUS = 2147483647
-
-
 def draw(seed: Column, i: Column, n: Column) -> Column:
-    """Index in [0, n) drawn for position ``i`` of resample ``seed``."""
-    m = F.lit(_DRAW_MODULUS).cast("bigint")
-    x0 = (seed.cast("bigint") * 1000003 + i.cast("bigint") * 7919 + 12345) % m
-    x1 = (x0 * x0 + 1013) % m
-    return ((x1 * x1 + 29) % m) % n
+    """Index in [0, n) drawn for position ``i`` of resample ``seed``: a 60-bit hash, so every row of any table can be drawn."""
+    return hash_key(seed.cast("bigint"), i.cast("bigint")) % n
 
 
 def bootstrap(

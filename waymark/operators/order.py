@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, Window as W
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window as W
 
 
 def newest_first(col: Column | str) -> Column:
@@ -49,17 +49,30 @@ def hash_unit(*cols: Column | str, seed: int = 0) -> Column:
     return hash_key(*cols, seed=seed).cast("double") / F.lit(float(HASH_SPAN))
 
 
-def hash_chunk(key: Column, chunks: int) -> Column:
+def chunk_count(most: int = 1 << 16) -> int:
+    """How many chunks an order is cut into: four per shuffle partition, 64 at least. Results do not depend on it."""
+    spark = SparkSession.getActiveSession()
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions")) if spark else 0
+    return max(64, min(most, 4 * partitions))
+
+
+# Quantiles come to the driver and back as literals that every row is compared with, so there are fewer of them.
+MOST_QUANTILES = 1024
+
+
+def hash_chunk(key: Column, chunks: int | None = None) -> Column:
     """Order-preserving chunk number of a 60-bit hash: uniform by construction."""
+    chunks = chunks or chunk_count()
     return F.floor(key.cast("double") / F.lit(float(HASH_SPAN)) * chunks).cast("int")
 
 
-def value_chunk(df: DataFrame, col: str, chunks: int = 64, tie_hash: Column | None = None) -> Column:
+def value_chunk(df: DataFrame, col: str, chunks: int | None = None, tie_hash: Column | None = None) -> Column:
     """Order-preserving chunk of a numeric column from approximate quantiles.
 
     At most ``chunks`` numbers come to the driver; as literals they give every re-run the same chunks.
     A value that fills more than one quantile step is hot: with ``tie_hash`` its rows are cut by hash.
     """
+    chunks = chunks or chunk_count(MOST_QUANTILES)
     probs = [i / chunks for i in range(1, chunks)]
     row = df.agg(F.percentile_approx(F.col(col).cast("double"), probs, 10000).alias("s")).first()
     found = [float(s) for s in (row["s"] or [])]
@@ -111,7 +124,7 @@ def running_totals(
 
 
 def numbered(
-    df: DataFrame, id_cols: list[str], out: str = "row_id", seed: int = 0, chunks: int = 64, keys: list[str] | None = None
+    df: DataFrame, id_cols: list[str], out: str = "row_id", seed: int = 0, chunks: int | None = None, keys: list[str] | None = None
 ) -> DataFrame:
     """Consecutive numbers from 0 (per key) in hash order of the ids: no single-task sort."""
     work = df.withColumn("_h", hash_key(*id_cols, seed=seed))
@@ -122,7 +135,7 @@ def numbered(
 
 
 def numbered_by_value(
-    df: DataFrame, value: str, tie_break: list[str], out: str = "row_id", chunks: int = 64
+    df: DataFrame, value: str, tie_break: list[str], out: str = "row_id", chunks: int | None = None
 ) -> DataFrame:
     """Consecutive numbers from 0 by value; rows with the same value follow their hash, then the tie-break."""
     work = df.withColumn("_h", hash_key(*tie_break))
@@ -132,7 +145,7 @@ def numbered_by_value(
 
 
 def value_counts_cumulative(
-    df: DataFrame, value: str, counts: dict[str, Column], keys: list[str] | None = None, chunks: int = 64
+    df: DataFrame, value: str, counts: dict[str, Column], keys: list[str] | None = None, chunks: int | None = None
 ) -> DataFrame:
     """One row per (keys, value) with counts ``name`` and inclusive running counts ``cum_name``.
 
@@ -147,7 +160,7 @@ def value_counts_cumulative(
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, quantiles: list[float], names: list[str], keys: list[str] | None = None, chunks: int = 64
+    df: DataFrame, value: str, quantiles: list[float], names: list[str], keys: list[str] | None = None, chunks: int | None = None
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per key, by distributed rank selection."""
     keys = keys or []

@@ -372,11 +372,12 @@ def dedup_stretches(df: DataFrame, ordinal: str, column: str = "stretch") -> Dat
 
 
 def dedup_tables(tables: dict[str, DataFrame], ordinal: str = "_ordinal") -> dict[str, DataFrame]:
-    """The dedup chain on each table that has stretches; row order is the hash of the case id."""
+    """The dedup chain on each table that has stretches; row order is the hash of the case id, then run and case id themselves."""
     out = {}
     for name, df in tables.items():
         if "stretch" in df.columns:
-            df = dedup_stretches(df.withColumn(ordinal, hash_key("case_id")), ordinal).drop(ordinal)
+            ids = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("run_id", "case_id") if c in df.columns]
+            df = dedup_stretches(df.withColumn(ordinal, F.struct(hash_key("case_id").alias("h"), *ids)), ordinal).drop(ordinal)
         out[name] = df
     return out
 

@@ -23,7 +23,7 @@ def tile_sample(
     want = F.create_map(*[F.lit(x) for pair in targets.items() for x in pair])
     rows = candidates.filter(ok).withColumn("_h", hash_key(*id_cols, seed=seed))
     ranked = running_totals(
-        rows, ["_h", *id_cols], {"_rank": F.lit(1).cast("bigint")}, hash_chunk(F.col("_h"), 64), [tile, quality]
+        rows, ["_h", *id_cols], {"_rank": F.lit(1).cast("bigint")}, hash_chunk(F.col("_h")), [tile, quality]
     )
     return ranked.filter(F.col("_rank") <= F.try_element_at(want, F.col(quality))).drop("_h", "_rank")
 
@@ -86,7 +86,7 @@ def delete_run(tables: dict[str, DataFrame], run_id: str) -> dict[str, DataFrame
 def km_cap(df: DataFrame, km: str, limit: float, id_cols: list[str], seed: int = 0) -> DataFrame:
     """Rows in random order while the running kilometres stay below the limit: two-level running sum."""
     rows = df.withColumn("_h", hash_key(*id_cols, seed=seed))
-    summed = running_totals(rows, ["_h", *id_cols], {"_km": F.col(km)}, hash_chunk(F.col("_h"), 64))
+    summed = running_totals(rows, ["_h", *id_cols], {"_km": F.col(km)}, hash_chunk(F.col("_h")))
     return summed.filter(F.col("_km") < limit).drop("_h", "_km")
 
 

@@ -358,16 +358,19 @@ def _edges(t):
         F.when((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "A"), "ferry").otherwise("road").alias("use"),
         F.col("l_quantity").alias("length"), F.col("l_partkey").alias("edge_id"),
     )
-    return df.filter("seq < 7").withColumn("begin_shape_index", F.col("seq")).withColumn("end_shape_index", F.col("seq") + 1)
+    return df.withColumn("begin_shape_index", F.col("seq")).withColumn("end_shape_index", F.col("seq") + 1)
 
 
 def _shapes(t):
-    return t.fx_route_lines.select(F.col("route_id").alias("trace_id"), geo.points_of_wkt("provider_route").alias("line"))
+    """A line of each trace with one vertex more than it has edges."""
+    sizes = t.lineitem.groupBy(F.col("l_orderkey").cast("string").alias("trace_id")).agg(F.count("*").alias("n"))
+    text = F.array_join(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("n")), lambda i: F.concat_ws(" ", (10 + i / 1000).cast("string"), (50 + i / 500).cast("string"))), ", ")
+    return sizes.select("trace_id", geo.points_of_wkt(F.concat(F.lit("LINESTRING ("), text, F.lit(")"))).alias("line"))
 
 
 @query(
     "edge_runs",
-    f"""with {EDGES}, f as (select *, case when lag(road_class) over w = road_class and lag(use) over w = use then 0 else 1 end as nw from e where seq < 7 window w as (partition by trace_id order by seq)),
+    f"""with {EDGES}, f as (select *, case when lag(road_class) over w = road_class and lag(use) over w = use then 0 else 1 end as nw from e window w as (partition by trace_id order by seq)),
     g as (select *, sum(nw) over (partition by trace_id order by seq) as run_no from f)
     select trace_id, cast(run_no as bigint) as run_no, round(sum(length), 4) as length, cast(count(*) as integer) as edges, min(road_class) as road_class, min(use) as use, cast(count(*) + 1 as integer) as points
     from g where use <> 'ferry' group by trace_id, run_no""",

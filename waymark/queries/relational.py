@@ -208,9 +208,7 @@ BOOT_SQL = f"""with {JOINED},
     ids as (select *, row_number() over (order by cast('0x' || substr(md5('0|' || route_id), 1, 15) as bigint), route_id)
                    - 1 as pos, count(*) over () as n from per_route),
     seeds as (select cast(unnest(range(0, 50)) as bigint) as seed),
-    d as (select seed, n, (seed * 1000003 + pos * 7919 + 12345) % 2147483647 as x0 from ids, seeds),
-    d1 as (select seed, n, (x0 * x0 + 1013) % 2147483647 as x1 from d),
-    d2 as (select seed, ((x1 * x1 + 29) % 2147483647) % n as pick from d1),
+    d2 as (select seed, cast('0x' || substr(md5('0|' || seed || '|' || pos), 1, 15) as bigint) % n as pick from ids, seeds),
     b as (select seed, sum(errors) as errors, sum(hours) as hours, sum(errors) / sum(hours) as eph
           from d2 join ids on pick = pos group by seed)
 """
@@ -255,9 +253,7 @@ def bootstrap_interval(t):
           from ids group by quality, n),
     slots as (select quality, n, unnest(range(0, draws)) as i from k),
     seeds as (select cast(unnest(range(0, 10)) as bigint) as seed),
-    d as (select quality, seed, n, (seed * 1000003 + i * 7919 + 12345) % 2147483647 as x0 from slots, seeds),
-    d1 as (select quality, seed, n, (x0 * x0 + 1013) % 2147483647 as x1 from d),
-    d2 as (select quality, seed, ((x1 * x1 + 29) % 2147483647) % n as pick from d1)
+    d2 as (select quality, seed, cast('0x' || substr(md5('0|' || seed || '|' || i), 1, 15) as bigint) % n as pick from slots, seeds)
     select cast(seed as integer) as seed, sum(errors) as errors, round(sum(hours), 4) as hours
     from d2 join ids on pick = pos and d2.quality = ids.quality group by seed""",
 )
@@ -507,11 +503,11 @@ def feature_statistics(t):
 
 @query(
     "duplicate_census",
-    """select country, provider_route_length, count(*) as n from fx_routes group by country, provider_route_length
-    having count(*) > 1""",
+    """select country, cast(floor(provider_route_length / 1000) as bigint) as km, count(*) as n from fx_routes group by 1, 2 having count(*) > 1""",
 )
 def duplicate_census(t):
-    return pf.duplicate_census(t.fx_routes, ["country", "provider_route_length"])
+    routes = t.fx_routes.withColumn("km", F.floor(F.col("provider_route_length") / 1000).cast("bigint"))
+    return pf.duplicate_census(routes, ["country", "km"])
 
 
 @query(
