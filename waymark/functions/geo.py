@@ -234,7 +234,9 @@ def curvature_radius_m(points: Column | str) -> Column:
     before = F.filter(p, lambda q: q["x"] <= mid["x"])
     after = F.filter(p, lambda q: q["x"] > mid["x"])
     left, right = last(before), first(after)
-    y_at = F.when(F.size(after) == 0, last(p)["y"]).otherwise(
+    # A line that runs west has no such vertices: beyond its last or before its first x the end's own y counts.
+    beyond = F.when((F.size(after) == 0) | (mid["x"] > b["x"]), b["y"]).when(mid["x"] < a["x"], a["y"])
+    y_at = beyond.otherwise(
         left["y"] + (right["y"] - left["y"]) * (mid["x"] - left["x"]) / (right["x"] - left["x"])
     )
     sagitta = dx / chord * (y_at - mid["y"])

@@ -258,13 +258,18 @@ def route_simplified(t):
 
 @query(
     "route_curvature_radius",
-    f"""with {VERTICES}, m as (select p.route_id, f.x as fx, f.y as fy, l.x as lx, l.y as ly, p.x as mx, p.y as my from pv p
-      join pv f on f.route_id = p.route_id and f.seq = 0 join pv l on l.route_id = p.route_id and l.seq = 7 where p.seq = 4)
-    select count(*) as routes, count(*) filter (where sqrt(power(lx - fx, 2) + power(fy - ly, 2)) > 0) as curved from m""",
+    f"""with {VERTICES}, e as (select route_id, true as east, seq, x, y from pv union all select route_id, false, 7 - seq, x, y from pv),
+    m as (select p.route_id, p.east, f.x as fx, f.y as fy, l.x as lx, l.y as ly, p.x as mx, p.y as my from e p
+      join e f on f.route_id = p.route_id and f.east = p.east and f.seq = 0 join e l on l.route_id = p.route_id and l.east = p.east and l.seq = 7 where p.seq = 4),
+    s as (select route_id, east, sqrt(power(lx - fx, 2) + power(fy - ly, 2)) as chord,
+      (lx - fx) / sqrt(power(lx - fx, 2) + power(fy - ly, 2)) * (case when mx > lx then ly when mx < fx then fy else my end - my) as h from m)
+    select route_id, east, case when h = 0 then -1 else round(abs(chord * chord / 8 / h + h / 2) * 1000000, 2) end as radius from s""",
 )
 def route_curvature_radius(t):
-    df = lines(t).select(geo.curvature_radius_m("a").alias("r"))
-    return df.agg(F.count("*").alias("routes"), F.count_if(F.col("r") > 0).alias("curved"))
+    """Lines as they are and turned round; -1 stands for no curvature."""
+    one = lines(t).select("route_id", F.explode(F.array(F.struct(F.lit(True).alias("east"), F.col("a").alias("p")), F.struct(F.lit(False).alias("east"), F.reverse("a").alias("p")))).alias("d"))
+    r = geo.curvature_radius_m("d.p")
+    return one.select("route_id", "d.east", F.when(F.isnan(r) | (r == float("inf")), -1.0).otherwise(F.round(r, 2)).alias("radius"))
 
 
 @query(
