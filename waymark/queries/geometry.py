@@ -212,7 +212,15 @@ def route_continuity(t):
     return lines(t).select("route_id", geo.is_continuous("a", "b").alias("continuous"))
 
 
-@query("route_same_direction")
+@query(
+    "route_same_direction",
+    f"""with {VERTICES}, st as (select *, sqrt(power(bx - ax, 2) + power(by_ - ay, 2)) as len from cs),
+    cu as (select *, sum(len) over (partition by route_id order by seq) - len as before from st),
+    ends as (select route_id, seq, x as px, y as py from pv where seq in (0, 7)),
+    u as (select c.*, e.seq as e, px, py, least(1, greatest(0, ((px - ax) * (bx - ax) + (py - ay) * (by_ - ay)) / (len * len))) as u from cu c join ends e using (route_id)),
+    best as (select route_id, e, arg_min(before + u * len, power(px - ax - u * (bx - ax), 2) + power(py - ay - u * (by_ - ay), 2)) as pos from u group by route_id, e)
+    select a.route_id, a.pos < b.pos as forward, b.pos < a.pos as backward from best a join best b on a.route_id = b.route_id and a.e = 0 and b.e = 7""",
+)
 def route_same_direction(t):
     return lines(t).select(
         "route_id", geo.same_direction("a", "b").alias("forward"), geo.same_direction(F.reverse("a"), F.col("b")).alias("backward")
@@ -226,8 +234,9 @@ LOCATE = f"""with {VERTICES}, mid as (select route_id, x as px, y as py from cv
     best as (select route_id, arg_min(before + u * len, power(px - ax - u * (bx - ax), 2) + power(py - ay - u * (by_ - ay), 2)) as pos,
                     sum(len) as total from u group by route_id),
     goal as (select route_id, pos, total, least(pos + 0.1 * total, total) as nxt from best)
-    select g.route_id, round(g.pos, 7) as position, round(c.ax + (c.bx - c.ax) * (g.nxt - c.before) / c.len, 7) as next_x
-    from goal g join cu c on g.route_id = c.route_id and g.nxt >= c.before and g.nxt < c.before + c.len + (case when c.seq = 6 then 1 else 0 end)"""
+    select g.route_id, round(any_value(g.pos), 7) as position,
+      round(arg_max(c.ax + (c.bx - c.ax) * (g.nxt - c.before) / c.len, c.before) filter (where c.before <= g.nxt), 7) as next_x
+    from goal g join cu c on g.route_id = c.route_id group by g.route_id"""
 
 
 @query("route_following_point", LOCATE)

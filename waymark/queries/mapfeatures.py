@@ -8,7 +8,7 @@ from waymark.functions import geo
 from waymark.operators import order as od
 from waymark.plans import features as ft, mapdata as md, reporting as rp, training as tr
 from waymark.queries import query
-from waymark.queries.geometry import VERTICES, _near_sql
+from waymark.queries.geometry import TILE, VERTICES, _near_sql
 from waymark.sources import datasets as ds, ingest as ig
 
 
@@ -674,7 +674,11 @@ def json_records_per_source(t):
     return rp.records_per(t.events.select(F.col("user_id").cast("string").alias("source")), "source")
 
 
-@query("morton_sorted_chunks")
+@query(
+    "morton_sorted_chunks",
+    TILE + """, r as (select code, row_number() over (order by code) - 1 as rank from c)
+    select cast(rank // 1000 as bigint) as chunk, count(*) as n, cast(min(code) as bigint) as first_code, cast(max(code) as bigint) as last_code from r group by 1""",
+)
 def morton_sorted_chunks(t):
     from waymark.functions import tiles
 
