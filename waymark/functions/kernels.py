@@ -58,7 +58,7 @@ def geodesic_inverse(lon1, lat1, lon2, lat2):
     big_l = (lon2 - lon1 + np.pi) % (2 * np.pi) - np.pi
     lam = big_l.copy()
     with np.errstate(all="ignore"):
-        for _ in range(60):
+        for _ in range(200):
             sl, cl = np.sin(lam), np.cos(lam)
             ss = np.hypot(cu2 * sl, cu1 * su2 - su1 * cu2 * cl)
             cs = su1 * su2 + cu1 * cu2 * cl
@@ -68,10 +68,11 @@ def geodesic_inverse(lon1, lat1, lon2, lat2):
             c2m = np.where(c2a == 0, 0.0, cs - 2 * su1 * su2 / c2a)
             c = _F / 16 * c2a * (4 + _F * (4 - 3 * c2a))
             new = big_l + (1 - c) * _F * sa * (sigma + c * ss * (c2m + c * cs * (2 * c2m**2 - 1)))
-            step, lam = np.nanmax(np.abs(new - lam), initial=0.0), new
-            if step < 1e-13:
+            moved, lam = np.abs(new - lam), new
+            if np.nanmax(moved, initial=0.0) < 1e-13:
                 break
-        converged = np.abs(lam) <= np.pi
+        # Row by row: only nearly antipodal points fail, and take the distance on a sphere.
+        converged = (moved < 1e-10) & (np.abs(lam) <= np.pi)
         usq = c2a * (_A**2 - _B**2) / _B**2
         big_a = 1 + usq / 16384 * (4096 + usq * (-768 + usq * (320 - 175 * usq)))
         big_b = usq / 1024 * (256 + usq * (-128 + usq * (74 - 47 * usq)))

@@ -10,6 +10,7 @@ from waymark.fixtures import load, oracle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+MODULES: dict[str, str] = {}
 
 
 class Tables:
@@ -28,6 +29,7 @@ def query(name: str, sql: str | None = None):
     def register(fn):
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
+        MODULES[name] = fn.__module__
         QUERIES[name] = lambda spark, sf_dir: fn(Tables(spark, sf_dir))
         if sql is not None:
             ORACLES[name] = oracle(sql)
