@@ -356,10 +356,13 @@ def dedup_rounded(df: DataFrame, order_by: list, column: str = "stretch", digits
 def dedup_near(
     df: DataFrame, ordinal: str, column: str = "stretch", max_distance: float = 0.005, max_point_diff: int = 1, digits: int = 2
 ) -> DataFrame:
-    """Drop rows that an earlier row takes as near duplicates, compared on rounded vertices."""
+    """One row per group of near duplicates, compared on rounded vertices: the first non-null value of each column in row order."""
     rounded = df.select(ordinal, geo.round_points(geo.points_of_wkt(column), digits).alias("_p"))
     taken = near_duplicates(rounded, ordinal, "_p", max_distance, max_point_diff)
-    return df.join(taken.select(ordinal), ordinal, "left_anti")
+    rows = df.join(taken.select(ordinal, F.col("seed").alias("_seed")), ordinal, "left").withColumn("_seed", F.coalesce("_seed", ordinal))
+    # min_by skips rows whose order is null, and with them the null values.
+    firsts = [F.min_by(c, F.when(F.col(c).isNotNull(), F.col(ordinal))).alias(c) for c in df.columns if c != ordinal]
+    return rows.groupBy(F.col("_seed").alias(ordinal)).agg(*firsts).select(df.columns)
 
 
 def dedup_stretches(df: DataFrame, ordinal: str, column: str = "stretch") -> DataFrame:
