@@ -9,6 +9,7 @@ from waymark.functions import geo, text as tx
 from waymark.operators import order as od, quality as ql
 from waymark.plans import inspection as ins, sampling as sp
 from waymark.queries import query
+from waymark.queries.geometry import VERTICES
 
 _H = "cast('0x' || substr(md5('{seed}|' || {id}), 1, 15) as bigint)"
 _U = "(" + _H + " / 1152921504606846976.0)"
@@ -31,12 +32,12 @@ def _round(df, digits, *cols):
 
 @query(
     "sample_metric",
-    "select sample_id, case when min(product) = 'G1' then 'TbT' else 'HDR' end as metric from fx_metadata group by sample_id",
+    "select sample_id, case when bool_or(product <> 'G1' or product is null) then 'HDR' else 'TbT' end as metric from fx_metadata group by sample_id",
 )
 def sample_metric(t):
     meta = t.fx_metadata.withColumn("metric", F.when(F.col("product") == "G1", "TbT 3.0").otherwise("HDR"))
     # The smallest metric text of a sample counts; 'HDR' sorts before 'TbT 3.0'.
-    return ins.sample_metric(meta.groupBy("sample_id").agg(F.when(F.min("product") == "G1", "TbT 3.0").otherwise("HDR").alias("metric")))
+    return ins.sample_metric(meta)
 
 
 @query(
@@ -189,13 +190,15 @@ def competitor_assembly(t):
 
 @query(
     "provider_route_answers",
-    """select route_id, sample_id, country, 'OV' as provider, provider_route_time from fx_routes where sample_id = '7'""",
+    f"""with {VERTICES}, m as (select route_id, round(sum(2 * 6371000.0 * atan2(sqrt(h), sqrt(1 - h))), 3) as metres
+      from (select route_id, power(sin(radians(by_ - ay) / 2), 2) + cos(radians(ay)) * cos(radians(by_)) * power(sin(radians(bx - ax) / 2), 2) as h from ps) group by route_id)
+    select route_id, sample_id, country, 'OV' as provider, provider_route_time, metres from fx_routes join m using (route_id) where sample_id = '7' and metres > 0""",
 )
 def provider_route_answers(t):
     base = t.fx_routes.join(t.fx_route_lines.drop("country"), "route_id")
     answers = base.select("route_id", geo.points_of_wkt("provider_route").alias("line"), F.col("provider_route_time").alias("seconds"))
     df = ins.provider_routes(t.fx_routes, answers, "7", "OV", "C1")
-    return df.select("route_id", "sample_id", "country", "provider", "provider_route_time")
+    return df.select("route_id", "sample_id", "country", "provider", "provider_route_time", F.round("provider_route_length", 3).alias("metres"))
 
 
 @query(
