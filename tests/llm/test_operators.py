@@ -176,9 +176,10 @@ def near_copies(n):
     return out
 
 
-@pytest.mark.parametrize("few", [8, 1])
-def test_jaccard_components(spark, monkeypatch, few):
+@pytest.mark.parametrize("few, most_left", [(8, 4), (1, 0)])
+def test_jaccard_components(spark, monkeypatch, few, most_left):
     monkeypatch.setattr(ngram_join, "FEW", few)
+    monkeypatch.setattr(ngram_join, "MOST_LEFT", most_left)  # 0: pivots until they link no more
     rows = near_copies(90)
     got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {tuple(r) for r in got.collect()} == brute_components(rows)
@@ -376,6 +377,29 @@ def test_ring(spark, edges, empty):
     assert sharding.assign(empty).count() == 0
 
 
+def test_ring_document_by_document(spark):
+    """Shards and slots as a walk over single documents gives them."""
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    own = sharding.owners(spark, 5)
+    rows = docs.select("doc_id", sharding.ring_hash().alias("h"), F.pmod(sharding.ring_hash(), F.lit(sharding.PLACES)).alias("place")).collect()
+    at = collections.defaultdict(list)
+    for r in sorted(rows, key=lambda r: r.h):
+        at[r.place].append(r.doc_id)
+    room, shards, over = sharding.quotas(len(rows), 5), [[] for _ in range(5)], collections.defaultdict(list)
+    for place, shard in enumerate(own):
+        for i in at[place]:
+            (shards[shard] if len(shards[shard]) < room[shard] else over[place]).append(i)
+    waiting = collections.deque()
+    for turn in range(2):
+        for place, shard in enumerate(own):
+            waiting.extend(over[place] if turn == 0 else [])
+            while waiting and len(shards[shard]) < room[shard]:
+                shards[shard].append(waiting.popleft())
+    assert over and not waiting
+    want = {i: (s, slot) for s, ids in enumerate(shards) for slot, i in enumerate(ids)}
+    assert {r.doc_id: (r.shard, r.slot) for r in sharding.assign(docs, 5).collect()} == want
+
+
 def test_dealing_by_hand():
     owner, counts = [0, 1, 0, 2], {0: 5, 1: 1, 2: 3, 3: 0}
     pieces = sharding.dealt(counts, owner, 3)
