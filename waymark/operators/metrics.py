@@ -271,8 +271,9 @@ def bootstrap(
     keys: list[str] | None = None,
     key: str = "route_id",
     fraction: Column | None = None,
+    by: list[str] | None = None,
 ) -> DataFrame:
-    """Resample routes with replacement (per ``keys``) and recompute the metrics for each seed.
+    """Resample routes with replacement (per ``keys``) and recompute the metrics for each seed (and ``by``, some of the keys).
 
     ``routes`` has one row per route with partial sums; only (seed, position) integers are multiplied.
     ``metrics`` are aggregates over the resampled sums. ``fraction`` scales the draws per key group.
@@ -296,7 +297,7 @@ def bootstrap(
         *keys, "_n", "_i", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))).alias("seed")
     ).select(*keys, "seed", draw(F.col("seed"), F.col("_i"), F.col("_n")).alias("_pos"))
     picked = draws.join(ids.select(*keys, "_pos", *sums), [*keys, "_pos"])
-    return picked.groupBy("seed").agg(*[c.alias(n) for n, c in metrics.items()])
+    return picked.groupBy(*(by or []), "seed").agg(*[c.alias(n) for n, c in metrics.items()])
 
 
 def bootstrap_interval(resampled: DataFrame, metrics: list[str], quantiles=(0.05, 0.95)) -> DataFrame:

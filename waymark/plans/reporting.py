@@ -85,20 +85,37 @@ def runs_to_score(metadata: DataFrame, scored: DataFrame) -> DataFrame:
     return metadata.filter("completed").select("run_id").distinct().join(scored.select("run_id"), "run_id", "left_anti")
 
 
+def finished_routes(routes: DataFrame, reviewed: DataFrame, metadata: DataFrame, scored: DataFrame, more: list[Column]) -> DataFrame:
+    """run_id, route_id, s (seconds), m (metres), e (errors) and ``more`` aggregates of the runs that are to be scored."""
+    todo = runs_to_score(metadata, scored)
+    base = routes.join(todo, "run_id", "left_semi")
+    logs = reviewed.join(todo, "run_id", "left_semi").select("run_id", "route_id", "error_type")
+    joined = base.select("run_id", "route_id", "provider_route_time", "provider_route_length").join(logs, ["run_id", "route_id"], "left")
+    return joined.groupBy("run_id", "route_id").agg(
+        F.min("provider_route_time").alias("s"), F.min("provider_route_length").alias("m"), F.count_if(mt.is_error("error_type")).alias("e"), *more
+    )
+
+
+def finished_run_intervals(
+    routes: DataFrame, reviewed: DataFrame, metadata: DataFrame, scored: DataFrame, resamples: int = 1000, quantiles: tuple[float, float] = (0.05, 0.95)
+) -> DataFrame:
+    """Per finished run that was not scored before: interval of errors per hour and of failed routes over resamples of its routes."""
+    rows = finished_routes(routes, reviewed, metadata, scored, []).select(
+        "run_id", "route_id", (F.col("s") / 3600).alias("hours"), F.col("e").cast("double").alias("errors"), F.when(F.col("e") > 0, 1.0).otherwise(0.0).alias("failed")
+    )
+    metrics = {"eph": F.sum("errors") / F.sum("hours"), "failed_routes": F.avg("failed")}
+    drawn = mt.bootstrap(rows, ["hours", "errors", "failed"], metrics, resamples, keys=["run_id"], by=["run_id"])
+    ends = [F.percentile(m, q).alias(f"{m}_{side}") for m in metrics for q, side in zip(quantiles, ("lower", "upper"), strict=True)]
+    return drawn.groupBy("run_id").agg(*ends)
+
+
 def score_finished_runs(routes: DataFrame, reviewed: DataFrame, metadata: DataFrame, scored: DataFrame) -> DataFrame:
     """Metrics of every finished run that was not scored before, one row per run.
 
     Families come out of one conditional aggregation; the per-family object is JSON text.
     """
-    todo = runs_to_score(metadata, scored)
-    base = routes.join(todo, "run_id", "left_semi")
-    logs = reviewed.join(todo, "run_id", "left_semi").select("run_id", "route_id", "error_type")
-    joined = base.select("run_id", "route_id", "provider_route_time", "provider_route_length").join(logs, ["run_id", "route_id"], "left")
-    err = mt.is_error("error_type")
     fam = {name: F.count_if(F.col("error_type").isin(*codes)).alias(name) for name, codes in v.ERROR_FAMILIES.items()}
-    per_route = joined.groupBy("run_id", "route_id").agg(
-        F.min("provider_route_time").alias("s"), F.min("provider_route_length").alias("m"), F.count_if(err).alias("e"), *fam.values()
-    )
+    per_route = finished_routes(routes, reviewed, metadata, scored, list(fam.values()))
     per_run = per_route.groupBy("run_id").agg(
         F.count("*").cast("int").alias("routes"), F.sum("e").cast("int").alias("errors"), (F.sum("m") / 1000).alias("provider_km"),
         (F.sum("s") / 3600).alias("provider_hours"), (F.count_if(F.col("e") > 0) / F.count("*")).alias("failed_routes"),
