@@ -89,3 +89,16 @@ def test_remove_contained(spark):
     ).select("id", geo.points_of_wkt("w").alias("p"))
     assert sorted(r["id"] for r in pairs.remove_contained(df, "id", "p", size=0.5).collect()) == [1, 3]
     assert sorted(r["id"] for r in pairs.remove_contained(df, "id", "p", size=0.5, literal=True).collect()) == [1]
+
+
+def test_near_duplicates_keep_the_first_values(spark):
+    from waymark.plans.inspection import dedup_near, dedup_tables
+
+    lines = ["LINESTRING (0 0, 1 0, 2 0)", "LINESTRING (0 0.001, 1 0, 2 0)", "LINESTRING (0 0, 1 0.002, 2 0)", "LINESTRING (9 9, 8 8, 7 9)"]
+    rows = [(i, line, note, str(i)) for i, (line, note) in enumerate(zip(lines, [None, "b", "c", None]))]
+    df = spark.createDataFrame(rows, "o bigint, stretch string, note string, case_id string")
+    got = {r["o"]: (r["stretch"], r["note"], r["case_id"]) for r in dedup_near(df, "o").collect()}
+    assert got == {0: (lines[0], "b", "0"), 3: (lines[3], None, "3")}
+    # Two runs that share a case id are told apart.
+    runs = df.drop("o").withColumn("run_id", F.lit("r1")).union(df.drop("o").withColumn("run_id", F.lit("r2")))
+    assert dedup_tables({"log": runs})["log"].count() == 2
