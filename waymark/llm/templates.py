@@ -6,9 +6,10 @@ tokens with a digit count as one wildcard. Lines at one leaf are generalised: a
 template. A template that at least ``MIN_DOCS`` documents hold is recurring, and all its lines are dropped from all of them. Lines
 of fewer than ``MIN_TOKENS`` tokens, blank ones too, are never dropped.
 
-First only hashes of the leaves are counted; the lines at leaves that fewer than ``MIN_DOCS`` documents reach are never compared. The
-others are read from their texts by their numbers, so texts are shuffled once, by id. Every count first takes a document's lines
-together, then documents, with partial sums before each shuffle; cells of the tree and templates travel as hashes.
+Equal lines are one content, compared once: a content that ``MIN_DOCS`` documents hold makes whatever it is part of recurring, and of
+the others one or two documents are known by their least and greatest id. First only hashes of the contents' leaves are counted; contents at
+leaves that fewer documents reach are never compared. The others are read from one text that holds them, so texts are shuffled once,
+by id. Counts first take a document's lines together, then documents, with partial sums before each shuffle.
 
 Nulls: a null text has no lines and stays null; null ids are one document. Rows with an equal id are one document in the counts, and their
 lines are told apart by a hash of the text. An empty table gives an empty result; other columns are kept, but for those named like
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from waymark.llm.common import materialise
 
 LEADS = 2
-MIN_DOCS = 3
+MIN_DOCS = 3  # the counts below rely on three: fewer documents are a least and a greatest id
 MIN_TOKENS = 4
 SIMILAR = 0.6
 WILDCARD = "<*>"
@@ -35,57 +36,67 @@ def lines(text: str = "text") -> Column:
 
 
 def tokens(line: Column) -> Column:
-    """Tokens of a line, those with a digit as the wildcard."""
-    split = F.filter(F.split(line, r"[\x20\x09-\x0D]+"), lambda t: t != "")
-    return F.transform(split, lambda t: F.when(t.rlike("[0-9]"), F.lit(WILDCARD)).otherwise(t))
+    return F.split(F.btrim(line, F.lit(" \t\n\x0b\x0c\r")), r"[\x20\x09-\x0D]+")
 
 
-def held_by(rows: DataFrame, *keys: str) -> DataFrame:
-    """The values of ``keys`` that at least MIN_DOCS documents have."""
-    per_doc = rows.groupBy(*keys, "doc_id").agg(F.lit(1).alias("one"))
-    return per_doc.groupBy(*keys).agg(F.count("*").alias("docs")).filter(F.col("docs") >= MIN_DOCS).drop("docs")
+def masked(token: Column) -> Column:
+    return F.when(token.rlike("[0-9]"), F.lit(WILDCARD)).otherwise(token)
 
 
-def compared_lines(docs: DataFrame) -> DataFrame:
-    """_id, _body (hash of the text), nos: the lines, numbered from 0, at leaves that MIN_DOCS documents reach."""
+def line_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, body (hash of the text), no, leaf, content (hash of the line) of the lines of MIN_TOKENS tokens or more."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("body"), F.posexplode(lines()).alias("no", "line"))
     rows = rows.withColumn("tokens", tokens(F.col("line"))).filter(F.size("tokens") >= MIN_TOKENS)
-    rows = rows.select("doc_id", "body", "no", leaf().alias("leaf"))
-    found = rows.join(held_by(rows, "leaf"), "leaf", "left_semi")
-    return found.groupBy(F.col("doc_id").alias("_id"), F.col("body").alias("_body")).agg(F.sort_array(F.collect_set("no")).alias("nos"))
+    leaf = F.xxhash64(F.size("tokens"), *(masked(F.element_at("tokens", k + 1)) for k in range(LEADS)))
+    return rows.select("doc_id", "body", "no", leaf.alias("leaf"), F.xxhash64(F.btrim("line", F.lit(" \t\n\x0b\x0c\r"))).alias("content"))
 
 
-def leaf() -> Column:
-    return F.xxhash64(F.size("tokens"), F.slice("tokens", 1, LEADS))
+def contents(rows: DataFrame) -> DataFrame:
+    """leaf, content, many (MIN_DOCS documents hold it), lo, hi (least and greatest of them), rep (one place of it)."""
+    per_doc = rows.groupBy("leaf", "content", "doc_id").agg(F.min(F.struct("body", "no")).alias("b"))
+    made = per_doc.groupBy("leaf", "content").agg(
+        (F.count("*") >= MIN_DOCS).alias("many"), F.min(F.struct("doc_id")).alias("lo"), F.max(F.struct("doc_id")).alias("hi"), F.min(F.struct("doc_id", "b")).alias("rep")
+    )
+    return made.select("leaf", "content", "many", "lo", "hi", F.col("rep.doc_id").alias("_id"), F.col("rep.b.body").alias("_body"), F.col("rep.b.no").alias("no"))
+
+
+def recurring(rows: DataFrame, key: str) -> DataFrame:
+    """The values of ``key`` that MIN_DOCS documents have. ``rows``: key, many, lo, hi."""
+    each = rows.select(key, "many", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("doc"))
+    per_doc = each.groupBy(key, "doc").agg(F.max("many").alias("many"))
+    return per_doc.groupBy(key).agg(F.max("many").alias("many"), F.count("*").alias("docs")).filter(F.col("many") | (F.col("docs") >= MIN_DOCS)).select(key)
 
 
 def own_row() -> Column:
     return F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("body") == F.col("_body"))
 
 
-def dropped_lines(keyed: DataFrame, compared: DataFrame) -> DataFrame:
-    """_id, _body, dropped: the lines of recurring templates. ``keyed``: doc_id, text, body; ``compared``: see compared_lines."""
-    rows = keyed.join(compared, own_row()).select("doc_id", "body", F.split("text", "\n").alias("lines"), F.explode("nos").alias("no"))
-    rows = rows.select("doc_id", "body", "no", tokens(F.element_at("lines", F.col("no") + 1)).alias("tokens")).withColumn("leaf", leaf())
-    cells = rows.select("doc_id", "body", "no", "leaf", F.posexplode("tokens").alias("place", "token"))
-    cells = cells.select("doc_id", "body", "no", "place", F.xxhash64("leaf", "place", "token").alias("cell"))
-    kept = held_by(cells, "cell").withColumn("stays", F.lit(True))
+def dropped_contents(keyed: DataFrame, compared: DataFrame) -> DataFrame:
+    """leaf, content of the lines of recurring templates. ``keyed``: doc_id, text, body; ``compared``: see contents."""
+    listed = compared.groupBy("_id", "_body").agg(F.collect_list(F.struct("no", "leaf", "content", "many", "lo", "hi")).alias("held"))
+    rows = keyed.join(listed, own_row()).select(F.split("text", "\n").alias("lines"), F.explode("held").alias("h"))
+    rows = rows.select("h.leaf", "h.content", "h.many", "h.lo", "h.hi", F.posexplode(tokens(F.element_at("lines", F.col("h.no") + 1))).alias("place", "token"))
+    cells = rows.select("leaf", "content", "many", "lo", "hi", "place", F.xxhash64("leaf", "place", masked(F.col("token"))).alias("cell"))
+    kept = recurring(cells, "cell").withColumn("stays", F.lit(True))
     general = F.when(F.col("stays"), F.col("cell")).otherwise(F.xxhash64("place", F.lit(WILDCARD)))
-    made = cells.join(kept, "cell", "left").groupBy("doc_id", "body", "no").agg(
-        F.bit_xor(general).alias("general"), F.bit_xor("cell").alias("whole"), F.count("stays").alias("same"), F.count("*").alias("size")
+    made = cells.join(kept, "cell", "left").groupBy("leaf", "content").agg(
+        F.bit_xor(general).alias("general"), F.bit_xor("cell").alias("whole"), F.count("stays").alias("same"), F.count("*").alias("size"), F.max("many").alias("many"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
     )
-    template = F.when(F.col("same") >= F.col("size") * SIMILAR, F.xxhash64("size", "general")).otherwise(F.xxhash64(F.lit("own"), "whole"))
-    made = made.select("doc_id", "body", "no", template.alias("template"))
-    found = made.join(held_by(made, "template"), "template", "left_semi")
-    return found.groupBy(F.col("doc_id").alias("_id"), F.col("body").alias("_body")).agg(F.collect_set("no").alias("dropped"))
+    template = F.when(F.col("same") >= F.col("size") * SIMILAR, F.xxhash64("leaf", "size", "general")).otherwise(F.xxhash64(F.lit("own"), "leaf", "whole"))
+    made = made.select("leaf", "content", "many", "lo", "hi", template.alias("template"))
+    return made.join(recurring(made, "template"), "template", "left_semi").select("leaf", "content")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text, ...) with n_lines, n_dropped and clean_text (what is left, joined by line feeds)."""
     rows = docs.select(*(f"`{c}`" for c in docs.columns if c not in RESULTS))
     keyed = rows.filter("text is not null").withColumn("body", F.xxhash64("text"))
-    compared = materialise(compared_lines(rows.filter("text is not null")))
-    joined = keyed.join(dropped_lines(keyed.select("doc_id", "text", "body"), compared), own_row(), "left")
+    found = materialise(line_rows(rows.filter("text is not null")))
+    held = contents(found)
+    compared = materialise(held.join(recurring(held, "leaf"), "leaf", "left_semi"))
+    dropped = found.join(dropped_contents(keyed.select("doc_id", "text", "body"), compared), ["leaf", "content"], "left_semi")
+    dropped = dropped.groupBy(F.col("doc_id").alias("_id"), F.col("body").alias("_body")).agg(F.collect_set("no").alias("dropped"))
+    joined = keyed.join(dropped, own_row(), "left")
     kept = F.filter(lines(), lambda line, no: ~F.array_contains(F.col("dropped"), no))
     clean = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     counts = {"n_lines": F.size(lines()).cast("long"), "n_dropped": F.when(F.col("dropped").isNull(), 0).otherwise(F.size("dropped")).cast("long"), "clean_text": clean}
