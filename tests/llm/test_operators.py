@@ -179,7 +179,7 @@ def near_copies(n):
 @pytest.mark.parametrize("few, most_left", [(8, 4), (1, 0)])
 def test_jaccard_components(spark, monkeypatch, few, most_left):
     monkeypatch.setattr(ngram_join, "FEW", few)
-    monkeypatch.setattr(ngram_join, "MOST_LEFT", most_left)  # 0: pivots until they link no more
+    monkeypatch.setattr(ngram_join, "MOST_LEFT", most_left)  # 0: pivots until they link none
     rows = near_copies(90)
     got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {tuple(r) for r in got.collect()} == brute_components(rows)

@@ -27,13 +27,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once and read it again: cuts the lineage and survives a lost executor."""
-    spark = df.sparkSession
+_scratch: list[list[str]] = []  # for each open block, the folders that go at its end
+
+
+def shared_path(spark: SparkSession, keep: bool = False) -> str:
     ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    path = f"{spark.sparkContext.getCheckpointDir()}/table_{uuid.uuid4().hex}"
+    if _scratch and not keep:
+        _scratch[-1].append(path)
+    return path
+
+
+def materialise(df: DataFrame, keep: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder once and read it again: cuts the lineage and survives a lost executor."""
+    path = shared_path(df.sparkSession, keep)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is written inside the block goes at its end, but for tables written with ``keep``."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def bucketed(df: DataFrame, column: str) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder in buckets of ``column``: joins on it shuffle the other side only.
+
+    The table leaves the catalog at the end of the block; what needs it is written by then.
+    """
+    spark = df.sparkSession
+    path, count = shared_path(spark), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = path.rpartition("/")[2]
+    df.repartition(count, column).write.bucketBy(count, column).sortBy(column).option("path", path).saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 @contextmanager

@@ -11,8 +11,9 @@ without words (or null) has an empty set. Two documents link when 100 * |common|
    differences of the range sizes bound the number of shingles that only one of the two holds. Each distinct pair that is
    left is verified once per round, by the exact intersection.
 4. Of shingles with few nodes all pairs are listed. For the others pairs inside one component need no test: each round
-   first tests every node against one pivot per shingle, which is linear; when no round links more, or when little is left, all
-   pairs across components are tested.
+   tests the nodes outside a shingle's largest component against at most ``PIVOTS`` nodes of it, which is linear (the first one all
+   nodes against ``FIRST_PIVOTS``, as there are no components yet); when a round links little, each node
+   is tested against all nodes of the larger components that it shares a shingle with.
 
 Nulls: a row with a null id takes the component of rows with an equal set, else null. Rows that share an id are one document
 with the links of all its texts. An empty table gives an empty result; columns other than the id and the text are ignored.
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymark.llm.common import LOWER_VALUES, SpanHash, materialise, mix, only, passed, signed, small_batches, steps, utf8, word_spans
+from waymark.llm.common import LOWER_VALUES, SpanHash, bucketed, materialise, mix, only, passed, scratch, signed, small_batches, steps, utf8, word_spans
 
 SHINGLE_WORDS = 5
 THRESHOLD = 75  # percent
@@ -35,6 +36,8 @@ SKETCH_BITS = 19
 SKETCH_CHUNK = 1 << 14
 RANGES = 64
 FEW = 8  # nodes of a shingle whose pairs are all listed
+MOST_LEFT = 64  # (node, component) per row that are listed while pivots still link any
+FIRST_PIVOTS, PIVOTS = 1, 8  # nodes of a shingle that the others are tested against, in the first round and later
 
 
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
@@ -96,7 +99,7 @@ def measured(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     def chunks(parts: dict[int, np.ndarray]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array([x.tobytes() for x in parts.values()], pa.binary())], ["chunk", "counts"])
 
-    both = materialise(docs.mapInArrow(build, "doc_id long, n int, h1 long, h2 long, sizes binary, counts binary"))
+    both = materialise(docs.mapInArrow(build, "doc_id long, n int, h1 long, h2 long, sizes binary, counts binary"), keep=True)
     schema = "chunk int, counts binary"
     rows = both.filter("counts is not null").select("counts").mapInArrow(cut, schema).repartition("chunk").mapInArrow(add, schema).collect()
     out = np.zeros(1 << SKETCH_BITS, np.int32)
@@ -202,65 +205,101 @@ def candidate(other: str = "p_") -> Column:
     return may_link("n", "pos", f"{other}n", f"{other}pos")
 
 
-def all_pairs(postings: DataFrame, apart: Column | None = None) -> DataFrame:
+def all_pairs(postings: DataFrame) -> DataFrame:
     other = postings.select("token", *(F.col(c).alias(f"p_{c}") for c in postings.columns if c not in ("token", "c")))
     both = postings.join(other, "token").filter(F.col("doc") < F.col("p_doc")).filter(candidate())
-    return (both if apart is None else both.filter(apart)).select(F.col("doc").alias("a"), F.col("p_doc").alias("b")).distinct()
+    return both.select(F.col("doc").alias("a"), F.col("p_doc").alias("b")).distinct()
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, label) after joining the components that ``links`` (a, b) connect."""
+    ends = links.join(labels.select(F.col("node").alias("a"), F.col("label").alias("x")), "a").join(labels.select(F.col("node").alias("b"), F.col("label").alias("y")), "b")
+    edges = materialise(ends.filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+    if edges.isEmpty():
+        return labels
+    new = components(edges).select(F.col("node").alias("label"), F.col("label").alias("new"))
+    return materialise(labels.join(new, "label", "left").select("node", F.coalesce("new", "label").alias("label")))
+
+
+def pivot_pairs(live: DataFrame, turn: int) -> DataFrame:
+    """Pairs of nodes of each shingle with a few of them: with the first ones, later of nodes outside its largest component with nodes of it."""
+    order = F.xxhash64("doc", F.lit(turn))
+    if not turn:
+        counted = live.withColumn("_rank", F.row_number().over(Window.partitionBy("token").orderBy(order, "doc")))
+        inside, rest = counted.filter(F.col("_rank") <= FIRST_PIVOTS), counted
+    else:
+        own = Window.partitionBy("token", "label")
+        counted = live.withColumn("_size", F.count("*").over(own)).withColumn("_rank", F.row_number().over(own.orderBy(order, "doc")))
+        largest = F.max(F.struct("_size", -F.col("label"))).over(Window.partitionBy("token"))
+        counted = counted.withColumn("_inside", F.col("label") == -largest["col2"])
+        inside, rest = counted.filter(F.col("_inside") & (F.col("_rank") <= PIVOTS)), counted.filter("not _inside")
+    pivots = inside.select("token", *(F.col(c).alias(f"p_{c}") for c in ("doc", "n", "pos", "label")))
+    pairs = rest.join(pivots, "token").filter(F.col("label") != F.col("p_label")).filter(candidate())
+    return pairs.select(F.least("doc", "p_doc").alias("a"), F.greatest("doc", "p_doc").alias("b")).distinct()
+
+
+def cross_pairs(live: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs of each node with all nodes of the larger components that hold one of its shingles. ``groups``: token, label, size."""
+    other = groups.select("token", F.col("label").alias("other"), F.col("size").alias("other_size"))
+    own = live.join(groups.select("token", "label", "size"), ["token", "label"])
+    larger = (F.col("other_size") > F.col("size")) | ((F.col("other_size") == F.col("size")) & (F.col("other") > F.col("label")))
+    reach = own.join(other, "token").filter(larger).select("doc", "n", "other").distinct()
+    nodes = live.select(F.col("doc").alias("p_doc"), F.col("n").alias("p_n"), F.col("label").alias("other")).distinct()
+    pairs = reach.join(nodes, "other").filter(100 * F.least("n", "p_n") >= THRESHOLD * F.greatest("n", "p_n"))
+    return pairs.select(F.least("doc", "p_doc").alias("a"), F.greatest("doc", "p_doc").alias("b")).distinct()
 
 
 def node_links(postings: DataFrame, docs: DataFrame, sizes: DataFrame) -> DataFrame | None:
-    """node, label for the nodes that link with another. ``postings``: token, doc, n, pos, c (nodes of the shingle)."""
+    """node, label for the nodes that may link with another. ``postings``: token, doc, n, pos, c (nodes of the shingle)."""
     listed = materialise(suffix_filtered(all_pairs(postings.filter(F.col("c") <= FEW)), sizes))
     hot = materialise(postings.filter(F.col("c") > FEW).drop("c"))
     ids = materialise(listed.select(F.col("a").alias("doc_id")).union(listed.select("b")).union(hot.select("doc")).distinct())
     if ids.isEmpty():
         return None
-    sets = materialise(sets_of(docs, ids))
-    links = materialise(verified(listed, sets))
-    labels = components(links) if not links.isEmpty() else None
-    total, turn, more = hot.count(), 0, True
+    with bucketed(sets_of(docs, ids), "doc_id") as sets:
+        return settled(listed, hot, ids, sets, sizes)
+
+
+def settled(listed: DataFrame, hot: DataFrame, ids: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The labels after the listed pairs and the rounds over the shingles of many nodes."""
+    labels = merged(ids.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("label")), materialise(verified(listed, sets)))
+    total, turn, found, tested = hot.count(), 0, 0, 1
     token = Window.partitionBy("token")
     while total:
-        live = hot.withColumn("label", F.col("doc"))
-        if labels is not None:
-            live = hot.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
+        live = hot.join(labels.withColumnRenamed("node", "doc"), "doc")
         # Shingles whose nodes are all in one component are done.
         live = live.withColumn("lo", F.min("label").over(token)).withColumn("hi", F.max("label").over(token)).filter("lo <> hi").drop("lo", "hi")
         live = materialise(live)
-        groups = live.groupBy("token", "label").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("s"), F.sum(F.expr("c * c")).alias("q"))
-        left = groups.agg(F.sum(F.expr("(s * s - q) / 2"))).first()[0] or 0
+        # The size of a component is that among the nodes at hand.
+        whole = live.select("doc", "label").distinct().groupBy("label").agg(F.count("*").alias("size"))
+        groups = live.groupBy("token", "label").agg(F.count("*").alias("rows")).join(whole, "label")
+        larger = F.row_number().over(token.orderBy(F.desc("size"), F.desc("label"))) - 1
+        groups = materialise(groups.withColumn("larger", larger))
+        left = groups.agg(F.sum(F.col("rows") * F.col("larger"))).first()[0]
         if not left:
             break
-        more = more and left > 4 * total
-        if more:
-            rank = F.col("doc") if turn == 0 else F.xxhash64("doc", F.lit(turn))
-            pivot = F.min(F.struct(rank.alias("r"), "doc", "n", "pos", "label")).over(token)
-            pairs = live.withColumn("p", pivot).select("*", *(F.col(f"p.{c}").alias(f"p_{c}") for c in ("doc", "n", "pos", "label")))
-            pairs = pairs.filter(F.col("label") != F.col("p_label")).filter(candidate())
-            pairs = pairs.select(F.least("doc", "p_doc").alias("a"), F.greatest("doc", "p_doc").alias("b")).distinct()
-        else:
-            pairs = all_pairs(live, F.col("label") != F.col("p_label"))
-        new = materialise(verified(suffix_filtered(pairs, sizes), sets))
-        found = not new.isEmpty()
-        if found:
-            links = links.union(new)
-            labels = components(links)
-        if not more:
+        # Pivots go on while they link a tenth of what they test; or any, while too much is left to list.
+        last = turn > 0 and 10 * found < tested and (not found or left <= MOST_LEFT * total)
+        pairs = materialise(suffix_filtered(cross_pairs(live, groups) if last else pivot_pairs(live, turn), sizes))
+        new = materialise(verified(pairs, sets))
+        labels = merged(labels, new)
+        if last:
             break
-        turn, more = turn + 1, found
+        turn, found, tested = turn + 1, new.count(), max(1, pairs.count())
     return labels
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id: one row for each row of ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    with small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession), scratch(docs.sparkSession):
         sets, sketch = measured(docs)
         named = sets.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("node"))
         nodes = materialise(named.filter("node is not null and n > 0").select(F.col("node").alias("doc_id")).distinct())
         postings = prefixes(docs.filter("doc_id is not null"), nodes, sketch).select("doc", "n", F.posexplode("prefix").alias("pos", "token"))
         shared = postings.withColumn("c", F.count("*").over(Window.partitionBy("token"))).filter("c > 1")
         labels = node_links(materialise(shared), docs, sets.select("doc_id", "n", "sizes"))
+        labels = labels if labels is None else materialise(labels.filter("node <> label"), keep=True)
     rows = sets.select("doc_id", "h1", "h2", "n").join(named, ["h1", "h2", "n"], "left")
     # A set without shingles links with nothing: its document is its own component.
     node = F.when(F.col("n") > 0, F.col("node")).otherwise(F.col("doc_id"))
