@@ -6,10 +6,10 @@ tokens with a digit count as one wildcard. Lines at one leaf are generalised: a
 template. A template that at least ``MIN_DOCS`` documents hold is recurring, and all its lines are dropped from all of them. Lines
 of fewer than ``MIN_TOKENS`` tokens, blank ones too, are never dropped.
 
-Equal lines are one content, compared once: a content that ``MIN_DOCS`` documents hold makes whatever it is part of recurring, and of
-the others one or two documents are known by their least and greatest id. First only hashes of the contents' leaves are counted; contents at
-leaves that fewer documents reach are never compared. The others are read from one text that holds them, so texts are shuffled once,
-by id. Counts first take a document's lines together, then documents, with partial sums before each shuffle.
+First only hashes of the leaves are counted; the lines at leaves that fewer documents reach are never compared. Of the others equal
+lines are one content, compared once: a content that ``MIN_DOCS`` documents hold makes whatever it is part of recurring, and of the rest
+one or two documents are known by their least and greatest id. Contents are read from one text that holds them, so texts are shuffled once,
+by id. Tokens meet at their places of the leaf, and only those that stay go back to their line.
 
 Nulls: a null text has no lines and stays null; null ids are one document. Rows with an equal id are one document in the counts, and their
 lines are told apart by a hash of the text. An empty table gives an empty result; other columns are kept, but for those named like
@@ -18,7 +18,7 @@ the results.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.llm.common import materialise
@@ -51,20 +51,32 @@ def line_rows(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "body", "no", leaf.alias("leaf"), F.xxhash64(F.btrim("line", F.lit(" \t\n\x0b\x0c\r"))).alias("content"))
 
 
+# Stands for a null id.
+NO_ID = -(1 << 63)
+
+
+def at_recurring_leaves(rows: DataFrame) -> DataFrame:
+    """The rows of ``rows`` at leaves that MIN_DOCS documents reach."""
+    per_doc = rows.groupBy("leaf", "doc_id").agg(F.lit(1).alias("one"))
+    held = per_doc.groupBy("leaf").agg(F.count("*").alias("docs")).filter(F.col("docs") >= MIN_DOCS).select("leaf")
+    return rows.join(held, "leaf", "left_semi")
+
+
 def contents(rows: DataFrame) -> DataFrame:
-    """leaf, content, many (MIN_DOCS documents hold it), lo, hi (least and greatest of them), rep (one place of it)."""
+    """leaf, content, many (MIN_DOCS documents hold it), lo, hi (least and greatest of them), and one place of it: _id, _body, no."""
     per_doc = rows.groupBy("leaf", "content", "doc_id").agg(F.min(F.struct("body", "no")).alias("b"))
-    made = per_doc.groupBy("leaf", "content").agg(
-        (F.count("*") >= MIN_DOCS).alias("many"), F.min(F.struct("doc_id")).alias("lo"), F.max(F.struct("doc_id")).alias("hi"), F.min(F.struct("doc_id", "b")).alias("rep")
-    )
+    number = F.coalesce("doc_id", F.lit(NO_ID))
+    made = per_doc.groupBy("leaf", "content").agg((F.count("*") >= MIN_DOCS).alias("many"), F.min(number).alias("lo"), F.max(number).alias("hi"), F.min(F.struct("doc_id", "b")).alias("rep"))
     return made.select("leaf", "content", "many", "lo", "hi", F.col("rep.doc_id").alias("_id"), F.col("rep.b.body").alias("_body"), F.col("rep.b.no").alias("no"))
 
 
-def recurring(rows: DataFrame, key: str) -> DataFrame:
-    """The values of ``key`` that MIN_DOCS documents have. ``rows``: key, many, lo, hi."""
-    each = rows.select(key, "many", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("doc"))
-    per_doc = each.groupBy(key, "doc").agg(F.max("many").alias("many"))
-    return per_doc.groupBy(key).agg(F.max("many").alias("many"), F.count("*").alias("docs")).filter(F.col("many") | (F.col("docs") >= MIN_DOCS)).select(key)
+def marked(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` with held: MIN_DOCS documents have the row's ``key``. By windows over the key, so that rows meet once."""
+    own = Window.partitionBy(key)
+    rows = rows.withColumn("_first", F.min("lo").over(own)).withColumn("_last", F.max("hi").over(own)).withColumn("_many", F.max("many").over(own))
+    other = F.col("lo").isin(F.col("_first"), F.col("_last")) & F.col("hi").isin(F.col("_first"), F.col("_last"))
+    rows = rows.withColumn("_third", F.max(~other).over(own))
+    return rows.withColumn("held", F.col("_many") | (F.col("_third") & (F.col("_first") < F.col("_last")))).drop("_first", "_last", "_many", "_third")
 
 
 def own_row() -> Column:
@@ -75,25 +87,23 @@ def dropped_contents(keyed: DataFrame, compared: DataFrame) -> DataFrame:
     """leaf, content of the lines of recurring templates. ``keyed``: doc_id, text, body; ``compared``: see contents."""
     listed = compared.groupBy("_id", "_body").agg(F.collect_list(F.struct("no", "leaf", "content", "many", "lo", "hi")).alias("held"))
     rows = keyed.join(listed, own_row()).select(F.split("text", "\n").alias("lines"), F.explode("held").alias("h"))
-    rows = rows.select("h.leaf", "h.content", "h.many", "h.lo", "h.hi", F.posexplode(tokens(F.element_at("lines", F.col("h.no") + 1))).alias("place", "token"))
-    cells = rows.select("leaf", "content", "many", "lo", "hi", "place", F.xxhash64("leaf", "place", masked(F.col("token"))).alias("cell"))
-    kept = recurring(cells, "cell").withColumn("stays", F.lit(True))
-    general = F.when(F.col("stays"), F.col("cell")).otherwise(F.xxhash64("place", F.lit(WILDCARD)))
-    made = cells.join(kept, "cell", "left").groupBy("leaf", "content").agg(
-        F.bit_xor(general).alias("general"), F.bit_xor("cell").alias("whole"), F.count("stays").alias("same"), F.count("*").alias("size"), F.max("many").alias("many"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
-    )
-    template = F.when(F.col("same") >= F.col("size") * SIMILAR, F.xxhash64("leaf", "size", "general")).otherwise(F.xxhash64(F.lit("own"), "leaf", "whole"))
-    made = made.select("leaf", "content", "many", "lo", "hi", template.alias("template"))
-    return made.join(recurring(made, "template"), "template", "left_semi").select("leaf", "content")
+    rows = rows.select("h.leaf", "h.content", "h.many", "h.lo", "h.hi", tokens(F.element_at("lines", F.col("h.no") + 1)).alias("tokens"))
+    cells = rows.select(F.xxhash64("leaf", "content").alias("row"), "leaf", "many", "lo", "hi", F.posexplode("tokens").alias("place", "token"))
+    cells = cells.select("row", "many", "lo", "hi", F.xxhash64("leaf", "place", masked(F.col("token"))).alias("cell"))
+    stay = marked(cells, "cell").filter("held").groupBy("row").agg(F.bit_xor("cell").alias("general"), F.count("*").alias("same"))
+    whole = F.xxhash64(F.transform("tokens", masked))
+    lines_ = rows.select("leaf", "content", "many", "lo", "hi", F.size("tokens").alias("size"), whole.alias("whole"), F.xxhash64("leaf", "content").alias("row")).join(stay, "row", "left")
+    # The leaf holds the number of tokens, so the tokens that stay tell the template.
+    template = F.when(F.col("same") >= F.col("size") * SIMILAR, F.xxhash64("leaf", "general")).otherwise(F.xxhash64(F.lit("own"), "leaf", "whole"))
+    return marked(lines_.select("leaf", "content", "many", "lo", "hi", template.alias("template")), "template").filter("held").select("leaf", "content")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text, ...) with n_lines, n_dropped and clean_text (what is left, joined by line feeds)."""
     rows = docs.select(*(f"`{c}`" for c in docs.columns if c not in RESULTS))
     keyed = rows.filter("text is not null").withColumn("body", F.xxhash64("text"))
-    found = materialise(line_rows(rows.filter("text is not null")))
-    held = contents(found)
-    compared = materialise(held.join(recurring(held, "leaf"), "leaf", "left_semi"))
+    found = materialise(at_recurring_leaves(materialise(line_rows(rows.filter("text is not null")))))
+    compared = materialise(contents(found))
     dropped = found.join(dropped_contents(keyed.select("doc_id", "text", "body"), compared), ["leaf", "content"], "left_semi")
     dropped = dropped.groupBy(F.col("doc_id").alias("_id"), F.col("body").alias("_body")).agg(F.collect_set("no").alias("dropped"))
     joined = keyed.join(dropped, own_row(), "left")
