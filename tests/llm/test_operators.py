@@ -6,10 +6,13 @@ import random
 import re
 import zlib
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from waymark.llm import decontaminate, html, language, mixing, ngram_join, quality, sharding, suffix, templates, urls
+from waymark.llm.common import LOWER_VALUES, SpanHash, utf8, word_spans
 
 DATA = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -297,6 +300,71 @@ def test_contamination(spark, edges, empty):
     assert decontaminate.contamination(empty, bench).count() == 0 and decontaminate.contamination(edges, bench.filter("false")).count() == 0
 
 
+def best_run(items, i, text):
+    """Similarity, first word and words of the best run of any length, by comparing all of them."""
+    weight, size = dict(zip(text, items.weight(text), strict=True)), items.sizes[i]
+    weigh = lambda s: 1 + sum(int(weight[w]) if w in weight else int(items.weight(items.words[i][items.words[i] == w])[0]) for w in s)
+    cut = lambda w: [tuple(w[k : k + size].tolist()) for k in range(len(w) - size + 1)]
+    item, runs = collections.Counter(cut(items.words[i])), cut(text)
+    total, best = sum(weigh(s) * n for s, n in item.items()), (0.0, 0, 0)
+    weights = [weigh(s) for s in runs]
+    for a in range(len(runs)):
+        common, own, seen = 0, 0, collections.Counter()
+        for b in range(a, len(runs)):
+            seen[runs[b]] += 1
+            own += weights[b]
+            common += weights[b] if seen[runs[b]] <= item[runs[b]] else 0
+            best = max(best, (common / (total + own - common), -a, a - b - size))
+    return best[0], -best[1], -best[2]
+
+
+def edited(words, kind, edits, own):
+    """``words`` with some deleted, inserted or exchanged."""
+    words = list(words)
+    for _ in range(edits):
+        k = own.randrange(len(words))
+        words[k : k + 1] = {"delete": [], "insert": [words[k], own.choice(VOCABULARY)], "exchange": [own.choice(VOCABULARY)]}[kind]
+    return words
+
+
+def leaks(own, count):
+    """Items as rows of the group, and texts that hold edited ones: (text, item)."""
+    rows = [Row(item_id=i, text=prose(n, 700 + i)) for i, n in enumerate([9, 14, 22, 31, 40, 48, 57, 59, 75, 90])]
+    rows.append(Row(item_id=10, text=" ".join([prose(12, 730)] * 3)))  # repeated shingles
+    texts = []
+    for k in range(count):
+        i = own.randrange(len(rows))
+        words = rows[i].text.split()
+        words = edited(words, ["delete", "insert", "exchange"][k % 3], own.randint(0, len(words) // 14), own)
+        host = prose(own.randint(0, 60), 9000 + k).split()
+        at = own.randint(0, len(host))
+        texts.append((" ".join(host[:at] + words + host[at:]), i))
+    return rows, texts
+
+
+def compared(rows, texts):
+    """What the group finds, and what comparing each text with its item finds at 0.75 or more: {(text, item): (similarity, first word, words)}."""
+    items = decontaminate.Items(rows)
+    got = {(d, i): rest for d, i, *rest in items.search(pa.array([t for t, _ in texts]))}
+    want = {}
+    for d, (text, i) in enumerate(texts):
+        data, offsets = utf8(pa.array([text]))
+        starts, ends, _ = word_spans(data, offsets)
+        run = best_run(items, i, SpanHash(data, LOWER_VALUES)(starts, ends))
+        if run[0] >= 0.75:
+            want[d, i] = list(run)
+    return got, want
+
+
+def test_runs_of_every_length():
+    """Passages with words deleted, inserted or exchanged, those just over the threshold too, have the similarity of their best run."""
+    rows, texts = leaks(random.Random(21), 240)
+    got, want = compared(rows, texts)
+    assert sum(s < 0.8 for s, *_ in want.values()) > 10
+    assert {k: v for k, v in got.items() if k in want} == {k: v for k, v in want.items() if k in got}
+    assert len(want.keys() & got.keys()) > 0.9 * len(want) and not {k for k in got if texts[k[0]][1] == k[1]} - want.keys()
+
+
 def test_multi_index_is_complete():
     """Every fingerprint within the radius shares a listed key with the item."""
     import numpy as np

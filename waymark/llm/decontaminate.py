@@ -7,13 +7,14 @@ Words are cut at white space, A-Z lower-cased. A word weighs 0 to 3 by how few i
 2. Window and item have 64-bit SimHashes of their weighted words. Four blocks of 16 bits index the items: if two fingerprints
    differ in at most 16 bits, some block differs in at most 4 (the first) or 3 (the others). Every key within that
    distance of an item's block lists the item, so no fingerprint within the radius is missed.
-3. Candidates that pass are placed exactly: every run of as many words as the item has near the window is compared by
+3. Candidates that pass are placed exactly: runs of every length near the window are compared with the item by
    weighted five-word shingles (an item of fewer words is one shingle); a shingle weighs one more than its words do,
-   repeats count, and similarity is common weight over united weight. From 0.75 on it is a hit.
+   repeats count, and similarity is common weight over united weight. From 0.75 on it is a hit. A run of that similarity weighs at
+   most the item's weight / 0.75, which bounds how far from the window it can reach; its first and last shingle are the item's.
 
 The items are dealt into groups of bounded size; each group is sent to the tasks and meets all documents, so memory does not
 depend on the number of items. Null or empty texts and items match nothing. Each row of the documents is searched on its own;
-repeated item ids count as one item with the best of its texts. Ties: the earliest place.
+repeated item ids count as one item with the best of its texts. Ties: the earliest place, then the shortest run.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ THRESHOLD = 0.75
 GROUP_BYTES = 4 << 20  # item text sent to the tasks at once
 WEIGHT_SLOTS = 1 << 18
 STEP_BYTES = 1 << 20
+CELLS = 1 << 18  # starts and ends of runs that are compared at once
 FACTORS = mix(np.arange(101, 101 + SHINGLE, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -100,7 +102,9 @@ class Items:
                 self.sizes.append(min(SHINGLE, len(w)))
                 keys, place, count = np.unique(runs_of(w, self.sizes[-1]), return_index=True, return_counts=True)
                 self.shingles.append((keys, count, self.run_weights(w, self.sizes[-1])[place]))
-        self.known = HashTable(np.unique(np.concatenate([np.zeros(0, np.uint64), *(s[0] for s, k in zip(self.shingles, self.sizes, strict=True) if k == SHINGLE)])))
+        self.known = {size: HashTable(np.unique(np.concatenate([s[0] for s, k in zip(self.shingles, self.sizes, strict=True) if k == size]))) for size in set(self.sizes)}
+        self.totals = np.array([(count * weight).sum() for _, count, weight in self.shingles], np.int64)
+        self.reach = np.floor(self.totals / THRESHOLD).astype(np.int64)  # the greatest weight of a run that can pass
         self.longest = max([1, *map(len, self.words), *by_class])
         prints = [Votes(w, self.weight(w), self.longest).fingerprint(np.array([0]), np.array([len(w)]))[0] for w in self.words]
         self.classes = {size: self.indexed(np.array(members), np.array([prints[m] for m in members], np.uint64)) for size, members in by_class.items()}
@@ -141,9 +145,8 @@ class Items:
         if not n or not self.ids:
             return
         votes = Votes(words, self.weight(words), self.longest)
-        hit = self.known.find(runs_of(words, SHINGLE)) >= 0
-        known = np.concatenate(([0], np.cumsum(hit)))
-        best: dict[tuple[int, int], tuple[float, int, int]] = {}
+        shingles = {size: self.shingles_of(words, size) for size in self.known}
+        regions = []
         for size, (members, prints, blocks) in self.classes.items():
             step = max(1, round(size / STEPS_PER_WINDOW))
             at, end = self.windows(first, size, step)
@@ -162,23 +165,35 @@ class Items:
                 pairs.append(window[near].astype(np.int64) * len(members) + item[near])
             pairs = np.unique(np.concatenate(pairs))
             window, item = pairs // len(members), members[pairs % len(members)]
-            if size >= SHINGLE:
-                # The exact test needs shingles that some item holds: too few of them around the window, and no place can pass.
-                slack = 2 * step + size // 4 + 1
-                lo = np.minimum(np.maximum(at[window] - slack, 0), len(hit))
-                hi = np.minimum(end[window] + slack, len(hit))
-                length = np.array([len(w) for w in self.words])[item]
-                ok = (length < 2 * SHINGLE) | (known[np.maximum(hi, lo)] - known[lo] >= (length - SHINGLE + 1) * 0.25)
-                window, item = window[ok], item[ok]
-            doc = np.searchsorted(first, at[window], "right") - 1
-            for w, i, d in zip(window.tolist(), item.tolist(), doc.tolist(), strict=True):
-                seen = best.get((d, i))
-                if seen is None or seen[0] < 1.0:
-                    got = self.placed(words, int(first[d]), int(first[d + 1]), int(at[w]), int(end[w]), i, step)
-                    if got and (seen is None or got[0] > seen[0]):
-                        best[d, i] = got
-        for (d, i), (similarity, place, count) in sorted(best.items()):
-            yield d, i, similarity, place, count
+            regions.append(self.regions(first, shingles[min(size, SHINGLE)], min(size, SHINGLE), at[window], at[window], end[window], item))
+        best: dict[tuple[int, int], tuple[float, int, int]] = {}
+        for d, i, lo, hi in merged(regions):
+            got = self.placed(*shingles[self.sizes[i]][:2], lo, hi, i)
+            if got and ((d, i) not in best or got[0] > best[d, i][0]):
+                best[d, i] = got
+        for (d, i), (similarity, begin, end) in sorted(best.items()):
+            yield d, i, similarity, begin - int(first[d]), end - begin + self.sizes[i] - 1
+
+    def shingles_of(self, words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Runs of ``size`` words, running sums of their weights, and of the weights of those that some item holds."""
+        runs = runs_of(words, size)
+        weights = self.run_weights(words, size)
+        known = self.known[size].find(runs) >= 0
+        return runs, np.concatenate(([0], np.cumsum(weights))), np.concatenate(([0], np.cumsum(weights * known)))
+
+    def regions(self, first: np.ndarray, shingles: tuple, size: int, word: np.ndarray, begin: np.ndarray, end: np.ndarray, item: np.ndarray):
+        """doc, item, and the first shingle and end of where a run can lie that passes and overlaps the shingles from ``begin`` to ``end``.
+
+        ``word``: a word of the text. Left out are regions in which all shingles that any item holds weigh too little.
+        """
+        runs, sums, known = shingles
+        doc = np.searchsorted(first, word, "right") - 1
+        lo = np.searchsorted(sums, sums[np.minimum(begin, len(runs))] - self.reach[item])
+        hi = np.searchsorted(sums, sums[np.minimum(end, len(runs))] + self.reach[item], "right") - 1
+        lo, hi = np.maximum(lo, first[doc]), np.minimum(hi, first[doc + 1] - size + 1)
+        ok = np.flatnonzero(hi > lo)
+        ok = ok[known[hi[ok]] - known[lo[ok]] >= THRESHOLD * self.totals[item[ok]]]
+        return doc[ok], item[ok], lo[ok], hi[ok]
 
     @staticmethod
     def windows(first: np.ndarray, size: int, step: int) -> tuple[np.ndarray, np.ndarray]:
@@ -191,32 +206,51 @@ class Items:
         at = np.concatenate((at, (begin + sizes - size)[long & ((sizes - size) % step > 0)]))
         return np.concatenate((at, begin[short])), np.concatenate((at + size, (begin + sizes)[short]))
 
-    def placed(self, words: np.ndarray, a: int, b: int, at: int, end: int, i: int, step: int) -> tuple[float, int, int] | None:
-        """Similarity, first word in the text and words of the best run near the window, if it reaches the threshold."""
-        length, size = min(len(self.words[i]), b - a), self.sizes[i]
-        slack = step + abs(end - at - length) + 1
-        lo, hi = max(a, at - slack), min(b, end + slack)
-        if hi - lo < length or length < size:
-            return None
-        near = words[lo:hi]
-        runs, weights = runs_of(near, size), self.run_weights(near, size)
+    def placed(self, runs: np.ndarray, sums: np.ndarray, lo: int, hi: int, i: int) -> tuple[float, int, int] | None:
+        """Similarity, first shingle and end of the best run of any length in the region, if it reaches the threshold.
+
+        ``sums``: running sums of the weights of ``runs``. A shingle of a run counts unless as many of its kind as the item has precede it in the run.
+        """
         keys, counts, key_weights = self.shingles[i]
-        place = np.searchsorted(keys, runs)
+        place = np.searchsorted(keys, runs[lo:hi])
         place[place == len(keys)] = 0
-        known = keys[place] == runs
-        if not known.any():
+        at = np.flatnonzero(keys[place] == runs[lo:hi])
+        key = place[at]
+        gain, at, total = key_weights[key], at + lo, int(self.totals[i])
+        order = np.argsort(key, kind="stable")
+        ordered = key[order]
+        rank = np.arange(len(at)) - np.searchsorted(ordered, ordered)
+        full = np.flatnonzero(rank >= counts[ordered])
+        before = np.full(len(at), -1)
+        before[order[full]] = order[full - counts[ordered[full]]]
+        last = np.searchsorted(sums[at + 1], sums[at] + self.reach[i], "right")
+        gained = np.concatenate(([0], np.cumsum(gain)))
+        starts = np.flatnonzero(gained[last] - gained[:-1] >= THRESHOLD * total)
+        if not len(starts):
             return None
-        per = length - size + 1
-        tally = np.zeros((len(runs) - per + 1, len(keys)), np.int32)
-        for k in range(per):
-            own = known[k : k + len(tally)]
-            np.add.at(tally, (np.flatnonzero(own), place[k : k + len(tally)][own]), 1)
-        common = np.minimum(tally, counts) @ key_weights
-        sums = np.concatenate(([0], np.cumsum(weights)))
-        united = (counts * key_weights).sum() + sums[per:][: len(tally)] - sums[: len(tally)] - common
-        similarity = common / united
-        k = int(similarity.argmax())
-        return (float(similarity[k]), lo + k - a, length) if similarity[k] >= THRESHOLD else None
+        widest = int((last - np.arange(len(at)))[starts].max())
+        step = max(1, min(widest, CELLS // widest))
+        best = None
+        for part in np.split(starts, np.flatnonzero(np.diff(starts // step)) + 1):
+            begin, end = part[:, None], np.arange(part[0], last[part].max())
+            common = np.cumsum(np.where((end >= begin) & (before[end] < begin), gain[end], 0), axis=1)
+            united = total + sums[at[end] + 1] - sums[at[begin]] - common
+            similarity = common / np.maximum(united, 1)
+            a, b = divmod(int(similarity.argmax()), len(end))
+            if similarity[a, b] >= THRESHOLD and (best is None or similarity[a, b] > best[0]):
+                best = float(similarity[a, b]), int(at[part[a]]), int(at[end[b]]) + 1
+        return best
+
+
+def merged(regions: list) -> list[tuple[int, int, int, int]]:
+    """doc, item, first shingle and end of the regions, overlapping ones of one text and item as one."""
+    out: list = []
+    for d, i, lo, hi in sorted(row for r in regions for row in zip(*(c.tolist() for c in r), strict=True)):
+        if out and out[-1][:2] == (d, i) and lo <= out[-1][3]:
+            out[-1] = d, i, out[-1][2], max(hi, out[-1][3])
+        else:
+            out.append((d, i, lo, hi))
+    return out
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
