@@ -365,6 +365,21 @@ def test_runs_of_every_length():
     assert len(want.keys() & got.keys()) > 0.9 * len(want) and not {k for k in got if texts[k[0]][1] == k[1]} - want.keys()
 
 
+def test_no_passage_is_missed():
+    """Exact and edited passages at every phase of the windows, those without a window within the radius too."""
+    rows, texts = leaks(random.Random(22), 300)
+    rows.append(Row(item_id=11, text=prose(3, 740)))
+    for i, row in enumerate(rows):
+        texts += [(f"{prose(k, 9500 + k)} {row.text} {prose(40 - k, 9600 + k)}", i) for k in range(12)]
+    got, want = compared(rows, texts)
+    assert got == want | {k: v for k, v in got.items() if texts[k[0]][1] != k[1]} and len(want) > 300
+    radius, decontaminate.RADIUS = decontaminate.RADIUS, -1  # no window is within it
+    try:
+        assert compared(rows, texts)[0] == got
+    finally:
+        decontaminate.RADIUS = radius
+
+
 def test_multi_index_is_complete():
     """Every fingerprint within the radius shares a listed key with the item."""
     import numpy as np

@@ -7,6 +7,8 @@ Words are cut at white space, A-Z lower-cased. A word weighs 0 to 3 by how few i
 2. Window and item have 64-bit SimHashes of their weighted words. Four blocks of 16 bits index the items: if two fingerprints
    differ in at most 16 bits, some block differs in at most 4 (the first) or 3 (the others). Every key within that
    distance of an item's block lists the item, so no fingerprint within the radius is missed.
+   A window that lies further off is found by shingles instead: a run of the similarity holds one of any shingles that are over a
+   quarter of the item's weight, so those that the fewest items hold are looked up at every word of every text. Nothing is missed.
 3. Candidates that pass are placed exactly: runs of every length near the window are compared with the item by
    weighted five-word shingles (an item of fewer words is one shingle); a shingle weighs one more than its words do,
    repeats count, and similarity is common weight over united weight. From 0.75 on it is a hit. A run of that similarity weighs at
@@ -39,6 +41,7 @@ THRESHOLD = 0.75
 GROUP_BYTES = 4 << 20  # item text sent to the tasks at once
 WEIGHT_SLOTS = 1 << 18
 STEP_BYTES = 1 << 20
+PAIRS = 1 << 21  # places and items that are looked at together
 CELLS = 1 << 18  # starts and ends of runs that are compared at once
 FACTORS = mix(np.arange(101, 101 + SHINGLE, dtype=np.uint64)) | np.uint64(1)
 
@@ -105,10 +108,26 @@ class Items:
         self.known = {size: HashTable(np.unique(np.concatenate([s[0] for s, k in zip(self.shingles, self.sizes, strict=True) if k == size]))) for size in set(self.sizes)}
         self.totals = np.array([(count * weight).sum() for _, count, weight in self.shingles], np.int64)
         self.reach = np.floor(self.totals / THRESHOLD).astype(np.int64)  # the greatest weight of a run that can pass
+        self.rare = {size: self.by_shingle(size) for size in self.known}
         self.longest = max([1, *map(len, self.words), *by_class])
         prints = [Votes(w, self.weight(w), self.longest).fingerprint(np.array([0]), np.array([len(w)]))[0] for w in self.words]
         self.classes = {size: self.indexed(np.array(members), np.array([prints[m] for m in members], np.uint64)) for size, members in by_class.items()}
 
+    def by_shingle(self, size: int) -> tuple[HashTable, np.ndarray, np.ndarray]:
+        """Shingles of which every run that passes holds one, and for each the items it stands for: offsets and items."""
+        own = [i for i, k in enumerate(self.sizes) if k == size]
+        held = np.bincount(self.known[size].find(np.concatenate([self.shingles[i][0] for i in own])))
+        listed = []
+        for i in own:
+            keys, counts, weights = self.shingles[i]
+            order = np.lexsort((keys, held[self.known[size].find(keys)]))
+            before = np.cumsum((counts * weights)[order]) - (counts * weights)[order]
+            # Without the shingles before this one a run can still reach the threshold, so this one is listed too.
+            listed.append(keys[order[self.totals[i] - before >= THRESHOLD * self.totals[i]]])
+        items = np.repeat(np.array(own), [len(k) for k in listed])
+        keys, place = np.unique(np.concatenate(listed), return_inverse=True)
+        return HashTable(keys), np.concatenate(([0], np.cumsum(np.bincount(place)))), items[np.argsort(place, kind="stable")]
+
     @staticmethod
     def class_of(n: int) -> int:
         """The nominal length of the class that holds ``n`` words; exact up to nine words."""
@@ -166,6 +185,8 @@ class Items:
             pairs = np.unique(np.concatenate(pairs))
             window, item = pairs // len(members), members[pairs % len(members)]
             regions.append(self.regions(first, shingles[min(size, SHINGLE)], min(size, SHINGLE), at[window], at[window], end[window], item))
+        for size, own in shingles.items():
+            regions.extend(self.by_rare_shingles(first, own, size))
         best: dict[tuple[int, int], tuple[float, int, int]] = {}
         for d, i, lo, hi in merged(regions):
             got = self.placed(*shingles[self.sizes[i]][:2], lo, hi, i)
@@ -174,6 +195,20 @@ class Items:
         for (d, i), (similarity, begin, end) in sorted(best.items()):
             yield d, i, similarity, begin - int(first[d]), end - begin + self.sizes[i] - 1
 
+    def by_rare_shingles(self, first: np.ndarray, shingles: tuple, size: int):
+        """The regions around the listed shingles in the texts."""
+        table, where, listed = self.rare[size]
+        key = table.find(shingles[0])
+        at = np.flatnonzero(key >= 0)
+        begin = where[key[at]]
+        count = where[key[at] + 1] - begin
+        pairs = np.cumsum(count)
+        for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(pairs // PAIRS)) + 1):
+            each = count[part]
+            place = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each) + np.repeat(begin[part], each)
+            word = np.repeat(at[part], each)
+            yield self.regions(first, shingles, size, word, word + 1, word, listed[place])
+
     def shingles_of(self, words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Runs of ``size`` words, running sums of their weights, and of the weights of those that some item holds."""
         runs = runs_of(words, size)
