@@ -380,6 +380,17 @@ def test_no_passage_is_missed():
         decontaminate.RADIUS = radius
 
 
+def test_groups_of_items_change_nothing(spark, monkeypatch):
+    """Weights of words are those over all items, however many groups these are dealt into."""
+    own = random.Random(31)
+    items = [(i, f"which of the following {VOCABULARY[i % 7]} {VOCABULARY[i % 3]} {prose(12, 800 + i)}") for i in range(60)] + [(60, ""), (61, None)]
+    docs = [(k, " ".join([prose(20, 9700 + k), *edited(items[k % 60][1].split(), "exchange", 1, own), prose(20, 9800 + k)])) for k in range(120)]
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    one = sorted(decontaminate.contamination(*frames).collect())
+    monkeypatch.setattr(decontaminate, "GROUP_BYTES", 1500)
+    assert sorted(decontaminate.contamination(*frames).collect()) == one and len(one) > 20
+
+
 def test_multi_index_is_complete():
     """Every fingerprint within the radius shares a listed key with the item."""
     import numpy as np

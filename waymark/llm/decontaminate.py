@@ -14,7 +14,7 @@ Words are cut at white space, A-Z lower-cased. A word weighs 0 to 3 by how few i
    repeats count, and similarity is common weight over united weight. From 0.75 on it is a hit. A run of that similarity weighs at
    most the item's weight / 0.75, which bounds how far from the window it can reach; its first and last shingle are the item's.
 
-The items are dealt into groups of bounded size; each group is sent to the tasks and meets all documents, so memory does not
+The items are dealt into groups of bounded size, all with the same weights of words; each group is sent to the tasks and meets all documents, so memory does not
 depend on the number of items. Null or empty texts and items match nothing. Each row of the documents is searched on its own;
 repeated item ids count as one item with the best of its texts. Ties: the earliest place, then the shortest run.
 """
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import LOWER_VALUES, HashTable, SpanHash, mix, steps, utf8, word_spans
+from waymark.llm.common import LOWER_VALUES, HashTable, SpanHash, mix, signed, steps, utf8, word_spans
 
 RADIUS = 16
 BLOCKS = ((0, 4), (16, 3), (32, 3), (48, 3))  # first bit, largest distance
@@ -38,6 +38,7 @@ CLASS_GROWTH = 1.2
 STEPS_PER_WINDOW = 8
 SHINGLE = 5
 THRESHOLD = 0.75
+COMMON = 0.08  # the least share of items of words that weigh less than 3
 GROUP_BYTES = 4 << 20  # item text sent to the tasks at once
 WEIGHT_SLOTS = 1 << 18
 STEP_BYTES = 1 << 20
@@ -54,6 +55,40 @@ def runs_of(words: np.ndarray, size: int) -> np.ndarray:
     return mix(out + np.uint64(size))
 
 
+def hashed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, and the index of each text's first word (and of the end)."""
+    data, offsets = utf8(column)
+    starts, ends, first = word_spans(data, offsets)
+    return SpanHash(data, LOWER_VALUES)(starts, ends), first
+
+
+def distinct(column: pa.Array) -> np.ndarray:
+    """Hashes of the distinct words of each text."""
+    words, first = hashed(column)
+    return np.concatenate([np.zeros(0, np.uint64), *(np.unique(words[a:b]) for a, b in zip(first[:-1], first[1:], strict=True))])
+
+
+def word_weights(held, total: int) -> np.ndarray:
+    """Weight of each slot of the hash, from words and the numbers of items that hold them: words that share a slot share the weight."""
+    out = np.full(WEIGHT_SLOTS, 3, np.int8)
+    for h, n in held:
+        share, at = n / max(16, total), int(h) & (WEIGHT_SLOTS - 1)
+        out[at] = min(out[at], 0 if share >= 0.3 else 1 if share >= 0.15 else 2 if share >= COMMON else 3)
+    return out
+
+
+def shared_weights(items: DataFrame) -> np.ndarray:
+    """word_weights over all items. Only words of a share of COMMON or more are collected: at most 1 / COMMON times the words of a mean item."""
+
+    def count(batches):
+        for batch in steps(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(signed(distinct(batch.column("text"))))], ["h"])
+
+    total = items.count()
+    held = items.select("text").mapInArrow(count, "h long").groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON * max(16, total))
+    return word_weights(held.collect(), total)
+
+
 class Votes:
     """SimHashes of any windows of up to ``longest`` words, from running sums of the weighted bits.
 
@@ -79,22 +114,12 @@ class Votes:
 class Items:
     """A group of items and its index."""
 
-    def __init__(self, rows: list):
+    def __init__(self, rows: list, weights: np.ndarray | None = None):
+        """``weights``: see word_weights; None if the rows are all items."""
         column = pa.array([r.text or "" for r in rows], pa.string())
-        data, offsets = utf8(column)
-        starts, ends, first = word_spans(data, offsets)
-        words = SpanHash(data, LOWER_VALUES)(starts, ends)
-        held = defaultdict(int)
+        words, first = hashed(column)
         own = [words[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
-        for w in own:
-            for h in set(w.tolist()):
-                held[h] += 1
-        # By a slot of the hash: words that share a slot share the weight, in items and documents alike.
-        self.weights = np.full(WEIGHT_SLOTS, 3, np.int8)
-        for h, n in held.items():
-            share = n / max(16, len(rows))
-            at = h & (WEIGHT_SLOTS - 1)
-            self.weights[at] = min(self.weights[at], 0 if share >= 0.3 else 1 if share >= 0.15 else 2 if share >= 0.08 else 3)
+        self.weights = word_weights(zip(*np.unique(distinct(column), return_counts=True), strict=True), len(rows)) if weights is None else weights
         self.ids, self.words, self.sizes, self.shingles = [], [], [], []
         by_class = defaultdict(list)
         for r, w in zip(rows, own, strict=True):
@@ -157,11 +182,8 @@ class Items:
 
     def search(self, column: pa.Array):
         """(row, item, similarity, first word, words) of the best place of each item in each text."""
-        data, offsets = utf8(column)
-        starts, ends, first = word_spans(data, offsets)
-        words = SpanHash(data, LOWER_VALUES)(starts, ends)
-        n = len(words)
-        if not n or not self.ids:
+        words, first = hashed(column)
+        if not len(words) or not self.ids:
             return
         votes = Votes(words, self.weight(words), self.longest)
         shingles = {size: self.shingles_of(words, size) for size in self.known}
@@ -295,10 +317,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = 1 + total // GROUP_BYTES
+    weights = shared_weights(items)
     schema = "doc_id long, item_id long, similarity double, first_word long, n_words long"
     parts = []
     for g in range(groups):
-        group = Items(items.filter(F.pmod(F.xxhash64("item_id"), F.lit(groups)) == g).orderBy("item_id", "text").collect())
+        group = Items(items.filter(F.pmod(F.xxhash64("item_id"), F.lit(groups)) == g).orderBy("item_id", "text").collect(), weights)
         parts.append(docs.mapInArrow(searcher(spark.sparkContext.broadcast(group)), schema))
     out = reduce(DataFrame.union, parts)
     best = F.max_by(F.struct("similarity", "first_word", "n_words"), F.struct("similarity", -F.col("first_word")))
