@@ -233,6 +233,15 @@ def test_line_templates(spark, empty):
     assert templates.deduplicated(empty).count() == 0
 
 
+def test_lines_of_two_documents(spark):
+    """A line, a template and a passage of exactly two documents are dropped in both, plain copies too; what one document repeats stays."""
+    rows = [(None, f"the same line in two documents\n{prose(12, 61)}"), (1, f"{prose(11, 62)}\nthe same line in two documents"), (2, f"Host a17 answered after 20 ms\n{prose(60, 63)}")]
+    rows += [(3, f"{prose(60, 63)}\nHost a18 answered after 31 ms"), (4, "said twice by one only\nsaid twice by one only"), (5, prose(30, 64)), (6, prose(30, 64))]
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.clean_text) for r in templates.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_templates(rows)
+    assert [got[i][1] for i in (None, 1, 2, 3, 4, 5, 6)] == [1, 1, 2, 2, 0, 1, 1]
+
+
 def test_line_templates_edges(edges):
     out = templates.deduplicated(edges)
     assert out.count() == len(EDGES)

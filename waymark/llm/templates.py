@@ -3,12 +3,13 @@
 Lines are split at white space; the first levels of the tree are a line's number of tokens and its ``LEADS`` leading tokens, where
 tokens with a digit count as one wildcard. Lines at one leaf are generalised: a token stays in the template if at its place at least
 ``MIN_DOCS`` documents have it, else it becomes the wildcard; a line of which less than ``SIMILAR`` of the tokens stay is its own
-template. A template that at least ``MIN_DOCS`` documents hold is recurring, and all its lines are dropped from all of them. Lines
-of fewer than ``MIN_TOKENS`` tokens, blank ones too, are never dropped.
+template. A template that at least ``MIN_DOCS`` documents hold is recurring, and all its lines are dropped from all of them, the first
+occurrence too: of a document that stands twice in the table no such line is left in either copy, so drop plain copies before if one
+is to stay. Lines of fewer than ``MIN_TOKENS`` tokens, blank ones too, are never dropped.
 
 First only hashes of the leaves are counted; the lines at leaves that fewer documents reach are never compared. Of the others equal
-lines are one content, compared once: a content that ``MIN_DOCS`` documents hold makes whatever it is part of recurring, and of the rest
-one or two documents are known by their least and greatest id. Contents are read from one text that holds them, so texts are shuffled once,
+lines are one content, compared once, with the least and the greatest id of the documents that hold it: what two documents hold has two
+different ones. Contents are read from one text that holds them, so texts are shuffled once,
 by id. Tokens meet at their places of the leaf, and only those that stay go back to their line.
 
 Nulls: a null text has no lines and stays null; null ids are one document. Rows with an equal id are one document in the counts, and their
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from waymark.llm.common import materialise
 
 LEADS = 2
-MIN_DOCS = 3  # the counts below rely on three: fewer documents are a least and a greatest id
+MIN_DOCS = 2  # the counts below rely on two: a least id that is not the greatest
 MIN_TOKENS = 4
 SIMILAR = 0.6
 WILDCARD = "<*>"
@@ -63,20 +64,17 @@ def at_recurring_leaves(rows: DataFrame) -> DataFrame:
 
 
 def contents(rows: DataFrame) -> DataFrame:
-    """leaf, content, many (MIN_DOCS documents hold it), lo, hi (least and greatest of them), and one place of it: _id, _body, no."""
+    """leaf, content, lo, hi (least and greatest document that hold it), and one place of it: _id, _body, no."""
     per_doc = rows.groupBy("leaf", "content", "doc_id").agg(F.min(F.struct("body", "no")).alias("b"))
     number = F.coalesce("doc_id", F.lit(NO_ID))
-    made = per_doc.groupBy("leaf", "content").agg((F.count("*") >= MIN_DOCS).alias("many"), F.min(number).alias("lo"), F.max(number).alias("hi"), F.min(F.struct("doc_id", "b")).alias("rep"))
-    return made.select("leaf", "content", "many", "lo", "hi", F.col("rep.doc_id").alias("_id"), F.col("rep.b.body").alias("_body"), F.col("rep.b.no").alias("no"))
+    made = per_doc.groupBy("leaf", "content").agg(F.min(number).alias("lo"), F.max(number).alias("hi"), F.min(F.struct("doc_id", "b")).alias("rep"))
+    return made.select("leaf", "content", "lo", "hi", F.col("rep.doc_id").alias("_id"), F.col("rep.b.body").alias("_body"), F.col("rep.b.no").alias("no"))
 
 
 def marked(rows: DataFrame, key: str) -> DataFrame:
     """``rows`` with held: MIN_DOCS documents have the row's ``key``. By windows over the key, so that rows meet once."""
     own = Window.partitionBy(key)
-    rows = rows.withColumn("_first", F.min("lo").over(own)).withColumn("_last", F.max("hi").over(own)).withColumn("_many", F.max("many").over(own))
-    other = F.col("lo").isin(F.col("_first"), F.col("_last")) & F.col("hi").isin(F.col("_first"), F.col("_last"))
-    rows = rows.withColumn("_third", F.max(~other).over(own))
-    return rows.withColumn("held", F.col("_many") | (F.col("_third") & (F.col("_first") < F.col("_last")))).drop("_first", "_last", "_many", "_third")
+    return rows.withColumn("held", F.min("lo").over(own) < F.max("hi").over(own))
 
 
 def own_row() -> Column:
@@ -85,17 +83,17 @@ def own_row() -> Column:
 
 def dropped_contents(keyed: DataFrame, compared: DataFrame) -> DataFrame:
     """leaf, content of the lines of recurring templates. ``keyed``: doc_id, text, body; ``compared``: see contents."""
-    listed = compared.groupBy("_id", "_body").agg(F.collect_list(F.struct("no", "leaf", "content", "many", "lo", "hi")).alias("held"))
+    listed = compared.groupBy("_id", "_body").agg(F.collect_list(F.struct("no", "leaf", "content", "lo", "hi")).alias("held"))
     rows = keyed.join(listed, own_row()).select(F.split("text", "\n").alias("lines"), F.explode("held").alias("h"))
-    rows = rows.select("h.leaf", "h.content", "h.many", "h.lo", "h.hi", tokens(F.element_at("lines", F.col("h.no") + 1)).alias("tokens"))
-    cells = rows.select(F.xxhash64("leaf", "content").alias("row"), "leaf", "many", "lo", "hi", F.posexplode("tokens").alias("place", "token"))
-    cells = cells.select("row", "many", "lo", "hi", F.xxhash64("leaf", "place", masked(F.col("token"))).alias("cell"))
+    rows = rows.select("h.leaf", "h.content", "h.lo", "h.hi", tokens(F.element_at("lines", F.col("h.no") + 1)).alias("tokens"))
+    cells = rows.select(F.xxhash64("leaf", "content").alias("row"), "leaf", "lo", "hi", F.posexplode("tokens").alias("place", "token"))
+    cells = cells.select("row", "lo", "hi", F.xxhash64("leaf", "place", masked(F.col("token"))).alias("cell"))
     stay = marked(cells, "cell").filter("held").groupBy("row").agg(F.bit_xor("cell").alias("general"), F.count("*").alias("same"))
     whole = F.xxhash64(F.transform("tokens", masked))
-    lines_ = rows.select("leaf", "content", "many", "lo", "hi", F.size("tokens").alias("size"), whole.alias("whole"), F.xxhash64("leaf", "content").alias("row")).join(stay, "row", "left")
+    lines_ = rows.select("leaf", "content", "lo", "hi", F.size("tokens").alias("size"), whole.alias("whole"), F.xxhash64("leaf", "content").alias("row")).join(stay, "row", "left")
     # The leaf holds the number of tokens, so the tokens that stay tell the template.
     template = F.when(F.col("same") >= F.col("size") * SIMILAR, F.xxhash64("leaf", "general")).otherwise(F.xxhash64(F.lit("own"), "leaf", "whole"))
-    return marked(lines_.select("leaf", "content", "many", "lo", "hi", template.alias("template")), "template").filter("held").select("leaf", "content")
+    return marked(lines_.select("leaf", "content", "lo", "hi", template.alias("template")), "template").filter("held").select("leaf", "content")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
