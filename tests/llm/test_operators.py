@@ -82,6 +82,17 @@ def test_quality_holds_out(spark):
 # 2: language
 
 
+def test_language_of_few_rows_is_learned(spark):
+    """The sample is bounded for each language, and takes the least hashes of each."""
+    rows = [(i, prose(30, 40_000 + i), "en") for i in range(1500)] + [(5000 + i, "zuvo krawt plumq zyx wovv " * 4, "rare") for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(df, sample_rows=20)
+    assert model.langs == ["en", "rare"] and model.predict(pa.array(["krawt zyx plumq", rows[0][1]]))[0] == ["rare", "en"]
+    hashes = sorted((r.h, r.doc_id) for r in df.filter("lang = 'en'").select(F.xxhash64("doc_id").alias("h"), "doc_id").collect())
+    chosen = language.sampled(df.union(df.filter("lang = 'rare'")), 20).collect()
+    assert {r.doc_id for r in chosen if r.lang == "en"} == {i for _, i in hashes[:20]} and len(chosen) == 30
+
+
 def test_language_holds_out(documents, edges, empty):
     model = language.fit(language.training_rows(documents))
     rows = language.identify(documents.withColumn("held", language.held_out()), model).filter("held and lang is not null").collect()

@@ -1,7 +1,7 @@
 """Language identification: known words by their log frequency per language, unseen words by ever shorter character n-grams.
 
-The model is fitted on at most ``SAMPLE_ROWS`` labelled rows (those with the least hash of their id), so its size does not
-depend on the corpus. A word is a run of letters of the lower-cased text. A word seen at least ``MIN_COUNT`` times in training
+The model is fitted on at most ``SAMPLE_ROWS`` labelled rows of each language (those with the least hash of their id), so its size does
+not depend on the corpus, and a language is learned however few of all rows it has. A word is a run of letters of the lower-cased text. A word seen at least ``MIN_COUNT`` times in training
 scores its log frequency in each language. Any other word scores the mean over its characters: at each one the 4-gram that
 starts there (word ends included), if unknown the 3-gram, then the 2-gram, then the letter; each step down costs the same in every language.
 The text's language has the highest sum; the score is its share of exp(sum) over all languages.
@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 
 from waymark.llm.common import HashTable, SpanHash, mix, signed, steps
 
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 4000  # per language
+HASH_BITS = 14  # classes of hashes that are counted to find the least ones
 MIN_COUNT = 3
-MODEL_ROWS = 40_000  # per language and kind
 GRAMS = (4, 3, 2, 1)
 WORDS = 0  # kind of the word rows; the others are the lengths in GRAMS
 
@@ -126,17 +126,25 @@ class Model:
         return [self.langs[i] if w else "und" for i, w in zip(top, any_word, strict=True)], np.where(any_word, share, 0.0).tolist()
 
 
+def sampled(rows: DataFrame, sample_rows: int) -> DataFrame:
+    """Of each lang the ``sample_rows`` rows (doc_id, text, lang) with the least hash of their id.
+
+    Counts by class of the hash tell first which classes are needed, so that only a few more rows than these are sorted.
+    """
+    rows = rows.withColumn("h", F.xxhash64("doc_id")).withColumn("class", F.shiftright("h", 64 - HASH_BITS))
+    counts = rows.groupBy("lang", "class").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("class")) - F.col("n")
+    needed = counts.select("lang", "class", before.alias("before")).filter(F.col("before") < sample_rows).groupBy("lang").agg(F.max("class").alias("bound"))
+    near = rows.join(F.broadcast(needed), "lang").filter(F.col("class") <= F.col("bound"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id", F.xxhash64("text")))
+    return near.withColumn("r", rank).filter(F.col("r") <= sample_rows).select("doc_id", "text", "lang")
+
+
 def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """A model from the rows of ``labelled`` (doc_id, text, lang) with both text and lang."""
-    rows = labelled.filter("text is not null and lang is not null").select("doc_id", "text", "lang")
-    chosen = rows.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    bound = chosen.agg(F.max(F.struct(F.xxhash64("doc_id").alias("h"), "doc_id"))).first()[0]
-    if bound is None:
-        return Model([])
-    rows = rows.filter(F.struct(F.xxhash64("doc_id").alias("h"), "doc_id") <= F.struct(F.lit(bound.h).alias("h"), F.lit(bound.doc_id).cast("long").alias("doc_id")))
+    """A model from the rows of ``labelled`` (doc_id, text, lang) with both text and lang, at most ``sample_rows`` of each lang."""
+    rows = sampled(labelled.filter("text is not null and lang is not null").select("doc_id", "text", "lang"), sample_rows)
     counts = rows.select("text", "lang").mapInArrow(counted, "lang string, kind int, h long, c long").groupBy("lang", "kind", "h").agg(F.sum("c").alias("c"))
-    kept = counts.filter(F.col("c") >= MIN_COUNT).withColumn("r", F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("c"), "h")))
-    return Model(kept.filter(F.col("r") <= MODEL_ROWS).drop("r").collect())
+    return Model(counts.filter(F.col("c") >= MIN_COUNT).collect())
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
