@@ -101,6 +101,25 @@ def calibrate(scored: DataFrame, label: str = "label", score: str = "probability
     return Pipeline(stages=[assembler, isotonic]).fit(scored)
 
 
+def cross_calibrated(df: DataFrame, features: list[str], label: str = "label", key: str = "case_id", folds: int = 5, **forest) -> list:
+    """Per fold (rows by the hash of ``key``) the classifier of the other rows and the isotonic calibration of its scores of the fold's rows."""
+    fold = F.pmod(F.xxhash64(key), F.lit(folds))
+    models = []
+    for k in range(folds):
+        classifier = train_classifier(df.filter(fold != k), features, label, **forest)
+        models.append((classifier, calibrate(score(classifier, df.filter(fold == k), 0.5), label)))
+    return models
+
+
+def calibrated_scores(models: list, df: DataFrame, out: str = "calibrated") -> DataFrame:
+    """Mean of the calibrated scores of all folds."""
+    rows, parts = df, [f"_calibrated_{k}" for k in range(len(models))]
+    for part, (classifier, isotonic) in zip(parts, models, strict=True):
+        known = rows.columns
+        rows = isotonic.transform(score(classifier, rows, 0.5)).select(*known, F.col("calibrated").alias(part))
+    return rows.withColumn(out, sum((F.col(p) for p in parts), F.lit(0.0)) / len(parts)).select(*df.columns, out)
+
+
 def score(model, df: DataFrame, threshold: float, out: str = "probability_error") -> DataFrame:
     """Probability of an error and the state: potential error only above the threshold."""
     from pyspark.ml.functions import vector_to_array

@@ -181,16 +181,15 @@ def standardised_features(t):
 @query("classifier_scores")
 def classifier_scores(t):
     df = _labelled(t)
-    models = {m: (tr.train_classifier(df.filter(F.col("metric") == m), FEATURES, trees=5, depth=4), 0.9) for m in ("TbT", "HDR")}
-    models["combined"] = (tr.train_classifier(df, FEATURES, trees=5, depth=4), 0.9)
+    models = {m: (tr.train_classifier(df.filter(F.col("metric") == m), FEATURES), 0.9) for m in ("TbT", "HDR")}
+    models["combined"] = (tr.train_classifier(df, FEATURES), 0.9)
     return tr.classify(models, df).groupBy("metric", "error_label").agg(F.count("*").alias("n"), F.avg("probability_error").alias("mean_probability"))
 
 
 @query("classifier_calibrated")
 def classifier_calibrated(t):
     df = _labelled(t)
-    scored = tr.score(tr.train_classifier(df, FEATURES, trees=5, depth=4), df, 0.5)
-    out = tr.calibrate(scored).transform(scored)
+    out = tr.calibrated_scores(tr.cross_calibrated(df, FEATURES), df)
     return out.agg(F.avg("calibrated").alias("mean_calibrated"), F.avg("label").alias("mean_label"), F.count("*").alias("n"))
 
 
