@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import decontaminate, html, language, mixing, ngram_join, quality, sharding, suffix, templates, urls
+from waymark.llm import audit, decontaminate, html, language, mixing, ngram_join, quality, sharding, suffix, templates, urls
 from waymark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,39 @@ def op4_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query(r"""
+WITH texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+words AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM texts),
+firsts AS (SELECT t, min(doc_id) AS least FROM texts GROUP BY t),
+marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+judged AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, {
+    'A': len(w) < 50, 'B': 100 * len(list_distinct(w)) < 65 * len(w), 'C': 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * len(t),
+    'D': regexp_matches(t, '[#$%&*|]'), 'E': coalesce(doc_id > least, false)} AS f
+  FROM words JOIN firsts USING (t) LEFT JOIN marks USING (doc_id)),
+masks AS (SELECT part, good, toxic, f, count(*) AS n FROM judged GROUP BY ALL),
+letters(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (
+  SELECT filter_order, s AS step, filter_order[s] AS x, filter_order[1:s - 1] AS before FROM orders, range(1, 6) r(s)),
+failed AS (
+  SELECT part, good, toxic, n, concat(CASE WHEN f.A THEN 'A' END, CASE WHEN f.B THEN 'B' END, CASE WHEN f.C THEN 'C' END, CASE WHEN f.D THEN 'D' END, CASE WHEN f.E THEN 'E' END) AS fails FROM masks),
+outcomes AS (
+  SELECT part, good, toxic, n, filter_order, step, x, contains(fails, x) AS hit, fails = x AS alone,
+    before <> '' AND regexp_matches(fails, '[' || coalesce(nullif(before, ''), 'Z') || ']') AS gone FROM failed, steps),
+counted AS (
+  SELECT part, filter_order, step, any_value(x) AS x, sum(CASE WHEN NOT hit AND NOT gone THEN n ELSE 0 END) AS kept, sum(CASE WHEN hit AND NOT gone THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN hit AND gone THEN n ELSE 0 END) AS redundant, sum(CASE WHEN alone THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN hit AND NOT gone AND good THEN n ELSE 0 END) AS good_lost, sum(CASE WHEN hit AND NOT gone AND toxic THEN n ELSE 0 END) AS toxic_lost
+  FROM outcomes GROUP BY part, filter_order, step)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+  good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley
+FROM counted
+""")
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return audit.audited(docs, table(spark, sf_dir, "labels"))
