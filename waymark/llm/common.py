@@ -8,7 +8,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.session import ensure_checkpoint_dir
@@ -160,9 +160,9 @@ def steps(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             at = end
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of each word, and the index of each text's first word (and of the end)."""
-    inside = ~SEPARATOR[data]
+    inside = ~separator[data]
     before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
     before[1:], after[:-1] = inside[:-1], inside[1:]
     edges = offsets[(offsets > 0) & (offsets < len(data))]
@@ -216,16 +216,20 @@ class Ids:
 
     SHIFTS = (0, 18, 36)
 
-    def __init__(self, ids: DataFrame, count: int):
+    def __init__(self, ids: DataFrame, count: int, hashed: Column | None = None):
+        """``hashed``: the 64-bit hash that stands for a row of ``ids``; that of its doc_id if not given."""
         self.mask = min(FILTER_BITS, max(1 << 15, 1 << (16 * count).bit_length())) - 1
-        bit = F.explode(F.array(*(F.shiftrightunsigned(F.xxhash64("doc_id"), k).bitwiseAND(self.mask) for k in self.SHIFTS)))
+        hashed = F.xxhash64("doc_id") if hashed is None else hashed
+        bit = F.explode(F.array(*(F.shiftrightunsigned(hashed, k).bitwiseAND(self.mask) for k in self.SHIFTS)))
         rows = ids.select(bit.alias("bit")).groupBy(F.shiftright("bit", 15).alias("part")).agg(F.bitmap_construct_agg(F.col("bit").bitwiseAND(32767)).alias("bits")).collect()
         self.bits = np.zeros((self.mask + 1) // 8, np.uint8)
         for row in rows:
             self.bits[row.part << 12 : (row.part + 1) << 12] = np.frombuffer(row.bits, np.uint8)
 
     def hold(self, hashes: pa.Array) -> np.ndarray:
-        h = hashes.to_numpy(zero_copy_only=False).view(np.uint64)
+        return self.holds(hashes.to_numpy(zero_copy_only=False).view(np.uint64))
+
+    def holds(self, h: np.ndarray) -> np.ndarray:
         ok = np.ones(len(h), bool)
         for k in self.SHIFTS:
             bit = (h >> np.uint64(k)) & np.uint64(self.mask)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import audit, decontaminate, html, language, mixing, ngram_join, quality, sharding, suffix, templates, urls
+from waymark.llm import audit, collocations, decontaminate, html, language, mixing, ngram_join, quality, sharding, suffix, templates, urls
 from waymark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -200,3 +200,32 @@ FROM counted
 def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return audit.audited(docs, table(spark, sf_dir, "labels"))
+
+
+@query(rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (VALUES (1), (2), (3)) lengths(k) WHERE len(w) >= k)),
+f AS (SELECT lang, phrase, any_value(k) AS k, count(*) AS a FROM grams GROUP BY lang, phrase),
+totals AS (SELECT lang, count(*) AS n FROM grams WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND a >= 10),
+longer AS (
+  SELECT lang, inner_phrase, max(a) AS most FROM (
+    SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS inner_phrase FROM candidates WHERE k = 3) GROUP BY lang, inner_phrase),
+kept AS (
+  SELECT c.* FROM candidates c LEFT JOIN longer o ON o.lang = c.lang AND o.inner_phrase = c.phrase AND c.k = 2 WHERE o.most IS NULL OR 100 * o.most < 50 * c.a),
+cuts AS (
+  SELECT lang, phrase, a, cut, array_to_string(w[1:cut], ' ') AS head, array_to_string(w[cut + 1:], ' ') AS tail FROM (SELECT *, unnest(range(1, k)) AS cut FROM kept)),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.cut, h.a AS l, t.a AS r, (1000000::HUGEINT * c.a * c.a) // (h.a::HUGEINT * t.a) AS score
+  FROM cuts c JOIN f h ON h.lang = c.lang AND h.phrase = c.head JOIN f t ON t.lang = c.lang AND t.phrase = c.tail),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM lowest)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+""")
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.collocations(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
