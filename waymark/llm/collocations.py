@@ -55,7 +55,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def slices(data: np.ndarray, offsets: np.ndarray, limit: int = SLICE) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+def slices(data: np.ndarray, offsets: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
     """Bytes, offsets of the texts (an end too) and place in ``data``, of about ``limit`` bytes each. Cut only where a piece ends."""
     at = 0
     while at < len(data):
@@ -91,9 +91,9 @@ def numbered(hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, lengths:
 class Grams:
     """Words and n-gram fingerprints of a slice."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, langs: np.ndarray):
-        """``langs``: the hash of each text's language."""
-        self.data = data
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, langs: np.ndarray, bits: int = 64):
+        """``langs``: the hash of each text's language. ``bits`` of a fingerprint are used."""
+        self.data, self.mask = data, np.uint64((1 << bits) - 1)
         self.starts, self.ends, first = word_spans(data, offsets, WORD_END)
         self.text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
         self.hashes = SpanHash(data, LOWER_VALUES)(self.starts, self.ends)
@@ -109,29 +109,29 @@ class Grams:
         return np.flatnonzero(self.piece[n - 1 :] == self.piece[: len(self.piece) - n + 1])
 
     def prints(self, at: np.ndarray, n: int) -> np.ndarray:
-        return mix(self.spans(at, at + n) ^ self.lang[at])
+        return mix((self.spans(at, at + n) ^ self.lang[at]) & self.mask)
 
 
 def lang_hash(name: str) -> int:
     return int.from_bytes(hashlib.blake2b(name.encode(), digest_size=8).digest(), "little")
 
 
-def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Grams, pa.RecordBatch, np.ndarray]]:
+def grams(batches: Iterator[pa.RecordBatch], limit: int, bits: int) -> Iterator[tuple[Grams, pa.RecordBatch, np.ndarray]]:
     """Slices with the rows they come from and the byte where the slice begins in each text."""
-    for b in steps(batches, limit=SLICE):
+    for b in steps(batches, limit=limit):
         data, offsets = utf8(b.column("text"))
         langs = b.column("lang").dictionary_encode()
         hashes = np.array([lang_hash(x) for x in langs.dictionary.to_pylist()], np.uint64)[langs.indices.to_numpy()]
-        for part, inside, at in slices(data, offsets):
-            yield Grams(part, inside, hashes), b, np.maximum(at - offsets[:-1], 0) - inside[:-1]
+        for part, inside, at in slices(data, offsets, limit):
+            yield Grams(part, inside, hashes, bits), b, np.maximum(at - offsets[:-1], 0) - inside[:-1]
 
 
-def counted(docs: DataFrame, n: int, below) -> DataFrame:
+def counted(docs: DataFrame, n: int, below, limit: int = SLICE, bits: int = 64) -> DataFrame:
     """fp, n: the fingerprints of n-grams and their counts. ``below``: broadcast filter of the frequent (n - 1)-grams."""
 
     def count(batches):
         held, size = [], 0
-        for g, _, _ in grams(batches):
+        for g, _, _ in grams(batches, limit, bits):
             at = g.places(n)
             if below is not None:
                 known = np.zeros(len(g.starts), bool)
@@ -153,11 +153,11 @@ def counted(docs: DataFrame, n: int, below) -> DataFrame:
     return docs.select("text", "lang").mapInArrow(count, "fp long, n long").groupBy("fp").agg(F.sum("n").alias("n"))
 
 
-def frequent(docs: DataFrame, longest: int, least: int) -> list:
+def frequent(docs: DataFrame, longest: int, least: int, **how) -> list:
     """For each number of words the broadcast filter of its frequent fingerprints."""
     filters: list = []
     for n in range(1, longest + 1):
-        found = materialise(counted(docs, n, filters[-1] if filters else None).filter(F.col("n") >= least).select("fp"))
+        found = materialise(counted(docs, n, filters[-1] if filters else None, **how).filter(F.col("n") >= least).select("fp"))
         filters.append(docs.sparkSession.sparkContext.broadcast(Ids(found, found.count(), F.col("fp"))))
     return filters
 
@@ -170,13 +170,16 @@ def pointers(doc_id: pa.Array, byte: np.ndarray) -> pa.Array:
     return pc.if_else(doc_id.is_valid(), out, pa.scalar(None, pa.decimal128(38, 0)))
 
 
-def phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
-    """lang, words (int), phrase, n, pointer: all phrases of at most ``longest`` words that occur ``least`` times; words = 0: all words of the language."""
+def phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, limit: int = SLICE, bits: int = 64) -> DataFrame:
+    """lang, words (int), phrase, n, pointer: all phrases of at most ``longest`` words that occur ``least`` times; words = 0: all words of the language.
+
+    ``limit``: bytes of a slice. ``bits``: of a fingerprint; with fewer more of them collide, and the result is the same.
+    """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
-    filters = frequent(docs, longest, least)
+    filters = frequent(docs, longest, least, limit=limit, bits=bits)
 
     def materialised(batches):
-        for g, rows, begin in grams(batches):
+        for g, rows, begin in grams(batches, limit, bits):
             number, where = numbered(g.hashes, LOWER[g.data], g.starts, g.ends - g.starts)
             lengths = (g.ends - g.starts)[where]
             offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
@@ -211,9 +214,9 @@ def phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> Data
     return sums.filter((F.col("n") >= least) | (F.col("words") == 0))
 
 
-def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, top: int = TOP) -> DataFrame:
+def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, top: int = TOP, **how) -> DataFrame:
     """The first ``top`` phrases of each language: lang, rank, phrase, a, l, r, n, score, first_doc_id, first_byte."""
-    known = materialise(phrases(docs, longest, least))
+    known = materialise(phrases(docs, longest, least, **how))
     candidates = known.filter("words >= 2").select("lang", "words", "phrase", F.col("n").alias("a"), "pointer")
     # The runs of fewer words in each candidate, with the count of the most frequent one that holds them.
     words = F.split("phrase", " ", -1)

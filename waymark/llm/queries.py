@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import audit, collocations, decontaminate, html, language, mixing, ngram_join, quality, sharding, suffix, templates, urls
-from waymark.llm.common import table
+from waymark.llm import audit, collocations, decontaminate, html, language, mixing, ngram_join, quality, sharding, suffix, templates, urls, warc
+from waymark.llm.common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -229,3 +229,26 @@ SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN t
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = collocations.collocations(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+
+@query(rf"""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+firsts AS (SELECT payload, min(page_id) AS least FROM payloads GROUP BY payload),
+digests AS (
+  SELECT page_id, payload, least, strlen(payload) AS payload_bytes, list_transform(range(0, 8), lambda i: ('0x' || sha1(payload)[5 * i + 1:5 * i + 5])::BIGINT) AS bits
+  FROM payloads JOIN firsts USING (payload))
+SELECT page_id, payload_bytes, array_to_string(list_transform(bits, lambda b: concat(
+    '{BASE32}'[(b >> 15) + 1], '{BASE32}'[(b >> 10) % 32 + 1], '{BASE32}'[(b >> 5) % 32 + 1], '{BASE32}'[b % 32 + 1])), '') AS payload_digest,
+  CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> least THEN least END AS refers_to
+FROM digests
+""")
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages are written as archives into the shared folder, and every record is read back, its payload verified."""
+    path = f"{shared_path(spark, keep=True)}.warc"
+    warc.write(warc.records(table(spark, sf_dir, "pages")), path)
+    found = warc.read(spark, path).filter(F.col("record_type").isin("response", "revisit"))
+    page, first = (F.col("headers")[name].cast("long") for name in ("page-id", "refers-to-page-id"))
+    return found.select(page.alias("page_id"), "payload_bytes", "payload_digest", "record_type", first.alias("refers_to"))
