@@ -249,6 +249,6 @@ def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages are written as archives into the shared folder, and every record is read back, its payload verified."""
     path = f"{shared_path(spark, keep=True)}.warc"
     warc.write(warc.records(table(spark, sf_dir, "pages")), path)
-    found = warc.read(spark, path).filter(F.col("record_type").isin("response", "revisit"))
+    found = warc.read(spark, path, F.col("record_type").isin("response", "revisit"))
     page, first = (F.col("headers")[name].cast("long") for name in ("page-id", "refers-to-page-id"))
     return found.select(page.alias("page_id"), "payload_bytes", "payload_digest", "record_type", first.alias("refers_to"))

@@ -3,7 +3,9 @@
 - Partitions: the driver lists the archives (``*.warc``, ``*.warc.gz``) and packs small ones together up to ``splitBytes``. An archive is read
   by one task as a stream; the writer starts a new one after ``fileBytes``, so that none grows with the table.
 - Pushed predicates: comparisons of record_type, record_id, target_uri, date, payload_digest and refers_to with values. A record's header
-  is parsed first; if a predicate fails, the payload is neither inflated nor decoded. The writer notes each gzip member's length
+  is parsed first; if a predicate fails, the payload is neither inflated nor decoded. Spark 4.1 remembers what it has pushed into a Python
+  source for all plans of the DataFrame, so that a second, different filter would get the first one's rows. Predicates are therefore given
+  to ``read``: they are pushed into a source of their own, and filters that follow stay above it. ``spark.read`` pushes nothing. The writer notes each gzip member's length
   in its extra field (``sl``), so that the reader seeks to the next record; members without it are inflated and thrown away.
 - Columns: those of ``COLUMNS``; ``schema()`` may name fewer, and without ``payload`` no payload is decoded. A decoded payload must have
   the record's SHA-1 (``verify``), else the task fails.
@@ -41,6 +43,8 @@ from pyspark.sql.datasource import (
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from waymark.operators.barrier import keep_where
+
 COLUMNS = "record_id string, record_type string, target_uri string, date string, payload_digest string, refers_to string, payload_bytes long, headers map<string,string>, payload binary"
 # Fixed values of the format: header names of the columns.
 NAMES = {
@@ -178,16 +182,15 @@ class Plain:
         self.source = source
 
     def begin(self) -> bool:
+        self.at = self.source.tell()
         return bool(self.source.peek(1))
 
     def read(self, n: int) -> bytes:
         return self.source.read(n)
 
-    def skip(self, n: int) -> None:
-        self.source.seek(n, io.SEEK_CUR)
-
-    def end(self) -> None:
-        pass
+    def end(self, size: int) -> None:
+        """Go to the next record, ``size`` bytes behind the start of this one."""
+        self.source.seek(self.at + size)
 
 
 class Zipped:
@@ -229,13 +232,7 @@ class Zipped:
             n -= len(got)
         return b"".join(out)
 
-    def skip(self, n: int) -> None:
-        if self.size:
-            return
-        while n > 0 and (got := self.read(min(n, BLOCK))):
-            n -= len(got)
-
-    def end(self) -> None:
+    def end(self, size: int) -> None:
         """Go to the next member."""
         if self.size:
             self.source.seek(self.at + self.size)
@@ -269,12 +266,6 @@ class Lines:
         out, self.held = self.held[:n], self.held[n:]
         return out if len(out) == n else out + self.source.read(n - len(out))
 
-    def skip(self, n: int) -> None:
-        here = min(n, len(self.held))
-        self.held = self.held[here:]
-        if n > here:
-            self.source.skip(n - here)
-
 
 def field(head: dict[str, str], column: str) -> str | None:
     value = head.get(NAMES[column].lower())
@@ -320,7 +311,7 @@ class WarcReader(DataSourceReader):
     def __init__(self, options: dict, schema: StructType):
         self.path, self.schema, self.columns = options["path"].rstrip("/"), schema, schema.fieldNames()
         self.split = int(options.get("splitbytes", SPLIT_BYTES))
-        self.verify = options.get("verify", "true") == "true"
+        self.verify, self.pushdown = (options.get(k, default) == "true" for k, default in (("verify", "true"), ("pushdown", "false")))
         self.filters: list[Filter] = []
         kinds = dict(x.rsplit(" ", 1) for x in COLUMNS.split(", "))
         if unknown := [c.name for c in schema if kinds.get(c.name) != c.dataType.simpleString().replace("bigint", "long")]:
@@ -328,7 +319,7 @@ class WarcReader(DataSourceReader):
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
-            if test(f):
+            if self.pushdown and test(f):
                 self.filters.append(f)
             else:
                 yield f
@@ -364,21 +355,23 @@ class WarcReader(DataSourceReader):
         """The records that pass, as far as the columns ask for them."""
         while source.begin():
             lines = Lines(source)
-            head, _ = lines.head()
+            head, begin = lines.head()
             if not head.get("", "").startswith("WARC/"):
                 raise ValueError(f"no WARC record: {head.get('', '')[:40]!r}")
+            if not field(head, "record_type"):
+                raise ValueError("a WARC record without a type")
             size = int(head["content-length"])
             if all(fits(field(head, column)) for column, fits in tests):
                 row = {c: field(head, c) for c in NAMES if c in self.columns}
                 if "headers" in self.columns:
                     row["headers"] = [(k, v) for k, v in head.items() if k and k not in FORMAT_NAMES]
-                size -= self.block(head, lines, size, row) if {"payload", "payload_bytes"} & {*self.columns} else 0
+                if {"payload", "payload_bytes"} & {*self.columns}:
+                    self.block(head, lines, size, row)
                 yield row
-            lines.skip(size + 4)
-            source.end()
+            source.end(begin + size + 4)
 
-    def block(self, head: dict[str, str], lines: Lines, size: int, row: dict) -> int:
-        """Fills in the payload and its size; returns the bytes read of the block."""
+    def block(self, head: dict[str, str], lines: Lines, size: int, row: dict) -> None:
+        """Fills in the payload and its size."""
         revisit, http, taken = field(head, "record_type") == "revisit", {}, 0
         if head.get("content-type", "").startswith("application/http"):
             http, taken = lines.head(size)
@@ -390,8 +383,6 @@ class WarcReader(DataSourceReader):
             known = head.get(NAMES["payload_digest"].lower(), "")
             if self.verify and known.startswith(DIGEST) and known.removeprefix(DIGEST) != digest(row["payload"]):
                 raise ValueError(f"the payload of {field(head, 'record_id')} is not the one that was written")
-            return size
-        return taken
 
 
 class WarcSource(DataSource):
@@ -447,6 +438,8 @@ def write(rows: DataFrame, path: str, **options) -> None:
     rows.write.format("warc").mode(options.pop("mode", "append")).options(**options).save(path)
 
 
-def read(spark: SparkSession, path: str, columns: str = COLUMNS, **options) -> DataFrame:
+def read(spark: SparkSession, path: str, where: str | F.Column | None = None, columns: str = COLUMNS, **options) -> DataFrame:
+    """The records that meet ``where``, whose comparisons of header fields are pushed into the reader."""
     register(spark)
-    return spark.read.format("warc").schema(columns).options(**options).load(path)
+    rows = spark.read.format("warc").schema(columns).options(pushdown=str(where is not None).lower(), **options).load(path)
+    return rows if where is None else keep_where(rows.filter(where), F.lit(True))
