@@ -190,15 +190,47 @@ def near_copies(n):
     return out
 
 
-@pytest.mark.parametrize("few, most_left", [(8, 4), (1, 0)])
-def test_jaccard_components(spark, monkeypatch, few, most_left):
-    monkeypatch.setattr(ngram_join, "FEW", few)
-    monkeypatch.setattr(ngram_join, "MOST_LEFT", most_left)  # 0: pivots until they link none
+@pytest.mark.parametrize("few, pivots, block", [(8, 8, 2048), (1, 1, 7), (1, 1, 1)])
+def test_jaccard_components(spark, monkeypatch, few, pivots, block):
+    """Also with next to nothing listed or found by pivots, so that blocks of few nodes do the work."""
+    for name, value in (("FEW", few), ("PIVOTS", pivots), ("BLOCK", block)):
+        monkeypatch.setattr(ngram_join, name, value)
     rows = near_copies(90)
     got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {tuple(r) for r in got.collect()} == brute_components(rows)
 
 
+def test_jaccard_ids_with_several_texts(spark, monkeypatch):
+    """An id that stands for several texts has the links of all of them, also where blocks meet."""
+    for name, value in (("FEW", 1), ("PIVOTS", 1), ("BLOCK", 5)):
+        monkeypatch.setattr(ngram_join, name, value)
+    texts = near_copies(60)
+    rows = [(i % 41, t) for i, t in texts]
+    links = {i: {j for j, _, c in brute_components(texts) if c == own} for i, _, own in brute_components(texts)}
+    least = {i: i for i in range(41)}
+    while True:
+        new = {i: min(least[j % 41] for k in links if k % 41 == i for j in links[k]) for i in least if any(k % 41 == i for k in links)}
+        if new == {i: least[i] for i in new}:
+            break
+        least.update(new)
+    got = collections.Counter(tuple(r) for r in ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == collections.Counter((i % 41, n, least[i % 41]) for i, n, _ in brute_components(texts))
+
+
+def test_blocks_find_what_pairs_find(spark):
+    """Every pair that links is found once by the blocks alone, when each node is a component."""
+    rows = near_copies(50)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").filter("length(text) > 30")
+    sets, sketch = ngram_join.measured(docs)
+    named = sets.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("doc_id"))
+    shared = ngram_join.postings(docs, named.select("doc_id"), sketch)
+    live = shared.drop("c").withColumn("label", F.col("doc")).join(named.withColumnRenamed("doc_id", "doc").select("doc"), "doc")
+    found = collections.Counter(tuple(r) for r in ngram_join.block_pairs(live, sets.select("doc_id", "n", "odd")).collect())
+    items = {r.doc_id: set(next(ngram_join.shingle_sets(pa.array([t]))).tolist()) for r in named.collect() for i, t in rows if i == r.doc_id}
+    want = {(a, b) for a in items for b in items if a < b and 100 * len(items[a] & items[b]) >= 75 * len(items[a] | items[b])}
+    assert want <= set(found) and max(found.values()) == 1 and len(want) > 100
+
+
 def test_jaccard_edges(edges, empty):
     rows = collections.Counter(tuple(r) for r in ngram_join.jaccard_components(edges).collect())
     named = brute_components({i: t for i, t, *_ in EDGES if i is not None}.items())

@@ -4,16 +4,17 @@ The set of a text: lower-case A-Z, words, all distinct runs of five words; a tex
 without words (or null) has an empty set. Two documents link when 100 * |common| >= 75 * |united|.
 
 1. One pass counts all shingles in a sketch of fixed size, which orders them rare first, and gives each text its set's size, hash,
-   and the sizes of 64 ranges of the sorted set.
+   and whether the sizes of 1024 ranges of the set are odd.
 2. Documents with equal sets become one node. A node's prefix is its first n - ceil(0.75 n) + 1 shingles in that order: two
-   nodes that link share a prefix shingle. Prefix shingles held by one node only are dropped.
-3. Candidates pass the length filter, the positional filter on the shingle they share, and the suffix filter: the
-   differences of the range sizes bound the number of shingles that only one of the two holds. Each distinct pair that is
+   nodes that link share a prefix shingle. Prefix shingles are counted, and only those of several nodes are listed with their nodes.
+3. Candidates pass the length filter, the positional filter on the shingle they share, and the suffix filter: a range whose size
+   is odd in one set and even in the other holds a shingle that only one of the two has. Each distinct pair that is
    left is verified once per round, by the exact intersection.
 4. Of shingles with few nodes all pairs are listed. For the others pairs inside one component need no test: each round
-   tests the nodes outside a shingle's largest component against at most ``PIVOTS`` nodes of it, which is linear (the first one all
-   nodes against ``FIRST_PIVOTS``, as there are no components yet); when a round links little, each node
-   is tested against all nodes of the larger components that it shares a shingle with.
+   tests the nodes outside a shingle's largest component against a few pivots of it, which is linear (the first one all
+   nodes against one pivot, as there are no components yet). When a round links little, blocks of nodes outside meet
+   blocks of a shingle's nodes. The three filters are applied to a block at once, and only what passes all becomes a row, in the least
+   shingle that the pair shares.
 
 Nulls: a row with a null id takes the component of rows with an equal set, else null. Rows that share an id are one document
 with the links of all its texts. An empty table gives an empty result; columns other than the id and the text are ignored.
@@ -25,19 +26,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import LOWER_VALUES, SpanHash, bucketed, materialise, mix, only, passed, scratch, signed, small_batches, steps, utf8, word_spans
+from waymark.llm.common import LOWER_VALUES, Ids, SpanHash, bucketed, materialise, mix, only, passed, scratch, signed, small_batches, steps, utf8, word_spans
 
 SHINGLE_WORDS = 5
 THRESHOLD = 75  # percent
 SKETCH_BITS = 19
 SKETCH_CHUNK = 1 << 14
-RANGES = 64
+RANGES = 1024
 FEW = 8  # nodes of a shingle whose pairs are all listed
-MOST_LEFT = 64  # (node, component) per row that are listed while pivots still link any
-FIRST_PIVOTS, PIVOTS = 1, 8  # nodes of a shingle that the others are tested against, in the first round and later
+PIVOTS = 8  # nodes of a shingle that the others are tested against, after the first round
+BLOCK = 2048  # nodes of a shingle that meet as many others in one task
 
 
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
@@ -60,14 +61,14 @@ def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
 
 
 def measured(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """doc_id, n (set size), h1, h2 (hash of the set), sizes (of its ranges, at most 255) of every row; and the sketch.
+    """doc_id, n (set size), h1, h2 (hash of the set), odd (a bit for each range) of every row; and the sketch.
 
     The sketch says how many rows hold a shingle of each of 2^SKETCH_BITS classes. One pass makes both: the last row of a task
     holds its counts.
     """
     mask = np.uint64((1 << SKETCH_BITS) - 1)
-    names = ["doc_id", "n", "h1", "h2", "sizes", "counts"]
-    cuts = np.arange(1, RANGES, dtype=np.uint64) << np.uint64(64 - RANGES.bit_length() + 1)
+    names = ["doc_id", "n", "h1", "h2", "odd", "counts"]
+    shift = np.uint64(64 - RANGES.bit_length() + 1)
 
     def build(batches):
         total = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -77,7 +78,7 @@ def measured(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 size.append(len(s))
                 one.append(int(s.sum(dtype=np.uint64)))
                 two.append(int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)))
-                ranges.append(np.minimum(np.diff(np.concatenate(([0], np.searchsorted(s, cuts), [len(s)]))), 255).astype(np.uint8).tobytes())
+                ranges.append(np.packbits(np.bincount((s >> shift).astype(np.int64), minlength=RANGES) & 1).tobytes())
             total += np.bincount((np.concatenate(sets) & mask).astype(np.int64), minlength=len(total))
             hashes = [pa.array(signed(np.array(x, np.uint64))) for x in (one, two)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size, pa.int32()), *hashes, pa.array(ranges, pa.binary()), pa.nulls(len(size), pa.binary())], names)
@@ -99,7 +100,7 @@ def measured(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     def chunks(parts: dict[int, np.ndarray]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array([x.tobytes() for x in parts.values()], pa.binary())], ["chunk", "counts"])
 
-    both = materialise(docs.mapInArrow(build, "doc_id long, n int, h1 long, h2 long, sizes binary, counts binary"), keep=True)
+    both = materialise(docs.mapInArrow(build, "doc_id long, n int, h1 long, h2 long, odd binary, counts binary"), keep=True)
     schema = "chunk int, counts binary"
     rows = both.filter("counts is not null").select("counts").mapInArrow(cut, schema).repartition("chunk").mapInArrow(add, schema).collect()
     out = np.zeros(1 << SKETCH_BITS, np.int32)
@@ -108,25 +109,42 @@ def measured(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     return both.filter("counts is null").drop("counts"), out
 
 
-def prefixes(docs: DataFrame, nodes: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """doc, n, prefix (its rarest shingles) of the nodes. A copy that the filter lets through is one more node."""
+def postings(docs: DataFrame, nodes: DataFrame, sketch: np.ndarray) -> DataFrame:
+    """token, doc, n, pos, c: the prefix shingles that several nodes hold, with their nodes and places, and how many nodes hold them.
+
+    One scan counts them; the next lists those that a filter of bounded size lets through, and a join with the counts leaves the right
+    ones. A copy that the filter of nodes lets through is one more node.
+    """
     counts = docs.sparkSession.sparkContext.broadcast(sketch)
     mask = np.uint64((1 << SKETCH_BITS) - 1)
     rows, own = only(docs, nodes)
 
+    def heads(batch):
+        for s in shingle_sets(batch.column("text")):
+            n = len(s)
+            order = np.argsort(counts.value[(s & mask).astype(np.int64)], kind="stable")
+            yield n, s[order[: n - -(-THRESHOLD * n // 100) + 1 if n else 0]]
+
+    def count(batches):
+        for batch in passed(batches, own):
+            token, c = np.unique(np.concatenate([x for _, x in heads(batch)]), return_counts=True)
+            yield pa.RecordBatch.from_pydict({"token": signed(token), "c": c.astype(np.int64)})
+
+    several = rows.mapInArrow(count, "token long, c long").groupBy("token").agg(F.sum("c").alias("c")).filter("c > 1")
+    several = materialise(several)
+    held = docs.sparkSession.sparkContext.broadcast(Ids(several, several.count(), F.col("token")))
+
     def build(batches):
         for batch in passed(batches, own):
-            sizes, heads = [], []
-            for s in shingle_sets(batch.column("text")):
-                n = len(s)
-                order = np.argsort(counts.value[(s & mask).astype(np.int64)], kind="stable")
-                sizes.append(n)
-                heads.append(s[order[: n - -(-THRESHOLD * n // 100) + 1 if n else 0]])
-            lengths = np.cumsum([0, *map(len, heads)])
-            lists = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(signed(np.concatenate(heads))))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int32()), lists], ["doc", "n", "prefix"])
+            sizes, found = zip(*heads(batch))
+            lengths = np.array([len(x) for x in found])
+            token, text = np.concatenate(found), np.repeat(np.arange(len(found)), lengths)
+            pos = np.arange(len(token)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            kept = np.flatnonzero(held.value.holds(token))
+            columns = {"token": signed(token[kept]), "doc": batch.column("doc_id").take(pa.array(text[kept])), "n": np.array(sizes, np.int32)[text[kept]], "pos": pos[kept].astype(np.int32)}
+            yield pa.RecordBatch.from_pydict(columns)
 
-    return rows.mapInArrow(build, "doc long, n int, prefix array<long>")
+    return rows.mapInArrow(build, "token long, doc long, n int, pos int").join(several, "token")
 
 
 def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -154,19 +172,26 @@ def linked(x: np.ndarray, y: np.ndarray) -> bool:
     return 100 * common >= THRESHOLD * (len(x) + len(y) - common)
 
 
-def suffix_filtered(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The pairs (a, b) that may link by the sizes of their ranges. ``sizes``: doc_id, n, sizes."""
+def few_apart(differing: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Suffix filter: whether two sets of together ``n`` shingles may link if that many ranges differ. Each holds a shingle of one side only."""
+    return (100 + THRESHOLD) * differing.astype(np.int64) <= (100 - THRESHOLD) * n.astype(np.int64)
+
+
+def bit_rows(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, RANGES // 64)
+
+
+def suffix_filtered(pairs: DataFrame, odd: DataFrame) -> DataFrame:
+    """The pairs (a, b) that may link by their ranges. ``odd``: doc_id, n, odd."""
 
     def test(batches):
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, RANGES).astype(np.int16) for c in ("x", "y"))
+            differing = np.bitwise_count(bit_rows(batch.column("x")) ^ bit_rows(batch.column("y"))).sum(1)
             n = sum(batch.column(c).to_numpy().astype(np.int64) for c in ("n", "m"))
-            # Each range's difference is held by one side only. A size of 255 may be more: it says nothing.
-            apart = np.where((x == 255) | (y == 255), 0, np.abs(x - y)).sum(1)
-            yield batch.select(["a", "b"]).filter(pa.array((100 + THRESHOLD) * apart <= 100 * n - THRESHOLD * n))
+            yield batch.select(["a", "b"]).filter(pa.array(few_apart(differing, n)))
 
-    left = sizes.select(F.col("doc_id").alias("a"), F.col("sizes").alias("x"), "n")
-    right = sizes.select(F.col("doc_id").alias("b"), F.col("sizes").alias("y"), F.col("n").alias("m"))
+    left = odd.select(F.col("doc_id").alias("a"), F.col("odd").alias("x"), "n")
+    right = odd.select(F.col("doc_id").alias("b"), F.col("odd").alias("y"), F.col("n").alias("m"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y", "n", "m").mapInArrow(test, "a long, b long").distinct()
 
 
@@ -205,9 +230,9 @@ def candidate(other: str = "p_") -> Column:
     return may_link("n", "pos", f"{other}n", f"{other}pos")
 
 
-def all_pairs(postings: DataFrame) -> DataFrame:
-    other = postings.select("token", *(F.col(c).alias(f"p_{c}") for c in postings.columns if c not in ("token", "c")))
-    both = postings.join(other, "token").filter(F.col("doc") < F.col("p_doc")).filter(candidate())
+def all_pairs(shared: DataFrame) -> DataFrame:
+    other = shared.select("token", *(F.col(c).alias(f"p_{c}") for c in shared.columns if c not in ("token", "c")))
+    both = shared.join(other, "token").filter(F.col("doc") < F.col("p_doc")).filter(candidate())
     return both.select(F.col("doc").alias("a"), F.col("p_doc").alias("b")).distinct()
 
 
@@ -221,71 +246,99 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return materialise(labels.join(new, "label", "left").select("node", F.coalesce("new", "label").alias("label")))
 
 
+def largest(live: DataFrame) -> DataFrame:
+    """token, c (its nodes), top: the label of most of its nodes."""
+    groups = live.groupBy("token", "label").agg(F.count("*").alias("size"))
+    found = groups.groupBy("token").agg(F.sum("size").alias("c"), F.max(F.struct("size", (-F.col("label")).alias("label"))).alias("most"))
+    return found.select("token", "c", (-F.col("most.label")).alias("top"))
+
+
 def pivot_pairs(live: DataFrame, turn: int) -> DataFrame:
-    """Pairs of nodes of each shingle with a few of them: with the first ones, later of nodes outside its largest component with nodes of it."""
-    order = F.xxhash64("doc", F.lit(turn))
-    if not turn:
-        counted = live.withColumn("_rank", F.row_number().over(Window.partitionBy("token").orderBy(order, "doc")))
-        inside, rest = counted.filter(F.col("_rank") <= FIRST_PIVOTS), counted
-    else:
-        own = Window.partitionBy("token", "label")
-        counted = live.withColumn("_size", F.count("*").over(own)).withColumn("_rank", F.row_number().over(own.orderBy(order, "doc")))
-        largest = F.max(F.struct("_size", -F.col("label"))).over(Window.partitionBy("token"))
-        counted = counted.withColumn("_inside", F.col("label") == -largest["col2"])
-        inside, rest = counted.filter(F.col("_inside") & (F.col("_rank") <= PIVOTS)), counted.filter("not _inside")
-    pivots = inside.select("token", *(F.col(c).alias(f"p_{c}") for c in ("doc", "n", "pos", "label")))
+    """Pairs of nodes of each shingle with a few of them: with one, later of nodes outside its largest component with nodes of it."""
+    inside = rest = live
+    if turn:
+        marked = live.join(largest(live).drop("c"), "token")
+        inside, rest = marked.filter("label = top"), marked.filter("label <> top")
+    # The nodes with the least hashes; each seed gives one.
+    least = [F.min(F.struct(F.xxhash64("doc", F.lit(turn), F.lit(i)).alias("h"), "doc", "n", "pos", "label")) for i in range(PIVOTS if turn else 1)]
+    pivots = inside.groupBy("token").agg(F.array_distinct(F.transform(F.array(*least), lambda x: x.dropFields("h"))).alias("p"))
+    pivots = pivots.select("token", F.explode("p").alias("p")).select("token", *(F.col(f"p.{c}").alias(f"p_{c}") for c in ("doc", "n", "pos", "label")))
     pairs = rest.join(pivots, "token").filter(F.col("label") != F.col("p_label")).filter(candidate())
     return pairs.select(F.least("doc", "p_doc").alias("a"), F.greatest("doc", "p_doc").alias("b")).distinct()
 
 
-def cross_pairs(live: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs of each node with all nodes of the larger components that hold one of its shingles. ``groups``: token, label, size."""
-    other = groups.select("token", F.col("label").alias("other"), F.col("size").alias("other_size"))
-    own = live.join(groups.select("token", "label", "size"), ["token", "label"])
-    larger = (F.col("other_size") > F.col("size")) | ((F.col("other_size") == F.col("size")) & (F.col("other") > F.col("label")))
-    reach = own.join(other, "token").filter(larger).select("doc", "n", "other").distinct()
-    nodes = live.select(F.col("doc").alias("p_doc"), F.col("n").alias("p_n"), F.col("label").alias("other")).distinct()
-    pairs = reach.join(nodes, "other").filter(100 * F.least("n", "p_n") >= THRESHOLD * F.greatest("n", "p_n"))
-    return pairs.select(F.least("doc", "p_doc").alias("a"), F.greatest("doc", "p_doc").alias("b")).distinct()
+def block_pairs(live: DataFrame, odd: DataFrame) -> DataFrame:
+    """All pairs of nodes of different components that share a shingle of ``live`` and pass the filters, each once.
 
-
-def node_links(postings: DataFrame, docs: DataFrame, sizes: DataFrame) -> DataFrame | None:
-    """node, label for the nodes that may link with another. ``postings``: token, doc, n, pos, c (nodes of the shingle)."""
-    listed = materialise(suffix_filtered(all_pairs(postings.filter(F.col("c") <= FEW)), sizes))
-    hot = materialise(postings.filter(F.col("c") > FEW).drop("c"))
+    A shingle's nodes are dealt to blocks of about ``BLOCK``. Each block's nodes outside the largest component meet the nodes of
+    each block. A pair counts in the first shingle that it shares, where the positional filter holds; if that one is not in ``live``, the
+    pair has been tested or is in one component. An id with several texts counts in all its shingles.
+    """
+    texts = odd.select(F.col("doc_id").alias("doc"), "n", "odd").distinct()
+    several = texts.groupBy("doc").agg((F.count("*") > 1).alias("several"))
+    shingles = live.groupBy("doc").agg(F.transform(F.sort_array(F.collect_set(F.struct("pos", "token"))), lambda x: x["token"]).alias("tokens"))
+    rows = live.join(largest(live), "token").join(shingles.join(several, "doc"), "doc").join(texts, ["doc", "n"])
+    rows = rows.withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int"))
+    own, other = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    keep = ["doc", "n", "pos", "label", "odd", "tokens", "several", (F.col("label") != F.col("top")).alias("out")]
+    outside = rows.filter("label <> top").select("token", own.alias("i"), other.alias("j"), F.lit(True).alias("probe"), *keep)
+    every = rows.select("token", other.alias("i"), own.alias("j"), F.lit(False).alias("probe"), *keep)
+
+    def test(key, rows):
+        probe = rows.column("probe").to_numpy(zero_copy_only=False)
+        x, y = (rows.filter(pa.array(p)) for p in (probe, ~probe))
+        a, b = [], []
+        if x.num_rows:
+            doc, n, pos, label, out, several = (y.column(c).to_numpy() for c in ("doc", "n", "pos", "label", "out", "several"))
+            bits, n = bit_rows(y.column("odd")), n.astype(np.int64)
+            tokens = None
+            for k, mine in enumerate(bit_rows(x.column("odd"))):
+                me = {c: x.column(c)[k].as_py() for c in ("doc", "n", "pos", "label", "tokens", "several")}
+                ok = (label != me["label"]) & ~(out & (doc <= me["doc"])) & (100 * np.minimum(n, me["n"]) >= THRESHOLD * np.maximum(n, me["n"]))
+                ok &= (100 + THRESHOLD) * np.minimum(n - pos, me["n"] - me["pos"]) >= THRESHOLD * (n + me["n"])
+                at = np.flatnonzero(ok)
+                at = at[few_apart(np.bitwise_count(bits[at] ^ mine).sum(1), n[at] + me["n"])]
+                if len(at):
+                    tokens, held = tokens or y.column("tokens").to_pylist(), set(me["tokens"])
+                    first = [i for i in at if me["several"] or several[i] or next(t for t in tokens[i] if t in held) == key[0].as_py()]
+                    a += [me["doc"]] * len(first)
+                    b += doc[first].tolist()
+        both = np.array([a, b], np.int64).reshape(2, -1)
+        return pa.table({"a": both.min(0), "b": both.max(0)})
+
+    return outside.union(every).groupBy("token", "i", "j").applyInArrow(test, "a long, b long")
+
+
+def node_links(shared: DataFrame, docs: DataFrame, odd: DataFrame) -> DataFrame | None:
+    """node, label for the nodes that may link with another. ``shared``: token, doc, n, pos, c (nodes of the shingle)."""
+    listed = materialise(suffix_filtered(all_pairs(shared.filter(F.col("c") <= FEW)), odd))
+    hot = materialise(shared.filter(F.col("c") > FEW).drop("c"))
     ids = materialise(listed.select(F.col("a").alias("doc_id")).union(listed.select("b")).union(hot.select("doc")).distinct())
     if ids.isEmpty():
         return None
     with bucketed(sets_of(docs, ids), "doc_id") as sets:
-        return settled(listed, hot, ids, sets, sizes)
+        return settled(listed, hot, ids, sets, odd)
 
 
-def settled(listed: DataFrame, hot: DataFrame, ids: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The labels after the listed pairs and the rounds over the shingles of many nodes."""
+def settled(listed: DataFrame, hot: DataFrame, ids: DataFrame, sets: DataFrame, odd: DataFrame) -> DataFrame:
+    """The labels after the listed pairs, the rounds over the shingles of many nodes and the blocks of what these leave."""
     labels = merged(ids.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("label")), materialise(verified(listed, sets)))
-    total, turn, found, tested = hot.count(), 0, 0, 1
-    token = Window.partitionBy("token")
-    while total:
+    turn, last = 0, False
+    while not last:
         live = hot.join(labels.withColumnRenamed("node", "doc"), "doc")
         # Shingles whose nodes are all in one component are done.
-        live = live.withColumn("lo", F.min("label").over(token)).withColumn("hi", F.max("label").over(token)).filter("lo <> hi").drop("lo", "hi")
-        live = materialise(live)
-        # The size of a component is that among the nodes at hand.
-        whole = live.select("doc", "label").distinct().groupBy("label").agg(F.count("*").alias("size"))
-        groups = live.groupBy("token", "label").agg(F.count("*").alias("rows")).join(whole, "label")
-        larger = F.row_number().over(token.orderBy(F.desc("size"), F.desc("label"))) - 1
-        groups = materialise(groups.withColumn("larger", larger))
-        left = groups.agg(F.sum(F.col("rows") * F.col("larger"))).first()[0]
-        if not left:
+        open_ = live.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token")
+        live = materialise(live.join(open_, "token", "left_semi"))
+        if live.isEmpty():
             break
-        # Pivots go on while they link a tenth of what they test; or any, while too much is left to list.
-        last = turn > 0 and 10 * found < tested and (not found or left <= MOST_LEFT * total)
-        pairs = materialise(suffix_filtered(cross_pairs(live, groups) if last else pivot_pairs(live, turn), sizes))
+        pairs = materialise(suffix_filtered(pivot_pairs(live, turn), odd))
         new = materialise(verified(pairs, sets))
-        labels = merged(labels, new)
-        if last:
-            break
-        turn, found, tested = turn + 1, new.count(), max(1, pairs.count())
+        # Pivots go on while they link a tenth of what they test.
+        last = turn > 0 and 10 * new.count() < max(1, pairs.count())
+        labels, turn = merged(labels, new), turn + 1
+    else:
+        live = materialise(live.drop("label").join(labels.withColumnRenamed("node", "doc"), "doc"))
+        labels = merged(labels, materialise(verified(materialise(block_pairs(live, odd)), sets)))
     return labels
 
 
@@ -296,9 +349,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         sets, sketch = measured(docs)
         named = sets.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("node"))
         nodes = materialise(named.filter("node is not null and n > 0").select(F.col("node").alias("doc_id")).distinct())
-        postings = prefixes(docs.filter("doc_id is not null"), nodes, sketch).select("doc", "n", F.posexplode("prefix").alias("pos", "token"))
-        shared = postings.withColumn("c", F.count("*").over(Window.partitionBy("token"))).filter("c > 1")
-        labels = node_links(materialise(shared), docs, sets.select("doc_id", "n", "sizes"))
+        shared = materialise(postings(docs.filter("doc_id is not null"), nodes, sketch))
+        labels = node_links(shared, docs, sets.select("doc_id", "n", "odd"))
         labels = labels if labels is None else materialise(labels.filter("node <> label"), keep=True)
     rows = sets.select("doc_id", "h1", "h2", "n").join(named, ["h1", "h2", "n"], "left")
     # A set without shingles links with nothing: its document is its own component.
