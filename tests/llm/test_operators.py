@@ -243,36 +243,44 @@ def test_jaccard_edges(edges, empty):
 
 
 def brute_templates(rows):
-    lines = {}
+    """Counter of (doc_id, n_lines, n_dropped, clean_text)."""
+    rows, lines = [(i, text) for i, text, *_ in rows], {}
     for i, text in rows:
-        for no, line in enumerate((text or "").split("\n") if text is not None else []):
+        for no, line in enumerate(text.split("\n") if text is not None else []):
             tokens = ["<*>" if re.search("[0-9]", t) else t for t in WORD.findall(line)]
-            if len(tokens) >= templates.MIN_TOKENS:
-                lines[i, no] = (len(tokens), tuple(tokens[: templates.LEADS]), tokens)
+            if tokens:
+                lines[i, text, no] = (len(tokens), tuple(tokens[: templates.LEADS]), tokens)
     held = collections.defaultdict(set)
-    for (i, _), (n, lead, tokens) in lines.items():
+    for (i, _, _), (n, lead, tokens) in lines.items():
         for place, token in enumerate(tokens):
             held[n, lead, place, token].add(i)
     made, by = {}, collections.defaultdict(set)
-    for (i, no), (n, lead, tokens) in lines.items():
+    for at, (n, lead, tokens) in lines.items():
         stay = [len(held[n, lead, p, t]) >= templates.MIN_DOCS for p, t in enumerate(tokens)]
         general = tuple(t if s else "<*>" for t, s in zip(tokens, stay, strict=True))
-        made[i, no] = (n, lead, general) if sum(stay) >= n * templates.SIMILAR else ("own", n, lead, tuple(tokens))
-        by[made[i, no]].add(i)
-    out = {}
+        enough = sum(stay) >= (n if n < templates.SHORT else n * templates.SIMILAR)
+        made[at] = (n, lead, general) if enough else ("own", n, lead, tuple(tokens))
+        by[made[at]].add(at[0])
+    out = []
     for i, text in rows:
         own = text.split("\n") if text is not None else []
-        left = [x for no, x in enumerate(own) if (i, no) not in made or len(by[made[i, no]]) < templates.MIN_DOCS]
-        out[i] = (len(own), len(own) - len(left), None if text is None else "\n".join(left))
-    return out
+        left = [x for no, x in enumerate(own) if (i, text, no) not in made or len(by[made[i, text, no]]) < templates.MIN_DOCS]
+        out.append((i, len(own), len(own) - len(left), None if text is None else "\n".join(left)))
+    return collections.Counter(out)
+
+
+def lines_left(df):
+    return collections.Counter((r.doc_id, r.n_lines, r.n_dropped, r.clean_text) for r in templates.deduplicated(df).collect())
 
 
 def test_line_templates(spark, empty):
     rows = [(i, f"{prose(12, i)}\nUser {i} logged in from host{i} today\n{prose(9, i + 50)}\nshort one\n\nAll rights are reserved by {VOCABULARY[i]}") for i in range(8)]
     rows += [(20, None), (21, ""), (22, "one line of its own only"), (23, "All rights are reserved by nobody at all"), (24, prose(5000, 9))]
-    got = {r.doc_id: (r.n_lines, r.n_dropped, r.clean_text) for r in templates.deduplicated(spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_dropped", F.lit("x"))).collect()}
+    rows[3] = (3, rows[3][1].replace("\nshort one\n", "\n short\tone \r\n"))
+    got = lines_left(spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_dropped", F.lit("x")))
     assert got == brute_templates(rows)
-    assert got[0][1] == 2 and "short one" in got[0][2]
+    by_id = {i: x for i, *x in got}
+    assert by_id[0][1] == 3 and "short one" not in by_id[0][2] and by_id[0][2].endswith("\n")
     assert templates.deduplicated(empty).count() == 0
 
 
@@ -280,15 +288,34 @@ def test_lines_of_two_documents(spark):
     """A line, a template and a passage of exactly two documents are dropped in both, plain copies too; what one document repeats stays."""
     rows = [(None, f"the same line in two documents\n{prose(12, 61)}"), (1, f"{prose(11, 62)}\nthe same line in two documents"), (2, f"Host a17 answered after 20 ms\n{prose(60, 63)}")]
     rows += [(3, f"{prose(60, 63)}\nHost a18 answered after 31 ms"), (4, "said twice by one only\nsaid twice by one only"), (5, prose(30, 64)), (6, prose(30, 64))]
-    got = {r.doc_id: (r.n_lines, r.n_dropped, r.clean_text) for r in templates.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = lines_left(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got == brute_templates(rows)
+    assert {i: n for i, _, n, _ in got} == {None: 1, 1: 1, 2: 2, 3: 2, 4: 0, 5: 1, 6: 1}
+
+
+def test_short_lines(spark):
+    """Lines of one to three tokens go if two documents hold the whole line, numbers apart; lines that share a part stay."""
+    rows = [(1, "Top\nAll rights reserved.\nPage 1\n7\nof the king\na b\n"), (2, " Top\r\nAll rights reserved.\nPage 22\n8\nof the sea\na c\n\n"), (3, "top\nAll rights\nPage one\nsea the of\nb a")]
+    got = lines_left(spark.createDataFrame(rows, "doc_id long, text string"))
     assert got == brute_templates(rows)
-    assert [got[i][1] for i in (None, 1, 2, 3, 4, 5, 6)] == [1, 1, 2, 2, 0, 1, 1]
+    assert {i: (n, text) for i, _, n, text in got} == {1: (4, "of the king\na b\n"), 2: (4, "of the sea\na c\n\n"), 3: (0, rows[2][1])}
+
+
+def test_repeated_rows_change_nothing(spark):
+    """Rows that repeat, and ids with several texts: what goes is what would go without the repeats."""
+    rows = [(1, "aa bb cc dd\nx 1"), (2, "aa bb ee ff\nx 2"), (3, f"{prose(9, 70)}\ngg hh ii jj"), (3, "gg hh ii jj\nx 3"), (None, "gg hh kk ll"), (None, f"gg hh kk ll\n{prose(9, 71)}")]
+    once = lines_left(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert once == brute_templates(rows)
+    assert {(i, n) for i, _, n, _ in once} == {(1, 1), (2, 1), (3, 0), (3, 1), (None, 0)}
+    twice = lines_left(spark.createDataFrame(rows + rows + rows[:3], "doc_id long, text string"))
+    assert set(twice) == set(once) and twice == brute_templates(rows + rows + rows[:3])
 
 
-def test_line_templates_edges(edges):
+def test_line_templates_edges(edges, documents):
     out = templates.deduplicated(edges)
-    assert out.count() == len(EDGES)
+    assert lines_left(edges) == brute_templates(EDGES)
     assert sorted(map(str, out.columns)) == sorted({*edges.columns, "n_lines", "n_dropped", "clean_text"})
+    assert lines_left(documents) == brute_templates([(r.doc_id, r.text) for r in documents.collect()])
 
 
 # 5: URLs

@@ -139,14 +139,14 @@ WITH rows AS (
 cut AS (
   SELECT doc_id, no, list_transform(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda t: t <> ''),
     lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '{templates.WILDCARD}' ELSE t END) AS tokens FROM rows),
-long AS (SELECT *, [len(tokens)::VARCHAR] || tokens[1:{templates.LEADS}] AS leaf FROM cut WHERE len(tokens) >= {templates.MIN_TOKENS}),
+long AS (SELECT *, [len(tokens)::VARCHAR] || tokens[1:{templates.LEADS}] AS leaf FROM cut WHERE len(tokens) > 0),
 places AS (SELECT doc_id, no, leaf, tokens, unnest(tokens) AS token, unnest(range(len(tokens))) AS place FROM long),
 stay AS (SELECT leaf, place, token FROM places GROUP BY leaf, place, token HAVING count(DISTINCT doc_id) >= {templates.MIN_DOCS}),
 made AS (
   SELECT doc_id, no, p.leaf, count(*) AS size, any_value(tokens) AS tokens, count(s.token) AS same,
     list(coalesce(s.token, '{templates.WILDCARD}') ORDER BY p.place) AS general
   FROM places p LEFT JOIN stay s ON s.leaf = p.leaf AND s.place = p.place AND s.token = p.token GROUP BY doc_id, no, p.leaf),
-template AS (SELECT doc_id, no, CASE WHEN same >= size * {templates.SIMILAR} THEN ['~', len(tokens)::VARCHAR] || leaf || general ELSE ['='] || leaf || tokens END AS t FROM made),
+template AS (SELECT doc_id, no, CASE WHEN same >= CASE WHEN size < {templates.SHORT} THEN size ELSE size * {templates.SIMILAR} END THEN ['~', len(tokens)::VARCHAR] || leaf || general ELSE ['='] || leaf || tokens END AS t FROM made),
 recurring AS (SELECT t FROM template GROUP BY t HAVING count(DISTINCT doc_id) >= {templates.MIN_DOCS}),
 dropped AS (SELECT doc_id, no FROM template JOIN recurring USING (t)),
 left_lines AS (

@@ -3,17 +3,18 @@
 Lines are split at white space; the first levels of the tree are a line's number of tokens and its ``LEADS`` leading tokens, where
 tokens with a digit count as one wildcard. Lines at one leaf are generalised: a token stays in the template if at its place at least
 ``MIN_DOCS`` documents have it, else it becomes the wildcard; a line of which less than ``SIMILAR`` of the tokens stay is its own
-template. A template that at least ``MIN_DOCS`` documents hold is recurring, and all its lines are dropped from all of them, the first
-occurrence too: of a document that stands twice in the table no such line is left in either copy, so drop plain copies before if one
-is to stay. Lines of fewer than ``MIN_TOKENS`` tokens, blank ones too, are never dropped.
+template, and so is one of fewer than ``SHORT`` tokens unless all stay. A template that at least ``MIN_DOCS`` documents hold is recurring,
+and all its lines are dropped from all of them, the first occurrence too: of a document that stands twice under different ids no line
+is left in either copy, so drop plain copies before if one is to stay. Blank lines are never dropped.
 
 First only hashes of the leaves are counted; the lines at leaves that fewer documents reach are never compared. Of the others equal
 lines are one content, compared once, with the least and the greatest id of the documents that hold it: what two documents hold has two
 different ones. Contents are read from one text that holds them, so texts are shuffled once,
-by id. Tokens meet at their places of the leaf, and only those that stay go back to their line.
+by id. Tokens meet at their places of the leaf, and only those that stay go back to their line. Contents, places and templates are told
+apart by two 64-bit hashes each, that of the leaf and their own.
 
 Nulls: a null text has no lines and stays null; null ids are one document. Rows with an equal id are one document in the counts, and their
-lines are told apart by a hash of the text. An empty table gives an empty result; other columns are kept, but for those named like
+lines are told apart by a hash of the text; of rows that repeat id and text one is read. An empty table gives an empty result; other columns are kept, but for those named like
 the results.
 """
 
@@ -26,8 +27,8 @@ from waymark.llm.common import materialise
 
 LEADS = 2
 MIN_DOCS = 2  # the counts below rely on two: a least id that is not the greatest
-MIN_TOKENS = 4
 SIMILAR = 0.6
+SHORT = 4
 WILDCARD = "<*>"
 RESULTS = ("n_lines", "n_dropped", "clean_text")
 
@@ -37,19 +38,28 @@ def lines(text: str = "text") -> Column:
 
 
 def tokens(line: Column) -> Column:
-    return F.split(F.btrim(line, F.lit(" \t\n\x0b\x0c\r")), r"[\x20\x09-\x0D]+")
+    return F.array_remove(F.split(line, " "), "")
 
 
-def masked(token: Column) -> Column:
-    return F.when(token.rlike("[0-9]"), F.lit(WILDCARD)).otherwise(token)
+def plain(text: str = "text") -> Column:
+    """The text with spaces for the other separators of tokens, so that lines are split at one character."""
+    out = F.col(text)
+    for c in "\t\x0b\x0c\r":
+        out = F.replace(out, F.lit(c), F.lit(" "))
+    return out
+
+
+def masked(token: Column, digits: Column) -> Column:
+    """``digits``: whether the line has one; most have none, and their tokens aren't searched."""
+    return F.when(digits & token.rlike("[0-9]"), F.lit(WILDCARD)).otherwise(token)
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    """doc_id, body (hash of the text), no, leaf, content (hash of the line) of the lines of MIN_TOKENS tokens or more."""
-    rows = docs.select("doc_id", F.xxhash64("text").alias("body"), F.posexplode(lines()).alias("no", "line"))
-    rows = rows.withColumn("tokens", tokens(F.col("line"))).filter(F.size("tokens") >= MIN_TOKENS)
-    leaf = F.xxhash64(F.size("tokens"), *(masked(F.element_at("tokens", k + 1)) for k in range(LEADS)))
-    return rows.select("doc_id", "body", "no", leaf.alias("leaf"), F.xxhash64(F.btrim("line", F.lit(" \t\n\x0b\x0c\r"))).alias("content"))
+    """doc_id, body (hash of the text), no, leaf, content (hash of the tokens) of the lines that aren't blank."""
+    rows = docs.select("doc_id", F.xxhash64("text").alias("body"), F.posexplode(F.split(plain(), "\n")).alias("no", "line"))
+    rows = rows.withColumns({"tokens": tokens(F.col("line")), "digits": F.col("line").rlike("[0-9]")}).filter(F.size("tokens") > 0)
+    leaf = F.xxhash64(F.size("tokens"), *(masked(F.try_element_at("tokens", F.lit(k + 1)), F.col("digits")) for k in range(LEADS)))
+    return rows.select("doc_id", "body", "no", leaf.alias("leaf"), F.xxhash64("tokens").alias("content"))
 
 
 # Stands for a null id.
@@ -71,29 +81,36 @@ def contents(rows: DataFrame) -> DataFrame:
     return made.select("leaf", "content", "lo", "hi", F.col("rep.doc_id").alias("_id"), F.col("rep.b.body").alias("_body"), F.col("rep.b.no").alias("no"))
 
 
-def marked(rows: DataFrame, key: str) -> DataFrame:
+def marked(rows: DataFrame, *key: str) -> DataFrame:
     """``rows`` with held: MIN_DOCS documents have the row's ``key``. By windows over the key, so that rows meet once."""
-    own = Window.partitionBy(key)
+    own = Window.partitionBy(*key)
     return rows.withColumn("held", F.min("lo").over(own) < F.max("hi").over(own))
 
 
-def own_row() -> Column:
-    return F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("body") == F.col("_body"))
+def row_key(doc_id: str, body: str) -> list[Column]:
+    """Columns that are equal, and not null, for rows with an equal id and text."""
+    return [F.coalesce(doc_id, F.lit(0)).alias("_doc"), F.col(doc_id).isNull().alias("_null"), F.col(body).alias("_body")]
+
+
+KEY = ["_doc", "_null", "_body"]
 
 
 def dropped_contents(keyed: DataFrame, compared: DataFrame) -> DataFrame:
     """leaf, content of the lines of recurring templates. ``keyed``: doc_id, text, body; ``compared``: see contents."""
-    listed = compared.groupBy("_id", "_body").agg(F.collect_list(F.struct("no", "leaf", "content", "lo", "hi")).alias("held"))
-    rows = keyed.join(listed, own_row()).select(F.split("text", "\n").alias("lines"), F.explode("held").alias("h"))
-    rows = rows.select("h.leaf", "h.content", "h.lo", "h.hi", tokens(F.element_at("lines", F.col("h.no") + 1)).alias("tokens"))
-    cells = rows.select(F.xxhash64("leaf", "content").alias("row"), "leaf", "lo", "hi", F.posexplode("tokens").alias("place", "token"))
-    cells = cells.select("row", "lo", "hi", F.xxhash64("leaf", "place", masked(F.col("token"))).alias("cell"))
-    stay = marked(cells, "cell").filter("held").groupBy("row").agg(F.bit_xor("cell").alias("general"), F.count("*").alias("same"))
-    whole = F.xxhash64(F.transform("tokens", masked))
-    lines_ = rows.select("leaf", "content", "lo", "hi", F.size("tokens").alias("size"), whole.alias("whole"), F.xxhash64("leaf", "content").alias("row")).join(stay, "row", "left")
+    listed = compared.groupBy(*row_key("_id", "_body")).agg(F.collect_list(F.struct("no", "leaf", "content", "lo", "hi")).alias("held"))
+    texts = keyed.select(*row_key("doc_id", "body"), "text").join(listed, KEY).groupBy(*KEY).agg(F.first("text").alias("text"), F.first("held").alias("held"))
+    rows = texts.select(F.split(plain(), "\n").alias("lines"), F.explode("held").alias("h"))
+    rows = rows.select("h.leaf", "h.content", "h.lo", "h.hi", F.element_at("lines", F.col("h.no") + 1).alias("line"))
+    rows = rows.select("leaf", "content", "lo", "hi", tokens(F.col("line")).alias("tokens"), F.col("line").rlike("[0-9]").alias("digits"))
+    cells = rows.select("leaf", "content", "lo", "hi", "digits", F.posexplode("tokens").alias("place", "token"))
+    cells = cells.select("leaf", "content", "lo", "hi", F.xxhash64("place", masked(F.col("token"), F.col("digits"))).alias("cell"))
+    stay = marked(cells, "leaf", "cell").filter("held").groupBy("leaf", "content").agg(F.bit_xor("cell").alias("general"), F.count("*").alias("same"))
+    whole = F.xxhash64(F.when(F.col("digits"), F.transform("tokens", lambda t: masked(t, F.lit(True)))).otherwise(F.col("tokens")))
+    lines_ = rows.select("leaf", "content", "lo", "hi", F.size("tokens").alias("size"), whole.alias("whole")).join(stay, ["leaf", "content"], "left")
     # The leaf holds the number of tokens, so the tokens that stay tell the template.
-    template = F.when(F.col("same") >= F.col("size") * SIMILAR, F.xxhash64("leaf", "general")).otherwise(F.xxhash64(F.lit("own"), "leaf", "whole"))
-    return marked(lines_.select("leaf", "content", "lo", "hi", template.alias("template")), "template").filter("held").select("leaf", "content")
+    enough = F.col("same") >= F.when(F.col("size") < SHORT, F.col("size")).otherwise(F.col("size") * SIMILAR)
+    template = F.when(enough, F.xxhash64("general")).otherwise(F.xxhash64(F.lit("own"), "whole"))
+    return marked(lines_.select("leaf", "content", "lo", "hi", template.alias("template")), "leaf", "template").filter("held").select("leaf", "content")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
@@ -103,11 +120,13 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     found = materialise(at_recurring_leaves(materialise(line_rows(rows.filter("text is not null")))))
     compared = materialise(contents(found))
     dropped = found.join(dropped_contents(keyed.select("doc_id", "text", "body"), compared), ["leaf", "content"], "left_semi")
-    dropped = dropped.groupBy(F.col("doc_id").alias("_id"), F.col("body").alias("_body")).agg(F.collect_set("no").alias("dropped"))
-    joined = keyed.join(dropped, own_row(), "left")
-    kept = F.filter(lines(), lambda line, no: ~F.array_contains(F.col("dropped"), no))
-    clean = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    counts = {"n_lines": F.size(lines()).cast("long"), "n_dropped": F.when(F.col("dropped").isNull(), 0).otherwise(F.size("dropped")).cast("long"), "clean_text": clean}
-    done = joined.withColumns(counts).drop("body", "_id", "_body", "dropped")
+    dropped = dropped.groupBy(*row_key("doc_id", "body")).agg(F.array_sort(F.collect_set("no")).alias("_dropped"))
+    joined = keyed.withColumns(dict(zip(KEY, row_key("doc_id", "body")))).join(dropped, KEY, "left").withColumn("_lines", lines())
+    # What is left lies between one dropped line and the next: runs of lines, read once however many there are.
+    ends = F.concat(F.col("_dropped"), F.array(F.size("_lines")))
+    runs = F.zip_with(F.concat(F.array(F.lit(-1)), F.col("_dropped")), ends, lambda a, b: F.slice(F.col("_lines"), a + 2, b - a - 1))
+    clean = F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(runs), "\n"))
+    counts = {"n_lines": F.size("_lines").cast("long"), "n_dropped": F.when(F.col("_dropped").isNull(), 0).otherwise(F.size("_dropped")).cast("long"), "clean_text": clean}
+    done = joined.withColumns(counts).drop("body", *KEY, "_dropped", "_lines")
     empty = {"n_lines": F.lit(0).cast("long"), "n_dropped": F.lit(0).cast("long"), "clean_text": F.lit(None).cast("string")}
     return done.unionByName(rows.filter("text is null").withColumns(empty))
