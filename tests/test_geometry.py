@@ -118,10 +118,19 @@ def test_match_pieces(spark):
     b = spark.createDataFrame([("b1", "LINESTRING (0 1, 0 2)"), ("b2", "LINESTRING (0 2, 0 3)")], "feature_b string, w string")
     a = a.select("feature_a", geo.points_of_wkt("w").alias("line_a"))
     b = b.select("feature_b", geo.points_of_wkt("w").alias("line_b"))
-    got = {(r["feature_a"], r["feature_b"]): [tuple(round(c, 6) for c in p) for p in r["piece"]] for r in md.match_features(a, b, size=0.5).collect()}
+    got = {(r["feature_a"], r["feature_b"]): [tuple(round(c, 6) for c in p) for p in r["piece"]] for r in md.match_features(a, b).collect()}
     assert got == {("a1", "b1"): [(0.0, 1.0), (0.0, 2.0)], ("a2", "b2"): [(0.0, 2.0), (0.0, 3.0)]}
 
 
+@pytest.mark.parametrize("radius", [1.0, 2.0])
+def test_match_pieces_of_a_wide_buffer(spark, radius):
+    """Flat ends: the buffer does not reach beyond the partner's ends, however wide it is."""
+    a = spark.createDataFrame([("p1", "LINESTRING (0 0, 0 1, 0 2)"), ("p2", "LINESTRING (0 2, 0 4, 0 5)")], "feature_a string, w string").select("feature_a", geo.points_of_wkt("w").alias("line_a"))
+    b = spark.createDataFrame([("c1", "LINESTRING (0 1, 0 2, 0 3)"), ("c2", "LINESTRING (5 2, 5 3, 5 4)")], "feature_b string, w string").select("feature_b", geo.points_of_wkt("w").alias("line_b"))
+    got = {(r["feature_a"], r["feature_b"]): [tuple(round(c, 2) for c in p) for p in r["piece"]] for r in md.match_features(a, b, radius=radius).collect()}
+    assert got == {("p1", "c1"): [(0.0, 1.0), (0.0, 2.0)], ("p2", "c1"): [(0.0, 2.0), (0.0, 3.0)]}
+
+
 def test_comparison_states(spark):
     base = "LINESTRING (0 0, 0.01 0, 0.02 0)"
     rows = [

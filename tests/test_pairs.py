@@ -73,7 +73,7 @@ def test_intersecting_lines_flat_ends_and_salting(spark):
     b = spark.createDataFrame([(1, "LINESTRING (0 1, 0 2)"), (2, "LINESTRING (0 2, 0 3)")], "bid int, v string")
     a = a.select("aid", geo.points_of_wkt("w").alias("pa"))
     b = b.select("bid", geo.points_of_wkt("v").alias("pb"))
-    got = pairs.intersecting_lines(a, b, "aid", "pa", "pb", 0.00003, size=0.5).select("aid", "bid", "spans").collect()
+    got = pairs.intersecting_lines(a, b, "aid", "bid", "pa", "pb", 0.00003).select("aid", "bid", "spans").collect()
     found = {(r["aid"], r["bid"]): [(round(s["s"], 9), round(s["e"], 9)) for s in r["spans"]] for r in got}
     assert found == {(1, 1): [(1.0, 2.0)], (1, 2): [(2.0, 3.0)]}
     many = spark.range(50).select(F.col("id").alias("aid"), F.expr("array(named_struct('x', 0D, 'y', 0D), named_struct('x', 0D, 'y', 3D))").alias("pa"))
@@ -87,8 +87,8 @@ def test_remove_contained(spark):
         [(1, "LINESTRING (0 0, 0 1)"), (2, "LINESTRING (0 0.2, 0 0.8)"), (3, "LINESTRING (1 0, 1 1)"), (4, "LINESTRING (1 0, 1 1)")],
         "id int, w string",
     ).select("id", geo.points_of_wkt("w").alias("p"))
-    assert sorted(r["id"] for r in pairs.remove_contained(df, "id", "p", size=0.5).collect()) == [1, 3]
-    assert sorted(r["id"] for r in pairs.remove_contained(df, "id", "p", size=0.5, literal=True).collect()) == [1]
+    assert sorted(r["id"] for r in pairs.remove_contained(df, "id", "p").collect()) == [1, 3]
+    assert sorted(r["id"] for r in pairs.remove_contained(df, "id", "p", literal=True).collect()) == [1]
 
 
 def test_near_duplicates_keep_the_first_values(spark):

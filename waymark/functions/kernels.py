@@ -230,83 +230,107 @@ def batch_near_spans(a, a_at, b, b_at, radius, flat_ends=False, budget=2_000_000
     On one segment of ``a`` the positions near one segment of ``b`` are a single span, because the set
     of points near a segment is convex: the hull of the parts in its two end discs and its slab. All
     pairs of segments of a batch go through numpy together, in slices of at most ``budget`` pairs.
-    With ``flat_ends`` the neighbourhood of ``b`` stops square at its two ends.
+    With ``flat_ends`` the neighbourhood of ``b`` stops square at its two ends; at a vertex between it is the sector on the
+    outside of the bend, so that a wide neighbourhood does not reach round a vertex and beyond an end.
     Returns (row, start, end) arrays.
     """
-    pa_first, pa_row, pa_off = _segments(a, a_at)
-    pb_first, pb_row, pb_off = _segments(b, b_at)
-    round_start, round_end = np.ones(len(pb_first), dtype=bool), np.ones(len(pb_first), dtype=bool)
-    if flat_ends and len(pb_first):
-        round_start[pb_off[pb_row]] = False
-        round_end[pb_off[pb_row + 1] - 1] = False
+    pa_first, pa_row, _ = _segments(a, a_at)
+    pb_first, _, pb_off = _segments(b, b_at)
     station, _ = batch_stations(a, a_at)
-    nb = np.diff(pb_off)[pa_row]
-    cum = np.concatenate([[0], np.cumsum(nb)])
     rows, starts, ends = [], [], []
-    begin = 0
-    while begin < len(pa_first):
-        stop = max(begin + 1, int(np.searchsorted(cum, cum[begin] + budget, side="right")) - 1)
-        count = nb[begin:stop]
-        ia = np.repeat(np.arange(begin, stop), count)
-        ib = np.arange(len(ia)) - np.repeat(cum[begin:stop] - cum[begin], count) + np.repeat(pb_off[pa_row[begin:stop]], count)
-        begin = stop
+
+    def add(ia, lo, hi):
+        ok = lo <= hi
+        seg = ia[ok]
+        s0, s1 = station[pa_first[seg]], station[pa_first[seg] + 1]
+        rows.append(pa_row[seg])
+        starts.append(s0 + lo[ok] * (s1 - s0))
+        ends.append(np.where(hi[ok] >= 1, s1, s0 + hi[ok] * (s1 - s0)))
+
+    for ia, ib in _row_pairs(pa_row, pb_off, budget):
         p0, p1 = a[pa_first[ia]], a[pa_first[ia] + 1]
         q0, q1 = b[pb_first[ib]], b[pb_first[ib] + 1]
         r = radius[pa_row[ia]]
         near = (
             (np.minimum(p0, p1) <= np.maximum(q0, q1) + r[:, None]) & (np.maximum(p0, p1) >= np.minimum(q0, q1) - r[:, None])
         ).all(axis=1)
-        discs = (round_start[ib[near]], round_end[ib[near]])
-        lo, hi = _segment_spans(p0[near], p1[near], q0[near], q1[near], r[near], discs)
-        ok = lo <= hi
-        seg = ia[near][ok]
-        s0, s1 = station[pa_first[seg]], station[pa_first[seg] + 1]
-        rows.append(pa_row[seg])
-        starts.append(s0 + lo[ok] * (s1 - s0))
-        ends.append(np.where(hi[ok] >= 1, s1, s0 + hi[ok] * (s1 - s0)))
+        add(ia[near], *_segment_spans(p0[near], p1[near], q0[near], q1[near], r[near], discs=not flat_ends))
+    if flat_ends:
+        inner = np.maximum(np.diff(pb_off) - 1, 0)
+        bend_off = np.concatenate([[0], np.cumsum(inner)])
+        bend = np.arange(bend_off[-1]) - np.repeat(bend_off[:-1], inner) + np.repeat(b_at[:-1], inner) + 1
+        for ia, ib in _row_pairs(pa_row, bend_off, budget):
+            v = bend[ib]
+            add(ia, *_sector_spans(a[pa_first[ia]], a[pa_first[ia] + 1], b[v - 1], b[v], b[v + 1], radius[pa_row[ia]]))
     if not rows:
         return np.empty(0, dtype=np.int64), np.empty(0), np.empty(0)
     return _merge(np.concatenate(rows), np.concatenate(starts), np.concatenate(ends))
 
 
-def _segment_spans(p0, p1, q0, q1, r, discs):
-    """Parameter span [lo, hi] of each segment p inside the r-neighbourhood of its segment q; lo > hi if none."""
+def _row_pairs(row, off, budget):
+    """All pairs (item, partner) of a row, in slices: ``row`` of each item, ``off`` of each row's partners."""
+    count = np.diff(off)[row]
+    cum = np.concatenate([[0], np.cumsum(count)])
+    begin = 0
+    while begin < len(row):
+        stop = max(begin + 1, int(np.searchsorted(cum, cum[begin] + budget, side="right")) - 1)
+        n = count[begin:stop]
+        item = np.repeat(np.arange(begin, stop), n)
+        yield item, np.arange(len(item)) - np.repeat(cum[begin:stop] - cum[begin], n) + np.repeat(off[row[begin:stop]], n)
+        begin = stop
+
+
+def _between(value, slope, low, high):
+    """Where low <= value + t * slope <= high: first and last t, and whether any."""
+    flat = slope == 0
+    safe = np.where(flat, 1.0, slope)
+    t1, t2 = np.where(flat, -np.inf, (low - value) / safe), np.where(flat, np.inf, (high - value) / safe)
+    return np.minimum(t1, t2), np.maximum(t1, t2), ~flat | ((value >= low) & (value <= high))
+
+
+def _in_disc(rel, d, r):
+    """The same for |rel + t * d| <= r."""
+    a, b, c = (d**2).sum(axis=1), (rel * d).sum(axis=1), (rel**2).sum(axis=1) - r**2
+    still, disc = a == 0, b * b - a * c
+    safe, root = np.where(still, 1.0, a), np.sqrt(np.maximum(disc, 0))
+    return np.where(still, 0.0, (-b - root) / safe), np.where(still, 1.0, (-b + root) / safe), np.where(still, c <= 0, disc >= 0)
+
+
+def _sector_spans(p0, p1, before, at, after, r):
+    """Parameter span of each segment p inside the disc round a vertex, ahead of what leads to it and behind what leaves it."""
+    d, rel = p1 - p0, p0 - at
+    parts = [_in_disc(rel, d, r)]
+    for way, low, high in ((at - before, 0.0, np.inf), (after - at, -np.inf, 0.0)):
+        parts.append(_between((rel * way).sum(axis=1), (d * way).sum(axis=1), low, high))
+    lo = np.maximum.reduce([np.zeros(len(p0)), *(x[0] for x in parts)])
+    hi = np.minimum.reduce([np.ones(len(p0)), *(x[1] for x in parts)])
+    ok = np.logical_and.reduce([x[2] for x in parts])
+    return np.where(ok, lo, np.inf), np.where(ok, hi, -np.inf)
+
+
+def _segment_spans(p0, p1, q0, q1, r, discs=True):
+    """Parameter span [lo, hi] of each segment p inside the r-neighbourhood of its segment q, with or without end discs; lo > hi if none."""
     d = p1 - p0
     lo, hi = np.full(len(p0), np.inf), np.full(len(p0), -np.inf)
-    a = (d**2).sum(axis=1)
-    still = a == 0
-    safe = np.where(still, 1.0, a)
 
     def add(start, end, ok):
+        ok = ok & (end >= 0) & (start <= 1)
         start, end = np.clip(start, 0, 1), np.clip(end, 0, 1)
         ok = ok & (start <= end)
         np.minimum(lo, np.where(ok, start, np.inf), out=lo)
         np.maximum(hi, np.where(ok, end, -np.inf), out=hi)
 
-    for centre, disc_counts in zip((q0, q1), discs):
-        rel = p0 - centre
-        b, c = (rel * d).sum(axis=1), (rel**2).sum(axis=1) - r**2
-        disc = b * b - a * c
-        root = np.sqrt(np.maximum(disc, 0))
-        start, end = np.where(still, 0.0, (-b - root) / safe), np.where(still, 1.0, (-b + root) / safe)
-        add(start, end, disc_counts & np.where(still, c <= 0, (disc >= 0) & (end >= 0) & (start <= 1)))
+    for centre in (q0, q1) if discs else ():
+        add(*_in_disc(p0 - centre, d, r))
     q = q1 - q0
     length = np.hypot(q[:, 0], q[:, 1])
     unit = q / np.where(length > 0, length, 1.0)[:, None]
     normal = np.column_stack([-unit[:, 1], unit[:, 0]])
     rel = p0 - q0
-
-    def between(value, slope, low, high):
-        flat = slope == 0
-        safe_slope = np.where(flat, 1.0, slope)
-        t1 = np.where(flat, -np.inf, (low - value) / safe_slope)
-        t2 = np.where(flat, np.inf, (high - value) / safe_slope)
-        return np.minimum(t1, t2), np.maximum(t1, t2), ~flat | ((value >= low) & (value <= high))
-
-    along = between((rel * unit).sum(axis=1), (d * unit).sum(axis=1), 0.0, length)
-    across = between((rel * normal).sum(axis=1), (d * normal).sum(axis=1), -r, r)
+    along = _between((rel * unit).sum(axis=1), (d * unit).sum(axis=1), 0.0, length)
+    across = _between((rel * normal).sum(axis=1), (d * normal).sum(axis=1), -r, r)
     start, end = np.maximum(along[0], across[0]), np.minimum(along[1], across[1])
-    add(start, end, along[2] & across[2] & (start <= end) & (end >= 0) & (start <= 1) & (length > 0))
+    add(start, end, along[2] & across[2] & (start <= end) & (length > 0))
     return lo, hi
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from waymark.functions import geo, kernels as k, tiles
+from waymark.operators import grid
 from waymark.operators.barrier import explode_once, keep_where
 from waymark.session import cut_lineage
 
@@ -67,11 +68,15 @@ def _boxes_meet(a: str, b: str, pad: float) -> Column:
 
 
 def intersecting_lines(
-    left: DataFrame, right: DataFrame, left_id: str, left_line: str, right_line: str, radius: float, size: float = 0.01,
-    on: list[str] | None = None,
+    left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_line: str, right_line: str, radius: float,
+    on: list[str] | None = None, limit: int = grid.LIMIT,
 ) -> DataFrame:
     """Left lines that meet the flat-ended buffer of right lines, with the spans of the left line inside it."""
-    pairs = cell_join(left, right, left_id, left_line, right_line, size, radius, on)
+    on = on or []
+    near = grid.near_pairs(
+        grid.line_segments(left, left_id, left_line, on, "_a", 0.0), grid.line_segments(right, right_id, right_line, on, "_b", radius), radius, on, limit
+    )
+    pairs = left.join(near.withColumnRenamed("_a", left_id), [*on, left_id]).withColumnRenamed("_b", right_id).join(right, [*on, right_id])
     pairs = pairs.filter(_boxes_meet(left_line, right_line, radius))
     return keep_where(pairs, F.size("spans") > 0, {"spans": k.spans_near_flat(left_line, right_line, F.lit(radius))})
 
@@ -84,33 +89,33 @@ def _box_inside(inner: str, outer: str, radius: float) -> Column:
 
 
 def contained_lines(
-    lines: DataFrame, id_col: str, line: str, radius: float, size: float = 0.01, on: list[str] | None = None
+    lines: DataFrame, id_col: str, line: str, radius: float, on: list[str] | None = None, limit: int = grid.LIMIT
 ) -> DataFrame:
-    """Unordered pairs (a < b) of rows where one lies in the buffer of the other: flags ``a_in_b``, ``b_in_a``."""
-    one = lines.select(*(on or []), F.col(id_col).alias("a"), F.col(line).alias("_a"))
-    two = lines.select(*(on or []), F.col(id_col).alias("b"), F.col(line).alias("_b"))
-    pairs = cell_join(one, two, "a", "_a", "_b", size, radius, on, extra=F.col("a") < F.col("b"))
-    fits_a, fits_b = _box_inside("_a", "_b", radius), _box_inside("_b", "_a", radius)
-    pairs = keep_where(pairs, F.col("_fa") | F.col("_fb"), {"_fa": fits_a, "_fb": fits_b})
-    r = F.lit(radius)
-    # The kernel sees a line only where the boxes allow containment.
-    return pairs.select(
-        *(on or []), "a", "b",
-        k.inside_buffer(F.when(F.col("_fa"), F.col("_a")), "_b", r).alias("a_in_b"),
-        k.inside_buffer(F.when(F.col("_fb"), F.col("_b")), "_a", r).alias("b_in_a"),
-    )
+    """Unordered pairs (a < b) of rows where one lies in the buffer of the other: flags ``a_in_b``, ``b_in_a``.
+
+    A line can only lie in the buffer of one that its first point is near to, so first points meet segments.
+    """
+    on = on or []
+    near = grid.near_pairs(
+        grid.first_points(lines, id_col, line, on, "_a"), grid.line_segments(lines, id_col, line, on, "_b", radius), radius, on, limit
+    ).filter("_a <> _b")
+    inner = lines.select(*on, F.col(id_col).alias("_a"), F.col(line).alias("_p"))
+    outer = lines.select(*on, F.col(id_col).alias("_b"), F.col(line).alias("_q"))
+    pairs = near.join(inner, [*on, "_a"]).join(outer, [*on, "_b"]).filter(_box_inside("_p", "_q", radius))
+    inside = keep_where(pairs, F.col("_in"), {"_in": k.inside_buffer("_p", "_q", F.lit(radius))})
+    ordered = inside.select(*on, F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"), (F.col("_a") < F.col("_b")).alias("_up"))
+    return ordered.groupBy(*on, "a", "b").agg(F.bool_or("_up").alias("a_in_b"), F.bool_or(~F.col("_up")).alias("b_in_a"))
 
 
 def remove_contained(
-    lines: DataFrame, id_col: str, line: str, radius: float = 0.00001, size: float = 0.01, on: list[str] | None = None,
-    literal: bool = False,
+    lines: DataFrame, id_col: str, line: str, radius: float = 0.00001, on: list[str] | None = None, literal: bool = False
 ) -> DataFrame:
     """Drop lines that lie in the buffer of another line.
 
     Two lines inside each other's buffers are equal up to the buffer: the smaller id stays. ``literal``
     drops both, which is what a plain "contained in at least two buffers" rule does.
     """
-    pairs = contained_lines(lines, id_col, line, radius, size, on)
+    pairs = contained_lines(lines, id_col, line, radius, on)
     a_goes = F.col("a_in_b") & (F.lit(literal) | ~F.col("b_in_a"))
     both = F.array(F.when(a_goes, F.col("a")), F.when(F.col("b_in_a"), F.col("b")))
     gone = explode_once(pairs.select(*(on or []), both.alias("_ids")), "_ids", id_col)

@@ -261,7 +261,7 @@ def visiting_traces(directed: DataFrame) -> DataFrame:
 
 
 def match_features(
-    provider: DataFrame, competitor: DataFrame, radius: float = 0.00003, min_metres: float = 1.0, size: float = 0.01,
+    provider: DataFrame, competitor: DataFrame, radius: float = 0.00003, min_metres: float = 1.0,
     remove_contained_pieces: bool = True, remove_other_angles: bool = True, on: list[str] | None = None,
 ) -> DataFrame:
     """Pieces of provider features that run along competitor features in the same direction.
@@ -269,7 +269,7 @@ def match_features(
     ``provider`` has feature_a, line_a; ``competitor`` has feature_b, line_b. The longest piece per pair
     stays, contained pieces and pieces that turn 45 degrees or more from the partner are dropped.
     """
-    pairs = intersecting_lines(provider, competitor, "feature_a", "line_a", "line_b", radius, size, on)
+    pairs = intersecting_lines(provider, competitor, "feature_a", "feature_b", "line_a", "line_b", radius, on)
     pairs = pairs.filter(geo.same_direction("line_a", "line_b"))
     pieces = explode_once(pairs, "spans", "_span").drop("spans")
     pieces = pieces.withColumn("piece", k.substring("line_a", F.col("_span.s"), F.col("_span.e"))).drop("_span")
@@ -280,7 +280,7 @@ def match_features(
     longest = longest.select(*keys, "_r.*")
     if remove_contained_pieces:
         longest = longest.withColumn("_id", F.concat_ws("|", "feature_a", "feature_b"))
-        longest = remove_contained(longest, "_id", "piece", 0.00001, size, on).drop("_id")
+        longest = remove_contained(longest, "_id", "piece", 0.00001, on).drop("_id")
     if remove_other_angles:
         p1 = geo.first("piece")
         q1 = k.interpolate("line_b", k.project("line_b", p1["x"], p1["y"]))
