@@ -190,7 +190,7 @@ def near_copies(n):
     return out
 
 
-@pytest.mark.parametrize("few, pivots, block", [(8, 8, 2048), (1, 1, 7), (1, 1, 1)])
+@pytest.mark.parametrize("few, pivots, block", [(8, (1, 8), 2048), (1, (1, 1), 7), (1, (), 1)])
 def test_jaccard_components(spark, monkeypatch, few, pivots, block):
     """Also with next to nothing listed or found by pivots, so that blocks of few nodes do the work."""
     for name, value in (("FEW", few), ("PIVOTS", pivots), ("BLOCK", block)):
@@ -202,7 +202,7 @@ def test_jaccard_components(spark, monkeypatch, few, pivots, block):
 
 def test_jaccard_ids_with_several_texts(spark, monkeypatch):
     """An id that stands for several texts has the links of all of them, also where blocks meet."""
-    for name, value in (("FEW", 1), ("PIVOTS", 1), ("BLOCK", 5)):
+    for name, value in (("FEW", 1), ("PIVOTS", (1, 1)), ("BLOCK", 5)):
         monkeypatch.setattr(ngram_join, name, value)
     texts = near_copies(60)
     rows = [(i % 41, t) for i, t in texts]

@@ -6,14 +6,14 @@ without words (or null) has an empty set. Two documents link when 100 * |common|
 1. One pass counts all shingles in a sketch of fixed size, which orders them rare first, and gives each text its set's size, hash,
    and whether the sizes of 1024 ranges of the set are odd.
 2. Documents with equal sets become one node. A node's prefix is its first n - ceil(0.75 n) + 1 shingles in that order: two
-   nodes that link share a prefix shingle. Prefix shingles are counted, and only those of several nodes are listed with their nodes.
+   nodes that link share a prefix shingle, and the first they share stands among the first n / 7 + 1 of the smaller one. Prefix
+   shingles are counted, and only those of several nodes that stand that early in one are listed with their nodes.
 3. Candidates pass the length filter, the positional filter on the shingle they share, and the suffix filter: a range whose size
    is odd in one set and even in the other holds a shingle that only one of the two has. Each distinct pair that is
    left is verified once per round, by the exact intersection.
-4. Of shingles with few nodes all pairs are listed. For the others pairs inside one component need no test: each round
-   tests the nodes outside a shingle's largest component against a few pivots of it, which is linear (the first one all
-   nodes against one pivot, as there are no components yet). When a round links little, blocks of nodes outside meet
-   blocks of a shingle's nodes. The three filters are applied to a block at once, and only what passes all becomes a row, in the least
+4. Of shingles with few nodes all pairs are listed. For the others pairs inside one component need no test. Each
+   of two rounds tests nodes against pivots, which is linear: all nodes against one, then those outside a shingle's largest
+   component against a few of it. Then blocks of the nodes that are still outside meet blocks of a shingle's nodes. The three filters are applied to a block at once, and only what passes all becomes a row, in the least
    shingle that the pair shares.
 
 Nulls: a row with a null id takes the component of rows with an equal set, else null. Rows that share an id are one document
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import LOWER_VALUES, Ids, SpanHash, bucketed, materialise, mix, only, passed, scratch, signed, small_batches, steps, utf8, word_spans
+from waymark.llm.common import LOWER_VALUES, STEP_BYTES, Ids, SpanHash, bucketed, materialise, mix, only, passed, scratch, signed, small_batches, steps, utf8, word_spans
 
 SHINGLE_WORDS = 5
 THRESHOLD = 75  # percent
@@ -37,7 +37,7 @@ SKETCH_BITS = 19
 SKETCH_CHUNK = 1 << 14
 RANGES = 1024
 FEW = 8  # nodes of a shingle whose pairs are all listed
-PIVOTS = 8  # nodes of a shingle that the others are tested against, after the first round
+PIVOTS = (1, 8)  # nodes of a shingle that the others are tested against, in each round
 BLOCK = 2048  # nodes of a shingle that meet as many others in one task
 
 
@@ -127,11 +127,14 @@ def postings(docs: DataFrame, nodes: DataFrame, sketch: np.ndarray) -> DataFrame
 
     def count(batches):
         for batch in passed(batches, own):
-            token, c = np.unique(np.concatenate([x for _, x in heads(batch)]), return_counts=True)
-            yield pa.RecordBatch.from_pydict({"token": signed(token), "c": c.astype(np.int64)})
+            sizes, found = zip(*heads(batch))
+            # 2 t / (1 + t) of its shingles are common to the smaller of two sets that link.
+            early = np.concatenate([np.arange(len(x)) <= n - -(-2 * THRESHOLD * n // (100 + THRESHOLD)) for n, x in zip(sizes, found)])
+            token, first, c = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+            yield pa.RecordBatch.from_pydict({"token": signed(token), "c": c.astype(np.int32), "early": np.bincount(first, early, len(token)) > 0})
 
-    several = rows.mapInArrow(count, "token long, c long").groupBy("token").agg(F.sum("c").alias("c")).filter("c > 1")
-    several = materialise(several)
+    counted = rows.mapInArrow(count, "token long, c int, early boolean").groupBy("token").agg(F.sum("c").alias("c"), F.max("early").alias("early"))
+    several = materialise(counted.filter("c > 1 and early").select("token", "c"))
     held = docs.sparkSession.sparkContext.broadcast(Ids(several, several.count(), F.col("token")))
 
     def build(batches):
@@ -147,15 +150,15 @@ def postings(docs: DataFrame, nodes: DataFrame, sketch: np.ndarray) -> DataFrame
     return rows.mapInArrow(build, "token long, doc long, n int, pos int").join(several, "token")
 
 
-def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id and set (as bytes) of the rows with these ids."""
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id and text of the rows with these ids, and of a few others that the filter lets through."""
     rows, own = only(docs, ids)
 
     def build(batches):
         for batch in passed(batches, own):
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.tobytes() for s in shingle_sets(batch.column("text"))], pa.binary())], ["doc_id", "items"])
+            yield batch.select(["doc_id", "text"])
 
-    return rows.mapInArrow(build, "doc_id long, items binary")
+    return rows.mapInArrow(build, "doc_id long, text string")
 
 
 def may_link(n: str, at: str, other_n: str, other_at: str) -> Column:
@@ -195,19 +198,16 @@ def suffix_filtered(pairs: DataFrame, odd: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y", "n", "m").mapInArrow(test, "a long, b long").distinct()
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link."""
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) that link. Texts travel, since they compress and hashes of shingles don't; the sets are made where they meet."""
 
     def test(batches):
-        for batch in batches:
-            kept = [
-                linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64))
-                for x, y in zip(batch.column("x"), batch.column("y"), strict=True)
-            ]
+        for batch in steps(batches, "x", STEP_BYTES // 2):
+            kept = [linked(x, y) for x, y in zip(shingle_sets(batch.column("x")), shingle_sets(batch.column("y")), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    left = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y"))
+    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x"))
+    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(test, "a long, b long")
 
 
@@ -260,7 +260,7 @@ def pivot_pairs(live: DataFrame, turn: int) -> DataFrame:
         marked = live.join(largest(live).drop("c"), "token")
         inside, rest = marked.filter("label = top"), marked.filter("label <> top")
     # The nodes with the least hashes; each seed gives one.
-    least = [F.min(F.struct(F.xxhash64("doc", F.lit(turn), F.lit(i)).alias("h"), "doc", "n", "pos", "label")) for i in range(PIVOTS if turn else 1)]
+    least = [F.min(F.struct(F.xxhash64("doc", F.lit(turn), F.lit(i)).alias("h"), "doc", "n", "pos", "label")) for i in range(PIVOTS[turn])]
     pivots = inside.groupBy("token").agg(F.array_distinct(F.transform(F.array(*least), lambda x: x.dropFields("h"))).alias("p"))
     pivots = pivots.select("token", F.explode("p").alias("p")).select("token", *(F.col(f"p.{c}").alias(f"p_{c}") for c in ("doc", "n", "pos", "label")))
     pairs = rest.join(pivots, "token").filter(F.col("label") != F.col("p_label")).filter(candidate())
@@ -274,13 +274,15 @@ def block_pairs(live: DataFrame, odd: DataFrame) -> DataFrame:
     each block. A pair counts in the first shingle that it shares, where the positional filter holds; if that one is not in ``live``, the
     pair has been tested or is in one component. An id with several texts counts in all its shingles.
     """
-    texts = odd.select(F.col("doc_id").alias("doc"), "n", "odd").distinct()
-    several = texts.groupBy("doc").agg((F.count("*") > 1).alias("several"))
+    sets = odd.select(F.col("doc_id").alias("doc"), "n", "odd").distinct()
+    several = sets.groupBy("doc").agg((F.count("*") > 1).alias("several"))
     shingles = live.groupBy("doc").agg(F.transform(F.sort_array(F.collect_set(F.struct("pos", "token"))), lambda x: x["token"]).alias("tokens"))
-    rows = live.join(largest(live), "token").join(shingles.join(several, "doc"), "doc").join(texts, ["doc", "n"])
+    rows = live.join(largest(live), "token").join(shingles.join(several, "doc"), "doc").join(sets, ["doc", "n"])
     rows = rows.withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int"))
+    # What the pair may share before this shingle.
+    earlier = F.when(F.col("several"), F.array().cast("array<long>")).otherwise(F.slice("tokens", F.lit(1), F.array_position("tokens", F.col("token")).cast("int") - 1))
     own, other = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    keep = ["doc", "n", "pos", "label", "odd", "tokens", "several", (F.col("label") != F.col("top")).alias("out")]
+    keep = ["doc", "n", "pos", "label", "odd", earlier.alias("earlier"), (F.col("label") != F.col("top")).alias("out")]
     outside = rows.filter("label <> top").select("token", own.alias("i"), other.alias("j"), F.lit(True).alias("probe"), *keep)
     every = rows.select("token", other.alias("i"), own.alias("j"), F.lit(False).alias("probe"), *keep)
 
@@ -289,18 +291,17 @@ def block_pairs(live: DataFrame, odd: DataFrame) -> DataFrame:
         x, y = (rows.filter(pa.array(p)) for p in (probe, ~probe))
         a, b = [], []
         if x.num_rows:
-            doc, n, pos, label, out, several = (y.column(c).to_numpy() for c in ("doc", "n", "pos", "label", "out", "several"))
-            bits, n = bit_rows(y.column("odd")), n.astype(np.int64)
-            tokens = None
+            doc, n, pos, label, out = (y.column(c).to_numpy() for c in ("doc", "n", "pos", "label", "out"))
+            bits, n, shared = bit_rows(y.column("odd")), n.astype(np.int64), None
             for k, mine in enumerate(bit_rows(x.column("odd"))):
-                me = {c: x.column(c)[k].as_py() for c in ("doc", "n", "pos", "label", "tokens", "several")}
+                me = {c: x.column(c)[k].as_py() for c in ("doc", "n", "pos", "label", "earlier")}
                 ok = (label != me["label"]) & ~(out & (doc <= me["doc"])) & (100 * np.minimum(n, me["n"]) >= THRESHOLD * np.maximum(n, me["n"]))
                 ok &= (100 + THRESHOLD) * np.minimum(n - pos, me["n"] - me["pos"]) >= THRESHOLD * (n + me["n"])
                 at = np.flatnonzero(ok)
                 at = at[few_apart(np.bitwise_count(bits[at] ^ mine).sum(1), n[at] + me["n"])]
                 if len(at):
-                    tokens, held = tokens or y.column("tokens").to_pylist(), set(me["tokens"])
-                    first = [i for i in at if me["several"] or several[i] or next(t for t in tokens[i] if t in held) == key[0].as_py()]
+                    shared, held = shared or [set(t) for t in y.column("earlier").to_pylist()], set(me["earlier"])
+                    first = [i for i in at if held.isdisjoint(shared[i])]
                     a += [me["doc"]] * len(first)
                     b += doc[first].tolist()
         both = np.array([a, b], np.int64).reshape(2, -1)
@@ -316,29 +317,23 @@ def node_links(shared: DataFrame, docs: DataFrame, odd: DataFrame) -> DataFrame
     ids = materialise(listed.select(F.col("a").alias("doc_id")).union(listed.select("b")).union(hot.select("doc")).distinct())
     if ids.isEmpty():
         return None
-    with bucketed(sets_of(docs, ids), "doc_id") as sets:
-        return settled(listed, hot, ids, sets, odd)
+    odd = materialise(odd.join(ids, "doc_id", "left_semi"))
+    with bucketed(texts_of(docs, ids), "doc_id") as texts:
+        return settled(listed, hot, ids, texts, odd)
 
 
-def settled(listed: DataFrame, hot: DataFrame, ids: DataFrame, sets: DataFrame, odd: DataFrame) -> DataFrame:
+def settled(listed: DataFrame, hot: DataFrame, ids: DataFrame, texts: DataFrame, odd: DataFrame) -> DataFrame:
     """The labels after the listed pairs, the rounds over the shingles of many nodes and the blocks of what these leave."""
-    labels = merged(ids.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("label")), materialise(verified(listed, sets)))
-    turn, last = 0, False
-    while not last:
+    labels = merged(ids.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("label")), materialise(verified(listed, texts)))
+    for turn in range(len(PIVOTS) + 1):
         live = hot.join(labels.withColumnRenamed("node", "doc"), "doc")
         # Shingles whose nodes are all in one component are done.
         open_ = live.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token")
         live = materialise(live.join(open_, "token", "left_semi"))
         if live.isEmpty():
             break
-        pairs = materialise(suffix_filtered(pivot_pairs(live, turn), odd))
-        new = materialise(verified(pairs, sets))
-        # Pivots go on while they link a tenth of what they test.
-        last = turn > 0 and 10 * new.count() < max(1, pairs.count())
-        labels, turn = merged(labels, new), turn + 1
-    else:
-        live = materialise(live.drop("label").join(labels.withColumnRenamed("node", "doc"), "doc"))
-        labels = merged(labels, materialise(verified(materialise(block_pairs(live, odd)), sets)))
+        pairs = suffix_filtered(pivot_pairs(live, turn), odd) if turn < len(PIVOTS) else block_pairs(live, odd)
+        labels = merged(labels, materialise(verified(materialise(pairs), texts)))
     return labels
 
 
