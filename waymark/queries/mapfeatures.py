@@ -433,13 +433,53 @@ def feature_visits(t):
     return md.visiting_traces(_visits(t))
 
 
-@query("matched_features")
+# Features along the equator, in slots of a hundredth of a degree; every length is a multiple of a ten-thousandth. Provider features
+# belong to lines of orders, competitor features to parts; some parts run against them or lie too far off.
+MATCHED = """a as (select l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey as feature_a, l_partkey % 36000 as slot, l_suppkey % 3 as y,
+      (l_partkey % 36000) * 100 + l_linenumber as x0, (l_partkey % 36000) * 100 + l_linenumber + 21 + cast(l_quantity as integer) as x1 from lineitem),
+    b as (select cast(p_partkey as varchar) as feature_b, p_partkey % 36000 as slot, p_partkey % 4 as y, (p_partkey % 36000) * 100 + 10 as x0, (p_partkey % 36000) * 100 + 50 + p_size % 10 as x1
+      from part where p_partkey % 5 <> 0),
+    p as (select feature_a, feature_b, a.slot, a.y, greatest(a.x0, b.x0) as s, least(a.x1, b.x1) as e, feature_a || '|' || feature_b as id
+      from a join b on a.slot = b.slot and abs(a.y - b.y) <= 2 and greatest(a.x0, b.x0) < least(a.x1, b.x1)),
+    gone as (select i.id from p i join p j on i.slot = j.slot and i.y = j.y and i.id <> j.id and j.s <= i.s and i.e <= j.e and (j.s < i.s or i.e < j.e or j.id < i.id)),
+    m as (select *, cast(e - s as double) * 0.0001 * 111319.49079327358 as metres from p where id not in (select id from gone))"""
+
+
+def _features(t):
+    """The two tables of ``MATCHED`` as lines; the slot stands for the trace of a provider feature."""
+
+    def line(x0, x1, y, *between):
+        return F.array(*(geo.point(x * 0.0001 - 180, y * 0.000011) for x in (x0, *between, x1)))
+
+    base = (F.col("l_partkey") % 36000) * 100 + F.col("l_linenumber")
+    size = 21 + F.col("l_quantity").cast("int")
+    a = t.lineitem.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("feature_a"), (F.col("l_partkey") % 36000).alias("trace_id"),
+        line(base, base + size, F.col("l_suppkey") % 3, base + size * 0.45).alias("line_a"),
+    )
+    base = (F.col("p_partkey") % 36000) * 100
+    there = line(base + 10, base + 50 + F.col("p_size") % 10, F.col("p_partkey") % 4)
+    b = t.part.select(F.col("p_partkey").cast("string").alias("feature_b"), F.when(F.col("p_partkey") % 5 == 0, F.reverse(there)).otherwise(there).alias("line_b"))
+    return a, b
+
+
+@query("matched_features", f"with {MATCHED} select feature_a, feature_b, round(metres, 2) as piece_metres, round(cast(s as double) * 0.0001 - 180, 4) as start_x, round(cast(e as double) * 0.0001 - 180, 4) as end_x from m")
 def matched_features(t):
-    a = _shapes(t).select(F.col("trace_id").alias("feature_a"), F.col("trace_id"), F.col("line").alias("line_a"))
-    # Competitor features are matched along the same trace, so the trace is part of the join key.
-    b = t.fx_route_lines.select(F.col("route_id").alias("feature_b"), F.col("route_id").alias("trace_id"), geo.points_of_wkt("competitor_route").alias("line_b"))
-    out = md.match_features(a, b, size=0.02, on=["trace_id"])
-    return out.select("feature_a", "feature_b", F.round("piece_metres", 2).alias("piece_metres"), F.size("piece").alias("points"))
+    out = md.match_features(*_features(t))
+    ends = [F.round(p["x"], 4).alias(n) for p, n in ((geo.first("piece"), "start_x"), (geo.last("piece"), "end_x"))]
+    return out.select("feature_a", "feature_b", F.round("piece_metres", 2).alias("piece_metres"), *ends)
+
+
+@query(
+    "matching_balance",
+    f"""with {MATCHED}, own as (select slot as trace_id, sum(cast(x1 - x0 as double) * 0.0001 * 111319.49079327358) as own from a group by slot),
+    got as (select slot as trace_id, sum(metres) as got from m group by slot)
+    select trace_id, round(own, 1) as own_metres, round(coalesce(got, 0), 1) as matched_metres, abs(own - coalesce(got, 0)) > own * 0.2 as lost, coalesce(got, 0) > own * 1.005 as gained
+    from own left join got using (trace_id)""",
+)
+def matching_balance(t):
+    a, b = _features(t)
+    return _round(md.matching_balance(a, md.match_features(a, b)), 1, "own_metres", "matched_metres")
 
 
 @query(

@@ -787,9 +787,7 @@ def probability_sum_fit(t):
              union all select i, (i + 1) / 10.0, false, 1000 - cast(round((i + 1) / 10.0 * 1000) as bigint) from range(0, 10) r(i)),
     sz as (select truth, max(n) as n from ids group by truth),
     sl as (select seed, ratio, truth, n, unnest(range(0, draws)) as i from plan join sz using (truth)),
-    d as (select *, (seed * 1000003 + i * 7919 + 12345) % 2147483647 as x0 from sl),
-    d1 as (select *, (x0 * x0 + 1013) % 2147483647 as x1 from d),
-    d2 as (select ratio, truth, ((x1 * x1 + 29) % 2147483647) % n as pick from d1)
+    d2 as (select ratio, truth, cast('0x' || substr(md5('0|' || seed || '|' || i), 1, 15) as bigint) % n as pick from sl)
     select cast(ratio as double) as ratio, count(*) as n, count(*) filter (where d2.truth) as errors, round(sum(p), 6) as probability_sum
     from d2 join ids on ids.truth = d2.truth and pos = pick group by ratio""",
 )
