@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from waymark import values
-from waymark.operators.order import hash_key, numbered, value_counts_cumulative
+from waymark.operators.order import hash_key, value_counts_cumulative
 
 
 def is_error(col: str | Column, non_errors=("discard",)) -> Column:
@@ -263,49 +263,12 @@ def draw(seed: Column, i: Column, n: Column) -> Column:
     return hash_key(seed.cast("bigint"), i.cast("bigint")) % n
 
 
-def bootstrap(
-    routes: DataFrame,
-    sums: list[str],
-    metrics: dict[str, Column],
-    resamples: int = 1000,
-    keys: list[str] | None = None,
-    key: str = "route_id",
-    fraction: Column | None = None,
-    by: list[str] | None = None,
-) -> DataFrame:
-    """Resample routes with replacement (per ``keys``) and recompute the metrics for each seed (and ``by``, some of the keys).
-
-    ``routes`` has one row per route with partial sums; only (seed, position) integers are multiplied.
-    ``metrics`` are aggregates over the resampled sums. ``fraction`` scales the draws per key group.
-    """
-    keys = keys or []
-    ids = numbered(routes.select(*keys, key, *sums), [key], "_pos", keys=keys)
-    sizes = ids.groupBy(*keys).agg(F.count("*").alias("_n"))
-    if fraction is not None:
-        sizes = sizes.withColumn("_draws", F.round(fraction * F.col("_n")).cast("bigint"))
-    else:
-        sizes = sizes.withColumn("_draws", F.col("_n"))
-    if keys:
-        # Positions beyond the group size (fraction > 1) wrap around several passes.
-        slots = ids.select(*keys, "_pos").join(sizes, keys)
-    else:
-        slots = ids.select("_pos").crossJoin(F.broadcast(sizes))  # one row
-    passes = F.ceil(F.col("_draws") / F.col("_n"))
-    slots = slots.withColumn("_pass", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(passes, F.lit(1)) - 1)))
-    slots = slots.withColumn("_i", F.col("_pass") * F.col("_n") + F.col("_pos")).filter(F.col("_i") < F.col("_draws"))
-    draws = slots.select(
-        *keys, "_n", "_i", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))).alias("seed")
-    ).select(*keys, "seed", draw(F.col("seed"), F.col("_i"), F.col("_n")).alias("_pos"))
-    picked = draws.join(ids.select(*keys, "_pos", *sums), [*keys, "_pos"])
-    return picked.groupBy(*(by or []), "seed").agg(*[c.alias(n) for n, c in metrics.items()])
-
-
-def bootstrap_interval(resampled: DataFrame, metrics: list[str], quantiles=(0.05, 0.95)) -> DataFrame:
-    """One row with ``<metric>_lower`` and ``<metric>_upper`` (linear); input has one row per seed."""
+def bootstrap_interval(resampled: DataFrame, metrics: list[str], quantiles=(0.05, 0.95), by: list[str] | None = None) -> DataFrame:
+    """One row (per ``by``) with ``<metric>_lower`` and ``<metric>_upper`` (linear); input has one row per seed."""
     if len(quantiles) != 2:
         raise ValueError(f"quantiles must be two values, got {len(quantiles)}")
     lo, hi = min(quantiles), max(quantiles)
-    return resampled.agg(
+    return resampled.groupBy(*(by or [])).agg(
         *[F.percentile(m, F.lit(lo)).alias(f"{m}_lower") for m in metrics],
         *[F.percentile(m, F.lit(hi)).alias(f"{m}_upper") for m in metrics],
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from waymark import values as v
 from waymark.functions import text as tx
-from waymark.operators import metrics as mt
+from waymark.operators import metrics as mt, resample as rs
 from waymark.operators.order import first_per_key, newest_first
 
 
@@ -103,10 +103,9 @@ def finished_run_intervals(
     rows = finished_routes(routes, reviewed, metadata, scored, []).select(
         "run_id", "route_id", (F.col("s") / 3600).alias("hours"), F.col("e").cast("double").alias("errors"), F.when(F.col("e") > 0, 1.0).otherwise(0.0).alias("failed")
     )
-    metrics = {"eph": F.sum("errors") / F.sum("hours"), "failed_routes": F.avg("failed")}
-    drawn = mt.bootstrap(rows, ["hours", "errors", "failed"], metrics, resamples, keys=["run_id"], by=["run_id"])
-    ends = [F.percentile(m, q).alias(f"{m}_{side}") for m in metrics for q, side in zip(quantiles, ("lower", "upper"), strict=True)]
-    return drawn.groupBy("run_id").agg(*ends)
+    metrics = {"eph": F.sum("errors") / F.sum("hours"), "failed_routes": F.sum("failed") / F.sum("draws")}
+    drawn = rs.bootstrap(rows, ["hours", "errors", "failed"], metrics, resamples, keys=["run_id"], by=["run_id"])
+    return mt.bootstrap_interval(drawn, list(metrics), quantiles, by=["run_id"])
 
 
 def score_finished_runs(routes: DataFrame, reviewed: DataFrame, metadata: DataFrame, scored: DataFrame) -> DataFrame:

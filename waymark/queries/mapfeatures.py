@@ -663,18 +663,9 @@ def _finished(t):
     return rp.score_finished_runs(*_runs(t))
 
 
-@query(
-    "finished_run_intervals",
-    f"""with {FINISHED},
-    ids as (select run_id, s / 3600.0 as hours, n as errors, case when n > 0 then 1.0 else 0.0 end as failed, count(*) over (partition by run_id) as size,
-      row_number() over (partition by run_id order by cast('0x' || substr(md5('0|' || route_id), 1, 15) as bigint), route_id) - 1 as pos from p),
-    d as (select run_id, seed, cast('0x' || substr(md5('0|' || seed || '|' || pos), 1, 15) as bigint) % size as pick from ids, (select unnest(range(0, 20)) as seed)),
-    b as (select d.run_id, seed, sum(errors) / sum(hours) as eph, avg(failed) as failed from d join ids on ids.run_id = d.run_id and pick = pos group by d.run_id, seed)
-    select run_id, round(quantile_cont(eph, 0.05), 6) as eph_lower, round(quantile_cont(eph, 0.95), 6) as eph_upper,
-      round(quantile_cont(failed, 0.05), 6) as failed_routes_lower, round(quantile_cont(failed, 0.95), 6) as failed_routes_upper from b group by run_id""",
-)
+@query("finished_run_intervals")
 def finished_run_intervals(t):
-    df = rp.finished_run_intervals(*_runs(t), resamples=20)
+    df = rp.finished_run_intervals(*_runs(t))
     return _round(df, 6, *(c for c in df.columns if c != "run_id"))
 
 

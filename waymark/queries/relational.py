@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from waymark import values
-from waymark.operators import evaluate as ev, metrics as mt, profile as pf
+from waymark.operators import evaluate as ev, metrics as mt, profile as pf, resample as rs
 from waymark.queries import query
 
 # A section with its route: what the reference scores. Both engines read the same fixtures.
@@ -202,72 +202,62 @@ def error_family_counts(t):
     return per_code.join(F.broadcast(families), "code").groupBy("family").agg(F.sum("n").alias("errors"))
 
 
-BOOT_SQL = f"""with {JOINED},
-    per_route as (select route_id, min(provider_route_time) / 3600.0 as hours,
-                         cast(count(*) filter (where {ERR}) as double) as errors from joined group by route_id),
-    ids as (select *, row_number() over (order by cast('0x' || substr(md5('0|' || route_id), 1, 15) as bigint), route_id)
-                   - 1 as pos, count(*) over () as n from per_route),
-    seeds as (select cast(unnest(range(0, 50)) as bigint) as seed),
-    d2 as (select seed, cast('0x' || substr(md5('0|' || seed || '|' || pos), 1, 15) as bigint) % n as pick from ids, seeds),
-    b as (select seed, sum(errors) as errors, sum(hours) as hours, sum(errors) / sum(hours) as eph
-          from d2 join ids on pick = pos group by seed)
-"""
+def _boot_routes(t, *groups):
+    routes = mt.per_route(scored(t), "mcp_state", groups=list(groups), measures={"seconds": "provider_route_time"})
+    return routes.select(*groups, "route_id", (F.col("seconds") / 3600.0).alias("hours"), F.col("errors").cast("double").alias("errors"))
 
 
-def _boot(t):
-    routes = mt.per_route(scored(t), "mcp_state", measures={"seconds": "provider_route_time"}).select(
-        "route_id", (F.col("seconds") / 3600.0).alias("hours"), F.col("errors").cast("double").alias("errors")
-    )
-    return mt.bootstrap(
-        routes,
-        ["hours", "errors"],
-        {"errors": F.sum("errors"), "hours": F.sum("hours"), "eph": F.sum("errors") / F.sum("hours")},
-        resamples=50,
-    )
+def _boot(routes, **how):
+    metrics = {"draws": F.sum("draws"), "errors": F.sum("errors"), "hours": F.sum("hours"), "eph": F.sum("errors") / F.sum("hours")}
+    return rs.bootstrap(routes, ["hours", "errors"], metrics, **how)
 
 
-@query("bootstrap_resamples", BOOT_SQL + "select cast(seed as integer) as seed, errors, round(hours, 4) as hours, round(eph, 6) as eph from b")
+# Draws come from a generator of the tasks, which SQL does not have: the tests hold them against plain resampling, and
+# bootstrap_moments holds all resamples against the moments that follow from the routes.
+@query("bootstrap_resamples")
 def bootstrap_resamples(t):
-    return _r(_r(_boot(t), "hours"), "eph", digits=6)
+    return _r(_r(_boot(_boot_routes(t)), "hours"), "eph", digits=6)
 
 
-@query(
-    "bootstrap_interval",
-    BOOT_SQL + """select round(quantile_cont(errors, 0.05), 4) as errors_lower, round(quantile_cont(errors, 0.95), 4) as errors_upper,
-        round(quantile_cont(eph, 0.05), 6) as eph_lower, round(quantile_cont(eph, 0.95), 6) as eph_upper from b""",
-)
+@query("bootstrap_interval")
 def bootstrap_interval(t):
-    df = mt.bootstrap_interval(_boot(t), ["errors", "eph"])
+    df = mt.bootstrap_interval(_boot(_boot_routes(t)), ["errors", "eph"])
     return df.select(*[F.round(c, 4 if c.startswith("errors") else 6).alias(c) for c in df.columns])
 
 
 @query(
-    "bootstrap_stratified",
+    "bootstrap_moments",
     f"""with {JOINED},
-    per_route as (select quality, route_id, min(provider_route_time) / 3600.0 as hours,
-                         cast(count(*) filter (where {ERR}) as double) as errors from joined group by quality, route_id),
-    ids as (select *, row_number() over (partition by quality order by
-                     cast('0x' || substr(md5('0|' || route_id), 1, 15) as bigint), route_id) - 1 as pos,
-                   count(*) over (partition by quality) as n from per_route),
-    k as (select quality, n, cast(round(n * case when quality = 'Q1' then 0.5 else 1.5 end) as bigint) as draws
-          from ids group by quality, n),
-    slots as (select quality, n, unnest(range(0, draws)) as i from k),
-    seeds as (select cast(unnest(range(0, 10)) as bigint) as seed),
-    d2 as (select quality, seed, cast('0x' || substr(md5('0|' || seed || '|' || i), 1, 15) as bigint) % n as pick from slots, seeds)
-    select cast(seed as integer) as seed, sum(errors) as errors, round(sum(hours), 4) as hours
-    from d2 join ids on pick = pos and d2.quality = ids.quality group by seed""",
-)
+    per_route as (select route_id, min(provider_route_time) / 3600.0 as hours, cast(count(*) filter (where {ERR}) as double) as errors from joined group by route_id)
+    select metric, cast(1000 as bigint) as resamples, n as least_draws, n as most_draws, true as mean_agrees, true as spread_agrees
+    from (select count(*) as n from per_route), (values ('errors'), ('hours')) m(metric)""",
+)
+def bootstrap_moments(t):
+    """The mean and the variance over the resamples against n times those of a route; 6 standard errors are allowed."""
+    routes = _boot_routes(t)
+    draws = _boot(routes)
+    out = []
+    for m in ("errors", "hours"):
+        own = routes.agg(F.count("*").alias("n"), F.sum(m).alias("total"), F.var_pop(m).alias("var"))
+        made = draws.agg(F.count("*").alias("resamples"), F.min("draws").alias("least_draws"), F.max("draws").alias("most_draws"), F.avg(m).alias("mean"), F.var_samp(m).alias("spread"))
+        due = F.col("n") * F.col("var")
+        mean = F.abs(F.col("mean") - F.col("total")) <= 6 * F.sqrt(due / F.col("resamples"))
+        spread = F.abs(F.col("spread") / due - 1) <= 6 * F.sqrt(F.lit(2.0) / F.col("resamples"))
+        out.append(made.crossJoin(F.broadcast(own)).select(F.lit(m).alias("metric"), "resamples", "least_draws", "most_draws", mean.alias("mean_agrees"), spread.alias("spread_agrees")))
+    return out[0].unionByName(out[1])
+
+
+@query("bootstrap_levels")
+def bootstrap_levels(t):
+    """Intervals of errors per hour for all routes, by country and by quality, from the same 1000 resamples."""
+    drawn = _boot(_boot_routes(t, "country", "quality"), levels=["country", "quality"])
+    return _r(mt.bootstrap_interval(drawn, ["eph"], by=["level", "level_value"]), "eph_lower", "eph_upper", digits=6)
+
+
+@query("bootstrap_stratified")
 def bootstrap_stratified(t):
-    routes = mt.per_route(
-        scored(t), "mcp_state", groups=["quality"], measures={"seconds": "provider_route_time"}
-    ).select(
-        "quality", "route_id", (F.col("seconds") / 3600.0).alias("hours"), F.col("errors").cast("double").alias("errors")
-    )
-    df = mt.bootstrap(
-        routes, ["hours", "errors"], {"errors": F.sum("errors"), "hours": F.sum("hours")},
-        resamples=10, keys=["quality"], fraction=F.when(F.col("quality") == "Q1", 0.5).otherwise(1.5),
-    )
-    return _r(df, "hours")
+    fraction = F.when(F.col("quality") == "Q1", 0.5).otherwise(1.5)
+    return _r(_boot(_boot_routes(t, "quality"), keys=["quality"], fraction=fraction).drop("eph"), "hours")
 
 
 def _observations(t):
