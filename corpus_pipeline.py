@@ -19,10 +19,15 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id, once. Rows without an id can't be named and stay."""
+    """Of each group of near copies the document with the smallest id, once. Rows without an id can't be named and stay.
+
+    Of rows that share an id, which are one document, the one with the least hash stays: a repeated run keeps the same one.
+    """
     groups = ngram_join.jaccard_components(docs)
     first = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    marked = docs.withColumn("_row", F.xxhash64(*docs.columns))
+    least = marked.groupBy("doc_id").agg(F.min("_row").alias("_row")).join(first, "doc_id", "left_semi")
+    named = marked.filter("doc_id is not null").join(least, ["doc_id", "_row"], "left_semi").dropDuplicates(["doc_id", "_row"])
     return named.select(docs.columns).union(docs.filter("doc_id is null"))
 
 
