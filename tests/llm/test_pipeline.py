@@ -42,6 +42,16 @@ def test_stages(spark):
     assert last.columns == [*docs.columns, "shard", "slot"] and last.count() == docs.count()
 
 
+def test_rows_that_share_an_id(spark):
+    """Of different texts under one id the same one stays, however the table is dealt out."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    more = docs.filter("doc_id < 40").withColumn("text", docs.text.substr(1, 900))
+    both = docs.union(more).union(more)
+    stage = dict(corpus_pipeline.STAGES)["ngram_join"]
+    one, other = ({(r.doc_id, r.text) for r in stage(spark, df, DATA).collect()} for df in (both, both.repartition(9, "text")))
+    assert one == other and len({i for i, _ in one}) == len(one)
+
+
 def test_empty_table(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet").filter("false")
     for _, stage in corpus_pipeline.STAGES:
