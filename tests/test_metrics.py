@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,6 +53,37 @@ def test_running_totals_with_hot_key_and_ties(spark):
     assert (q["a"], q["d"], q["c"]) == (values[0], values[-1], (values[249] + values[250]) / 2)
 
 
+@pytest.mark.parametrize("chunks", [1, 3, 40])
+def test_order_by_ranges(spark, chunks):
+    """Ranks, running counts and quantiles by key, with nulls, NaN, hot values and keys that span several ranges."""
+    rng = np.random.default_rng(2)
+    rows = [(i, f"k{min(3, i % 9)}", None if i % 50 == 0 else (float("nan") if i % 70 == 1 else float(rng.choice([5.0, rng.normal()], p=[0.4, 0.6])))) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, key string, v double").repartition(7)
+    place = lambda v: (v is not None, v is not None and v != v, 0.0 if v is None or v != v else v)
+    ranked = {r["rank"]: r for r in od.numbered_by_value(df, "v", ["id"], "rank", chunks=chunks).collect()}
+    assert sorted(ranked) == list(range(2000)) and len({r["id"] for r in ranked.values()}) == 2000
+    assert [place(ranked[i]["v"]) for i in range(2000)] == sorted(place(v) for _, _, v in rows)
+    again = {r["rank"]: r["id"] for r in od.numbered_by_value(df.repartition(3), "v", ["id"], "rank", chunks=chunks + 1).collect()}
+    assert again == {k: r["id"] for k, r in ranked.items()}
+    clean = df.filter("not isnan(v)")
+    got = {(r["key"], r["v"]): (r["n"], r["cum_n"]) for r in od.value_counts_cumulative(clean, "v", {"n": F.lit(1)}, ["key"], chunks).collect()}
+    quantiles = {r["key"]: [r[c] for c in "abc"] for r in od.exact_quantiles(clean, "v", [0.1, 0.5, 0.9], list("abc"), ["key"], chunks).collect()}
+    for key in {k for _, k, _ in rows}:
+        own = np.sort([v for _, k, v in rows if k == key and v is not None and v == v])
+        assert {v: x for (k, v), x in got.items() if k == key} == {v: (int((own == v).sum()), int((own <= v).sum())) for v in own.tolist()}
+        assert quantiles[key] == pytest.approx(np.quantile(own, [0.1, 0.5, 0.9]).tolist())
+
+
+def test_a_hot_value_is_cut(spark):
+    """Nine of ten rows have one value: no chunk holds more than twice its share, and the input is scanned once."""
+    df = spark.range(20_000).select(F.col("id"), F.when(F.col("id") % 10 > 0, 7).otherwise(F.col("id")).alias("v"))
+    made = od.by_range(df.withColumn("h", od.hash_key("id")), ["v", "h"], 10)
+    sizes = [r["count"] for r in made.groupBy("_chunk").count().collect()]
+    assert len(sizes) == 10 and max(sizes) <= 4000
+    plan = od.numbered_by_value(df, "v", ["id"], "rank")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range (0, 20000" not in plan
+
+
 def test_island_runs_across_blocks(spark):
     df = spark.range(40).select(F.lit("t").alias("t"), F.col("id").alias("seq"), F.floor(F.col("id") / 7).alias("a"))
     got = {r["seq"]: r["run_no"] for r in od.island_runs(df, "t", "seq", ["a"], block=4).collect()}

@@ -10,6 +10,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window as W
 
+from waymark.session import cut_lineage
+
 
 def newest_first(col: Column | str) -> Column:
     """Ascending sort key that puts the latest date or timestamp first and NULL last."""
@@ -56,40 +58,21 @@ def chunk_count(most: int = 1 << 16) -> int:
     return max(64, min(most, 4 * partitions))
 
 
-# Quantiles come to the driver and back as literals that every row is compared with, so there are fewer of them.
-MOST_QUANTILES = 1024
-
-
 def hash_chunk(key: Column, chunks: int | None = None) -> Column:
     """Order-preserving chunk number of a 60-bit hash: uniform by construction."""
     chunks = chunks or chunk_count()
     return F.floor(key.cast("double") / F.lit(float(HASH_SPAN)) * chunks).cast("int")
 
 
-def value_chunk(df: DataFrame, col: str, chunks: int | None = None, tie_hash: Column | None = None) -> Column:
-    """Order-preserving chunk of a numeric column from approximate quantiles.
+def by_range(df: DataFrame, order_by: list[Column | str], chunks: int | None = None) -> DataFrame:
+    """``df`` with ``_chunk``, a number that grows with the order: the partition of a range shuffle.
 
-    At most ``chunks`` numbers come to the driver; as literals they give every re-run the same chunks.
-    A value that fills more than one quantile step is hot: with ``tie_hash`` its rows are cut by hash.
+    There are as many chunks as shuffle partitions, and Spark draws their bounds from the rows, so that chunks keep their size when the
+    table grows. With a hash behind the value in ``order_by`` the rows of a hot value are cut by the hash. The rows are written to the
+    checkpoint folder: what comes after reads them there, and a task that runs again finds the same chunks.
     """
-    chunks = chunks or chunk_count(MOST_QUANTILES)
-    probs = [i / chunks for i in range(1, chunks)]
-    row = df.agg(F.percentile_approx(F.col(col).cast("double"), probs, 10000).alias("s")).first()
-    found = [float(s) for s in (row["s"] or [])]
-    splits = sorted(set(found))
-    hot = [s for s in splits if found.count(s) > 1]
-    value = F.col(col).cast("double")
-    edges = F.array(*[F.lit(s) for s in splits])
-    # The value is bound once as a lambda variable; named inside the filter it would be computed per edge.
-    step = F.get(F.transform(F.array(value), lambda v: F.size(F.filter(edges, lambda s: s < v))), F.lit(0)) if splits else F.lit(0)
-    if tie_hash is None:
-        return step
-    is_hot = value.isin(hot) if hot else F.lit(False)
-    return F.struct(
-        step.alias("step"),
-        is_hot.cast("int").alias("hot"),
-        F.when(is_hot, hash_chunk(tie_hash, chunks)).otherwise(0).alias("cut"),
-    )
+    parts = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(df.repartitionByRange(parts, *order_by).withColumn("_chunk", F.spark_partition_id()))
 
 
 def running_totals(
@@ -138,10 +121,10 @@ def numbered_by_value(
     df: DataFrame, value: str, tie_break: list[str], out: str = "row_id", chunks: int | None = None
 ) -> DataFrame:
     """Consecutive numbers from 0 by value; rows with the same value follow their hash, then the tie-break."""
-    work = df.withColumn("_h", hash_key(*tie_break))
-    chunk = value_chunk(df, value, chunks, F.col("_h"))
-    ranked = running_totals(work, [value, "_h", *tie_break], {out: F.lit(1).cast("bigint")}, chunk)
-    return ranked.withColumn(out, F.col(out) - 1).drop("_h")
+    order = [value, "_h", *tie_break]
+    work = by_range(df.withColumn("_h", hash_key(*tie_break)), order, chunks)
+    ranked = running_totals(work, order, {out: F.lit(1).cast("bigint")}, F.col("_chunk"))
+    return ranked.withColumn(out, F.col(out) - 1).drop("_h", "_chunk")
 
 
 def value_counts_cumulative(
@@ -155,8 +138,8 @@ def value_counts_cumulative(
     per_value = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(
         *[F.sum(expr).cast("bigint").alias(name) for name, expr in counts.items()]
     )
-    chunk = value_chunk(per_value, value, chunks)
-    return running_totals(per_value, [value], {f"cum_{n}": F.col(n) for n in counts}, chunk, keys)
+    ranged = by_range(per_value, [*keys, value], chunks)
+    return running_totals(ranged, [value], {f"cum_{n}": F.col(n) for n in counts}, F.col("_chunk"), keys).drop("_chunk")
 
 
 def exact_quantiles(
