@@ -18,7 +18,7 @@ def test_catalog_round_trips(spark, tmp_path):
     cat = Catalog(spark, str(tmp_path))
     assert cat.read_or_empty("errorlogs").count() == 0
     cat.initialise(["error_logs"])
-    assert cat.read("error_logs").schema.fieldNames() == schemas.SCHEMAS["error_logs"].fieldNames()
+    assert cat.read("error_logs").schema.fieldNames() == schemas.schema_of("error_logs").fieldNames()
     cat.replace_partitions("errorlogs", logs(spark, ["a", "b"]))
     cat.replace_partitions("errorlogs", logs(spark, ["x"], "p2"))
     cat.replace_partitions("errorlogs", logs(spark, ["c"]))

@@ -267,9 +267,9 @@ def route_simplified(t):
 
 @query(
     "route_curvature_radius",
-    f"""with {VERTICES}, e as (select route_id, true as east, seq, x, y from pv union all select route_id, false, 7 - seq, x, y from pv),
-    m as (select p.route_id, p.east, f.x as fx, f.y as fy, l.x as lx, l.y as ly, p.x as mx, p.y as my from e p
-      join e f on f.route_id = p.route_id and f.east = p.east and f.seq = 0 join e l on l.route_id = p.route_id and l.east = p.east and l.seq = 7 where p.seq = 4),
+    f"""with {VERTICES}, v as (select route_id, {", ".join(f"max({c}) filter (where seq = {i}) as {c}{i}" for i in (0, 3, 4, 7) for c in "xy")} from pv group by route_id),
+    m as (select route_id, true as east, x0 as fx, y0 as fy, x7 as lx, y7 as ly, x4 as mx, y4 as my from v
+      union all select route_id, false, x7, y7, x0, y0, x3, y3 from v),
     s as (select route_id, east, sqrt(power(lx - fx, 2) + power(fy - ly, 2)) as chord,
       (lx - fx) / sqrt(power(lx - fx, 2) + power(fy - ly, 2)) * (case when mx > lx then ly when mx < fx then fy else my end - my) as h from m)
     select route_id, east, case when h = 0 then -1 else round(abs(chord * chord / 8 / h + h / 2) * 1000000, 2) end as radius from s""",

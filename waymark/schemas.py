@@ -4,61 +4,66 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+# Column names and types of the stored datasets, as DDL. Numbers are double everywhere.
+SCHEMAS: dict[str, str] = {
+    "sampling_samples": """
+        sample_id STRING, tile_id STRING, origin STRING, destination STRING, route_id STRING, quality STRING,
+        country STRING, date_generated DATE, org STRING
+    """,
+    "sampling_metadata": """
+        sample_id STRING, country STRING, fcd_extraction_time DOUBLE, fcd_extracted_routes DOUBLE,
+        processed_routes DOUBLE, processing_time DOUBLE, date_generated DATE, osm_map_version STRING, parameters STRING,
+        api_calls STRING, sample_q STRING, final_routes INT, elapsed_time INT, metric STRING
+    """,
+    "inspection_routes": """
+        route_id STRING, country STRING, sample_id STRING, competitor STRING, provider_route STRING,
+        provider_route_time DOUBLE, provider_route_length DOUBLE, origin STRING, destination STRING, provider STRING,
+        competitor_route STRING, competitor_route_length DOUBLE, competitor_route_time DOUBLE, rac_state STRING,
+        run_id STRING
+    """,
+    "inspection_critical_sections": """
+        route_id STRING, case_id STRING, stretch STRING, stretch_length DOUBLE, fcd_state STRING, pra DOUBLE,
+        prb DOUBLE, prab DOUBLE, lift DOUBLE, tot INT, reference_case_id STRING, run_id STRING
+    """,
+    "critical_sections_with_mcp_feedback": """
+        run_id STRING, route_id STRING, case_id STRING, mcp_state STRING, reference_case_id STRING, error_subtype STRING
+    """,
+    "error_logs": """
+        run_id STRING, route_id STRING, case_id STRING, stretch STRING, provider_route STRING, competitor_route STRING,
+        country STRING, provider STRING, competitor STRING, product STRING
+    """,
+    "inspection_metadata": """
+        run_id STRING, sample_id STRING, provider STRING, endpoint STRING, mapdate DATE, product STRING, country STRING,
+        mode STRING, competitor STRING, mcp_tasks INT, completed BOOLEAN, inspection_date DATE, comment STRING,
+        rac_elapsed_time DOUBLE, fcd_elapsed_time DOUBLE, total_elapsed_time DOUBLE, api_calls STRING,
+        sanity_fail BOOLEAN, sanity_msg STRING
+    """,
+    "scheduled_error_logs_history": """
+        run_id STRING, case_id STRING, stretch STRING, provider_route STRING, competitor_route STRING,
+        error_type STRING, evaluated_by STRING, review_date TIMESTAMP, comment STRING, country STRING, provider STRING,
+        product STRING, competitor STRING, route_id STRING
+    """,
+    "scheduled_metrics": """
+        run_id STRING, routes INT, errors INT, provider_km DOUBLE, provider_hours DOUBLE, eph DOUBLE,
+        metrics_per_error_type STRING, metrics_per_mqs STRING, publish_value_stream BOOLEAN, publish_harold BOOLEAN,
+        failed_routes DOUBLE, competitor_hours DOUBLE, competitor_km DOUBLE, eph_lower DOUBLE, eph_upper DOUBLE,
+        rac_state STRING, failed_routes_lower DOUBLE, failed_routes_upper DOUBLE
+    """,
+    "aggregation_weights": """
+        country_name STRING, country STRING, top STRING, weight DOUBLE, ranking BIGINT
+    """,
+    "errorlogs": """
+        case_id STRING, route_id STRING, country STRING, provider STRING, product STRING, source_type STRING,
+        origin STRING, destination STRING, stretch STRING, run_id STRING, pipeline_id STRING, project STRING,
+        location_label STRING
+    """,
+}
 
-def _schema(text: str) -> T.StructType:
-    kinds = {
-        "s": T.StringType(), "d": T.DoubleType(), "i": T.IntegerType(), "b": T.BooleanType(), "dt": T.DateType(),
-        "ts": T.TimestampType(), "l": T.LongType(),
-    }
-    fields = []
-    for item in text.split():
-        name, _, kind = item.partition(":")
-        fields.append(T.StructField(name, kinds[kind or "s"]))
-    return T.StructType(fields)
 
+def schema_of(name: str) -> T.StructType:
+    """The schema of a dataset; needs a session, which reads the DDL."""
+    return T.StructType.fromDDL(SCHEMAS[name])
 
-# Column names and types of the stored datasets. Numbers are double everywhere.
-SCHEMAS: dict[str, T.StructType] = {
-    "sampling_samples": _schema(
-        "sample_id tile_id origin destination route_id quality country date_generated:dt org"
-    ),
-    "sampling_metadata": _schema(
-        "sample_id country fcd_extraction_time:d fcd_extracted_routes:d processed_routes:d processing_time:d "
-        "date_generated:dt osm_map_version parameters api_calls sample_q final_routes:i elapsed_time:i metric"
-    ),
-    "inspection_routes": _schema(
-        "route_id country sample_id competitor provider_route provider_route_time:d provider_route_length:d origin "
-        "destination provider competitor_route competitor_route_length:d competitor_route_time:d rac_state run_id"
-    ),
-    "inspection_critical_sections": _schema(
-        "route_id case_id stretch stretch_length:d fcd_state pra:d prb:d prab:d lift:d tot:i reference_case_id run_id"
-    ),
-    "critical_sections_with_mcp_feedback": _schema(
-        "run_id route_id case_id mcp_state reference_case_id error_subtype"
-    ),
-    "error_logs": _schema(
-        "run_id route_id case_id stretch provider_route competitor_route country provider competitor product"
-    ),
-    "inspection_metadata": _schema(
-        "run_id sample_id provider endpoint mapdate:dt product country mode competitor mcp_tasks:i completed:b "
-        "inspection_date:dt comment rac_elapsed_time:d fcd_elapsed_time:d total_elapsed_time:d api_calls sanity_fail:b "
-        "sanity_msg"
-    ),
-    "scheduled_error_logs_history": _schema(
-        "run_id case_id stretch provider_route competitor_route error_type evaluated_by review_date:ts comment country "
-        "provider product competitor route_id"
-    ),
-    "scheduled_metrics": _schema(
-        "run_id routes:i errors:i provider_km:d provider_hours:d eph:d metrics_per_error_type metrics_per_mqs "
-        "publish_value_stream:b publish_harold:b failed_routes:d competitor_hours:d competitor_km:d eph_lower:d "
-        "eph_upper:d rac_state failed_routes_lower:d failed_routes_upper:d"
-    ),
-    "aggregation_weights": _schema("country_name country top weight:d ranking:l"),
-    "errorlogs": _schema(
-        "case_id route_id country provider product source_type origin destination stretch run_id pipeline_id project "
-        "location_label"
-    ),
-}
 
 PARTITIONS: dict[str, list[str]] = {
     "inspection_routes": ["provider", "country", "sample_id", "run_id"],
@@ -71,7 +76,7 @@ PARTITIONS: dict[str, list[str]] = {
 
 def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     """Select and cast every field; a missing column becomes NULL."""
-    schema = SCHEMAS[schema] if isinstance(schema, str) else schema
+    schema = schema_of(schema) if isinstance(schema, str) else schema
     return df.select(
         *[
             (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
@@ -80,7 +85,7 @@ def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
 
 
 def empty(spark: SparkSession, name: str) -> DataFrame:
-    return spark.createDataFrame([], SCHEMAS[name])
+    return spark.createDataFrame([], schema_of(name))
 
 
 def require_same_frame(a: DataFrame, b: DataFrame) -> None:

@@ -26,7 +26,7 @@ class Catalog:
 
     def read(self, name: str) -> DataFrame:
         """Scan with the fixed schema; partition folders prune, columns prune."""
-        return self.spark.read.schema(schemas.SCHEMAS[name]).parquet(self.path(name))
+        return self.spark.read.schema(schemas.schema_of(name)).parquet(self.path(name))
 
     def read_or_empty(self, name: str) -> DataFrame:
         try:
