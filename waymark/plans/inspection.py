@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from waymark import values as v
-from waymark.functions import geo, kernels as k, text as tx
+from waymark.functions import geo, kernels as k, sections as sec, text as tx
 from waymark.operators.barrier import explode_once, keep_where
 from waymark.operators.order import exact_sample, first_per_key, hash_key, newest_first
 from waymark.operators.pairs import near_duplicates
@@ -129,120 +129,45 @@ def competitor_routes(routes: DataFrame, history: DataFrame, answers: DataFrame)
 # ---- comparison ------------------------------------------------------------------------------
 
 
-def _pad_and_merge(spans: Column, start: Column, end: Column) -> Column:
-    """Pad each span, clamp it to [start, end], drop empty ones, join those that touch."""
-    padded = F.transform(
-        spans,
-        lambda s: F.struct(
-            F.least(F.greatest(s["s"] - v.SECTION_PAD, start), end).alias("s"),
-            F.greatest(F.least(s["e"] + v.SECTION_PAD, end), start).alias("e"),
-        ),
-    )
-    return geo.merge_spans(F.filter(padded, lambda s: s["s"] < s["e"]))
-
-
-def difference_spans(line: str, section: str, other: str, start: Column, end: Column) -> Column:
-    """Where two lines part, as spans along ``line``: parts of each outside the buffer of the other."""
-    r = F.lit(v.ROUTE_BUFFER)
-    own = k.project_spans(F.col(line), F.col(section), k.spans_away(F.col(section), F.col(other), r))
-    foreign = k.project_spans(F.col(line), F.col(other), k.spans_away(F.col(other), F.col(section), r))
-    return _pad_and_merge(F.concat(own, foreign), start, end)
-
+def with_sections(pairs: DataFrame, id_col: str, own: Column, subroutes: DataFrame | None = None, literal_second_test: bool = False) -> DataFrame:
+    """``pairs`` (id, ``b`` other line, ...) with ``spans``: where ``b`` leaves the line ``own``.
 
-def split_sections(pairs: DataFrame, id_col: str, subroutes: DataFrame | None = None, literal_second_test: bool = False) -> DataFrame:
-    """Critical sections of route pairs (id, ``a`` own line, ``b`` other line): rows (id, s, e).
-
-    Each round looks at all open intervals of all routes at once: an interval is closed as an error, closed
-    as equal, or replaced by halves of the places where the lines part. At most seven rounds.
+    An interval is closed as an error, closed as equal, or replaced by halves of the places where the lines part, down to
+    ``MAX_SPLIT_DEPTH``. All intervals of a route are split in the task that holds it.
     ``subroutes`` (id, s, e, line) gives the other side's route between interval ends; without it, or
     where it has no row, the other route is cut between the projections of the ends.
     """
-    frontier = pairs.select(
-        F.col(id_col).alias("id"), "a", "b", F.lit(0.0).alias("s"), geo.planar_length("a").alias("e"), F.col("b").alias("other")
-    )
-    done = None
-    r = v.ROUTE_BUFFER
-    for depth in range(v.MAX_SPLIT_DEPTH + 2):
-        whole = F.array(F.struct(F.col("s"), F.col("e")))
-        if depth > v.MAX_SPLIT_DEPTH:
-            closed = frontier.select("id", "s", "e")
-            done = closed if done is None else done.unionByName(closed)
-            break
-        work = frontier.withColumn("section", k.substring("a", F.col("s"), F.col("e")))
-        work = work.withColumn("metres", geo.haversine_length("section")).select(
-            "id", "a", "b", "s", "e", "metres", k.simplify("section", F.lit(v.SIMPLIFY_TOLERANCE)).alias("section"),
-            k.simplify("other", F.lit(v.SIMPLIFY_TOLERANCE)).alias("other"),
-        )
-        work = keep_where(work, ~geo.equal_within("section", "other", r))
-        short = (F.col("metres") < v.SECTION_MIN_METRES) | (geo.planar_length("section") < v.SECTION_MIN_DEGREES)
-        off = (geo.planar_distance(geo.first("section"), geo.first("other")) > r) | (
-            geo.planar_distance(geo.last("section"), geo.last("other")) > r
-        )
-        misaligned = F.lit(depth > 0) & (geo.planar_length("other") > 0) & (F.col("metres") < 10 * v.SECTION_MIN_METRES) & off
-        stop = F.coalesce(short | misaligned, F.lit(False))
-        work = work.withColumn("stop", stop).withColumn("diff", difference_spans("a", "section", "other", F.col("s"), F.col("e")))
-        start, end = F.col("s"), F.col("e")
-
-        def children(span):
-            mid = (span["s"] + span["e"]) / 2
-            second_edge = (span["s"] + span["e"] if literal_second_test else mid) - r
-            first_grows = (span["s"] <= start) & (mid + r >= end)
-            second_grows = (second_edge <= start) & (span["e"] >= end)
-
-            def part(grows, lo, hi):
-                return F.struct(
-                    grows.alias("closed"), F.when(grows, start).otherwise(lo).alias("s"), F.when(grows, end).otherwise(hi).alias("e")
-                )
-
-            return F.array(part(first_grows, span["s"], mid + r), part(second_grows, mid - r, span["e"]))
-
-        parts = F.when(
-            F.col("stop"), F.transform(whole, lambda w: F.struct(F.lit(True).alias("closed"), w["s"].alias("s"), w["e"].alias("e")))
-        ).otherwise(F.flatten(F.transform("diff", children)))
-        step = explode_once(work.select("id", "a", "b", parts.alias("parts")), "parts", "p").select("id", "a", "b", "p.*")
-        step = cut_lineage(step)
-        closed = step.filter("closed").select("id", "s", "e")
-        done = closed if done is None else done.unionByName(closed)
-        frontier = step.filter(~F.col("closed")).select("id", "a", "b", "s", "e")
-        if frontier.isEmpty():
-            break
-        p, q = k.interpolate("a", F.col("s")), k.interpolate("a", F.col("e"))
-        frontier = frontier.withColumn("_p", p).withColumn("_q", q)
-        cut = k.substring("b", k.project("b", F.col("_p.x"), F.col("_p.y")), k.project("b", F.col("_q.x"), F.col("_q.y")))
-        frontier = frontier.withColumn("other", cut).drop("_p", "_q")
-        if subroutes is not None:
-            given = subroutes.select("id", F.round("s", 9).alias("_s"), F.round("e", 9).alias("_e"), F.col("line").alias("_line"))
-            frontier = (
-                frontier.withColumn("_s", F.round("s", 9)).withColumn("_e", F.round("e", 9)).join(given, ["id", "_s", "_e"], "left")
-                .withColumn("other", F.coalesce("_line", "other")).drop("_s", "_e", "_line")
-            )
-    merged = done.groupBy("id").agg(geo.merge_spans(F.collect_set(F.struct("s", "e"))).alias("spans"))
-    return merged.select(F.col("id").alias(id_col), F.explode("spans").alias("x")).select(id_col, "x.s", "x.e")
+    if subroutes is None and not literal_second_test:
+        return pairs.withColumn("spans", sec.critical_spans(own, F.col("b")))
+    given = F.lit(None).cast("array<struct<s: double, e: double, line: array<struct<x: double, y: double>>>>")
+    if subroutes is not None:
+        # A route has few intervals, so its lines fit a row.
+        listed = subroutes.groupBy(F.col("id").alias(id_col)).agg(F.collect_list(F.struct("s", "e", "line")).alias("_given"))
+        pairs, given = pairs.join(listed, id_col, "left"), F.col("_given")
+    return pairs.withColumn("spans", sec.critical_spans_given(own, F.col("b"), given, F.lit(literal_second_test))).drop("_given")
+
+
+def split_sections(pairs: DataFrame, id_col: str, subroutes: DataFrame | None = None, literal_second_test: bool = False) -> DataFrame:
+    """Critical sections of route pairs (id, ``a`` own line, ``b`` other line): rows (id, s, e)."""
+    rows = with_sections(pairs.select(id_col, "a", "b"), id_col, F.col("a"), subroutes, literal_second_test)
+    return explode_once(rows.select(id_col, "spans"), "spans", "x").select(id_col, "x.s", "x.e")
 
 
 def compare_routes(routes: DataFrame, subroutes: DataFrame | None = None, run_id: str = "", literal_second_test: bool = False) -> DataFrame:
     """One row per critical section, or one row for an equal route (`optimal`) or one without sections (`routing_issue`)."""
-    lines = cut_lineage(
-        routes.select(
-            "route_id", "country", "provider", "provider_route", geo.points_of_wkt("provider_route").alias("a"),
-            geo.points_of_wkt("competitor_route").alias("b"),
-        ).withColumn("same", geo.equal_within("a", "b", v.ROUTE_BUFFER))
-    )
-    differing = lines.filter(~F.col("same"))
-    sections = split_sections(differing.select("route_id", "a", "b"), "route_id", subroutes, literal_second_test)
-    keep = ["country", "provider", "route_id", F.col("provider_route").alias("route")]
-    joined = differing.join(sections, "route_id", "left")
-    found = F.col("s").isNotNull()
-    stretch = k.substring("a", F.coalesce("s", F.lit(0.0)), F.coalesce("e", F.lit(0.0)))
-    rows = joined.select(
-        *keep, F.when(found, geo.wkt_of_points(stretch)).otherwise(F.lit("LINESTRING EMPTY")).alias("stretch"),
-        F.when(found, F.lit(v.POTENTIAL_ERROR)).otherwise(F.lit(v.ROUTING_ISSUE)).alias("rac_state"),
-        F.coalesce("s", F.lit(0.0)).alias("_s"),
-    )
-    equal = lines.filter("same").select(
-        *keep, F.lit("LINESTRING EMPTY").alias("stretch"), F.lit(v.OPTIMAL).alias("rac_state"), F.lit(0.0).alias("_s")
+    lines = routes.select(
+        "route_id", "country", "provider", F.col("provider_route").alias("route"), geo.points_of_wkt("provider_route").alias("a"),
+        geo.points_of_wkt("competitor_route").alias("b"),
+    ).withColumn("same", geo.equal_within("a", "b", v.ROUTE_BUFFER))
+    rows = with_sections(lines, "route_id", F.when(~F.col("same"), F.col("a")), subroutes, literal_second_test)
+    rows = rows.withColumn("x", F.explode_outer("spans"))
+    found, start = F.col("x").isNotNull(), F.coalesce("x.s", F.lit(0.0))
+    stretch = k.substring("a", start, F.coalesce("x.e", F.lit(0.0)))
+    out = rows.select(
+        "country", "provider", "route_id", "route", F.when(found, geo.wkt_of_points(stretch)).otherwise(F.lit("LINESTRING EMPTY")).alias("stretch"),
+        F.when(F.col("same"), F.lit(v.OPTIMAL)).when(found, F.lit(v.POTENTIAL_ERROR)).otherwise(F.lit(v.ROUTING_ISSUE)).alias("rac_state"), start.alias("_s"),
     )
-    return rows.unionByName(equal).withColumn("case_id", tx.hashed_uuid(F.lit(run_id), "route_id", "_s")).drop("_s")
+    return out.withColumn("case_id", tx.hashed_uuid(F.lit(run_id), "route_id", F.round("_s", 9))).drop("_s")
 
 
 def attach_states(routes: DataFrame, compared: DataFrame) -> DataFrame:
