@@ -10,8 +10,8 @@ is left in either copy, so drop plain copies before if one is to stay. Blank lin
 First only hashes of the leaves are counted; the lines at leaves that fewer documents reach are never compared. Of the others equal
 lines are one content, compared once, with the least and the greatest id of the documents that hold it: what two documents hold has two
 different ones. Contents are read from one text that holds them, so texts are shuffled once,
-by id. Tokens meet at their places of the leaf, and only those that stay go back to their line. Contents, places and templates are told
-apart by two 64-bit hashes each, that of the leaf and their own.
+by id. Tokens meet at their places of the leaf, and only those that stay go back to their line. Contents and templates are told
+apart by two 64-bit hashes, that of the leaf and their own.
 
 Nulls: a null text has no lines and stays null; null ids are one document. Rows with an equal id are one document in the counts, and their
 lines are told apart by a hash of the text; of rows that repeat id and text one is read. An empty table gives an empty result; other columns are kept, but for those named like
@@ -37,28 +37,26 @@ def lines(text: str = "text") -> Column:
     return F.split(F.col(text), "\n")
 
 
-def tokens(line: Column) -> Column:
-    return F.array_remove(F.split(line, " "), "")
+# Lines with one of these take the longer way: a digit may make a token a wildcard, the others separate tokens like a space.
+SPECIAL = r"[0-9\x09-\x0D]"
 
 
-def plain(text: str = "text") -> Column:
-    """The text with spaces for the other separators of tokens, so that lines are split at one character."""
-    out = F.col(text)
-    for c in "\t\x0b\x0c\r":
-        out = F.replace(out, F.lit(c), F.lit(" "))
-    return out
+def tokens(line: Column, special: Column) -> Column:
+    """The tokens of a line. Most lines have spaces only, at which Spark splits without a pattern."""
+    return F.array_remove(F.when(special, F.split(line, r"[\x20\x09-\x0D]+")).otherwise(F.split(line, " ")), "")
 
 
-def masked(token: Column, digits: Column) -> Column:
-    """``digits``: whether the line has one; most have none, and their tokens aren't searched."""
-    return F.when(digits & token.rlike("[0-9]"), F.lit(WILDCARD)).otherwise(token)
+def masked(token: Column, special: Column) -> Column:
+    return F.when(special & token.rlike("[0-9]"), F.lit(WILDCARD)).otherwise(token)
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
     """doc_id, body (hash of the text), no, leaf, content (hash of the tokens) of the lines that aren't blank."""
-    rows = docs.select("doc_id", F.xxhash64("text").alias("body"), F.posexplode(F.split(plain(), "\n")).alias("no", "line"))
-    rows = rows.withColumns({"tokens": tokens(F.col("line")), "digits": F.col("line").rlike("[0-9]")}).filter(F.size("tokens") > 0)
-    leaf = F.xxhash64(F.size("tokens"), *(masked(F.try_element_at("tokens", F.lit(k + 1)), F.col("digits")) for k in range(LEADS)))
+    # The hash comes first: next to the explode it would be computed for each line.
+    rows = docs.withColumn("body", F.xxhash64("text")).select("doc_id", "body", F.posexplode(lines()).alias("no", "line"))
+    rows = rows.filter(F.btrim("line", F.lit(" \t\x0b\x0c\r")) != "").withColumn("special", F.col("line").rlike(SPECIAL))
+    rows = rows.withColumn("tokens", tokens(F.col("line"), F.col("special")))
+    leaf = F.xxhash64(F.size("tokens"), *(masked(F.try_element_at("tokens", F.lit(k + 1)), F.col("special")) for k in range(LEADS)))
     return rows.select("doc_id", "body", "no", leaf.alias("leaf"), F.xxhash64("tokens").alias("content"))
 
 
@@ -99,14 +97,16 @@ def dropped_contents(keyed: DataFrame, compared: DataFrame) -> DataFrame:
     """leaf, content of the lines of recurring templates. ``keyed``: doc_id, text, body; ``compared``: see contents."""
     listed = compared.groupBy(*row_key("_id", "_body")).agg(F.collect_list(F.struct("no", "leaf", "content", "lo", "hi")).alias("held"))
     texts = keyed.select(*row_key("doc_id", "body"), "text").join(listed, KEY).groupBy(*KEY).agg(F.first("text").alias("text"), F.first("held").alias("held"))
-    rows = texts.select(F.split(plain(), "\n").alias("lines"), F.explode("held").alias("h"))
+    # The split comes before the explode, else every line would split its text.
+    rows = texts.withColumn("lines", lines()).select("lines", F.explode("held").alias("h"))
     rows = rows.select("h.leaf", "h.content", "h.lo", "h.hi", F.element_at("lines", F.col("h.no") + 1).alias("line"))
-    rows = rows.select("leaf", "content", "lo", "hi", tokens(F.col("line")).alias("tokens"), F.col("line").rlike("[0-9]").alias("digits"))
-    cells = rows.select("leaf", "content", "lo", "hi", "digits", F.posexplode("tokens").alias("place", "token"))
-    cells = cells.select("leaf", "content", "lo", "hi", F.xxhash64("place", masked(F.col("token"), F.col("digits"))).alias("cell"))
-    stay = marked(cells, "leaf", "cell").filter("held").groupBy("leaf", "content").agg(F.bit_xor("cell").alias("general"), F.count("*").alias("same"))
-    whole = F.xxhash64(F.when(F.col("digits"), F.transform("tokens", lambda t: masked(t, F.lit(True)))).otherwise(F.col("tokens")))
-    lines_ = rows.select("leaf", "content", "lo", "hi", F.size("tokens").alias("size"), whole.alias("whole")).join(stay, ["leaf", "content"], "left")
+    rows = rows.withColumn("special", F.col("line").rlike(SPECIAL)).withColumn("tokens", tokens(F.col("line"), F.col("special"))).drop("line")
+    row = F.xxhash64("leaf", "content").alias("row")
+    cells = rows.select(row, "leaf", "lo", "hi", "special", F.posexplode("tokens").alias("place", "token"))
+    cells = cells.select("row", "lo", "hi", F.xxhash64("leaf", "place", masked(F.col("token"), F.col("special"))).alias("cell"))
+    stay = marked(cells, "cell").filter("held").groupBy("row").agg(F.bit_xor("cell").alias("general"), F.count("*").alias("same"))
+    whole = F.xxhash64(F.when(F.col("special"), F.transform("tokens", lambda t: masked(t, F.lit(True)))).otherwise(F.col("tokens")))
+    lines_ = rows.select("leaf", "content", "lo", "hi", F.size("tokens").alias("size"), whole.alias("whole"), row).join(stay, "row", "left")
     # The leaf holds the number of tokens, so the tokens that stay tell the template.
     enough = F.col("same") >= F.when(F.col("size") < SHORT, F.col("size")).otherwise(F.col("size") * SIMILAR)
     template = F.when(enough, F.xxhash64("general")).otherwise(F.xxhash64(F.lit("own"), "whole"))
