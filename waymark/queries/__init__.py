@@ -39,4 +39,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from waymark.queries import geometry, inspection, mapfeatures, relational  # noqa: F401
+    from waymark.queries import geometry, inspection, mapfeatures, relational, sinks  # noqa: F401

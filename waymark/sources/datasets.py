@@ -61,6 +61,25 @@ class Catalog:
             "partitionOverwriteMode", "dynamic"
         ).partitionBy(*parts).parquet(self.path(name))
 
+    def delete_run(self, names: list[str], run_id: str) -> None:
+        """Take a run out of datasets: its partition folders where run_id is a partition column, else the dataset is rewritten.
+
+        A rewrite goes through a second folder, since a dataset can't be overwritten while it is read.
+        """
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for name in names:
+            parts, path = schemas.PARTITIONS.get(name, []), self.path(name)
+            if "run_id" not in parts:
+                kept = self.read(name).filter(~F.col("run_id").eqNullSafe(F.lit(run_id)))
+                kept.write.mode("overwrite").parquet(f"{path}.kept")
+                self.spark.read.schema(schemas.schema_of(name)).parquet(f"{path}.kept").write.mode("overwrite").parquet(path)
+                continue
+            escaped = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(run_id)
+            folders = jvm.org.apache.hadoop.fs.Path("/".join([path, *(f"{p}={escaped}" if p == "run_id" else "*" for p in parts)]))
+            files = folders.getFileSystem(conf)
+            for found in files.globStatus(folders) or []:
+                files.delete(found.getPath(), True)
+
     def export_csv(self, tables: dict[str, DataFrame], folder: str) -> None:
         for name, df in tables.items():
             df.write.mode("overwrite").option("header", True).csv(str(PurePosixPath(folder) / name))
