@@ -107,6 +107,24 @@ def test_sweep_at_the_threshold(spark):
     assert rows[3]["saving"] == 3 * 2 - 10
 
 
+def test_sweep_of_columns(spark):
+    """Thresholds hit exactly, values outside the range, NULLs and a column without any."""
+    steps, stop = 2000, 0.1
+    grid = np.linspace(0, stop, steps)
+    rng = np.random.default_rng(7)
+    rows = [(bool(rng.random() < 0.4), float(rng.choice([grid[rng.integers(0, steps)], rng.uniform(-0.02, 0.12)])), None if i % 3 else float(grid[i % steps]), None) for i in range(900)]
+    df = spark.createDataFrame(rows, "t boolean, probability_1 double, probability_2 double, probability_3 double")
+    got = {(r["column"], r["step"]): r for r in ev.sweep_columns(df, "t", ["probability_1", "probability_2", "probability_3"], steps, stop).collect()}
+    assert len(got) == 3 * steps and got["probability_3", 5]["recall"] is None
+    for c, i in (("probability_1", 1), ("probability_2", 2)):
+        own = [(r[0], r[i]) for r in rows if r[i] is not None]
+        for k in [*range(0, steps, 37), 1, steps - 1]:
+            t = got[c, k]["threshold"]
+            assert t == pytest.approx(grid[k], abs=1e-15)
+            assert got[c, k]["recall"] == pytest.approx(sum(p >= t for y, p in own if y) / sum(y for y, _ in own))
+            assert got[c, k]["specificity"] == pytest.approx(sum(p < t for y, p in own if not y) / sum(not y for y, _ in own))
+
+
 def test_quality_texts(spark):
     one = spark.range(1)
     f = lambda c: one.select(c.alias("f")).select("f.*").first()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from waymark.operators.order import numbered, numbered_by_value, split_by_weights, value_counts_cumulative
 
@@ -87,6 +87,43 @@ def last_before_drop(sweep: DataFrame, metric: str = "recall", floor: float = 0.
     )
 
 
+def sweep_columns(df: DataFrame, truth: str, columns: list[str], steps: int = 2000, stop: float = 0.1) -> DataFrame:
+    """(column, step, threshold, recall, specificity) of many probability columns over evenly spaced thresholds on [0, stop].
+
+    A row is positive from the threshold on; nulls count for no column. One scan: each row gives its bin in every column, (column, bin) is
+    summed on the map side, and the thresholds follow as suffix sums over at most ``steps`` + 1 rows of a column.
+    """
+    step = stop / (steps - 1)
+
+    def bin_of(p):
+        # Rounding may put the quotient one bin off; the thresholds decide.
+        k = F.least(F.greatest(F.floor(p / F.lit(step)).cast("int"), F.lit(-1)), F.lit(steps - 1))
+        at = lambda i: F.when(i == steps - 1, F.lit(stop)).otherwise(i * F.lit(step))
+        k = F.when((k < steps - 1) & (p >= at(k + 1)), k + 1).when((k >= 0) & (p < at(k)), k - 1).otherwise(k)
+        return F.when(p.isNotNull(), k)  # least and greatest pass over nulls
+
+    cells = F.array(*(F.struct(F.lit(c).alias("column"), bin_of(F.col(c).cast("double")).alias("bin")) for c in columns))
+    counted = df.select(F.col(truth).alias("t"), F.explode(cells).alias("x")).filter("x.bin is not null and t is not null")
+    counted = counted.groupBy("x.column", "x.bin").agg(F.count_if("t").alias("pos"), F.count_if(~F.col("t")).alias("neg"))
+    grid = df.sparkSession.range(-1, steps).select(F.col("id").cast("int").alias("bin"))
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    every = grid.crossJoin(F.broadcast(names)).join(counted, ["column", "bin"], "left").na.fill(0, ["pos", "neg"])
+    above = W.partitionBy("column").orderBy(F.desc("bin")).rowsBetween(W.unboundedPreceding, 0)
+    whole = W.partitionBy("column")
+    sums = every.select("column", "bin", F.sum("pos").over(above).alias("tp"), F.sum("neg").over(above).alias("fp"), F.sum("pos").over(whole).alias("p"), F.sum("neg").over(whole).alias("n"))
+    threshold = F.when(F.col("bin") == steps - 1, F.lit(stop)).otherwise(F.col("bin") * F.lit(step))
+    return sums.filter("bin >= 0").select(
+        "column", F.col("bin").alias("step"), threshold.alias("threshold"), _ratio(F.col("tp"), F.col("p")).alias("recall"), _ratio(F.col("n") - F.col("fp"), F.col("n")).alias("specificity")
+    )
+
+
+def last_before_drop_by_column(sweep: DataFrame, floor: float = 0.98) -> DataFrame:
+    """Per column the last threshold before the recall first falls below ``floor``."""
+    # Recall falls with the threshold, so these are the steps before the drop.
+    kept = sweep.filter(F.col("recall") >= floor)
+    return kept.groupBy("column").agg(*(F.max_by(c, "step").alias(c) for c in ("threshold", "recall", "specificity")))
+
+
 def classifier_rates(df: DataFrame, truth: Column, predicted: Column) -> DataFrame:
     tp, fp = F.count_if(truth & predicted), F.count_if(~truth & predicted)
     tn, fn = F.count_if(~truth & ~predicted), F.count_if(truth & ~predicted)

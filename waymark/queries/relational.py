@@ -658,6 +658,39 @@ def last_before_recall_drop(t):
     return _r(ev.last_before_drop(_sweep(t)), "recall", digits=6)
 
 
+MANY = """ev as (select case_id, mcp_state <> 'discard' as truth, probability * 0.07 + (stretch_length % 97) / 4000 as probability_a,
+        probability_new * 0.06 + (stretch_length % 89) / 2500 as probability_b, case when stretch_length % 30 > 1 then (probability + probability_new) * 0.055 end as probability_c
+        from fx_sections where mcp_state is not null),
+    l as (select truth, unnest(['probability_a', 'probability_b', 'probability_c']) as "column", unnest([probability_a, probability_b, probability_c]) as p from ev),
+    th as (select i as step, case when i = 1999 then 0.1::double else i * (0.1::double / 1999) end as threshold from range(0, 2000) r(i)),
+    c as (select "column", p, truth, count(*) as n from l where p is not null group by all),
+    sw as (select "column", step, threshold, sum(case when truth and p >= threshold then n else 0 end) / sum(case when truth then n else 0 end) as recall,
+        sum(case when not truth and p < threshold then n else 0 end) / sum(case when truth then 0 else n end) as specificity from c, th group by all)"""
+
+
+def _many(t):
+    p, q, s = F.col("probability"), F.col("probability_new"), F.col("stretch_length")
+    df = t.fx_sections.filter("mcp_state is not null").select(
+        (F.col("mcp_state") != "discard").alias("truth"), (p * 0.07 + (s % 97) / 4000).alias("probability_a"), (q * 0.06 + (s % 89) / 2500).alias("probability_b"),
+        F.when(s % 30 > 1, (p + q) * 0.055).alias("probability_c"),
+    )
+    return ev.sweep_columns(df, "truth", [c for c in df.columns if c.startswith("probability_")])
+
+
+@query("column_sweep", f'with {MANY} select "column", cast(step as integer) as step, threshold, round(recall, 8) as recall, round(specificity, 8) as specificity from sw')
+def column_sweep(t):
+    return _r(_many(t), "recall", "specificity", digits=8)
+
+
+@query(
+    "column_thresholds",
+    f"""with {MANY} select "column", max(threshold) as threshold, round(arg_max(recall, step), 8) as recall, round(arg_max(specificity, step), 8) as specificity
+    from sw s where not exists (select 1 from sw o where o."column" = s."column" and o.step <= s.step and o.recall < 0.98) group by "column\"""",
+)
+def column_thresholds(t):
+    return _r(ev.last_before_drop_by_column(_many(t)), "recall", "specificity", digits=8)
+
+
 @query(
     "classifier_rates",
     f"""with {EVAL}, c as (select count(*) filter (where truth and p >= 0.5) as tp, count(*) filter (where not truth and p >= 0.5) as fp,
