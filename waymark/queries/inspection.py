@@ -597,7 +597,11 @@ def artificial_inspection(t):
 
 @query(
     "route_comparison_states",
-    """select route_id, case when cast(route_id as bigint) % 3 = 0 then 'optimal' else 'potential_error' end as rac_state from fx_route_lines""",
+    """with v as (select route_id, unnest(string_split(substr(provider_route, 13, length(provider_route) - 13), ', ')) as p,
+      unnest(string_split(substr(competitor_route, 13, length(competitor_route) - 13), ', ')) as c from fx_route_lines),
+    d as (select route_id, max(sqrt(power(cast(split_part(p, ' ', 1) as double) - cast(split_part(c, ' ', 1) as double), 2) + power(cast(split_part(p, ' ', 2) as double) - cast(split_part(c, ' ', 2) as double), 2))) as apart
+      from v group by route_id)
+    select route_id, case when apart <= 0.0002 then 'optimal' else 'potential_error' end as rac_state from d""",
 )
 def route_comparison_states(t):
     lines = t.fx_route_lines.withColumn("provider", F.lit("OV"))
