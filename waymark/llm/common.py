@@ -250,9 +250,9 @@ def only(docs: DataFrame, ids: DataFrame, keep: bool = False) -> tuple[DataFrame
     return hashed if keep else hashed.join(ids, "doc_id", "left_semi"), None
 
 
-def passed(batches, shared):
+def passed(batches, shared, limit: int = STEP_BYTES):
     """The steps of what the filter lets through."""
     for batch in batches:
         if shared is not None:
             batch = batch.filter(pa.array(shared.value.hold(batch.column("h"))))
-        yield from steps(iter([batch]))
+        yield from steps(iter([batch]), limit=limit)

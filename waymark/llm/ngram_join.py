@@ -33,6 +33,7 @@ from waymark.llm.common import LOWER_VALUES, STEP_BYTES, Ids, SpanHash, bucketed
 
 SHINGLE_WORDS = 5
 THRESHOLD = 75  # percent
+STEP = STEP_BYTES // 2  # bytes of text that one numpy step handles: the tasks of the join run beside large shuffles
 SKETCH_BITS = 19
 SKETCH_CHUNK = 1 << 14
 RANGES = 1024
@@ -72,7 +73,7 @@ def measured(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
     def build(batches):
         total = np.zeros(1 << SKETCH_BITS, np.int64)
-        for batch in steps(batches):
+        for batch in steps(batches, limit=STEP):
             size, one, two, ranges, sets = [], [], [], [], list(shingle_sets(batch.column("text")))
             for s in sets:
                 size.append(len(s))
@@ -126,7 +127,7 @@ def postings(docs: DataFrame, nodes: DataFrame, sketch: np.ndarray) -> DataFrame
             yield n, s[order[: n - -(-THRESHOLD * n // 100) + 1 if n else 0]]
 
     def count(batches):
-        for batch in passed(batches, own):
+        for batch in passed(batches, own, STEP):
             sizes, found = zip(*heads(batch))
             # 2 t / (1 + t) of its shingles are common to the smaller of two sets that link.
             early = np.concatenate([np.arange(len(x)) <= n - -(-2 * THRESHOLD * n // (100 + THRESHOLD)) for n, x in zip(sizes, found)])
@@ -138,7 +139,7 @@ def postings(docs: DataFrame, nodes: DataFrame, sketch: np.ndarray) -> DataFrame
     held = docs.sparkSession.sparkContext.broadcast(Ids(several, several.count(), F.col("token")))
 
     def build(batches):
-        for batch in passed(batches, own):
+        for batch in passed(batches, own, STEP):
             sizes, found = zip(*heads(batch))
             lengths = np.array([len(x) for x in found])
             token, text = np.concatenate(found), np.repeat(np.arange(len(found)), lengths)
@@ -155,7 +156,7 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     rows, own = only(docs, ids)
 
     def build(batches):
-        for batch in passed(batches, own):
+        for batch in passed(batches, own, STEP):
             yield batch.select(["doc_id", "text"])
 
     return rows.mapInArrow(build, "doc_id long, text string")
@@ -202,7 +203,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) that link. Texts travel, since they compress and hashes of shingles don't; the sets are made where they meet."""
 
     def test(batches):
-        for batch in steps(batches, "x", STEP_BYTES // 2):
+        for batch in steps(batches, "x", STEP // 2):
             kept = [linked(x, y) for x, y in zip(shingle_sets(batch.column("x")), shingle_sets(batch.column("y")), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
@@ -340,7 +341,7 @@ def settled(listed: DataFrame, hot: DataFrame, ids: DataFrame, texts: DataFrame,
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id: one row for each row of ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    with small_batches(docs.sparkSession), scratch(docs.sparkSession):
+    with small_batches(docs.sparkSession, "6m"), scratch(docs.sparkSession):
         sets, sketch = measured(docs)
         named = sets.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("node"))
         nodes = materialise(named.filter("node is not null and n > 0").select(F.col("node").alias("doc_id")).distinct())
