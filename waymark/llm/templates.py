@@ -85,18 +85,17 @@ def marked(rows: DataFrame, *key: str) -> DataFrame:
     return rows.withColumn("held", F.min("lo").over(own) < F.max("hi").over(own))
 
 
-def row_key(doc_id: str, body: str) -> list[Column]:
-    """Columns that are equal, and not null, for rows with an equal id and text."""
-    return [F.coalesce(doc_id, F.lit(0)).alias("_doc"), F.col(doc_id).isNull().alias("_null"), F.col(body).alias("_body")]
-
-
-KEY = ["_doc", "_null", "_body"]
+def own_row() -> Column:
+    return F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("body") == F.col("_body"))
 
 
 def dropped_contents(keyed: DataFrame, compared: DataFrame) -> DataFrame:
     """leaf, content of the lines of recurring templates. ``keyed``: doc_id, text, body; ``compared``: see contents."""
-    listed = compared.groupBy(*row_key("_id", "_body")).agg(F.collect_list(F.struct("no", "leaf", "content", "lo", "hi")).alias("held"))
-    texts = keyed.select(*row_key("doc_id", "body"), "text").join(listed, KEY).groupBy(*KEY).agg(F.first("text").alias("text"), F.first("held").alias("held"))
+    listed = compared.groupBy("_id", "_body").agg(F.collect_list(F.struct("no", "leaf", "content", "lo", "hi")).alias("held"))
+    # Of rows that repeat id and text one is read. The keys are those of the join, so that the rows stay where they are, and the texts'
+    # shuffle is the one that the last join needs too.
+    texts = keyed.join(listed, own_row()).groupBy(F.coalesce("doc_id", F.lit(0).cast("long")).alias("_doc"), F.col("doc_id").isNull().alias("_null"), "body")
+    texts = texts.agg(F.first("text").alias("text"), F.first("held").alias("held"))
     # The split comes before the explode, else every line would split its text.
     rows = texts.withColumn("lines", lines()).select("lines", F.explode("held").alias("h"))
     rows = rows.select("h.leaf", "h.content", "h.lo", "h.hi", F.element_at("lines", F.col("h.no") + 1).alias("line"))
@@ -120,13 +119,13 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     found = materialise(at_recurring_leaves(materialise(line_rows(rows.filter("text is not null")))))
     compared = materialise(contents(found))
     dropped = found.join(dropped_contents(keyed.select("doc_id", "text", "body"), compared), ["leaf", "content"], "left_semi")
-    dropped = dropped.groupBy(*row_key("doc_id", "body")).agg(F.array_sort(F.collect_set("no")).alias("_dropped"))
-    joined = keyed.withColumns(dict(zip(KEY, row_key("doc_id", "body")))).join(dropped, KEY, "left").withColumn("_lines", lines())
+    dropped = dropped.groupBy(F.col("doc_id").alias("_id"), F.col("body").alias("_body")).agg(F.array_sort(F.collect_set("no")).alias("_dropped"))
+    joined = keyed.join(dropped, own_row(), "left").withColumn("_lines", lines())
     # What is left lies between one dropped line and the next: runs of lines, read once however many there are.
     ends = F.concat(F.col("_dropped"), F.array(F.size("_lines")))
     runs = F.zip_with(F.concat(F.array(F.lit(-1)), F.col("_dropped")), ends, lambda a, b: F.slice(F.col("_lines"), a + 2, b - a - 1))
     clean = F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(runs), "\n"))
     counts = {"n_lines": F.size("_lines").cast("long"), "n_dropped": F.when(F.col("_dropped").isNull(), 0).otherwise(F.size("_dropped")).cast("long"), "clean_text": clean}
-    done = joined.withColumns(counts).drop("body", *KEY, "_dropped", "_lines")
+    done = joined.withColumns(counts).drop("body", "_id", "_body", "_dropped", "_lines")
     empty = {"n_lines": F.lit(0).cast("long"), "n_dropped": F.lit(0).cast("long"), "clean_text": F.lit(None).cast("string")}
     return done.unionByName(rows.filter("text is null").withColumns(empty))
