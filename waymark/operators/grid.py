@@ -73,12 +73,13 @@ def first_points(lines: DataFrame, id_col: str, line: str, on: list[str], name:
 
 
 def _even_level(parts: DataFrame, limit: int) -> int:
-    """The first level at which evenly spread rows could be leaves."""
-    box = parts.agg(F.count("*").alias("n"), *(f(c).alias(n) for c, f, n in (("_x1", F.min, "a"), ("_x1", F.max, "b"), ("_y1", F.min, "c"), ("_y1", F.max, "d")))).first()
+    """The first level at which evenly spread rows could be leaves, with squares of a few segments' size at least."""
+    extent = F.avg(F.greatest(F.abs(F.col("_x1") - F.col("_x2")), F.abs(F.col("_y1") - F.col("_y2")))).alias("extent")
+    box = parts.agg(extent, F.count("*").alias("n"), *(f(c).alias(n) for c, f, n in (("_x1", F.min, "a"), ("_x1", F.max, "b"), ("_y1", F.min, "c"), ("_y1", F.max, "d")))).first()
     if not box.n:
         return 0
     area = max(box.b - box.a, 1e-6) * max(box.d - box.c, 1e-6)
-    size = math.sqrt(area * limit / box.n)
+    size = max(math.sqrt(area * limit / box.n), 4 * box.extent)
     return min(LEVELS - 1, max(0, math.ceil(math.log(ROOT / size, FAN) - 1)))
 
 
