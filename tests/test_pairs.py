@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from waymark.functions import geo, kernels as k
-from waymark.operators import pairs
+from waymark.operators import grid, pairs
 
 
 def lines_frame(spark, n, seed, spread=0.05, wiggle=0.002):
@@ -102,3 +102,19 @@ def test_near_duplicates_keep_the_first_values(spark):
     # Two runs that share a case id are told apart.
     runs = df.drop("o").withColumn("run_id", F.lit("r1")).union(df.drop("o").withColumn("run_id", F.lit("r2")))
     assert dedup_tables({"log": runs})["log"].count() == 2
+
+
+def test_contained_lines_go_without_a_list_of_their_pairs(spark, monkeypatch):
+    """120 lines within each other, of which some are equal: one witness each, then what is left against all."""
+    rows = [(i, [(0.0, 0.0), (0.0005 * (1 + i % 40), 0.0)]) for i in range(120)] + [(200 + i, [(0.0001 * i, 0.0), (0.03, 0.0)]) for i in range(3)]
+    df = spark.createDataFrame(rows, "id bigint, p array<struct<x: double, y: double>>")
+    asked, plain = [], grid.Leaves.pairs
+    monkeypatch.setattr(grid.Leaves, "pairs", lambda self, without=None, where=None: asked.append(plain(self, without, where)) or asked[-1])
+    inside = {(r.a, r.b): (r.a_in_b, r.b_in_a) for r in pairs.contained_lines(df, "id", "p", 0.00001).collect()}
+    asked.clear()
+    for literal in (False, True):
+        gone = {a for (a, b), (x, y) in inside.items() if x and (literal or not y)} | {b for (a, b), (_, y) in inside.items() if y}
+        assert {r.id for r in pairs.remove_contained(df, "id", "p", literal=literal).collect()} == {i for i, _ in rows} - gone
+        first, rest = (x.count() for x in asked)
+        assert rest < 10 < 1000 < first
+        asked.clear()

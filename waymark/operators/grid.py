@@ -60,15 +60,18 @@ def _descend(parts: DataFrame, size: float, inside: bool = True) -> DataFrame:
     return out.filter(_crosses(size))
 
 
-def line_segments(lines: DataFrame, id_col: str, line: str, on: list[str], name: str, pad: float) -> DataFrame:
-    rows = lines.select(*on, F.col(id_col).alias(name), F.explode(geo.segments(line)).alias("_s"))
-    return rows.select(*on, name, F.lit(float(pad)).alias("_pad"), *(F.col(f"_s.{p}.{c}").alias(n) for n, (p, c) in zip(SEGMENT, (("a", "x"), ("a", "y"), ("b", "x"), ("b", "y")))))
+def line_segments(
+    lines: DataFrame, id_col: str, line: str, on: list[str], name: str, pad: float, carry: list[str] | None = None
+) -> DataFrame:
+    carry = carry or []
+    rows = lines.select(*on, *carry, F.col(id_col).alias(name), F.explode(geo.segments(line)).alias("_s"))
+    return rows.select(*on, *carry, name, F.lit(float(pad)).alias("_pad"), *(F.col(f"_s.{p}.{c}").alias(n) for n, (p, c) in zip(SEGMENT, (("a", "x"), ("a", "y"), ("b", "x"), ("b", "y")))))
 
 
-def first_points(lines: DataFrame, id_col: str, line: str, on: list[str], name: str) -> DataFrame:
+def first_points(lines: DataFrame, id_col: str, line: str, on: list[str], name: str, carry: list[str] | None = None) -> DataFrame:
     """Segments without length where the lines begin."""
     p = geo.first(line)
-    rows = lines.filter(F.size(line) > 0).select(*on, F.col(id_col).alias(name), F.lit(0.0).alias("_pad"), p["x"].alias("_x1"), p["y"].alias("_y1"))
+    rows = lines.filter(F.size(line) > 0).select(*on, *(carry or []), F.col(id_col).alias(name), F.lit(0.0).alias("_pad"), p["x"].alias("_x1"), p["y"].alias("_y1"))
     return rows.withColumns({"_x2": F.col("_x1"), "_y2": F.col("_y1")})
 
 
@@ -88,14 +91,42 @@ def near_pairs(left: DataFrame, right: DataFrame, pad: float, on: list[str] | No
 
     ``left`` has ``on``, _a and ``right`` has ``on``, _b, each with _pad (``pad`` on the right) and the columns of ``SEGMENT``.
     """
-    on = on or []
+    return near_leaves(left, right, pad, on, limit).pairs().distinct()
+
+
+class Leaves:
+    """Both sides' segments in the squares where they meet. ``pairs`` can be taken several times, of some left ids only too."""
+
+    def __init__(self, on: list[str], sides: list[tuple[DataFrame, DataFrame]], carry: list[str]):
+        self.on, self.sides, self.carry = on, sides, carry
+
+    def pairs(self, without: DataFrame | None = None, where: Column | None = None) -> DataFrame:
+        """(``on``, _a, _b, carried columns: ``_x`` of the left, ``_r_x`` of the right) of each meeting, so pairs may repeat.
+
+        ``without`` has ``on``, _a of left ids that are left out; ``where`` is a condition on the carried columns.
+        """
+        met, found = F.lit(True), None
+        for p, q in (("_x1", "_x2"), ("_y1", "_y2")):
+            met &= F.least(p, q) <= F.greatest(f"_r{p}", f"_r{q}") + F.col("_r_pad")
+            met &= F.least(f"_r{p}", f"_r{q}") - F.col("_r_pad") <= F.greatest(p, q)
+        for a, b in self.sides:
+            a = a if without is None else a.join(without, [*self.on, "_a"], "left_anti")
+            met_here = a.join(b, [*self.on, "_cx", "_cy", "_salt"]).filter(met if where is None else met & where)
+            part = met_here.select(*self.on, "_a", "_b", *self.carry, *(f"_r{c}" for c in self.carry))
+            found = part if found is None else found.unionByName(part)
+        return found
+
+
+def near_leaves(left: DataFrame, right: DataFrame, pad: float, on: list[str] | None = None, limit: int = LIMIT, carry: list[str] | None = None) -> Leaves:
+    """The same before pairs are made; ``carry`` names columns of both sides that a pair keeps."""
+    on, carry = on or [], carry or []
     # Squares smaller than the padding would only be copies of each other.
     levels = max(1, min(LEVELS, 1 + int(math.log(ROOT / (2 * pad), FAN)) if pad > 0 else LEVELS))
     one = left.filter(" and ".join(f"{c} is not null" for c in SEGMENT)).withColumn("_b", F.lit(None).cast(right.schema["_b"].dataType))
     two = right.filter(" and ".join(f"{c} is not null" for c in SEGMENT)).withColumn("_a", F.lit(None).cast(left.schema["_a"].dataType))
-    names = [*on, "_a", "_b", "_pad", *SEGMENT]
+    names = [*on, "_a", "_b", "_pad", *SEGMENT, *carry]
     start = cut_lineage(one.select(names).unionByName(two.select(names)).withColumn("_left", F.col("_b").isNull()))
-    keys, found = [*on, "_cx", "_cy"], None
+    keys, sides = [*on, "_cx", "_cy"], []
     even, size = min(_even_level(start, limit), levels - 1), ROOT
     parts = _descend(start, size, inside=False)
     for level in range(levels):
@@ -110,16 +141,10 @@ def near_pairs(left: DataFrame, right: DataFrame, pad: float, on: list[str] | No
         leaves = counts.filter("not _full").select(*keys, F.ceil(F.col("_n") / limit).cast("int").alias("_salts"))
         a = parts.filter("_left").join(leaves, keys).withColumn("_salt", F.pmod(F.xxhash64("_a"), F.col("_salts").cast("long")).cast("int"))
         b = parts.filter("not _left").join(leaves, keys).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
-        a, b = (rows.select(*keys, "_salt", name, "_pad", *SEGMENT) for rows, name in ((a, "_a"), (b, "_b")))
-        b = b.select(*keys, "_salt", "_b", *(F.col(c).alias(f"_r{c}") for c in ("_pad", *SEGMENT)))
-        met = F.lit(True)
-        for p, q in (("_x1", "_x2"), ("_y1", "_y2")):
-            met &= F.least(p, q) <= F.greatest(f"_r{p}", f"_r{q}") + F.col("_r_pad")
-            met &= F.least(f"_r{p}", f"_r{q}") - F.col("_r_pad") <= F.greatest(p, q)
-        pairs = a.join(b, [*keys, "_salt"]).filter(met).select(*on, "_a", "_b")
-        found = pairs if found is None else found.unionByName(pairs)
+        a, b = (rows.select(*keys, "_salt", name, "_pad", *SEGMENT, *carry) for rows, name in ((a, "_a"), (b, "_b")))
+        sides.append((a, b.select(*keys, "_salt", "_b", *(F.col(c).alias(f"_r{c}") for c in ("_pad", *SEGMENT, *carry)))))
         full = counts.filter("_full").select(*keys)
         if full.isEmpty():
             break
         parts = parts.join(full, keys, "left_semi")
-    return found.distinct()
+    return Leaves(on, sides, carry)

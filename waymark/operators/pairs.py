@@ -108,18 +108,42 @@ def contained_lines(
 
 
 def remove_contained(
-    lines: DataFrame, id_col: str, line: str, radius: float = 0.00001, on: list[str] | None = None, literal: bool = False
+    lines: DataFrame, id_col: str, line: str, radius: float = 0.00001, on: list[str] | None = None, literal: bool = False,
+    limit: int = grid.LIMIT,
 ) -> DataFrame:
     """Drop lines that lie in the buffer of another line.
 
     Two lines inside each other's buffers are equal up to the buffer: the smaller id stays. ``literal``
     drops both, which is what a plain "contained in at least two buffers" rule does.
+
+    One line that contains it is enough for a line to go, so pairs aren't listed: each line is first held against the
+    largest line whose box holds its own. Only what that leaves is held against all such lines.
     """
-    pairs = contained_lines(lines, id_col, line, radius, on)
-    a_goes = F.col("a_in_b") & (F.lit(literal) | ~F.col("b_in_a"))
-    both = F.array(F.when(a_goes, F.col("a")), F.when(F.col("b_in_a"), F.col("b")))
-    gone = explode_once(pairs.select(*(on or []), both.alias("_ids")), "_ids", id_col)
-    return lines.join(gone, [*(on or []), id_col], "left_anti")
+    on = on or []
+    lines = cut_lineage(lines)
+    extent = [f"_{c}" for c in ("min_x", "min_y", "max_x", "max_y")]
+    boxed = lines.withColumn("_q", geo.bbox(line)).withColumns({c: F.col(f"_q.{c[1:]}") for c in extent}).drop("_q")
+    leaves = grid.near_leaves(
+        grid.first_points(boxed, id_col, line, on, "_a", extent), grid.line_segments(boxed, id_col, line, on, "_b", radius, extent), radius, on, limit, extent
+    )
+    held = F.col("_a") != F.col("_b")
+    for low, high in (("_min_x", "_max_x"), ("_min_y", "_max_y")):
+        held &= (F.col(low) >= F.col(f"_r{low}") - radius) & (F.col(high) <= F.col(f"_r{high}") + radius)
+    size = F.col("_r_max_x") - F.col("_r_min_x") + F.col("_r_max_y") - F.col("_r_min_y")
+    inner = lines.select(*on, F.col(id_col).alias("_a"), F.col(line).alias("_p"))
+    outer = lines.select(*on, F.col(id_col).alias("_b"), F.col(line).alias("_q"))
+
+    def go(pairs):
+        both = pairs.join(inner, [*on, "_a"]).join(outer, [*on, "_b"])
+        inside = {"_in": k.inside_buffer("_p", "_q", F.lit(radius)), "_back": k.inside_buffer("_q", "_p", F.lit(radius))}
+        flags = both.withColumns(inside).groupBy(*on, "_a", "_b").agg(F.bool_or("_in").alias("_in"), F.bool_or("_back").alias("_back"))
+        goes = F.col("_in") & (F.lit(literal) | (F.col("_b") < F.col("_a")) | ~F.col("_back"))
+        return cut_lineage(flags.filter(goes).select(*on, "_a").distinct())
+
+    largest = leaves.pairs(where=held).groupBy(*on, "_a").agg(F.min_by("_b", F.struct(-size, F.col("_b"))).alias("_b"))
+    gone = go(largest)
+    gone = gone.unionByName(go(leaves.pairs(gone, held).select(*on, "_a", "_b").distinct()))
+    return lines.join(gone.withColumnRenamed("_a", id_col), [*on, id_col], "left_anti")
 
 
 # ---- near duplicates ------------------------------------------------------------------------
