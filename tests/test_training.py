@@ -22,3 +22,14 @@ def test_calibrated_on_rows_that_the_forest_has_not_seen(spark, monkeypatch):
     one = [{r.case_id: r.calibrated for r in m.transform(tr.score(c, df, 0.5)).collect()} for c, m in models]
     assert all(abs(r.calibrated - sum(o[r.case_id] for o in one) / 5) < 1e-12 for r in out.collect())
     assert 0.3 < out.agg(F.avg("calibrated")).first()[0] < 0.5
+
+
+def test_folds_read_stored_rows(spark, monkeypatch):
+    """The query that makes the rows runs once, not at each pass of each fold."""
+    df = spark.range(60).select(F.col("id").alias("case_id"), (F.col("id") % 7).cast("double").alias("x")).join(
+        spark.range(60).select(F.col("id").alias("case_id"), (F.col("id") % 2).cast("double").alias("label")), "case_id"
+    )
+    plans, train = [], tr.train_classifier
+    monkeypatch.setattr(tr, "train_classifier", lambda rows, *a, **b: plans.append(rows._jdf.queryExecution().optimizedPlan().toString()) or train(rows, *a, **b))
+    tr.cross_calibrated(df, ["x"], folds=2, trees=2, depth=2)
+    assert len(plans) == 2 and not any("Join" in p for p in plans)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from waymark import values as v
 from waymark.operators.order import first_per_key
+from waymark.session import cut_lineage
 
 
 def error_label(state: Column | str) -> Column:
@@ -81,7 +82,7 @@ def standardise(features: list[str]):
 
 
 def train_classifier(df: DataFrame, features: list[str], label: str = "label", trees: int = 50, depth: int = 8, seed: int = 7):
-    """Random forest on imputed, standardised features; ``label`` is 0 / 1."""
+    """Random forest on imputed, standardised features; ``label`` is 0 / 1. The rows are read several times: pass stored ones if they are costly."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
 
@@ -102,12 +103,15 @@ def calibrate(scored: DataFrame, label: str = "label", score: str = "probability
 
 
 def cross_calibrated(df: DataFrame, features: list[str], label: str = "label", key: str = "case_id", folds: int = 5, **forest) -> list:
-    """Per fold (rows by the hash of ``key``) the classifier of the other rows and the isotonic calibration of its scores of the fold's rows."""
-    fold = F.pmod(F.xxhash64(key), F.lit(folds))
+    """Per fold (rows by the hash of ``key``) the classifier of the other rows and the isotonic calibration of its scores of the fold's rows.
+
+    Each fold reads its rows about ten times, so they are written once.
+    """
+    rows = cut_lineage(df.select(key, *features, label, F.pmod(F.xxhash64(key), F.lit(folds)).cast("int").alias("_fold")))
     models = []
     for k in range(folds):
-        classifier = train_classifier(df.filter(fold != k), features, label, **forest)
-        models.append((classifier, calibrate(score(classifier, df.filter(fold == k), 0.5), label)))
+        classifier = train_classifier(rows.filter(F.col("_fold") != k), features, label, **forest)
+        models.append((classifier, calibrate(score(classifier, rows.filter(F.col("_fold") == k), 0.5), label)))
     return models
 
 

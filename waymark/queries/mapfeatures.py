@@ -9,6 +9,7 @@ from waymark.operators import order as od
 from waymark.plans import features as ft, mapdata as md, reporting as rp, training as tr
 from waymark.queries import query
 from waymark.queries.geometry import TILE, VERTICES, _near_sql
+from waymark.session import cut_lineage
 from waymark.sources import datasets as ds, ingest as ig
 
 
@@ -180,7 +181,7 @@ def standardised_features(t):
 
 @query("classifier_scores")
 def classifier_scores(t):
-    df = _labelled(t)
+    df = cut_lineage(_labelled(t).drop("case_id"))
     models = {m: (tr.train_classifier(df.filter(F.col("metric") == m), FEATURES), 0.9) for m in ("TbT", "HDR")}
     models["combined"] = (tr.train_classifier(df, FEATURES), 0.9)
     return tr.classify(models, df).groupBy("metric", "error_label").agg(F.count("*").alias("n"), F.avg("probability_error").alias("mean_probability"))
