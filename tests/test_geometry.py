@@ -150,3 +150,30 @@ def test_comparison_states(spark):
     assert min(xs) > 0.005 and max(xs) < 0.015
     assert {s for s, _ in states["empty"]} == {"potential_error"}
     assert len({r["case_id"] for r in got}) == len(got)
+
+
+def test_polygon_spans_of_a_whole_batch_at_once():
+    """The rows of a batch share the kernels' fixed costs; spans hold against the middle points of fine steps."""
+    import time
+
+    rng = np.random.default_rng(5)
+    sizes = rng.integers(0, 6, 4000)
+    at_ = np.concatenate([[0], np.cumsum(sizes)])
+    xy, ring = rng.uniform(-2, 2, (at_[-1], 2)), rng.uniform(-2, 2, (5, 2))
+    began = time.process_time()
+    row, start, end = k.batch_spans_in_polygon(xy, at_, np.tile(ring, (4000, 1)), 5 * np.arange(4001))
+    assert time.process_time() - began < 1.0
+    e, f = ring, np.roll(ring, -1, axis=0)
+    for r in range(0, 4000, 100):
+        p = xy[at_[r] : at_[r + 1]]
+        if len(p) < 2:
+            assert r not in row
+            continue
+        steps = (np.arange(500) + 0.5) / 500 * np.hypot(*np.diff(p, axis=0).T).sum()
+        x, y = k.batch_at(p, np.array([0, len(p)]), steps, np.zeros(500, dtype=np.int64)).T[:, :, None]
+        above = (e[:, 1] > y) != (f[:, 1] > y)
+        inside = (above & (x < e[:, 0] + (y - e[:, 1]) * (f[:, 0] - e[:, 0]) / (f[:, 1] - e[:, 1]))).sum(axis=1) % 2 == 1
+        mine = np.zeros(500, dtype=bool)
+        for s, t in zip(start[row == r], end[row == r]):
+            mine |= (steps > s) & (steps < t)
+        assert (mine != inside).sum() == 0
