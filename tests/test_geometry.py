@@ -177,3 +177,15 @@ def test_polygon_spans_of_a_whole_batch_at_once():
         for s, t in zip(start[row == r], end[row == r]):
             mine |= (steps > s) & (steps < t)
         assert (mine != inside).sum() == 0
+
+
+def test_tiles_of_a_line_need_no_shuffle_of_their_own(spark):
+    from types import SimpleNamespace
+
+    from waymark.queries.geometry import cells_along_lines
+
+    rows = [(1, "LINESTRING (10 50, 10.001 50, 10.5 50)"), (1, "LINESTRING (10 50, 10.0001 50)"), (2, "LINESTRING EMPTY"), (None, "LINESTRING (1 1, 1 1)"), (3, None)]
+    df = spark.createDataFrame([(i, "DE", w, w) for i, w in rows], "route_id long, country string, provider_route string, competitor_route string")
+    out = cells_along_lines(SimpleNamespace(fx_route_lines=df))
+    assert out._jdf.queryExecution().sparkPlan().toString().count("HashAggregate") <= 4
+    assert {r.route_id: r.cells for r in out.collect()} == {1: 18, None: 9}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from waymark.functions import geo, kernels as k, text as tx, tiles
+from waymark.operators.barrier import explode_once
 from waymark.queries import query
 
 # Vertices of the provider and competitor lines, parsed from the same WKT text.
@@ -356,8 +357,11 @@ def tile_covering(t):
     select route_id, count(*) as cells from r group by route_id""",
 )
 def cells_along_lines(t):
-    df = lines(t).select("route_id", F.explode("a").alias("p")).select("route_id", tiles.tile_of_point(F.col("p.x"), F.col("p.y"), 14).alias("t"))
-    rings = df.distinct().select("route_id", F.explode(tiles.ring(F.col("t"), 14, 1)).alias("n"))
+    # A line's vertices share most of their tiles, so they are told apart inside its row before any shuffle.
+    met = F.array_distinct(F.transform("a", lambda p: tiles.tile_of_point(p["x"], p["y"], 14)))
+    df = lines(t).select("route_id", met.alias("t"))
+    df = explode_once(df, "t", "t")
+    rings = df.select("route_id", F.explode(tiles.ring(F.col("t"), 14, 1)).alias("n"))
     return rings.select("route_id", "n.code").distinct().groupBy("route_id").agg(F.count("*").alias("cells"))
 
 
