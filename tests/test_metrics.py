@@ -143,3 +143,10 @@ def test_sanity_gate(spark):
     with pytest.raises(AssertionError):
         ql.raise_on_failure(spark.createDataFrame([(True,)], "sanity_fail boolean"))
     assert ql.raise_on_failure(spark.createDataFrame([(False,)], "sanity_fail boolean")) is False
+
+
+def test_the_order_alone_is_kept_when_it_is_the_row(spark):
+    df = spark.createDataFrame([("k", 2, "a"), ("k", 1, "b"), ("k", 1, None), (None, 3, "c")], "k string, n int, t string")
+    out = od.first_per_key(df, ["k"], ["n", "t"])
+    assert sorted(map(tuple, out.collect()), key=str) == [("k", 1, None), (None, 3, "c")]
+    assert "min_by" not in out._jdf.queryExecution().optimizedPlan().toString()

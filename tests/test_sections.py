@@ -92,3 +92,37 @@ def test_union_of_spans():
     for r, x, y in zip(*sec.union(row, s, e)):
         got.setdefault(int(r), []).append((x, y))
     assert got == {r: merged([(x, y) for q, x, y in zip(row, s, e) if q == r]) for r in set(row.tolist())}
+
+
+def test_known_sections_leave_the_competitor_lines_behind(spark):
+    from waymark.plans.inspection import reuse_static_routes
+
+    lines = ["LINESTRING (0 0, 1 1)", "LINESTRING (5 5, 6 6)"]
+    routes = spark.createDataFrame(
+        [("s", "r1", "c", "x", lines[0], 1.0, "p"), ("s", "r2", "c", "x", lines[0], 1.0, "p"), ("s2", "r1", "c", "x", lines[0], 1.0, "p")],
+        "sample_id string, route_id string, competitor string, country string, provider_route string, provider_route_length double, provider string",
+    )
+    history = spark.createDataFrame(
+        [
+            ("s", "r1", "c", "x", "h1", lines[0], "cr1", "optimal", 1.0, 2.0), ("s", "r1", "c", "x", "h2", lines[0], "cr2", "optimal", 3.0, 4.0),
+            ("s", "r2", "c", "x", "h2", lines[1], "cr3", "optimal", 5.0, 6.0), (None, "r1", "c", "x", "h2", lines[0], "cr4", "optimal", 7.0, 8.0),
+        ],
+        "sample_id string, route_id string, competitor string, country string, run_id string, provider_route string, competitor_route string, "
+        "rac_state string, competitor_route_length double, competitor_route_time double",
+    )
+    sections = spark.createDataFrame(
+        [("h1", "r1", "a", None, 9.0), ("h1", "r1", "b", "q", 9.0), ("h2", "r1", "a", None, 9.0)],
+        "run_id string, route_id string, case_id string, reference_case_id string, stretch_length double",
+    )
+    feedback = spark.createDataFrame(
+        [("h1", "r1", "a", "WGEO", "TEMP", "z"), ("h1", "r1", "a", "MMAN", None, "y"), (None, "r1", "a", "A", None, None), ("h2", "r1", None, None, None, None)],
+        "run_id string, route_id string, case_id string, mcp_state string, error_subtype string, reference_case_id string",
+    )
+    meta = spark.sql("select * from values ('h1', date'2024-01-01'), ('h2', date'2024-02-01') as m(run_id, inspection_date)")
+    unknown, known, found = reuse_static_routes(routes, history, sections, feedback, meta, "new")
+    # The reviewed run wins over the later one; a history row without a sample meets nothing.
+    assert [(r["sample_id"], r["route_id"], r["run_id"], r["competitor_route"], r["competitor_route_time"]) for r in known.collect()] == [("s", "r1", "h1", "cr1", 2.0)]
+    assert sorted((r["sample_id"], r["route_id"]) for r in unknown.collect()) == [("s", "r2"), ("s2", "r1")]
+    assert sorted((r["reference_case_id"], r["mcp_state"], r["error_subtype"]) for r in found.collect()) == [("a", "MMAN", None), ("q", None, None)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not [line for line in plan if "competitor_route#" in line and "LogicalRDD" not in line]

@@ -33,6 +33,10 @@ def first_per_key(df: DataFrame, keys: list[str], order_by: list[Column | str])
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.dropDuplicates(keys)
+    if all(isinstance(c, str) for c in order_by) and set(rest) <= set(order_by):
+        # The order is the row: it needs no second copy of its columns.
+        least = df.groupBy(*keys).agg(F.min(F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)])).alias("_row"))
+        return least.select(*[F.col(c) if c in keys else F.col(f"_row.o{order_by.index(c)}").alias(c) for c in df.columns])
     picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_row"))
     return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
