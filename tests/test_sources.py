@@ -80,3 +80,15 @@ def test_weights_and_store(spark):
 def test_uuid_shape(spark):
     got = spark.range(1).select(tx.hashed_uuid(F.lit("a"), F.lit(1)).alias("u")).first()["u"]
     assert [len(p) for p in got.split("-")] == [8, 4, 4, 4, 12]
+
+
+def test_large_files_are_dealt_to_more_tasks_than_cores(spark, tmp_path):
+    from waymark.fixtures import spread
+
+    spark.range(20000).selectExpr("id", "md5(string(id)) as text").coalesce(1).write.parquet(f"{tmp_path}/t a")
+    df = spark.read.parquet(f"{tmp_path}/t a")
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(df).rdd.getNumPartitions() == cores
+    more = spread(df, most=20000)
+    assert more.rdd.getNumPartitions() > 2 * cores
+    assert more.count() == 20000
