@@ -92,3 +92,21 @@ def test_large_files_are_dealt_to_more_tasks_than_cores(spark, tmp_path):
     more = spread(df, most=20000)
     assert more.rdd.getNumPartitions() > 2 * cores
     assert more.count() == 20000
+
+
+def test_folders_get_one_file_though_partitions_are_cut(spark, tmp_path):
+    import glob
+
+    from waymark.sources import datasets as ds
+
+    df = spark.range(0, 40000, 1, 8).selectExpr("id % 30 as a", "id % 7 as b", "md5(string(id)) as text")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        ds.write_by_columns(df, f"{tmp_path}/out", ["a", "b"])
+    finally:
+        spark.conf.set(key, before)
+    files = glob.glob(f"{tmp_path}/out/a=*/b=*/*.parquet")
+    assert len(files) == 210
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 40000

@@ -13,6 +13,22 @@ from waymark.functions import text as tx
 from waymark.values import ERROR_LOG_SOURCE
 
 
+# Shuffle partitions by two and more columns, which can have thousands of combinations.
+FOLDER_PARTITIONS = 2048
+
+
+def by_folder(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of one combination of the columns in one task per AQE-sized slice: few files, also for a hot combination.
+
+    AQE cuts a large partition by its map tasks, so every slice holds rows of all folders of that partition, and each of them gets
+    a file a slice. With many partitions a folder has its own, or shares it with few; small neighbours are read by one task.
+    """
+    if len(columns) < 2:
+        return df.hint("rebalance", *columns)
+    shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.hint("rebalance", max(FOLDER_PARTITIONS, shuffles), *columns)
+
+
 @dataclass
 class Catalog:
     """Datasets below one root folder, by name: path, schema and partition columns."""
@@ -37,12 +53,11 @@ class Catalog:
             return schemas.empty(self.spark, name)
 
     def write(self, name: str, df: DataFrame, mode: str = "append") -> None:
-        """Rows of one partition go to one task per AQE-sized slice: few files, also for a hot partition."""
+        """Few files: see ``by_folder``."""
         parts = schemas.PARTITIONS.get(name, [])
         out = schemas.conform(df, name)
         if parts:
-            out = out.hint("rebalance", *parts)
-            out.write.mode(mode).partitionBy(*parts).parquet(self.path(name))
+            by_folder(out, parts).write.mode(mode).partitionBy(*parts).parquet(self.path(name))
         else:
             out.write.mode(mode).parquet(self.path(name))
 
@@ -57,7 +72,7 @@ class Catalog:
     def replace_partitions(self, name: str, df: DataFrame) -> None:
         """Overwrite only the partitions that occur in ``df``: running an export twice leaves one copy."""
         parts = schemas.PARTITIONS[name]
-        schemas.conform(df, name).hint("rebalance", *parts).write.mode("overwrite").option(
+        by_folder(schemas.conform(df, name), parts).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy(*parts).parquet(self.path(name))
 
@@ -91,8 +106,8 @@ def only_new(df: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def write_by_columns(df: DataFrame, path: str, columns: list[str], mode: str = "overwrite") -> None:
-    """One file group per combination of the columns; AQE splits a combination that is too large for one task."""
-    df.hint("rebalance", *columns).write.mode(mode).partitionBy(*columns).parquet(path)
+    """One file group per combination of the columns: see ``by_folder``."""
+    by_folder(df, columns).write.mode(mode).partitionBy(*columns).parquet(path)
 
 
 def batch_numbers(df: DataFrame, id_cols: list[str], size: int = 500) -> DataFrame:
