@@ -145,6 +145,19 @@ def test_sanity_gate(spark):
     assert ql.raise_on_failure(spark.createDataFrame([(False,)], "sanity_fail boolean")) is False
 
 
+def test_island_runs_of_short_keys_need_no_further_shuffle(spark):
+    rows = [(t, s, a) for t in ("x", "y", None) for s, a in enumerate([1, 1, None, None, 2, 1])] + [("x", None, 1)]
+    df = spark.createDataFrame(rows, "t string, seq int, a int").repartition(3, "t")
+    out = od.island_runs(df, "t", "seq", ["a"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan  # the caller's
+    got = {(r["t"], r["seq"]): r["run_no"] for r in out.collect()}
+    assert got == {(t, s): n for t in ("x", "y", None) for s, n in enumerate([1, 1, 2, 2, 3, 4])}
+    assert got == {(r["t"], r["seq"]): r["run_no"] for r in od.island_runs(df, "t", "seq", ["a"], block=4).collect()}
+    empty = od.island_runs(df.limit(0), "t", "seq", ["a"])
+    assert empty.count() == 0
+
+
 def test_the_order_alone_is_kept_when_it_is_the_row(spark):
     df = spark.createDataFrame([("k", 2, "a"), ("k", 1, "b"), ("k", 1, None), (None, 3, "c")], "k string, n int, t string")
     out = od.first_per_key(df, ["k"], ["n", "t"])

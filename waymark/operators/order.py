@@ -205,21 +205,25 @@ def island_runs(
     """Number the runs of consecutive rows (dense ``seq`` per key) that agree on ``same_cols``.
 
     A long key is cut into blocks of ``seq``; the last row of a block is copied into the next one, so
-    the comparison with the row before never needs the whole key in one task.
+    the comparison with the row before never needs the whole key in one task. Where every key lies in
+    one block, which one pass over ``seq`` tells, a window per key is all: no totals of blocks, no join.
     """
-    own = df.withColumn("_block", F.floor(F.col(seq) / block)).withColumn("_edge", F.lit(False))
-    edge = (
-        df.filter(F.pmod(F.col(seq), F.lit(block)) == block - 1)
-        .withColumn("_block", F.floor(F.col(seq) / block) + 1)
-        .withColumn("_edge", F.lit(True))
-    )
-    both = own.unionByName(edge).withColumn("_attrs", F.struct(*same_cols))
-    w = W.partitionBy(key, "_block").orderBy(seq)
-    flagged = (
-        both.withColumn("_first", F.lag(F.lit(1)).over(w).isNull())
-        .withColumn("_prev", F.lag("_attrs").over(w))
-        .filter(~F.col("_edge"))
-        .withColumn("_new", F.when(F.col("_first") | ~F.col("_prev").eqNullSafe(F.col("_attrs")), 1).otherwise(0))
-    )
-    numbered_runs = running_totals(flagged, [seq], {"run_no": F.col("_new").cast("bigint")}, F.col("_block"), [key])
+    number = F.floor(F.col(seq) / block)
+    rows = df.filter(F.col(seq).isNotNull())
+    first_block, last_block = rows.agg(F.min(number), F.max(number)).first()
+
+    def flagged(part, w):
+        part = part.withColumn("_first", F.lag(F.lit(1)).over(w).isNull()).withColumn("_prev", F.lag("_attrs").over(w))
+        return part.withColumn("_new", F.when(F.col("_first") | ~F.col("_prev").eqNullSafe(F.col("_attrs")), 1).otherwise(0).cast("bigint"))
+
+    if first_block == last_block:
+        w = W.partitionBy(key).orderBy(seq)
+        own = flagged(rows.withColumn("_attrs", F.struct(*same_cols)), w)
+        return own.select(*df.columns, F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0)).alias("run_no"))
+    is_last = F.pmod(F.col(seq), F.lit(block)) == block - 1
+    copies = F.when(is_last, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    both = rows.withColumn("_edge", F.explode(copies)).withColumn("_attrs", F.struct(*same_cols))
+    both = both.withColumn("_block", number + F.col("_edge").cast("int"))
+    own = flagged(both, W.partitionBy(key, "_block").orderBy(seq)).filter(~F.col("_edge"))
+    numbered_runs = running_totals(own, [seq], {"run_no": F.col("_new")}, F.col("_block"), [key])
     return numbered_runs.select(*df.columns, "run_no")

@@ -352,9 +352,10 @@ EDGES = """e as (select cast(l_orderkey as varchar) as trace_id, row_number() ov
 
 
 def _edges(t):
-    w = W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
-    df = t.lineitem.select(
-        F.col("l_orderkey").cast("string").alias("trace_id"), (F.row_number().over(w) - 1).alias("seq"), F.col("l_returnflag").alias("road_class"),
+    # By the trace id, as all that follows: its rows are shuffled once.
+    w = W.partitionBy("trace_id").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    df = t.lineitem.withColumn("trace_id", F.col("l_orderkey").cast("string")).select(
+        "trace_id", (F.row_number().over(w) - 1).alias("seq"), F.col("l_returnflag").alias("road_class"),
         F.when((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "A"), "ferry").otherwise("road").alias("use"),
         F.col("l_quantity").alias("length"), F.col("l_partkey").alias("edge_id"),
     )
