@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from waymark import values as v
+from waymark.operators.forest import counted
 from waymark.operators.order import first_per_key
 from waymark.session import cut_lineage
 
@@ -82,24 +83,26 @@ def standardise(features: list[str]):
 
 
 def train_classifier(df: DataFrame, features: list[str], label: str = "label", trees: int = 50, depth: int = 8, seed: int = 7):
-    """Random forest on imputed, standardised features; ``label`` is 0 / 1. The rows are read several times: pass stored ones if they are costly."""
+    """Random forest on imputed, standardised features; ``label`` is 0 / 1. The rows are read several times: pass stored ones if they are costly.
+
+    Many rows are counted by the bins of their features, and the trees are grown on the counts (``operators/forest.py``).
+    """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
 
+    if (grown := counted(df, features, label, trees, depth, seed)) is not None:
+        return grown
     forest = RandomForestClassifier(labelCol=label, featuresCol="features", probabilityCol="class_probability",
                                     rawPredictionCol="class_raw", predictionCol="class_prediction", numTrees=trees, maxDepth=depth, seed=seed)
     return Pipeline(stages=[*standardise(features), forest]).fit(df)
 
 
 def calibrate(scored: DataFrame, label: str = "label", score: str = "probability_error"):
-    """Isotonic calibration of scores."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
+    """Isotonic calibration of scores. Rows with the same score and label are one with their number as weight."""
     from pyspark.ml.regression import IsotonicRegression
 
-    assembler = VectorAssembler(inputCols=[score], outputCol="score_vector")
-    isotonic = IsotonicRegression(featuresCol="score_vector", labelCol=label, predictionCol="calibrated")
-    return Pipeline(stages=[assembler, isotonic]).fit(scored)
+    isotonic = IsotonicRegression(featuresCol=score, labelCol=label, weightCol="_n", predictionCol="calibrated")
+    return isotonic.fit(scored.groupBy(score, label).agg(F.count("*").cast("double").alias("_n")))
 
 
 def cross_calibrated(df: DataFrame, features: list[str], label: str = "label", key: str = "case_id", folds: int = 5, **forest) -> list:
@@ -128,7 +131,9 @@ def score(model, df: DataFrame, threshold: float, out: str = "probability_error"
     """Probability of an error and the state: potential error only above the threshold."""
     from pyspark.ml.functions import vector_to_array
 
-    scored = model.transform(df).withColumn(out, vector_to_array("class_probability").getItem(1))
+    scored = model.transform(df)
+    plain = isinstance(scored.schema["class_probability"].dataType, T.ArrayType)
+    scored = scored.withColumn(out, (F.col("class_probability") if plain else vector_to_array("class_probability")).getItem(1))
     kept = [*df.columns, out]
     return scored.select(*kept).withColumn(
         "error_label", F.when(F.col(out) > threshold, F.lit(v.POTENTIAL_ERROR)).otherwise(F.lit(v.NO_ERROR))
