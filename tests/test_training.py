@@ -96,3 +96,19 @@ def test_calibration_counts_equal_scores(spark, monkeypatch):
     got = {r.probability_error: r.calibrated for r in tr.calibrate(df).transform(df).collect()}
     assert seen[0] <= 10
     assert all(abs(got[k / 5] - k / 7) < 1e-12 for k in range(5))
+
+
+def test_each_metric_is_scored_by_its_forest_of_counts(spark, monkeypatch):
+    """Forests of all metrics grow on counts; every row is scored once, those without a metric by the combined one."""
+    df = labelled(spark).withColumn("metric", F.when(F.col("case_id") % 5 < 3, "TbT").when(F.col("case_id") % 5 == 3, "HDR"))
+    monkeypatch.setattr(forest, "CELLS", 1000)
+    models = {m: (tr.train_classifier(df.filter(F.col("metric") == m), ["x", "y", "w"], trees=5), 0.6) for m in ("TbT", "HDR")}
+    models["combined"] = (tr.train_classifier(df, ["x", "y", "w"], trees=5), 0.6)
+    assert all(isinstance(m, forest.CountedForest) for m, _ in models.values())
+    out = {r.case_id: r for r in tr.classify(models, df).collect()}
+    assert len(out) == 20000 == tr.classify(models, df).count()
+    for name, (model, _) in models.items():
+        own = df.filter(F.col("metric").isNull() if name == "combined" else F.col("metric") == name)
+        for r in tr.score(model, own, 0.6).collect():
+            assert out[r.case_id].probability_error == r.probability_error and out[r.case_id].error_label == r.error_label
+            assert r.error_label == ("potential_error" if r.probability_error > 0.6 else "no_error")
