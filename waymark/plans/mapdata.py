@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from waymark.functions import geo, kernels as k, text as tx
-from waymark.operators.barrier import explode_once, keep_where
+from waymark.operators.barrier import keep_where
+from waymark.operators.matching import matched_pieces
 from waymark.operators.order import first_per_key, island_runs
-from waymark.operators.pairs import intersecting_lines, remove_contained
 
 
 # ---- tags and lanes --------------------------------------------------------------------------
@@ -269,18 +269,9 @@ def match_features(
     ``provider`` has feature_a, line_a; ``competitor`` has feature_b, line_b. The longest piece per pair
     stays, contained pieces and pieces that turn 45 degrees or more from the partner are dropped.
     """
-    pairs = intersecting_lines(provider, competitor, "feature_a", "feature_b", "line_a", "line_b", radius, on)
-    pairs = pairs.filter(geo.same_direction("line_a", "line_b"))
-    pieces = explode_once(pairs, "spans", "_span").drop("spans")
-    pieces = pieces.withColumn("piece", k.substring("line_a", F.col("_span.s"), F.col("_span.e"))).drop("_span")
-    pieces = keep_where(pieces, F.col("piece_metres") > min_metres, {"piece_metres": k.geodesic_length("piece")})
-    keys = [*(on or []), "feature_a", "feature_b"]
-    rest = [c for c in pieces.columns if c not in keys]
-    longest = pieces.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("piece_metres", geo.first("piece"), geo.last("piece"))).alias("_r"))
-    longest = longest.select(*keys, "_r.*")
-    if remove_contained_pieces:
-        longest = longest.withColumn("_id", F.concat_ws("|", "feature_a", "feature_b"))
-        longest = remove_contained(longest, "_id", "piece", 0.00001, on).drop("_id")
+    longest = matched_pieces(
+        provider, competitor, "feature_a", "feature_b", "line_a", "line_b", radius, min_metres, 0.00001 if remove_contained_pieces else None, on
+    )
     if remove_other_angles:
         p1 = geo.first("piece")
         q1 = k.interpolate("line_b", k.project("line_b", p1["x"], p1["y"]))
