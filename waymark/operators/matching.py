@@ -190,10 +190,10 @@ def _taken(xy, at, rows):
 
 
 def _boxes(xy, at):
-    """Least and largest coordinates (row, axis) of lines with vertices."""
+    """Least and largest known coordinates (row, axis) of lines with vertices."""
     if len(at) < 2:
         return np.empty((0, 2)), np.empty((0, 2))
-    return np.minimum.reduceat(xy, at[:-1]), np.maximum.reduceat(xy, at[:-1])
+    return np.fmin.reduceat(xy, at[:-1]), np.fmax.reduceat(xy, at[:-1])
 
 
 def _within(inner, outer, pad):
@@ -291,10 +291,14 @@ def _decided(one: pa.Table, two: pa.Table, ids: list[str], on: list[str], radius
     corner[sq_a] = np.column_stack([place >> 32, (place & 0xFFFFFFFF).astype(np.uint32).view(np.int32)])
     size[sq_a] = ROOT / np.power(float(FAN), np.asarray(one.column("_level")))
     box_a, box_b = _boxes(a, a_at), _boxes(b, b_at)
-    grid = _Grid(corner, size, *box_a)
+    # A vertex without a place has no station; a line with one matches nothing, and would spoil the stations of others.
+    whole_a, whole_b = (np.flatnonzero(np.logical_and.reduceat(np.isfinite(xy).all(1), at[:-1])) for xy, at in ((a, a_at), (b, b_at)))
+    if not len(whole_a) or not len(whole_b):
+        return none
+    grid = _Grid(corner, size, *(v[whole_a] for v in box_a))
     barred = bool(pc.any(pc.greater(pc.count_substring(text_a, "|"), 1)).as_py())
-    by_a, by_b = np.argsort(sq_a, kind="stable"), np.argsort(sq_b, kind="stable")
-    off_a, off_b = (np.concatenate([[0], np.bincount(s, minlength=n).cumsum()]) for s in (sq_a, sq_b))
+    by_a, by_b = (w[np.argsort(s[w], kind="stable")] for w, s in ((whole_a, sq_a), (whole_b, sq_b)))
+    off_a, off_b = (np.concatenate([[0], np.bincount(s[w], minlength=n).cumsum()]) for w, s in ((whole_a, sq_a), (whole_b, sq_b)))
     load = (np.diff(off_a) * np.diff(off_b)).cumsum()
     out, begin = [], 0
     while begin < n:
